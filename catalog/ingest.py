@@ -83,10 +83,9 @@ def projected(spark, sf_dir):
     )
 
 
-_POSITION = (
-    F.col("partition").alias("kafka_partition"),
-    F.col("offset").alias("kafka_offset"),
-)
+def _position():
+    return F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset")
+
 
 _FIELDS = """account_id, amount_cents, currency, merchant_id, merchant_category_code, event_type,
              event_timestamp, card_last_four, is_international, metadata"""
@@ -105,14 +104,14 @@ _FIELDS = """account_id, amount_cents, currency, merchant_id, merchant_category_
 def parsed(spark, sf_dir):
     names = ("transaction_id", "account_id", "amount_cents", "currency", "is_international", "event_timestamp")
     rows = parse_envelopes(_messages(spark, sf_dir))
-    return rows.select(*_POSITION, *names)
+    return rows.select(*_position(), *names)
 
 
 @query("valid_rows", f"SELECT kafka_partition, kafka_offset, kafka_timestamp, transaction_id, {_FIELDS} FROM valid")
 def valid(spark, sf_dir):
     rows = parse_and_validate(_messages(spark, sf_dir)).valid
     return rows.select(
-        *_POSITION,
+        *_position(),
         F.col("kafka_timestamp").cast(NTZ).alias("kafka_timestamp"),
         *PAYLOAD_NAMES[:-1],
         F.to_json("metadata").alias("metadata"),
@@ -127,7 +126,7 @@ _INVALID_SQL = """SELECT account_id AS kafka_key, kafka_timestamp, 'PARSE_FAILUR
 def invalid(spark, sf_dir):
     rows = parse_and_validate(_messages(spark, sf_dir)).invalid
     return rows.select(
-        "kafka_key", F.col("kafka_timestamp").cast(NTZ).alias("kafka_timestamp"), "dlq_reason", "topic", *_POSITION
+        "kafka_key", F.col("kafka_timestamp").cast(NTZ).alias("kafka_timestamp"), "dlq_reason", "topic", *_position()
     )
 
 
@@ -189,7 +188,7 @@ def rate(spark, sf_dir):
 )
 def violations(spark, sf_dir):
     rows = contract_violations(_messages(spark, sf_dir))
-    return rows.select(*_POSITION, F.array_join("violations", ",").alias("violations"))
+    return rows.select(*_position(), F.array_join("violations", ",").alias("violations"))
 
 
 @query(
@@ -307,7 +306,7 @@ def replayed(spark, sf_dir):
     """Replay after a fix that closes payloads cut short; landed ids are left out."""
     routed = parse_and_validate(_messages(spark, sf_dir))
     closed = replay(routed.invalid, routed.valid, lambda text: F.regexp_replace(text, r"([^}])\}$", "$1}}"))
-    return closed.valid.select("transaction_id", "amount_cents", *_POSITION)
+    return closed.valid.select("transaction_id", "amount_cents", *_position())
 
 
 @query(
