@@ -24,6 +24,7 @@ from txnflow.operators.dedupe import dedupe_in_batch
 from txnflow.operators.parse import tag, valid_rows
 from txnflow.operators.transform import landing_projection, transform
 from txnflow.schema import PAYLOAD_NAMES
+from txnflow.session import spread
 
 KEY = TokenKey(b"test-key-not-a-secret")
 
@@ -39,6 +40,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def read_tasks(spark: SparkSession) -> int:
+    return min(16, spark.sparkContext.defaultParallelism)
+
+
+def facts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A fact table. The test files have one row group each and are spread over
+    the cores; a table with more splits than that is left as it is."""
+    return spread(table(spark, sf_dir, name), read_tasks(spark))
+
+
 def _pick(values: tuple[str, ...], index: Column) -> Column:
     return F.element_at(F.array(*(F.lit(v) for v in values)), (index % len(values) + 1).cast("int"))
 
@@ -133,7 +144,7 @@ def latency_millis() -> Column:
 
 def transformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid deliveries after the business projection, with a fixed ingest time."""
-    rows = valid_rows(tag(envelopes(table(spark, sf_dir, "events"))))
+    rows = valid_rows(tag(envelopes(facts(spark, sf_dir, "events"))))
     return transform(rows, KEY, ingested_at=plus_millis(F.col("kafka_timestamp"), latency_millis()))
 
 
@@ -156,14 +167,14 @@ def without_position(rows: DataFrame) -> DataFrame:
 
 def settled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing rows with one clean row per event, for the models."""
-    rows = without_position(transactions(table(spark, sf_dir, "events")))
+    rows = without_position(transactions(facts(spark, sf_dir, "events")))
     return landing_projection(transform(rows, KEY, ingested_at=F.col("event_timestamp").cast("timestamp")))
 
 
 def order_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing rows of the `orders` table."""
     order = F.col("o_orderkey")
-    payload = table(spark, sf_dir, "orders").select(
+    payload = facts(spark, sf_dir, "orders").select(
         F.concat(F.lit("ORD-"), order).alias("transaction_id"),
         F.concat(F.lit("ACC-"), F.col("o_custkey")).alias("account_id"),
         F.round(F.col("o_totalprice") * 100).cast("bigint").alias("amount_cents"),

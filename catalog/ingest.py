@@ -10,7 +10,7 @@ from catalog.adapters import (
     landed,
     order_transactions,
     settled,
-    table,
+    facts,
     transactions,
     transformed,
 )
@@ -37,7 +37,7 @@ NTZ = "timestamp_ntz"
 
 
 def _messages(spark, sf_dir):
-    return envelopes(table(spark, sf_dir, "events"))
+    return envelopes(facts(spark, sf_dir, "events"))
 
 
 _ID_TEXT = """'"transaction_id":"' || event_id || '",'"""
@@ -61,7 +61,7 @@ def _payload_sql(head: str) -> str:
         FROM (SELECT *, CAST(amount_cents AS VARCHAR) AS amount_text FROM txn)""",
 )
 def envelope(spark, sf_dir):
-    sent = event_envelope(transactions(table(spark, sf_dir, "events")))
+    sent = event_envelope(transactions(facts(spark, sf_dir, "events")))
     return sent.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
 
@@ -262,7 +262,7 @@ def keep(spark, sf_dir):
 def staged_files(spark, sf_dir, files=None):
     """Write all events as staged JSON, arrays of at most 500 objects per line."""
     path = scratch_path(spark, "staged")
-    rows = transactions(table(spark, sf_dir, "events"), "event_id")
+    rows = transactions(facts(spark, sf_dir, "events"), "event_id")
     objects = rows.select(
         F.floor(F.col("event_id") / 500).alias("chunk"),
         F.to_json(
@@ -319,7 +319,7 @@ def evolution(spark, sf_dir):
     """Payloads before and after an optional field was added, read as one table."""
     from pyspark.sql import types as T
 
-    events = table(spark, sf_dir, "events")
+    events = facts(spark, sf_dir, "events")
     switch = F.lit("2024-01-16").cast("timestamp_ntz")
     newer_schema = T.StructType([*PAYLOAD_SCHEMA.fields, T.StructField("channel", T.StringType())])
     channel = F.element_at(F.array(F.lit("web"), F.lit("pos"), F.lit("app")), (F.col("user_id") % 3 + 1).cast("int"))

@@ -9,9 +9,7 @@ from catalog.adapters import (
     landed,
     merchant_dimension,
     order_transactions,
-    props_k,
     settled,
-    table,
     transformed,
 )
 from catalog.registry import mean_sql, percent_sql, query
@@ -120,11 +118,13 @@ def merged(spark, sf_dir):
 
 
 def _enriched(spark, sf_dir):
+    landing = settled(spark, sf_dir)
     return int_enriched(
-        stg_card_transactions(settled(spark, sf_dir)),
+        stg_card_transactions(landing),
         mcc_dimension(spark),
         account_dimension(spark, sf_dir),
         merchant_dimension(spark, sf_dir),
+        landing=landing,
     )
 
 

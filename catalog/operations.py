@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.adapters import account_dimension, envelopes, landed, table, transformed
+from catalog.adapters import account_dimension, envelopes, facts, landed, transformed
 from catalog.registry import query
 from txnflow.operators.contract import data_tests
 from txnflow.operators.parse import parse_and_validate
@@ -49,7 +49,7 @@ def checks(spark, sf_dir):
        FROM refused GROUP BY 1, 2 HAVING count(*) > 10""",
 )
 def spikes(spark, sf_dir):
-    letters = parse_and_validate(envelopes(table(spark, sf_dir, "events"))).invalid
+    letters = parse_and_validate(envelopes(facts(spark, sf_dir, "events"))).invalid
     found = dead_letter_spikes(letters, more_than=10, delay=None)
     zoneless = {name: F.col(name).cast("timestamp_ntz") for name in ("window_start", "window_end")}
     return found.withColumns(zoneless)

@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from catalog.adapters import KEY, partial_events, props_k, table, transactions
+from catalog.adapters import KEY, facts, partial_events, props_k, transactions
 from catalog.registry import category_sql, dollars_sql, query, token_sql
 from txnflow.functions import (
     RotatingKey,
@@ -30,7 +30,7 @@ KEYS = (RotatingKey("2024a", KEY, date(2024, 1, 1)), RotatingKey("2024b", NEXT_K
 
 
 def _events(spark, sf_dir):
-    return transactions(table(spark, sf_dir, "events"))
+    return transactions(facts(spark, sf_dir, "events"))
 
 
 @query(
@@ -59,7 +59,7 @@ def tokenize_card(spark, sf_dir):
        FROM txn""",
 )
 def event_time_parse(spark, sf_dir):
-    rows = transactions(table(spark, sf_dir, "events").withColumn("k", props_k()), "k")
+    rows = transactions(facts(spark, sf_dir, "events").withColumn("k", props_k()), "k")
     text = F.col("event_timestamp")
     written = (
         F.when(F.col("k") == 10, F.substring(text, 1, 10))
@@ -106,7 +106,7 @@ def currency(spark, sf_dir):
 )
 def metadata_parse(spark, sf_dir):
     number = F.try_variant_get(metadata_variant("props"), "$.k", "bigint")
-    return table(spark, sf_dir, "events").select(
+    return facts(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("transaction_id"),
         metadata_map("props")["k"].alias("k_text"),
         number.alias("k_number"),
@@ -136,7 +136,7 @@ def mask(spark, sf_dir):
        FROM txn""",
 )
 def defaults(spark, sf_dir):
-    filled = fill_defaults(partial_events(table(spark, sf_dir, "events")))
+    filled = fill_defaults(partial_events(facts(spark, sf_dir, "events")))
     return filled.withColumn("metadata", F.to_json("metadata"))
 
 
@@ -148,7 +148,7 @@ def defaults(spark, sf_dir):
         FROM txn""",
 )
 def token_rotation(spark, sf_dir):
-    rows = transactions(table(spark, sf_dir, "events"), "ts")
+    rows = transactions(facts(spark, sf_dir, "events"), "ts")
     return rotate_tokens(rows, F.to_date("ts"), KEYS).select("transaction_id", "token_key_id", "account_id_token")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.adapters import KEY, envelopes, table
+from catalog.adapters import KEY, envelopes, facts, read_tasks, table
 from catalog.ingest import STAGED_NAMES, STAGED_SQL, staged_files
 from catalog.registry import query
 from txnflow.operators.parse import tag, valid_rows
@@ -29,10 +29,11 @@ def _config(spark: SparkSession, **settings) -> tuple[PipelineConfig, str]:
     root = scratch_path(spark, "stream")
     config = PipelineConfig(
         landing=FileSink(f"{root}/landing"),
-        dead_letters=FileSink(f"{root}/dead-letters"),
+        dead_letters=FileSink(f"{root}/dead-letters", partition_by=()),
         metrics=FileSink(f"{root}/metrics", partition_by=()),
         checkpoint=f"{root}/checkpoint",
         trigger=ONCE,
+        min_tasks=read_tasks(spark),
         **settings,
     )
     return config, root
@@ -83,7 +84,7 @@ def append(spark, sf_dir):
     config, root = _config(spark, run_id="append")
     writer = MicroBatchWriter(config, KEY)
     for _ in range(2):
-        writer.write(envelopes(table(spark, sf_dir, "events")), 0)
+        writer.write(envelopes(facts(spark, sf_dir, "events")), 0)
     return _landed_view(spark.read.parquet(f"{root}/landing"))
 
 

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from txnflow.operators.hotkeys import SLICE, find_hot_keys, lookup_join, slice_by_range
+from txnflow.operators.hotkeys import SLICE, find_hot_keys, find_hot_keys_of, lookup_join, slice_by_range
 from txnflow.operators.sequence import account_sequence, inter_txn_gap, velocity
 
 START = datetime(2024, 1, 1)
@@ -98,6 +98,13 @@ def test_lookup_join_keeps_every_fact(spark, limit):
         assert r.label == (r.account_id_token.upper() if known else None)
 
 
+def test_hot_values_of_several_keys(spark):
+    data = [(f"a{i % 2}", None if i % 10 else i) for i in range(100)]
+    found = find_hot_keys_of(spark.createDataFrame(data, "a string, b int"), ["a", "b"], 40)
+    assert sorted((r.a, r.n) for r in found["a"].keys.collect()) == [("a0", 50), ("a1", 50)]
+    assert [(r.b, r.n) for r in found["b"].keys.collect()] == [(None, 90)] and found["b"].rows == 90
+
+
 def test_hot_join_side_is_a_broadcast(spark):
     facts = spark.createDataFrame(rows("spread"), SCHEMA)
     dimension = spark.range(10).select(F.concat(F.lit("cold"), "id").alias("account_id_token"), F.lit(1).alias("x"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,35 +63,53 @@ def data_tests(
 ) -> DataFrame:
     """`(check_name, column_name, failures)` for every test, zero included.
 
-    Null and accepted-value tests share one pass. Uniqueness and relationship
-    tests count each distinct key first, so a frequent key travels as one row
-    per task, and only those counts are shuffled or joined.
+    Each of the three kinds is one pass over just the columns it tests. Keys are
+    counted per distinct value first, so a frequent key travels as one row per
+    task, and only these counts meet the parent keys.
     """
-    one_pass = [("not_null", c, F.col(c).isNull()) for c in not_null]
-    one_pass += [("accepted_values", c, ~F.col(c).isin(*values)) for c, values in (accepted or {}).items()]
     parts = []
-    if one_pass:
-        counts = df.agg(*(F.count_if(cond).alias(f"t{i}") for i, (_, _, cond) in enumerate(one_pass)))
-        rows = [
-            F.struct(F.lit(check).alias("check_name"), F.lit(c).alias("column_name"), F.col(f"t{i}").alias("failures"))
-            for i, (check, c, _) in enumerate(one_pass)
+    row_tests = [("not_null", c, F.col(c).isNull()) for c in not_null]
+    row_tests += [("accepted_values", c, ~F.col(c).isin(*values)) for c, values in (accepted or {}).items()]
+    if row_tests:
+        parts.append(_results(df, [(check, c, F.count_if(failed)) for check, c, failed in row_tests]))
+    if unique:
+        counts = _key_counts(df, unique)
+        repeated = [("unique", c, F.count_if((F.col("test") == i) & (F.col("n") > 1))) for i, c in enumerate(unique)]
+        parts.append(_results(counts, repeated))
+    if relationships:
+        parents = [_tagged(frame, i, key).distinct() for i, (frame, key) in enumerate(relationships.values())]
+        orphans = _key_counts(df, list(relationships)).join(reduce(DataFrame.unionByName, parents), _KEY, "left_anti")
+        zero = F.lit(0).cast("bigint")
+        missing = [
+            ("relationships", c, F.coalesce(F.sum(F.when(F.col("test") == i, F.col("n"))), zero))
+            for i, c in enumerate(relationships)
         ]
-        parts.append(counts.select(F.inline(F.array(*rows))))
-    for c in unique:
-        copies = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(_failures(copies.where("n > 1"), "unique", c, F.count(F.lit(1))))
-    for c, (parent, parent_key) in (relationships or {}).items():
-        children = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-        keys = parent.select(F.col(parent_key).alias(c)).distinct()
-        orphans = children.join(keys, c, "left_anti")
-        parts.append(_failures(orphans, "relationships", c, F.coalesce(F.sum("n"), F.lit(0).cast("bigint"))))
-    result, *rest = parts
-    for part in rest:
-        result = result.unionByName(part)
-    return result
-
-
-def _failures(df: DataFrame, check: str, column: str, failures: Column) -> DataFrame:
-    return df.agg(failures.alias("failures")).select(
-        F.lit(check).alias("check_name"), F.lit(column).alias("column_name"), "failures"
-    )
+        parts.append(_results(orphans, missing))
+    return reduce(DataFrame.unionByName, parts)
+
+
+_KEY = ["test", "value"]
+
+
+def _tagged_struct(i: int, column: str) -> Column:
+    return F.struct(F.lit(i).alias("test"), F.col(column).cast("string").alias("value"))
+
+
+def _tagged(df: DataFrame, i: int, column: str) -> DataFrame:
+    return df.select(_tagged_struct(i, column).alias("k")).select("k.*")
+
+
+def _key_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows per test number and key value, nulls left out."""
+    keys = df.select(F.inline(F.array(*(_tagged_struct(i, c) for i, c in enumerate(columns)))))
+    return keys.where(F.col("value").isNotNull()).groupBy(*_KEY).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _results(df: DataFrame, tests: list) -> DataFrame:
+    """Aggregate each test's failures and turn the one row into one row per test."""
+    counts = df.agg(*(failures.alias(f"t{i}") for i, (_, _, failures) in enumerate(tests)))
+    rows = [
+        F.struct(F.lit(check).alias("check_name"), F.lit(c).alias("column_name"), F.col(f"t{i}").alias("failures"))
+        for i, (check, c, _) in enumerate(tests)
+    ]
+    return counts.select(F.inline(F.array(*rows)))

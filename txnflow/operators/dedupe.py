@@ -36,12 +36,12 @@ def latest_versions(df: DataFrame) -> DataFrame:
     Rows with equal times are ordered by stream position, then by a hash of the
     content for rows from files, which have no position.
     """
-    content = [F.to_json("metadata") if name == "metadata" else F.col(name) for name in sorted(df.columns)]
+    content = F.xxhash64(*(F.to_json("metadata") if name == "metadata" else F.col(name) for name in sorted(df.columns)))
     order = [
         F.col("ingested_at").desc(),
         F.col("kafka_offset").desc_nulls_last(),
         F.col("kafka_partition").desc_nulls_last(),
-        F.xxhash64(*content).desc(),
+        F.when(F.col("kafka_offset").isNull(), content).desc(),
     ]
     return keep_first(df, ["transaction_id"], order)
 

@@ -49,17 +49,34 @@ class HotKeys:
 
 
 def find_hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> HotKeys | None:
-    """The keys of `df` with more than `rows_per_task` rows, or None.
+    """The values of `key` with more than `rows_per_task` rows, or None."""
+    return find_hot_keys_of(df, [key], rows_per_task)[key]
 
-    Runs one job over the key column; at most MAX_HOT_KEYS rows reach the driver.
+
+def find_hot_keys_of(
+    df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
+) -> dict[str, HotKeys | None]:
+    """Hot values of several keys, counted in one job over the key columns.
+
+    At most MAX_HOT_KEYS rows per key reach the driver.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rows_per_task)
-    found = counts.orderBy(F.col("n").desc()).limit(MAX_HOT_KEYS).collect()
-    if not found:
-        return None
-    schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("n", T.LongType())])
-    keys = df.sparkSession.createDataFrame([(r[key], r["n"]) for r in found], schema)
-    return HotKeys(key, keys, sum(r["n"] for r in found))
+    if len(keys) == 1:
+        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).withColumn("others", F.lit(0))
+        masks = {0: keys[0]}
+    else:
+        sets = [[k] for k in keys]
+        counted = df.groupingSets(sets, *keys).agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("others"))
+        # grouping_id sets the bit of each key that is not part of the group.
+        full = 2 ** len(keys) - 1
+        masks = {full ^ (1 << (len(keys) - 1 - i)): k for i, k in enumerate(keys)}
+    busy = counted.where(F.col("n") > rows_per_task).orderBy(F.col("n").desc())
+    found = busy.limit(MAX_HOT_KEYS * len(keys)).collect()
+    result: dict[str, HotKeys | None] = {}
+    for mask, key in masks.items():
+        mine = [(r[key], r["n"]) for r in found if r["others"] == mask]
+        schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("n", T.LongType())])
+        result[key] = HotKeys(key, df.sparkSession.createDataFrame(mine, schema), sum(n for _, n in mine)) if mine else None
+    return result
 
 
 def slice_by_range(hot_rows: DataFrame, key: str, order: Sequence[str], slices: int) -> DataFrame:
@@ -99,24 +116,37 @@ def slices_for(rows: int, rows_per_task: int) -> int:
     return math.ceil(rows / rows_per_task)
 
 
-def lookup_join(
+def lookup_join(facts: DataFrame, dimension: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Left join of `facts` to a dimension with one row per `key`; see `lookup_joins`."""
+    return lookup_joins(facts, {key: dimension}, facts, rows_per_task)
+
+
+def lookup_joins(
     facts: DataFrame,
-    dimension: DataFrame,
-    key: str,
+    dimensions: dict[str, DataFrame],
+    counted: DataFrame,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Left join of `facts` to a dimension with one row per `key`.
+    """Left joins of `facts` to dimensions, each with one row per its key.
 
     Facts with hot keys meet only the dimension rows of those keys, which are
     broadcast after their number is checked; all others take the plain join,
-    where Spark picks the strategy from the sizes it knows.
+    where Spark picks the strategy from the sizes it knows. The keys are counted
+    in `counted`: the facts, or a table below them that is cheaper to read.
     """
-    hot = find_hot_keys(facts.where(F.col(key).isNotNull()), key, rows_per_task)
+    hot_keys = find_hot_keys_of(counted, list(dimensions), rows_per_task)
+    for key, dimension in dimensions.items():
+        facts = _lookup(facts, dimension, key, hot_keys[key])
+    return facts
+
+
+def _lookup(facts: DataFrame, dimension: DataFrame, key: str, hot: HotKeys | None) -> DataFrame:
     if hot is None:
         return facts.join(dimension, key, "left")
     wanted = hot.hot(dimension)
-    if wanted.limit(MAX_HOT_KEYS + 1).count() > MAX_HOT_KEYS:
+    if wanted.limit(2 * MAX_HOT_KEYS).count() >= 2 * MAX_HOT_KEYS:
         return facts.join(dimension, key, "left")
+    # Null keys join nothing; the hot path keeps them out of the shuffle as well.
     return hot.hot(facts).join(F.broadcast(wanted), key, "left").unionByName(
         hot.cold(facts).join(dimension, key, "left")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from txnflow.functions import MCC_CATEGORIES, RotatingKey, rotating_token
 from txnflow.operators.dedupe import latest_versions
-from txnflow.operators.hotkeys import ROWS_PER_TASK, lookup_join
+from txnflow.operators.hotkeys import ROWS_PER_TASK, lookup_joins
 
 
 def mcc_dimension(spark: SparkSession) -> DataFrame:
@@ -54,19 +54,22 @@ def int_enriched(
     accounts: DataFrame,
     merchants: DataFrame,
     rows_per_task: int = ROWS_PER_TASK,
+    landing: DataFrame | None = None,
 ) -> DataFrame:
     """Staging rows with category, account and merchant attributes and signals.
 
     Dimensions are unique by key: `mcc(merchant_category_code, category)`,
     `accounts(account_id_token, ...)`, `merchants(merchant_id, ...)`. Joins are
     left joins, so no transaction is lost to a missing dimension row. The
-    category list is left to Spark's own size check for broadcasting.
+    category list is left to Spark's own size check for broadcasting. Pass the
+    `landing` table below the staging rows to find busy accounts and merchants
+    in its two key columns, without deduplicating first.
     """
     codes = mcc.select(F.col("merchant_category_code").alias("mcc"), F.col("category").alias("_category"))
     coded = staging.join(codes, "mcc", "left")
-    with_account = lookup_join(coded, accounts, "account_id_token", rows_per_task)
-    with_merchant = lookup_join(with_account, merchants, "merchant_id", rows_per_task)
-    return with_merchant.withColumns(
+    dimensions = {"account_id_token": accounts, "merchant_id": merchants}
+    joined = lookup_joins(coded, dimensions, staging if landing is None else landing, rows_per_task)
+    return joined.withColumns(
         {
             "mcc_category": F.coalesce("_category", F.lit("OTHER")),
             "is_dispute": F.col("event_type") == "chargeback",

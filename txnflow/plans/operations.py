@@ -36,8 +36,9 @@ def replay(dead_letters: DataFrame, landed_ids: DataFrame, fix: Callable[[Column
     """Parse repaired payloads again and route them like new messages.
 
     `fix` maps the payload text to its repaired form. Rows that already landed,
-    and repeats among the replayed rows, are left out. Landed ids are reduced to
-    distinct ones before the join.
+    and repeats among the replayed rows, are left out. Dead letters are few and
+    landed ids many: the ids are first cut down to those replayed, a join whose
+    small side Spark can broadcast, so the landing table is not shuffled for it.
     """
     envelopes = dead_letters.select(
         F.col("kafka_key").cast("binary").alias("key"),
@@ -48,8 +49,10 @@ def replay(dead_letters: DataFrame, landed_ids: DataFrame, fix: Callable[[Column
         F.col("kafka_timestamp").alias("timestamp"),
     )
     valid, invalid = parse_and_validate(envelopes, strict)
-    fresh = dedupe_in_batch(valid).join(landed_ids.select("transaction_id").distinct(), "transaction_id", "left_anti")
-    return Routed(fresh, invalid)
+    unique = dedupe_in_batch(valid)
+    replayed = unique.select("transaction_id")
+    known = landed_ids.select("transaction_id").join(replayed, "transaction_id", "left_semi").distinct()
+    return Routed(unique.join(known, "transaction_id", "left_anti"), invalid)
 
 
 def throughput_per_minute(rows: DataFrame, time: str = "ingested_at") -> DataFrame:

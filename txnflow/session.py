@@ -53,6 +53,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, tasks: int) -> DataFrame:
+    """Rows in at least `tasks` partitions, for input that comes in a few splits.
+
+    Costs one shuffle where the input has fewer partitions, nothing where it has
+    enough, as any large table does.
+    """
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write `df` to the shared folder and go on from the written rows.
 

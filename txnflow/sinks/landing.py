@@ -23,7 +23,12 @@ BATCH_PARTITIONS = ("run_id", "batch_id")
 
 @dataclass(frozen=True)
 class FileSink:
-    """A partitioned file table."""
+    """A partitioned file table.
+
+    Rows are rebalanced by the partition columns before the write: tasks that
+    would each write a sliver of every day are joined, and a day that is much
+    larger than the others is split into files of the advisory size.
+    """
 
     path: str
     fmt: str = "parquet"
@@ -32,8 +37,9 @@ class FileSink:
 
     def write_batch(self, df: DataFrame, run_id: str, batch_id: int) -> None:
         stamped = df.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")})
+        even = stamped.hint("rebalance", *self.partition_by)
         (
-            stamped.write.format(self.fmt)
+            even.write.format(self.fmt)
             .options(**self.options)
             .option("partitionOverwriteMode", "dynamic")
             .mode("overwrite")

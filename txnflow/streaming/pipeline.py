@@ -18,7 +18,8 @@ from txnflow.functions import TokenKey
 from txnflow.operators.dedupe import dedupe_in_batch
 from txnflow.operators.parse import invalid_rows, tag, valid_rows
 from txnflow.operators.transform import landing_projection, staged_projection, transform
-from txnflow.sinks.landing import ConnectorSink, FileSink
+from txnflow.session import spread
+from txnflow.sinks.landing import ConnectorSink, FileSink, to_topic_records
 
 Sink = FileSink | ConnectorSink
 
@@ -33,6 +34,9 @@ class PipelineConfig:
     # dead letters; True also those that break the declared contract.
     strict: bool = False
     trigger: dict = field(default_factory=lambda: {"processingTime": "10 seconds"})
+    # Spread each batch over this many tasks before parsing, for sources that
+    # deliver it in fewer splits. For topics prefer `min_partitions`.
+    min_tasks: int | None = None
     # Set to name runs yourself; by default the id kept in the checkpoint is used.
     run_id: str | None = None
 
@@ -51,6 +55,8 @@ class MicroBatchWriter:
     def write(self, raw: DataFrame, batch_id: int) -> None:
         """Envelopes in; landing rows, dead letters and metrics out."""
         run_id = self._run_id(raw)
+        if self._config.min_tasks:
+            raw = spread(raw, self._config.min_tasks)
         tagged = tag(raw, self._config.strict).persist()
         try:
             if tagged.isEmpty():
@@ -111,8 +117,6 @@ def _start(stream: DataFrame, write, config: PipelineConfig) -> StreamingQuery:
 
 def start_dead_letter_topic(envelopes: DataFrame, servers: str, topic: str, checkpoint: str) -> StreamingQuery:
     """Dead letters to a topic, for consumers that want messages instead of a table."""
-    from txnflow.sinks.landing import to_topic_records
-
     records = to_topic_records(invalid_rows(tag(envelopes)), "kafka_key")
     return (
         records.writeStream.format("kafka")
