@@ -28,9 +28,10 @@ from txnflow.operators.transform import event_envelope, landing_projection, stag
 from txnflow.plans.evolution import merged_schema, union_versions
 from txnflow.plans.models import retention_keep
 from txnflow.plans.operations import dlq_rate, reason_counts, replay, split_counts
-from txnflow.schema import PAYLOAD_NAMES, PAYLOAD_SCHEMA
+from txnflow.schema import DEAD_LETTER_SCHEMA, PAYLOAD_NAMES, PAYLOAD_SCHEMA
 from txnflow.session import scratch_path
 from txnflow.sinks.landing import write_days
+from txnflow.sinks.topic import to_topic_records
 from txnflow.sources.files import read_landing, read_staged_json
 
 NTZ = "timestamp_ntz"
@@ -139,9 +140,6 @@ def invalid(spark, sf_dir):
 )
 def dead_letters(spark, sf_dir):
     """Dead letters as topic records, read back as a replay job would."""
-    from txnflow.schema import DEAD_LETTER_SCHEMA
-    from txnflow.sinks.landing import to_topic_records
-
     records = to_topic_records(parse_and_validate(_messages(spark, sf_dir)).invalid, "kafka_key")
     letter = F.from_json("value", DEAD_LETTER_SCHEMA)
     return records.select(F.col("key").cast("string").alias("key"), letter.alias("letter")).select(

@@ -6,9 +6,21 @@ from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
 from tests.test_models import landing
+from tests.test_parse import envelopes, having, without
+from txnflow.operators.parse import parse_and_validate
 from txnflow.operators.transform import landing_projection, staged_projection, transform, with_row_number
-from txnflow.sinks.landing import ConnectorSink, FileSink, compact, merge_into, to_topic_records, write_days
-from txnflow.session import cut_lineage, scratch_path, shared_dir
+from txnflow.sinks.landing import (
+    ConnectorSink,
+    FileSink,
+    compact,
+    create_landing_table,
+    merge_into,
+    register_batches,
+    write_days,
+)
+from txnflow.sinks.topic import publish, to_topic_records
+from txnflow.schema import PAYLOAD_NAMES
+from txnflow.session import cut_lineage, scratch_path, shared_dir, spread
 from txnflow.sources.files import read_landing, read_staged_json
 from txnflow.sources.topic import TopicConfig
 
@@ -145,6 +157,26 @@ def test_topic_records(spark):
     assert bytes(row.key) == b"k" and json.loads(row.value) == {"kafka_key": "k", "n": 1}
 
 
+def test_publish_counts_produced_and_refused(spark, tmp_path):
+    raw = envelopes(spark, [having(transaction_id="a"), having(transaction_id="b"), without("currency")])
+    events = parse_and_validate(raw).valid.select(*PAYLOAD_NAMES)
+    counts = publish(events, {"path": str(tmp_path / "topic")}, fmt="parquet")
+    assert counts == {"produced": 2, "errors": 1}
+    messages = spark.read.parquet(str(tmp_path / "topic")).collect()
+    assert sorted(json.loads(bytes(m.value))["transaction_id"] for m in messages) == ["a", "b"]
+
+
+def test_declared_table_shows_landed_batches(spark, tmp_path):
+    path = str(tmp_path / "t")
+    create_landing_table(spark, "landed_here", path)
+    create_landing_table(spark, "landed_here", path)
+    FileSink(path).write_batch(landing(spark, {"transaction_id": "a"}), "r", 3)
+    register_batches(spark, "landed_here")
+    row = spark.table("landed_here").first()
+    assert (row.transaction_id, row.run_id, row.batch_id) == ("a", "r", 3)
+    spark.sql("DROP TABLE landed_here")
+
+
 def test_scratch_lies_in_the_shared_folder(spark):
     folder = shared_dir(spark)
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -152,3 +184,9 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert scratch_path(spark, "a").startswith(folder.rstrip("/"))
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
     assert "Scan ExistingRDD" in plan_of(cut_lineage(spark.range(3)))
+
+
+def test_spread_adds_a_shuffle_only_where_splits_are_few(spark):
+    one = spark.range(100, numPartitions=1)
+    assert spread(one, 4).rdd.getNumPartitions() == 4
+    assert spread(spark.range(100, numPartitions=6), 4).rdd.getNumPartitions() == 6

@@ -136,8 +136,8 @@ def typed(envelope_rows):
     return transform(parse_and_validate(envelope_rows).valid, KEY)
 
 
-def run_dedupe(spark, root):
-    rows = dedupe_within_watermark(typed(stream_envelopes(spark, f"{root}/in", 1)), "10 minutes")
+def run_dedupe(spark, root, lanes=0):
+    rows = dedupe_within_watermark(typed(stream_envelopes(spark, f"{root}/in", 1)), "10 minutes", lanes=lanes)
     query = rows.select("transaction_id").writeStream.option("checkpointLocation", f"{root}/view-checkpoint")
     query.trigger(**ONCE).start(f"{root}/view", format="parquet", outputMode="append").awaitTermination()
     return ids(spark.read.parquet(f"{root}/view"))
@@ -163,6 +163,12 @@ def test_view_drops_a_copy_from_a_later_batch_but_also_late_rows(spark, tmp_path
     assert ids(staged) == ["a", "b", "late", "mark"]
 
 
+def test_lanes_give_the_same_view(spark, tmp_path):
+    drop_file(spark, tmp_path, [having(transaction_id="hot")] * 40 + [having(transaction_id="a")])
+    drop_file(spark, tmp_path, [having(transaction_id="hot")] * 40 + [having(transaction_id="b")], start=100)
+    assert run_dedupe(spark, tmp_path, lanes=4) == ["a", "b", "hot"]
+
+
 def test_spikes_in_stream_and_batch(spark, tmp_path):
     def letters(minute, n):
         at = datetime(2024, 1, 2, 0, minute)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnflow.operators.dedupe import late_merge
+from txnflow.schema import LANDING_COLUMNS
 
 BATCH_PARTITIONS = ("run_id", "batch_id")
 
@@ -63,9 +64,20 @@ class ConnectorSink:
         stamped.write.format(self.fmt).options(**self.options).mode("append").save()
 
 
-def to_topic_records(df: DataFrame, key: str) -> DataFrame:
-    """`key`, `value` columns for a topic writer; the value is the whole row as JSON."""
-    return df.select(F.col(key).cast("binary").alias("key"), F.to_json(F.struct(*df.columns)).alias("value"))
+def create_landing_table(spark: SparkSession, name: str, path: str) -> None:
+    """Declare the landing table over `path`, partitioned as `FileSink` writes it."""
+    columns = ", ".join(f"{c.name} {c.dtype.simpleString()}" for c in LANDING_COLUMNS)
+    partitions = "event_date, run_id, batch_id"
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}, event_date date, run_id string, batch_id bigint) "
+        f"USING parquet PARTITIONED BY ({partitions}) LOCATION '{path}' "
+        "COMMENT 'Landed card transactions, append-only, no duplicates removed across batches'"
+    )
+
+
+def register_batches(spark: SparkSession, name: str) -> None:
+    """Make partitions written since the last call visible in the table."""
+    spark.catalog.recoverPartitions(name)
 
 
 def compact(spark: SparkSession, landing_path: str, table_path: str, first_day: str, last_day: str) -> None:

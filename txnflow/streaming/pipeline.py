@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,7 +19,8 @@ from txnflow.operators.dedupe import dedupe_in_batch
 from txnflow.operators.parse import invalid_rows, tag, valid_rows
 from txnflow.operators.transform import landing_projection, staged_projection, transform
 from txnflow.session import spread
-from txnflow.sinks.landing import ConnectorSink, FileSink, to_topic_records
+from txnflow.sinks.landing import ConnectorSink, FileSink
+from txnflow.sinks.topic import to_topic_records
 
 Sink = FileSink | ConnectorSink
 
@@ -59,40 +60,54 @@ class MicroBatchWriter:
             raw = spread(raw, self._config.min_tasks)
         tagged = tag(raw, self._config.strict).persist()
         try:
-            if tagged.isEmpty():
-                return
-            refused = Observation()
-            if self._config.dead_letters:
-                letters = invalid_rows(tagged).observe(refused, F.count(F.lit(1)).alias("n"))
-                dated = letters.withColumn("event_date", F.to_date("kafka_timestamp"))
+            # This job parses the batch into the cache; the writes read from there.
+            # Counting rows, not tasks' reports, stays right when a task runs again.
+            n_valid, n_written, n_invalid = _batch_counts(tagged)
+            if n_invalid and self._config.dead_letters:
+                dated = invalid_rows(tagged).withColumn("event_date", F.to_date("kafka_timestamp"))
                 self._config.dead_letters.write_batch(dated, run_id, batch_id)
-            counts = self._land(valid_rows(tagged), dedupe_in_batch, run_id, batch_id)
-            counts["rows_invalid"] = refused.get["n"] if self._config.dead_letters else None
-            self._write_metrics(raw, counts, run_id, batch_id)
+            if n_valid:
+                self._land(dedupe_in_batch(valid_rows(tagged)), run_id, batch_id)
+            if n_valid or n_invalid:
+                self._write_metrics(raw, (n_valid, n_valid - n_written, n_written, n_invalid), run_id, batch_id)
         finally:
             tagged.unpersist()
 
     def write_staged(self, staged: DataFrame, batch_id: int) -> None:
-        """Rows of staged files in; they have no stream position to order copies by."""
+        """Rows of staged files in, landed as they are: they have no stream position."""
         run_id = self._run_id(staged)
-        counts = self._land(staged_projection(staged), lambda df: df, run_id, batch_id)
-        self._write_metrics(staged, counts | {"rows_invalid": 0}, run_id, batch_id)
-
-    def _land(self, rows: DataFrame, dedupe, run_id: str, batch_id: int) -> dict:
-        read, kept = Observation(), Observation()
-        count = F.count(F.lit(1)).alias("n")
-        unique = dedupe(rows.observe(read, count)).observe(kept, count)
-        landing = landing_projection(transform(unique, self._key))
-        self._config.landing.write_batch(landing, run_id, batch_id)
-        rows_in, rows_written = read.get["n"], kept.get["n"]
-        return {"rows_in": rows_in, "duplicates": rows_in - rows_written, "rows_written": rows_written}
-
-    def _write_metrics(self, batch: DataFrame, counts: dict, run_id: str, batch_id: int) -> None:
-        if not self._config.metrics:
-            return
-        schema = "rows_in bigint, duplicates bigint, rows_written bigint, rows_invalid bigint"
-        row = tuple(counts[name] for name in ("rows_in", "duplicates", "rows_written", "rows_invalid"))
-        self._config.metrics.write_batch(batch.sparkSession.createDataFrame([row], schema), run_id, batch_id)
+        rows = staged_projection(staged).persist()
+        try:
+            n = rows.count()
+            if n:
+                self._land(rows, run_id, batch_id)
+                self._write_metrics(staged, (n, 0, n, 0), run_id, batch_id)
+        finally:
+            rows.unpersist()
+
+    def _land(self, rows: DataFrame, run_id: str, batch_id: int) -> None:
+        self._config.landing.write_batch(landing_projection(transform(rows, self._key)), run_id, batch_id)
+
+    def _write_metrics(self, batch: DataFrame, counts: tuple[int, ...], run_id: str, batch_id: int) -> None:
+        if self._config.metrics:
+            schema = "rows_in bigint, duplicates bigint, rows_written bigint, rows_invalid bigint"
+            self._config.metrics.write_batch(batch.sparkSession.createDataFrame([counts], schema), run_id, batch_id)
+
+
+def _batch_counts(tagged: DataFrame) -> tuple[int, int, int]:
+    """Valid rows, distinct valid ids and invalid rows, in one job.
+
+    Rows are counted per id first, so the copies of one id travel as one row.
+    """
+    valid = F.col("dlq_reason").isNull()
+    per_id = tagged.groupBy(valid.alias("valid"), F.when(valid, F.col("transaction_id")).alias("id"))
+    zero = F.lit(0).cast("bigint")
+    rows = per_id.agg(F.count(F.lit(1)).alias("n")).agg(
+        F.coalesce(F.sum(F.when(F.col("valid"), F.col("n"))), zero),
+        F.count_if("valid"),
+        F.coalesce(F.sum(F.when(~F.col("valid"), F.col("n"))), zero),
+    )
+    return tuple(rows.first())
 
 
 def start_pipeline(envelopes: DataFrame, config: PipelineConfig, key: TokenKey) -> StreamingQuery:
