@@ -21,7 +21,7 @@ from txnflow.sinks.landing import (
 from txnflow.sinks.topic import publish, to_topic_records
 from txnflow.schema import PAYLOAD_NAMES
 from txnflow.session import cut_lineage, scratch_path, shared_dir, spread
-from txnflow.sources.files import read_landing, read_staged_json
+from txnflow.sources.files import read_landed_days, read_landing, read_staged_json
 from txnflow.sources.topic import TopicConfig
 
 STAGED = {
@@ -95,6 +95,11 @@ def test_compaction_keeps_rows_and_other_days(spark, tmp_path):
     compact(spark, sink.path, table, "2024-01-02", "2024-01-02")
     rows = read_landing(spark, table)
     assert sorted(r.transaction_id for r in rows.collect()) == ["b0", "b1", "b2", "b3", "kept"]
+    sink.write_batch(landing(spark, {"transaction_id": "today", "event_ts": datetime(2024, 1, 3)}), "r", 9)
+    sink.write_batch(landing(spark, {"transaction_id": "undated", "event_ts": None}), "r", 10)
+    both = read_landed_days(spark, table, sink.path, "2024-01-03")
+    assert sorted(r.transaction_id for r in both.collect()) == ["b0", "b1", "b2", "b3", "kept", "today", "undated"]
+    assert plan_of(both).count("PartitionFilters: [isnotnull(event_date") == 1
     day = rows.where("event_date = date'2024-01-02'")
     assert day.select(F.input_file_name()).distinct().count() == 1
 

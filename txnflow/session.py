@@ -56,8 +56,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def spread(df: DataFrame, tasks: int) -> DataFrame:
     """Rows in at least `tasks` partitions, for input that comes in a few splits.
 
-    Costs one shuffle where the input has fewer partitions, nothing where it has
-    enough, as any large table does.
+    For scans: a frame with a shuffle of its own would run to count its
+    partitions. Costs one shuffle where the input has fewer partitions, nothing
+    where it has enough, as any large table does.
     """
     return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from txnflow.schema import DEAD_LETTER_SCHEMA, ENVELOPE_SCHEMA, STAGED_SCHEMA
 
@@ -49,3 +50,15 @@ def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
 def read_landing(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
     """A landed table. With `merge_schema`, fields added later are null in older files."""
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
+
+
+def read_landed_days(spark: SparkSession, table_path: str, landing_path: str, first_open_day: str) -> DataFrame:
+    """Closed days from the compacted table, later days from the landing table.
+
+    Both filters are on the partition column, so neither side reads the other's
+    days; rows without a readable event time are taken from the landing table.
+    """
+    day = F.col("event_date")
+    closed = spark.read.parquet(table_path).where(day < F.lit(first_open_day).cast("date"))
+    recent = spark.read.parquet(landing_path).where((day >= F.lit(first_open_day).cast("date")) | day.isNull())
+    return closed.unionByName(recent.drop("run_id", "batch_id"))
