@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import plan_of
 from txnflow.operators.hotkeys import SLICE, find_hot_keys, find_hot_keys_of, lookup_join, slice_by_range
 from txnflow.operators.sequence import account_sequence, inter_txn_gap, velocity
 
@@ -57,10 +58,10 @@ def test_gap(spark, shape, limit):
 
 
 @pytest.mark.parametrize("shape", ["spread", "instants", "one"])
-@pytest.mark.parametrize("limit", [40, 10_000])
-def test_velocity(spark, shape, limit):
+@pytest.mark.parametrize(("limit", "steps"), [(40, 400), (40, 0), (10_000, 400), (10_000, 0)])
+def test_velocity(spark, shape, limit, steps):
     data = rows(shape)
-    got = velocity(spark.createDataFrame(data, SCHEMA), rows_per_task=limit).collect()
+    got = velocity(spark.createDataFrame(data, SCHEMA), rows_per_task=limit, max_steps=steps).collect()
     want = {}
     for group in by_account(data).values():
         for r in group:
@@ -70,6 +71,27 @@ def test_velocity(spark, shape, limit):
     assert {r.transaction_id: (r.txn_count, r.cents_total) for r in got} == want and len(got) == len(data)
 
 
+def test_velocity_without_time_or_account_is_the_same_on_all_paths(spark):
+    data = [
+        (f"t{i:03d}", None if i % 4 == 0 else "hot" if i % 4 == 1 else "cold", None if i % 3 == 0 else START + timedelta(minutes=i), i)
+        for i in range(240)
+    ]
+    frame = spark.createDataFrame(data, SCHEMA)
+    plain, running, sliced = (
+        {r.transaction_id: (r.txn_count, r.cents_total) for r in velocity(frame, rows_per_task=limit, max_steps=steps).collect()}
+        for limit, steps in ((10_000, 400), (10_000, 0), (30, 0))
+    )
+    assert plain == running == sliced and len(plain) == 240
+    assert plain["t001"][0] == 1 and plain["t000"][0] == 20, "rows without a time form one group per account"
+
+
+def test_dense_accounts_avoid_the_sliding_frame(spark):
+    frame = spark.createDataFrame(rows("one"), SCHEMA)
+    assert "RangeFrame, -3600000000" in plan_of(velocity(frame, max_steps=1000))
+    assert "RangeFrame, -3600000000" not in plan_of(velocity(frame, max_steps=100))
+    assert plan_of(velocity(frame, max_steps=100)).count("Exchange hashpartitioning") == 1
+
+
 def test_null_account_can_be_hot(spark):
     data = [(f"t{i:03d}", None if i % 2 else "a", START + timedelta(minutes=i), 1) for i in range(200)]
     got = account_sequence(spark.createDataFrame(data, SCHEMA), rows_per_task=30).collect()

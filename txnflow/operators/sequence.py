@@ -23,6 +23,8 @@ from txnflow.operators.hotkeys import (
 )
 
 HOUR_MICROS = 3_600_000_000
+# Steps per row from which two running totals are faster than a sliding frame.
+MAX_STEPS = 400
 
 
 def _zero() -> Column:
@@ -92,35 +94,91 @@ def velocity(
     amount: str = "amount_cents",
     span_micros: int = HOUR_MICROS,
     rows_per_task: int = ROWS_PER_TASK,
+    max_steps: int = MAX_STEPS,
 ) -> DataFrame:
-    """Add `txn_count` and `cents_total` over the trailing span, both ends included."""
-    timed = df.withColumn("_t", F.unix_micros(F.col(time).cast("timestamp")))
-
-    def plain(rows: DataFrame) -> DataFrame:
-        frame = Window.partitionBy(account).orderBy("_t").rangeBetween(-span_micros, 0)
-        return rows.select(
-            *df.columns,
-            F.count(F.lit(1)).over(frame).alias("txn_count"),
-            F.sum(amount).over(frame).alias("cents_total"),
-        )
+    """Add `txn_count` and `cents_total` over the trailing span, both ends included.
 
+    A sliding frame is summed anew for each row, which takes as many steps as
+    rows fall into it. That is the fastest way for sparse accounts. Where it would
+    take more than `max_steps` per row, the difference of two running totals is
+    used, whose cost does not depend on how dense an account is.
+    """
+    timed = df.withColumn("_t", F.unix_micros(F.col(time).cast("timestamp")))
     hot = find_hot_keys(df, account, rows_per_task)
+    cold = timed if hot is None else hot.cold(timed)
+    if _is_sparse(cold, account, span_micros, rows_per_task, max_steps):
+        totals = _sliding(cold, df.columns, account, amount, span_micros)
+    else:
+        totals = _running_difference(cold, df.columns, account, amount, span_micros)
     if hot is None:
-        return plain(timed)
+        return totals
     rows = hot.hot(timed).withColumn("_at", F.struct(account, "_t"))
-    totals = _trailing_totals(rows, account, amount, span_micros, slices_for(2 * hot.rows, rows_per_task))
-    joined = lookup_join(rows, totals, "_at", rows_per_task)
-    return plain(hot.cold(timed)).unionByName(joined.select(*df.columns, "txn_count", "cents_total"))
+    at_instant = _trailing_totals(rows, account, amount, span_micros, slices_for(2 * hot.rows, rows_per_task))
+    joined = lookup_join(rows, at_instant, "_at", rows_per_task)
+    return totals.unionByName(joined.select(*df.columns, "txn_count", "cents_total"))
+
+
+def _is_sparse(rows: DataFrame, account: str, span_micros: int, rows_per_task: int, max_steps: int) -> bool:
+    """Whether sliding frames take at most `max_steps` steps per row, overall and
+    in the account with most work. Steps are estimated from counts per span."""
+    per_span = rows.groupBy(account, F.floor(F.col("_t") / span_micros)).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    per_account = per_span.groupBy(account).agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("steps"))
+    n, steps, worst = per_account.agg(F.sum("n"), F.sum("steps"), F.max("steps")).first()
+    return n is None or (steps <= max_steps * n and worst <= max_steps * rows_per_task)
+
+
+def _sliding(rows: DataFrame, columns: list[str], account: str, amount: str, span_micros: int) -> DataFrame:
+    frame = Window.partitionBy(account).orderBy("_t").rangeBetween(-span_micros, 0)
+    return rows.select(
+        *columns,
+        F.count(F.lit(1)).over(frame).alias("txn_count"),
+        F.sum(amount).over(frame).alias("cents_total"),
+    )
+
+
+def _running_difference(
+    rows: DataFrame, columns: list[str], account: str, amount: str, span_micros: int
+) -> DataFrame:
+    """Trailing totals with one shuffle by account.
+
+    Each row puts two marks on its account's time line, its own and the begin of
+    its span; only the first carries the row. Begins lie in the order of their
+    rows, so the n-th begin belongs to the n-th row. All windows are partitioned
+    by the account and more, which one shuffle by account serves.
+    """
+    own = F.struct(F.col("_t").alias("pos"), F.lit(1).alias("own"), F.struct(*columns).alias("row"))
+    begin = F.struct((F.col("_t") - span_micros).alias("pos"), F.lit(0).alias("own"), F.lit(None).alias("row"))
+    marks = rows.select(F.col(account).alias("_account"), F.inline(F.array(own, begin)))
+    # Begin marks sort before rows at the same position: the span is closed.
+    up_to = Window.partitionBy("_account").orderBy("pos", "own").rangeBetween(Window.unboundedPreceding, 0)
+    nth = Window.partitionBy("_account", "own").orderBy("pos")
+    cents = F.col("row")[amount]
+    running = marks.select(
+        "_account",
+        "own",
+        "row",
+        F.row_number().over(nth).alias("n"),
+        F.sum("own").over(up_to).alias("rows"),
+        F.count(cents).over(up_to).alias("priced"),
+        F.coalesce(F.sum(cents).over(up_to), _zero()).alias("cents"),
+    )
+    pair = Window.partitionBy("_account", "n")
+    sign = F.when(F.col("own") == 1, F.lit(1)).otherwise(F.lit(-1)).cast("bigint")
+    totals = running.select(
+        "own",
+        "row",
+        *(F.sum(F.col(name) * sign).over(pair).alias(name) for name in ("rows", "priced", "cents")),
+    )
+    return totals.where(F.col("own") == 1).select(
+        "row.*", F.col("rows").alias("txn_count"), F.when(F.col("priced") > 0, F.col("cents")).alias("cents_total")
+    )
 
 
 def _trailing_totals(rows: DataFrame, account: str, amount: str, span_micros: int, slices: int) -> DataFrame:
     """Totals of the span that ends at each (account, instant).
 
-    A trailing total is the running total at the instant minus the running total
-    just before the span begins. Each instant therefore puts two marks on the
-    time line, its own and the begin of its span, and one running sum over the
-    marks gives both terms. The marks are twice the instants, however many rows
-    fall into a span.
+    The same two marks as above, but one pair per instant, so that positions are
+    unique and a slice never ends between marks that belong together.
     """
     instants = rows.groupBy(account, "_t").agg(
         F.count(F.lit(1)).alias("n"), F.count(amount).alias("priced"), F.sum(amount).alias("cents")
