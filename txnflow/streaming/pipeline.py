@@ -67,7 +67,9 @@ class MicroBatchWriter:
                 dated = invalid_rows(tagged).withColumn("event_date", F.to_date("kafka_timestamp"))
                 self._config.dead_letters.write_batch(dated, run_id, batch_id)
             if n_valid:
-                self._land(dedupe_in_batch(valid_rows(tagged)), run_id, batch_id)
+                rows = valid_rows(tagged)
+                # As many ids as rows: there is no copy to look for.
+                self._land(rows if n_valid == n_written else dedupe_in_batch(rows), run_id, batch_id)
             if n_valid or n_invalid:
                 self._write_metrics(raw, (n_valid, n_valid - n_written, n_written, n_invalid), run_id, batch_id)
         finally:
