@@ -145,7 +145,7 @@ def test_landing_names_defaults_and_types(spark):
 
 
 def test_new_event_keeps_given_fields_and_fills_the_rest(spark):
-    partial = spark.createDataFrame([{"account_id": "ACC-123", "amount_cents": 5000, "merchant_id": "MERCH-456"}], PAYLOAD_SCHEMA_NULLABLE())
+    partial = spark.createDataFrame([{"account_id": "ACC-123", "amount_cents": 5000, "merchant_id": "MERCH-456"}], partial_schema())
     row = fill_defaults(partial).first()
     assert (row.account_id, row.amount_cents, row.merchant_id, row.currency) == ("ACC-123", 5000, "MERCH-456", "USD")
     assert len(row.transaction_id) == 36
@@ -153,14 +153,14 @@ def test_new_event_keeps_given_fields_and_fills_the_rest(spark):
 
 
 def test_new_event_defaults(spark):
-    partial = spark.createDataFrame([{"account_id": "ACC-999", "amount_cents": 0, "merchant_id": "MERCH-001"}], PAYLOAD_SCHEMA_NULLABLE())
+    partial = spark.createDataFrame([{"account_id": "ACC-999", "amount_cents": 0, "merchant_id": "MERCH-001"}], partial_schema())
     row = fill_defaults(partial, transaction_id=F.lit("fixed")).first()
     assert row.is_international is False and row.currency == "USD" and row.metadata == {}
     assert (row.merchant_category_code, row.event_type, row.card_last_four) == ("5411", "AUTHORIZATION", "0000")
     assert row.transaction_id == "fixed"
 
 
-def PAYLOAD_SCHEMA_NULLABLE():
+def partial_schema():
     from pyspark.sql import types as T
 
     return T.StructType([T.StructField(f.name, f.dataType) for f in PAYLOAD_SCHEMA.fields])
