@@ -1,0 +1,80 @@
+import re
+
+import duckdb
+import pytest
+
+from txnflow.llm.quality import judge, kept_rows
+from txnflow.llm.queries import CHECK_SQL, QUERIES
+
+
+def brute(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    covered, places = set(), {}
+    for i in range(len(words) - 4):
+        places.setdefault(tuple(words[i : i + 5]), []).append(i)
+    for starts in places.values():
+        if len(starts) > 1:
+            covered.update(i + k for i in starts for k in range(5))
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    base = len(words) < 10 or 100 * len(covered) > 20 * len(words)
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered), base)
+
+
+NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+PROSE = "the cat of the house sat on a mat and looked at that bird in it with joy as was right by day "
+TEXTS = [
+    None, "", " \n\t ", "one two three", PROSE, PROSE * 2, "a b c d e a b c d e x y z", "a a a a a a a a a a a a",
+    "l1 é x\nl1 é x\n\nl1 é x\r\nq", "# * $ % & | < > a b", "x " * 3000, "one\x0btwo\x0cthree\x85four five",
+    " ".join(f"w{i % 997}" for i in range(30_000)), "😀 " * 12, "a b c d e f g h i j k",
+]
+
+
+def test_small_cases(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)) * 2, "doc_id long, text string")
+    rows = judge(docs).collect()
+    assert len(rows) == 2 * len(TEXTS)
+    for r in rows:
+        assert tuple(r.quality[n] for n in NAMES) == brute(TEXTS[r.doc_id]), TEXTS[r.doc_id] and TEXTS[r.doc_id][:50]
+        if r.quality.base_failed:
+            assert not r.quality.kept
+    verdict = {r.doc_id: r.quality.kept for r in rows}
+    assert verdict[4] and not verdict[14] and not verdict[9] and not verdict[13] and not verdict[0]
+
+
+def test_query_equals_sql_and_brute_force(spark, sf_dir):
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    frame = QUERIES["op2_quality_rules"](spark, sf_dir)
+    got = sorted(map(tuple, frame.collect()))
+    relation = connection.sql(CHECK_SQL["op2_quality_rules"])
+    assert relation.columns == frame.columns
+    assert [str(t) for t in relation.types] == ["BIGINT"] * 6 + ["BOOLEAN"] * 2
+    assert sorted(relation.fetchall()) == got
+    texts = dict(connection.sql("SELECT doc_id, text FROM documents").fetchall())
+    for r in got:
+        assert r[1:7] == brute(texts[r[0]])
+
+
+def test_good_documents_stay_and_junk_goes(spark):
+    folder = "/root/testdata/sf0.01"
+    marks = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
+    rows = QUERIES["op2_quality_rules"](spark, folder).join(marks, "doc_id").collect()
+    good = [r for r in rows if r.quality == 1 and not r.base_failed]
+    assert sum(r.kept for r in good) >= 0.995 * len(good)
+    bad = [r for r in rows if r.quality == 0]
+    assert sum(not r.kept for r in bad) >= 0.95 * len(bad)
+
+
+def test_other_columns_clashing_names_and_empty_table(spark):
+    docs = spark.createDataFrame([(1, PROSE, "q", 3), (2, None, None, None)], "doc_id long, text string, Quality string, measures int")
+    assert judge(docs).columns == ["doc_id", "text", "measures", "quality"]
+    kept = kept_rows(docs)
+    assert kept.schema == docs.schema and [tuple(r) for r in kept.collect()] == [(1, PROSE, "q", 3)]
+    assert kept_rows(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op2_quality_rules", "op8_license_scans"])
+def test_native_plan(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|Exchange", plan)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnflow.llm import bpe_count, decontaminate
+from txnflow.llm import bpe_count, decontaminate, license_scan, quality
 from txnflow.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,58 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         decontaminate.items_digest().alias("items_sha256"),
         (hits > 0).alias("contaminated"),
     )
+
+
+OP2_SQL = f"""
+WITH split AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM documents),
+positions AS (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS place FROM split WHERE len(words) >= 5),
+windows AS (
+  SELECT doc_id, place, count(*) OVER (PARTITION BY doc_id, list_slice(words, place, place + 4)) AS times FROM positions),
+covered AS (
+  SELECT doc_id, least(5, coalesce(lead(place) OVER (PARTITION BY doc_id ORDER BY place) - place, 5)) AS words
+  FROM windows WHERE times > 1),
+repeated AS (SELECT doc_id, sum(words) AS n FROM covered GROUP BY doc_id),
+measured AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(length(list_aggregate(list_concat([''], words), 'string_agg', '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(len(lines) AS BIGINT) AS n_lines,
+         CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
+         len(list_filter(words, w -> list_contains({quality.STOP_WORDS!r}, lower(w)))) AS n_stop,
+         len(list_filter(list_zip(words[2:], words[:-2]), p -> p[1] = p[2])) AS n_equal
+  FROM split LEFT JOIN repeated r USING (doc_id)),
+judged AS (SELECT *, n_words < 10 OR n_repeat_words > n_words * CAST(0.2 AS DOUBLE) AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR word_chars < n_words * CAST(2.0 AS DOUBLE) OR word_chars > n_words * CAST(12.0 AS DOUBLE)
+            OR n_symbols > n_words * CAST(0.1 AS DOUBLE)
+            OR (n_words >= 60 AND n_stop < n_words * CAST(0.03 AS DOUBLE))
+            OR n_equal > n_words * CAST(0.25 AS DOUBLE)
+            OR (n_lines >= 5 AND n_dup_lines > n_lines * CAST(0.4 AS DOUBLE))) AS kept
+FROM judged"""
+
+
+@query("op2_quality_rules", OP2_SQL)
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return quality.judge(docs).select("doc_id", *(F.col(f"quality.{m}").alias(m) for m in measures))
+
+
+@query("op8_license_scans")
+def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = license_scan.scan_licenses(docs).select("doc_id", "licenses.*")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.start").cast("long").alias("first_word"),
+        F.array_max("base.start").cast("long").alias("last_word"),
+        license_scan.label_list("base").alias("base_labels"),
+        license_scan.label_list("base", "finds").alias("labels"),
+        license_scan.score("base", "finds").alias("score"),
+    )
