@@ -59,7 +59,7 @@ OP2_SQL = f"""
 WITH split AS (
   SELECT doc_id, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
   FROM documents),
 positions AS (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS place FROM split WHERE len(words) >= 5),
 windows AS (
@@ -74,8 +74,8 @@ measured AS (
          CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
          CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(len(lines) AS BIGINT) AS n_lines,
          CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
-         len(list_filter(words, w -> list_contains({quality.STOP_WORDS!r}, lower(w)))) AS n_stop,
-         len(list_filter(list_zip(words[2:], words[:-2]), p -> p[1] = p[2])) AS n_equal
+         len(list_filter(words, lambda w: list_contains({quality.STOP_WORDS!r}, lower(w)))) AS n_stop,
+         len(list_filter(list_zip(words[2:], words[:-2]), lambda p: p[1] = p[2])) AS n_equal
   FROM split LEFT JOIN repeated r USING (doc_id)),
 judged AS (SELECT *, n_words < 10 OR n_repeat_words > n_words * CAST(0.2 AS DOUBLE) AS base_failed FROM measured)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
