@@ -171,3 +171,60 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         up = step.select(F.col("node").alias("root"), F.col("root").alias("next"))
         found = found.join(up, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
     return found
+
+
+def gram_keys(texts: Sequence[bytes], width: int, pad: int) -> np.ndarray:
+    """For each byte of each text the `width` bytes that end with it, as a number; `pad` stands before a text."""
+    before = bytes([pad]) * (width - 1)
+    stream = np.frombuffer(before + before.join(texts), np.uint8).astype(np.uint64)
+    n = len(stream) - width + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    keys = np.zeros(n, np.uint64)
+    for k in range(width):
+        keys = (keys << np.uint64(8)) | stream[k : k + n]
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    ends = np.cumsum(sizes + width - 1)
+    inside = np.ones(n, bool)  # a key that ends in the padding between two texts belongs to none
+    for k in range(width - 1):
+        at = ends[:-1] + k - (width - 1)
+        inside[at[(at >= 0) & (at < n)]] = False
+    return keys[inside]
+
+
+class Counts:
+    """Counts of 64-bit keys, merged now and then, within bounded memory."""
+
+    def __init__(self, limit: int = 2_000_000):
+        self.limit, self.parts, self.waiting = limit, [], 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray | None = None) -> None:
+        if len(keys):
+            self.parts.append((keys, np.ones(len(keys), np.int64) if counts is None else counts))
+            self.waiting += len(keys)
+            if self.waiting > 4 * self.limit:
+                self.merge()
+
+    def merge(self) -> None:
+        if len(self.parts) > 1 or self.parts and len(self.parts[0][0]):
+            keys = np.concatenate([k for k, _ in self.parts])
+            counts = np.concatenate([c for _, c in self.parts])
+            order = np.argsort(keys, kind="stable")
+            keys, counts = keys[order], counts[order]
+            first = np.nonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))[0]
+            self.parts = [(keys[first], np.add.reduceat(counts, first))]
+            self.waiting = len(first)
+
+    def full(self) -> bool:
+        return self.waiting > self.limit
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        """All keys with their counts; what follows starts anew."""
+        self.merge()
+        keys, counts = self.parts[0] if self.parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        self.parts, self.waiting = [], 0
+        return keys, counts
+
+
+def signed(keys: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(keys).view(np.int64)

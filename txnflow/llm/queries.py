@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnflow.llm import bpe_count, decontaminate, license_scan, quality
+from txnflow.llm import bpe_count, decontaminate, language_crf, license_scan, quality, url_filter
 from txnflow.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,18 @@ def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         license_scan.label_list("base", "finds").alias("labels"),
         license_scan.score("base", "finds").alias("score"),
     )
+
+
+@query("op6_url_filters")
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.filter_urls(pages).select("page_id", "url_check.host", "url_check.path", "url_check.rule", "url_check.verdict")
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = language_crf.remainder("doc_id", 3) == 1
+    model = language_crf.train(docs.where(~held_out), seed_column="doc_id")
+    found = language_crf.label_documents(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
