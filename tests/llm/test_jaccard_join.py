@@ -1,0 +1,128 @@
+import re
+
+import numpy as np
+import pytest
+
+from txnflow.llm import jaccard_join
+from txnflow.llm.common import components
+from txnflow.llm.jaccard_join import join_similar, keep_one, linked_pairs, prefix_size
+from txnflow.llm.queries import QUERIES
+
+
+def set_of(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    if len(words) < 5:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def brute(rows):
+    """Smallest id of each row's component, by an index of all shingles."""
+    sets = [set_of(t) for _, t in rows]
+    parent, index = list(range(len(rows))), {}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, own in enumerate(sets):
+        common = {}
+        for s in own:
+            for j in index.get(s, ()):
+                common[j] = common.get(j, 0) + 1
+            index.setdefault(s, []).append(i)
+        for j, n in common.items():
+            if 100 * n >= 80 * (len(own) + len(sets[j]) - n):
+                parent[root(i)] = root(j)
+    least = {}
+    for i, (doc, _) in enumerate(rows):
+        if doc is not None:
+            least[root(i)] = min(least.get(root(i), doc), doc)
+    return [(doc, len(sets[i]), least.get(root(i))) for i, (doc, _) in enumerate(rows)]
+
+
+def plain(rows):
+    return sorted(map(tuple, rows), key=repr)
+
+
+def test_query_equals_brute_force(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    got = QUERIES["op10_ngram_jaccard_join"](spark, folder)
+    assert got.columns == ["doc_id", "n_shingles", "component_id"]
+    assert plain(got.collect()) == plain(brute(docs))
+    assert sum(c != d for d, _, c in brute(docs)) > 30
+
+
+def near(words, changes, seed):
+    words, random = list(words), np.random.default_rng(seed)
+    for at in random.choice(len(words), changes, replace=False):
+        words[at] = f"x{seed}_{at}"
+    return " ".join(words)
+
+
+def small_rows():
+    random = np.random.default_rng(4)
+    base = [f"w{i}" for i in random.integers(0, 400, 300)]
+    rows = [(1000 + k, near(base, k % 9, k)) for k in range(60)]
+    rows += [(None, None), (5, None), (5, ""), (6, "A b"), (7, "a  B"), (8, "a b c"), (9, " \n"), (3, "one two three four five")]
+    rows += [(2, "One two three four five"), (4, "one two three four five six"), (11, "w " * 2000), (12, "w " * 3000)]
+    rows += [(1000, near(base, 0, 0)), (None, near(base, 1, 99)), (1, " ".join(f"v{i}" for i in range(30_000)))]
+    chain = [f"c{i}" for i in range(400)]
+    rows += [(2000 + k, " ".join(chain[4 * k : 4 * k + 120])) for k in range(40)]
+    return rows
+
+
+@pytest.mark.parametrize("block", [2_000_000, 2_000])
+def test_small_cases_in_one_and_in_many_chunks(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", block)
+    monkeypatch.setattr(jaccard_join, "BROADCAST_MEMBERS", 0 if block < 10_000 else 1_000_000)
+    rows = small_rows()
+    docs = spark.createDataFrame([(d, t, "n") for d, t in rows], "doc_id long, text string, n string")
+    assert plain(join_similar(docs).collect()) == plain(brute(rows))
+
+
+def test_keep_one_of_each_group(spark):
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (3, None), (4, ""), (5, "q")]
+    docs = spark.createDataFrame([(d, t, 7) for d, t in rows], "doc_id long, text string, code int")
+    kept = keep_one(docs)
+    assert kept.schema == docs.schema and sorted(r.doc_id for r in kept.collect()) == [1, 3, 4, 5]
+    assert join_similar(docs.limit(0)).count() == 0
+
+
+def test_prefix_size_is_enough():
+    for n in range(1, 400):
+        for m in range(-(-n * 80 // 100), n + 1):
+            least = -(-80 * (n + m) // 180)  # common shingles that a link needs
+            assert n - prefix_size(n) < least and m - prefix_size(m) < least
+
+
+def test_linked_pairs_reach_all():
+    random = np.random.default_rng(7)
+    sets = [np.unique(random.integers(0, 60, 40).astype(np.uint64)) for _ in range(80)]
+    found = linked_pairs(sets)
+    parent = list(range(80))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in found:
+        assert root(a) != root(b)
+        parent[root(a)] = root(b)
+    for i in range(80):
+        for j in range(i):
+            common = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common):
+                assert root(i) == root(j)
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(0, 300)] + [(900 + i, 999) for i in range(50)] + [(5000, 5000), (None, 3)]
+    found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert len({found[i] for i in range(301)}) == 1 and len({found[i] for i in [*range(900, 950), 999]}) == 1
+    assert found[0] != found[900] and 5000 not in found
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnflow.llm import bpe_count, decontaminate, language_crf, license_scan, packing, quality, url_filter
+from txnflow.llm import bpe_count, decontaminate, jaccard_join, language_crf, license_scan, packing, quality, url_filter
 from txnflow.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,8 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op10_ngram_jaccard_join")
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_similar(table(spark, sf_dir, "documents").select("doc_id", "text"))
