@@ -20,26 +20,22 @@ done, never the result.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from txnflow.llm.common import components, mixed, prepare, space_words, word_codes, written
+from txnflow.llm.common import components, count_codes, counter_of, mixed, prepare, space_words, word_codes, written
 
 #: Words of a shingle, and the least similarity of a link in percent.
 SHINGLE, PERCENT = 5, 80
 #: Counters for shingles, as a power of two; the table is 2**COUNTERS bytes when broadcast.
 COUNTERS = 23
-#: Counters of one row on their way to the sum.
-COUNTER_BLOCK = 1 << 16
 #: Shingles that one task verifies at once; larger blocks are dealt out in chunks of about half of it.
 BLOCK_SHINGLES = 2_000_000
 #: Members of blocks up to which their ids are broadcast to find their texts again; beyond, the texts are joined.
@@ -67,56 +63,6 @@ def prefix_size(n: int) -> int:
     return n - -(-n * PERCENT // 100) + 1
 
 
-def _counter(codes: np.ndarray) -> np.ndarray:
-    return (codes >> np.uint64(64 - COUNTERS)).astype(np.int64)
-
-
-def _frequencies(docs: DataFrame) -> np.ndarray:
-    """How often shingles occur, by counter, on a logarithmic scale in one byte each."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(1 << COUNTERS, np.uint32)
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                np.add.at(table, _counter(shingles(text)), 1)
-        own = table.reshape(-1, COUNTER_BLOCK)
-        some = np.nonzero(own.any(1))[0]
-        task = TaskContext.get().partitionId()
-        for k in some:
-            small = own[k].astype(np.uint8) if own[k].max() < 256 else own[k]
-            packed = zlib.compress(small.tobytes(), 1)
-            columns = [pa.array([int(k)], pa.int32()), pa.array([task], pa.int32()), pa.array([small.itemsize], pa.int32()), pa.array([packed], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["block", "task", "width", "counts"])
-
-    def add(last: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums: dict[int, np.ndarray] = {}
-            task = TaskContext.get().partitionId()
-            for batch in batches:
-                for row in batch.to_pylist():
-                    values = np.frombuffer(zlib.decompress(row["counts"]), np.uint8 if row["width"] == 1 else np.uint32)
-                    own = sums.setdefault(row["block"], np.zeros(COUNTER_BLOCK, np.uint32))
-                    own += np.minimum(values, np.uint32(0xFFFFFFFF) - own).astype(np.uint32)
-            for k, own in sums.items():
-                if last:
-                    own = np.minimum(np.rint(8 * np.log2(own + 1.0)), 255).astype(np.uint8)
-                packed = zlib.compress(own.tobytes(), 1)
-                columns = [pa.array([k], pa.int32()), pa.array([task], pa.int32()), pa.array([own.itemsize], pa.int32()), pa.array([packed], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["block", "task", "width", "counts"])
-
-        return run
-
-    schema = "block int, task int, width int, counts binary"
-    rows = docs.select("text").mapInArrow(count, schema)
-    # Summed in two steps, so that no task gets a block from every task before.
-    part = rows.repartition("block", F.pmod(F.col("task"), F.lit(16))).mapInArrow(add(False), schema)
-    whole = part.repartition("block").mapInArrow(add(True), schema)
-    scale = np.zeros((1 << COUNTERS) // COUNTER_BLOCK * COUNTER_BLOCK, np.uint8).reshape(-1, COUNTER_BLOCK)
-    for row in whole.toLocalIterator():
-        scale[row["block"]] = np.frombuffer(zlib.decompress(row["counts"]), np.uint8)
-    return scale.ravel()
-
-
 def _set_code(codes: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(codes.tobytes()) - (1 << 63)
 
@@ -138,7 +84,7 @@ def _profiles(docs: DataFrame, scale: np.ndarray) -> DataFrame:
                 n = len(codes)
                 prefix = np.zeros(0, np.uint64)
                 if n:
-                    weight = scale[_counter(codes)].astype(np.uint64)
+                    weight = scale[counter_of(codes, COUNTERS)].astype(np.uint64)
                     low = mixed(codes) >> np.uint64(8)
                     prefix = codes[np.argsort((weight << np.uint64(56)) | low, kind="stable")[: prefix_size(n)]]
                 group = xxhash.xxh3_64_intdigest(np.sort(prefix).tobytes(), seed=n) - (1 << 63)
@@ -274,7 +220,7 @@ def join_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """
     prepare(docs.sparkSession)
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    scale = _frequencies(docs)
+    scale = count_codes(docs, "text", lambda texts: [shingles(t) for t in texts], COUNTERS)
     profiles = written(_profiles(docs, scale), "profiles")
     blocks = components(_group_links(profiles))
     members = _members(docs, profiles, blocks)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnflow.llm import bpe_count, decontaminate, jaccard_join, language_crf, license_scan, packing, quality, url_filter
+from txnflow.llm import bpe_count, decontaminate, jaccard_join, language_crf, license_scan, packing, quality, suffix_tree, url_filter
 from txnflow.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_ngram_jaccard_join")
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_similar(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op1_lm_scoring")
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffix_tree.score_texts(docs, language_crf.remainder("doc_id", 7) != 2)
+    measures = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return found.select("doc_id", (~F.col("training")).alias("held_out"), *measures)
