@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnflow.llm import bpe_count, decontaminate, jaccard_join, language_crf, license_scan, packing, quality, suffix_tree, url_filter
+from txnflow.llm import bpe_count, decontaminate, jaccard_join, language_crf, license_scan, packing, quality, quote_threads, suffix_tree, url_filter
 from txnflow.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,50 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_tree.score_texts(docs, language_crf.remainder("doc_id", 7) != 2)
     measures = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
     return found.select("doc_id", (~F.col("training")).alias("held_out"), *measures)
+
+
+_MARKS = "'^[ \\t]*(?:>[ \\t]*)+'"
+OP9_SQL = f"""
+WITH RECURSIVE rows AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+lines AS (
+  SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS line_no
+  FROM rows),
+read AS (
+  SELECT conv_id, turn, line_no, length(regexp_replace(regexp_extract(line, {_MARKS}), '[^>]', '', 'g')) AS level,
+         lower(trim(regexp_replace(regexp_replace(line, {_MARKS}, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g'))) AS passage
+  FROM lines),
+passages AS (SELECT * FROM read WHERE passage <> '' AND conv_id IS NOT NULL AND turn IS NOT NULL),
+origins AS (SELECT conv_id, passage, min(turn) AS origin FROM passages WHERE level = 0 GROUP BY ALL),
+linked AS (
+  SELECT DISTINCT q.conv_id, q.turn, q.line_no, q.level, q.passage, origin
+  FROM passages q JOIN origins o ON q.conv_id = o.conv_id AND q.passage = o.passage WHERE q.level > 0 AND origin < q.turn),
+votes AS (
+  SELECT conv_id, turn, origin, count(*) AS n, count(*) FILTER (level = 1) AS direct FROM linked GROUP BY ALL),
+parents AS (
+  SELECT conv_id, turn, sum(n) AS n_linked,
+         (max({{'a': direct, 'b': origin}}) FILTER (direct > 0)).b AS parent
+  FROM votes GROUP BY ALL),
+messages AS (
+  SELECT DISTINCT r.conv_id, r.turn, p.parent FROM rows r LEFT JOIN parents p ON r.conv_id = p.conv_id AND r.turn = p.turn),
+walk AS (
+  SELECT conv_id, turn, turn AS root, CAST(0 AS BIGINT) AS depth FROM messages WHERE parent IS NULL
+  UNION ALL
+  SELECT m.conv_id, m.turn, w.root, w.depth + 1 FROM messages m JOIN walk w ON m.conv_id = w.conv_id AND m.parent = w.turn)
+SELECT r.conv_id, r.turn, r.role, p.parent AS parent_turn, w.root AS thread_turn, w.depth,
+       CAST(row_number() OVER (PARTITION BY r.conv_id, w.root ORDER BY r.turn, r.role, r.text) - 1 AS BIGINT) AS position,
+       CAST(coalesce(q.n, 0) AS BIGINT) AS n_quote_lines, CAST(coalesce(p.n_linked, 0) AS BIGINT) AS n_linked,
+       regexp_replace(list_aggregate(list_concat([''], list_filter(string_split(coalesce(r.text, ''), chr(10)),
+           lambda x: NOT regexp_matches(x, {_MARKS})
+                     AND NOT regexp_matches(x, '{quote_threads.ATTRIBUTION}'))), 'string_agg', chr(10))[2:],
+           '^(?:[\\x20\\x09-\\x0D]*\\n)+|[\\x20\\x09-\\x0D]+$', '', 'g') AS body
+FROM rows r
+LEFT JOIN parents p ON r.conv_id = p.conv_id AND r.turn = p.turn
+JOIN walk w ON w.conv_id IS NOT DISTINCT FROM r.conv_id AND w.turn IS NOT DISTINCT FROM r.turn
+LEFT JOIN (SELECT conv_id, turn, count(*) AS n FROM read WHERE level > 0 AND passage <> '' GROUP BY ALL) q
+  ON q.conv_id = r.conv_id AND q.turn = r.turn"""
+
+
+@query("op9_chat_formatting", OP9_SQL)
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return quote_threads.link_quotes(messages).select("conv_id", "turn", "role", "thread.*")
