@@ -1,0 +1,95 @@
+import re
+
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from tests.llm import test_decontaminate, test_jaccard_join, test_packing, test_quality
+from txnflow.llm import language_crf
+from txnflow.llm.queries import QUERIES
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    """The documents before and after each stage."""
+    folder = tmp_path_factory.mktemp("stages")
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    found = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, FOLDER).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+        found.append(docs)
+    return found
+
+
+def ids(frame):
+    return sorted(r.doc_id for r in frame.select("doc_id").collect())
+
+
+def test_stages_keep_the_columns_and_rows_of_documents(stages):
+    before = {tuple(r) for r in stages[0].collect()}
+    for frame in stages[1:5]:
+        assert frame.columns == stages[0].columns
+        after = [tuple(r) for r in frame.collect()]
+        assert before.issuperset(after) and len(set(after)) == len(after)
+        before = set(after)
+
+
+def test_language_stage(stages):
+    model = language_crf.train(stages[0].where(language_crf.remainder("doc_id", 3) != 1))
+    label = language_crf.Labeller(model)
+    want = []
+    for r in stages[0].collect():
+        (name,), (share,) = label.label([r.text])
+        if name != "und" and share >= 0.5:
+            want.append(r.doc_id)
+        if r.text is None or not re.search(r"[^\W\d_]", r.text):
+            assert name == "und"
+    assert ids(stages[1]) == sorted(want) and len(want) > 0.95 * stages[0].count()
+
+
+def test_quality_stage(stages):
+    kept = set(ids(stages[2]))
+    for r in stages[1].collect():
+        if test_quality.brute(r.text)[-1]:
+            assert r.doc_id not in kept
+    assert 0.6 * stages[1].count() < len(kept) < stages[1].count()
+
+
+def test_join_stage(stages):
+    rows = [(r.doc_id, r.text) for r in stages[2].collect()]
+    assert ids(stages[3]) == sorted(d for d, n, c in test_jaccard_join.brute(rows) if n == 0 or c == d)
+    assert len(rows) > stages[3].count()
+
+
+def test_decontamination_stage(spark, stages):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
+    rows = stages[3].collect()
+    found = test_decontaminate.brute([r.text for r in rows], items)
+    assert ids(stages[4]) == sorted(r.doc_id for r, (_, hit, _, _) in zip(rows, found) if not hit)
+    assert stages[4].count() < len(rows)
+
+
+def test_packing_stage(stages):
+    texts = {r.doc_id: r.text for r in stages[4].collect()}
+    sequences, total = test_packing.check(stages[5].collect(), texts, Tokenizer.from_file(test_packing.PATH))
+    assert sequences <= -(-total // 1024) + 2
+
+
+def test_query_is_the_whole_run(spark, stages):
+    got = QUERIES["pipeline"](spark, FOLDER)
+    key = ("doc_id", "piece", "start", "length", "ids_crc32")
+    assert sorted(map(tuple, got.select(*key).collect())) == sorted(map(tuple, stages[5].select(*key).collect()))
+
+
+def test_stages_take_nulls_repeats_and_empty_tables(spark):
+    rows = [(None, None, None, None, None), (1, None, "en", "s", 3), (2, "", None, None, 0), (2, "", None, None, 0), (3, "a b c", "en", "s", 5)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in corpus_pipeline.STAGES:
+        for frame in (docs, docs.limit(0)):
+            out = stage(spark, frame, FOLDER)
+            out.collect()
+            assert name == "best_fit_packing" or out.columns == docs.columns

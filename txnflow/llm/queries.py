@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -189,3 +190,8 @@ LEFT JOIN (SELECT conv_id, turn, count(*) AS n FROM read WHERE level > 0 AND pas
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return quote_threads.link_quotes(messages).select("conv_id", "turn", "role", "thread.*")
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
