@@ -26,24 +26,29 @@ from pyspark.sql import functions as F
 
 from txnflow.llm.common import prepare, ranked, written
 
-#: Words whose ids a task keeps; beyond, it starts anew.
-CACHE_WORDS = 300_000
-CACHE_CHARS = 40
 #: Rounds of the weights, how fast they move, and how much higher the price of long pieces starts:
 #: these have the fewest places to go.
 ROUNDS, RATE, LEAN = 300, 0.1, 0.5
 
-# How the vocabulary's library splits a text before merging, for the characters of `_PLAIN`.
-_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?[0-9]+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-#: Texts with any other character go to the library as they are.
+# How the vocabulary's library splits a text before merging.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Texts with any other character go to the library: versions of Unicode differ on what is a letter or a space.
 _OTHER = re.compile("[^\t\n\r\x20-\x7eÀ-ÖØ-öø-ſ]")
 
 
+def _byte_names() -> dict[str, int]:
+    """The characters by which a byte-level vocabulary file writes bytes."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
 class ByteTokens:
     """Token ids of whole texts, as little-endian 32-bit numbers.
 
-    The ids are those of the vocabulary file's library. Words are cached, so
-    that only new ones are merged.
+    The ids are those of the vocabulary file's own library. Where the file's
+    merges stand in the order of their ids, texts of common characters are
+    merged by a faster library that gives the same ids.
     """
 
     def __init__(self, path: str, end: int):
@@ -55,30 +60,28 @@ class ByteTokens:
         self.library.no_truncation()
         self.library.no_padding()
         with open(path, encoding="utf-8") as file:
-            self.added = [x["content"] for x in json.load(file).get("added_tokens", [])]
+            described = json.load(file)
+        self.added = [x["content"] for x in described.get("added_tokens", [])]
+        self.fast = self._ranked(described["model"])
         self.end = struct.pack("<I", end)
-        self.cache: dict[str, bytes] = {}
 
-    def _merged(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+    def _ranked(self, model: dict):
+        import tiktoken
+
+        names, vocab = _byte_names(), model["vocab"]
+        merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+        places = [vocab[m] for m in merged]
+        if places != sorted(places):
+            return None
+        ranks = {bytes(names[c] for c in token): i for token, i in vocab.items() if token not in self.added}
+        return tiktoken.Encoding("bytes", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str | None) -> bytes:
         if not text:
             return self.end
-        if _OTHER.search(text) or any(a in text for a in self.added):
-            return self._merged([text])[0] + self.end
-        words = _SPLIT.findall(text)
-        cache = self.cache
-        parts = list(map(cache.get, words))
-        if None in parts:
-            new = list({w for w, p in zip(words, parts) if p is None})
-            made = dict(zip(new, self._merged(new)))
-            if len(cache) + len(made) > CACHE_WORDS:
-                cache.clear()
-            cache.update((w, p) for w, p in made.items() if len(w) <= CACHE_CHARS)
-            parts = [p if p is not None else made[w] for w, p in zip(words, parts)]
-        return b"".join(parts) + self.end
+        if self.fast is None or _OTHER.search(text) or any(a in text for a in self.added):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + self.end
+        return self.fast.encode_to_numpy(text).astype("<u4", copy=False).tobytes() + self.end
 
 
 def pieces_of(docs: DataFrame, doc_id: str, text: str, path: str, size: int, end: int) -> DataFrame:
