@@ -11,7 +11,7 @@ from catalog.adapters import (
     landed,
     order_transactions,
     settled,
-    facts,
+    table,
     transactions,
     transformed,
 )
@@ -31,15 +31,15 @@ from txnflow.plans.models import retention_keep
 from txnflow.plans.operations import dlq_rate, reason_counts, replay, split_counts
 from txnflow.schema import DEAD_LETTER_SCHEMA, PAYLOAD_NAMES, PAYLOAD_SCHEMA
 from txnflow.session import scratch_path
-from txnflow.sinks.landing import write_days
+from txnflow.sinks.landing import FileSink, compact, merge_into, write_days
 from txnflow.sinks.topic import to_topic_records
-from txnflow.sources.files import read_landing, read_staged_json
+from txnflow.sources.files import newest_day, read_landed_days, read_landing, read_staged_json
 
 NTZ = "timestamp_ntz"
 
 
 def _messages(spark, sf_dir):
-    return envelopes(facts(spark, sf_dir, "events"))
+    return envelopes(table(spark, sf_dir, "events"))
 
 
 _ID_TEXT = """'"transaction_id":"' || event_id || '",'"""
@@ -63,7 +63,7 @@ def _payload_sql(head: str) -> str:
         FROM (SELECT *, CAST(amount_cents AS VARCHAR) AS amount_text FROM txn)""",
 )
 def envelope(spark, sf_dir):
-    sent = event_envelope(transactions(facts(spark, sf_dir, "events")))
+    sent = event_envelope(transactions(table(spark, sf_dir, "events")))
     return sent.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
 
@@ -152,9 +152,10 @@ def dead_letters(spark, sf_dir):
 
 @query(
     "dlq_reason_counts",
-    """SELECT CASE WHEN cut OR transaction_id IS NULL THEN 'PARSE_FAILURE' ELSE 'CONTRACT_amount_cents' END
+    """SELECT CASE WHEN cut OR transaction_id IS NULL THEN 'PARSE_FAILURE'
+                   WHEN k = 6 THEN 'CONSTRAINT_currency' ELSE 'CONTRACT_amount_cents' END
                   AS dlq_reason, count(*) AS messages
-       FROM delivered WHERE cut OR transaction_id IS NULL OR k IN (4, 5) GROUP BY 1""",
+       FROM delivered WHERE cut OR transaction_id IS NULL OR k IN (4, 5, 6) GROUP BY 1""",
 )
 def reasons(spark, sf_dir):
     return reason_counts(parse_and_validate(_messages(spark, sf_dir), strict=True).invalid)
@@ -255,13 +256,68 @@ def prune(spark, sf_dir):
        WHERE event_date >= (SELECT max(event_date) FROM ordered) - INTERVAL 90 DAY""",
 )
 def keep(spark, sf_dir):
-    return retention_keep(order_transactions(spark, sf_dir)).select("transaction_id", "event_date")
+    """The last days of a table written by day; older folders are not read."""
+    path = scratch_path(spark, "by-day")
+    write_days(order_transactions(spark, sf_dir), path)
+    return retention_keep(read_landing(spark, path), newest_day(spark, path)).select("transaction_id", "event_date")
+
+
+_LATE = 15  # events of this `k` and above land after their day is closed
+
+
+@query(
+    "landed_days_late",
+    """SELECT transaction_id, amount_cents, CASE WHEN k <> 9 THEN event_date END AS event_date FROM settled""",
+)
+def late_days(spark, sf_dir):
+    """Early batches are compacted, late ones of the same days and undated rows land afterwards, and one batch is
+    written a second time: every row is read once."""
+    k = F.col("metadata")["k"].cast("int")
+    rows = settled(spark, sf_dir).withColumn("event_date", F.when(k != 9, F.col("event_date")))
+    landing, table_path = FileSink(scratch_path(spark, "landing")), scratch_path(spark, "by-day")
+    landing.write_batch(rows.where(k < _LATE), "r", 0)
+    landing.write_batch(rows.where(k.between(_LATE, 39)), "r", 1)
+    compact(spark, landing.path, table_path, "2024-01-01", "2024-01-20", scratch_path(spark, "staging"))
+    landing.write_batch(rows.where(k.between(40, 69)), "r", 2)
+    compact(spark, landing.path, table_path, "2024-01-01", "2024-01-20", scratch_path(spark, "staging"))
+    landing.write_batch(rows.where(k >= 70), "r", 3)
+    landing.write_batch(rows.where(k.between(_LATE, 39)), "r", 1)
+    return read_landed_days(spark, table_path, landing.path).select("transaction_id", "amount_cents", "event_date")
+
+
+@query(
+    "merge_days",
+    """SELECT transaction_id, CASE WHEN k < 40 THEN amount_cents + 1 ELSE amount_cents END AS amount_cents,
+              CASE WHEN k < 10 THEN event_date + 1 WHEN k >= 90 THEN NULL WHEN k BETWEEN 20 AND 29 THEN NULL
+                   ELSE event_date END AS event_date
+       FROM (SELECT *, CAST(ts AS DATE) AS event_date FROM (SELECT * EXCLUDE (event_date) FROM settled))""",
+)
+def merged_days(spark, sf_dir):
+    """Corrections that move rows to the next day (k < 10), give them a date (10 to 19), take it away (20 to 29),
+    change them in place (30 to 39); rows from 90 on never have a date."""
+    k = F.col("metadata")["k"].cast("int")
+    rows = settled(spark, sf_dir)
+    day = F.col("event_date")
+    old = rows.withColumn("event_date", F.when(~(k.between(10, 19) | (k >= 90)), day))
+    new_day = F.when(k < 10, F.date_add(day, 1)).when(~k.between(20, 29), day)
+    new = rows.where(k < 40).withColumns(
+        {
+            "event_date": new_day,
+            "amount_cents": F.col("amount_cents") + 1,
+            "ingested_at": F.col("ingested_at") + F.expr("INTERVAL 9 DAY"),
+        }
+    )
+    path = scratch_path(spark, "by-day")
+    write_days(old, path)
+    for _ in range(2):  # a second run changes nothing
+        merge_into(spark, path, new, scratch_path(spark, "staging"))
+    return read_landing(spark, path).select("transaction_id", "amount_cents", F.col("event_date").cast("date").alias("event_date"))
 
 
 def staged_files(spark, sf_dir, files=None):
     """Write all events as staged JSON, arrays of at most 500 objects per line."""
     path = scratch_path(spark, "staged")
-    rows = transactions(facts(spark, sf_dir, "events"), "event_id")
+    rows = transactions(table(spark, sf_dir, "events"), "event_id")
     objects = rows.select(
         F.floor(F.col("event_id") / 500).alias("chunk"),
         F.to_json(
@@ -316,7 +372,7 @@ def replayed(spark, sf_dir):
 )
 def evolution(spark, sf_dir):
     """Payloads before and after an optional field was added, read as one table."""
-    events = facts(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events")
     switch = F.lit("2024-01-16").cast("timestamp_ntz")
     newer_schema = T.StructType([*PAYLOAD_SCHEMA.fields, T.StructField("channel", T.StringType())])
     channel = F.element_at(F.array(F.lit("web"), F.lit("pos"), F.lit("app")), (F.col("user_id") % 3 + 1).cast("int"))

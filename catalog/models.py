@@ -124,7 +124,6 @@ def _enriched(spark, sf_dir):
         mcc_dimension(spark),
         account_dimension(spark, sf_dir),
         merchant_dimension(spark, sf_dir),
-        landing=landing,
     )
 
 
@@ -196,16 +195,20 @@ def last_13(spark, sf_dir):
 
 @query(
     "rpt_executive_kpis",
-    f"""SELECT event_date, mcc_category, count(*) AS transactions,
-               CAST(sum(amount_dollars) AS DECIMAL(38,2)) AS volume_usd,
+    f"""SELECT event_date, mcc_category, CAST(GROUPING(event_date, mcc_category) AS BIGINT) AS grouping_level,
+               count(*) AS transactions, CAST(sum(amount_dollars) AS DECIMAL(38,2)) AS volume_usd,
                {mean_sql("sum(amount_cents)", "count(*)")} AS average_ticket,
                {percent_sql("count(*) FILTER (is_high_value)", "count(*)")} AS high_value_share,
                {percent_sql("count(*) FILTER (is_international)", "count(*)")} AS international_share,
                {percent_sql("count(*) FILTER (event_type = 'REFUND')", "count(*)")} AS refund_share
-        FROM ordered GROUP BY ROLLUP (event_date, mcc_category)""",
+        FROM (SELECT * REPLACE (CASE WHEN event_date <> DATE '1995-01-01' THEN event_date END AS event_date) FROM ordered)
+        GROUP BY ROLLUP (event_date, mcc_category)""",
 )
 def kpis(spark, sf_dir):
-    return rpt_executive_kpis(order_transactions(spark, sf_dir))
+    """Orders of one day count as undated, so that rows without a date and subtotals meet."""
+    rows = order_transactions(spark, sf_dir)
+    undated = F.col("event_date") == F.lit("1995-01-01").cast("date")
+    return rpt_executive_kpis(rows.withColumn("event_ts", F.when(~undated, F.col("event_ts"))))
 
 
 @query(

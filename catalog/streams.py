@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from catalog.adapters import KEY, envelopes, facts, read_tasks, table
+from catalog.adapters import KEY, envelopes, table, transactions
 from catalog.ingest import STAGED_NAMES, STAGED_SQL, staged_files
-from catalog.registry import query
+from catalog.registry import query, token_sql
+from txnflow.functions import RotatingKey, TokenKey
 from txnflow.operators.parse import tag, valid_rows
 from txnflow.operators.transform import transform
+from txnflow.schema import PAYLOAD_SCHEMA
 from txnflow.session import scratch_path
 from txnflow.sinks.landing import FileSink
-from txnflow.sources.files import stream_staged_json
+from txnflow.sources.files import stream_envelopes, stream_staged_json
 from txnflow.streaming.pipeline import MicroBatchWriter, PipelineConfig, start_file_ingest, start_pipeline
 from txnflow.streaming.views import dedupe_within_watermark
 
@@ -33,18 +38,24 @@ def _config(spark: SparkSession, **settings) -> tuple[PipelineConfig, str]:
         metrics=FileSink(f"{root}/metrics", partition_by=()),
         checkpoint=f"{root}/checkpoint",
         trigger=ONCE,
-        min_tasks=read_tasks(spark),
         **settings,
     )
     return config, root
 
 
-def run_pipeline(spark: SparkSession, sf_dir: str) -> str:
-    config, root = _config(spark)
-    start_pipeline(stream_messages(spark, sf_dir), config, KEY).awaitTermination()
+def run_pipeline(spark: SparkSession, sf_dir: str, key=KEY, **settings) -> str:
+    config, root = _config(spark, **settings)
+    start_pipeline(stream_messages(spark, sf_dir), config, key).awaitTermination()
     return root
 
 
+def split_messages(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
+    """The messages in files of their day order, one file for each micro-batch."""
+    path = scratch_path(spark, "messages")
+    envelopes(table(spark, sf_dir, "events")).repartitionByRange(files, "timestamp").write.parquet(path)
+    return stream_envelopes(spark, path, max_files_per_trigger=1)
+
+
 _LANDED_SQL = """SELECT transaction_id, account_id_token, account_id, amount_cents, amount_dollars, currency,
                         mcc_category, event_type, event_ts, is_international, is_high_value, metadata,
                         kafka_partition, kafka_offset, event_date FROM first_delivery"""
@@ -84,10 +95,84 @@ def append(spark, sf_dir):
     config, root = _config(spark, run_id="append")
     writer = MicroBatchWriter(config, KEY)
     for _ in range(2):
-        writer.write(envelopes(facts(spark, sf_dir, "events")), 0)
+        writer.write(envelopes(table(spark, sf_dir, "events")), 0)
     return _landed_view(spark.read.parquet(f"{root}/landing"))
 
 
+ROTATED = (
+    RotatingKey("k1", KEY, date(2024, 1, 1)),
+    RotatingKey("k2", TokenKey(b"second-test-key"), date(2024, 1, 16)),
+)
+
+
+@query(
+    "stream_rotation",
+    f"""SELECT transaction_id, CASE WHEN event_date >= DATE '2024-01-16' THEN 'k2' ELSE 'k1' END AS token_key_id,
+               CASE WHEN event_date >= DATE '2024-01-16' THEN {token_sql('acc', ROTATED[1].key)}
+                    ELSE {token_sql('acc', ROTATED[0].key)} END AS account_id_token
+        FROM (SELECT transaction_id, event_date, 'ACC-' || e.user_id AS acc
+              FROM first_delivery JOIN events e ON transaction_id = CAST(e.event_id AS VARCHAR))""",
+)
+def rotation(spark, sf_dir):
+    """Landing with the key in force on the day of the event, named beside the token."""
+    root = run_pipeline(spark, sf_dir, ROTATED)
+    return spark.read.parquet(f"{root}/landing").select("transaction_id", "token_key_id", "account_id_token")
+
+
+@query(
+    "stream_evolution",
+    """SELECT transaction_id, CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN ['web', 'pos', 'app'][user_id % 3 + 1] END
+              AS channel FROM txn""",
+)
+def evolving(spark, sf_dir):
+    """Messages of which the later half has a field that was added to the contract: it lands as a column."""
+    channel = F.element_at(F.array(F.lit("web"), F.lit("pos"), F.lit("app")), (F.col("user_id") % 3 + 1).cast("int"))
+    events = table(spark, sf_dir, "events")
+    newer = F.when(F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz"), channel)
+    rows = transactions(events, newer.alias("channel"), "event_id", "ts")
+    names = [n for n in rows.columns if n not in ("event_id", "ts")]
+    path = scratch_path(spark, "messages")
+    rows.select(
+        F.col("account_id").cast("binary").alias("key"),
+        F.to_json(F.struct(*names)).cast("binary").alias("value"),
+        F.lit("transactions").alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    ).write.parquet(path)
+    schema = T.StructType([*PAYLOAD_SCHEMA.fields, T.StructField("channel", T.StringType())])
+    config, root = _config(spark, schema=schema)
+    start_pipeline(stream_envelopes(spark, path), config, KEY).awaitTermination()
+    return spark.read.parquet(f"{root}/landing").select("transaction_id", "channel")
+
+
+@query(
+    "file_dead_letters",
+    """SELECT CAST(event_id AS VARCHAR) AS transaction_id, CASE k WHEN 1 THEN 'cut' WHEN 2 THEN 'nameless' ELSE 'landed' END
+              AS route FROM txn""",
+)
+def refused_files(spark, sf_dir):
+    """Staged files with records cut short (k = 1) and without an id (k = 2): each record takes one route."""
+    path = scratch_path(spark, "staged")
+    rows = transactions(table(spark, sf_dir, "events")).withColumn("account_id_token", F.lit("token"))
+    k = F.col("metadata")["k"].cast("int")
+    names = [c for c in rows.columns if c not in ("transaction_id", "account_id", "merchant_id")]
+    known = F.when(k != 2, F.col("transaction_id"))
+    note = F.concat(F.lit("id "), "transaction_id")
+    text = F.to_json(F.struct(note.alias("merchant_id"), known.alias("transaction_id"), *names))
+    lines = rows.select(text.alias("text"), k.alias("k"))
+    cut = F.when(F.col("k") == 1, F.substring("text", F.lit(1), F.length("text") - 2)).otherwise(F.col("text"))
+    lines.select(cut.alias("value")).repartition(4).write.text(path)
+    config, root = _config(spark)
+    start_file_ingest(stream_staged_json(spark, path, max_files_per_trigger=2), config).awaitTermination()
+    landed = spark.read.parquet(f"{root}/landing").select("transaction_id", F.lit("landed").alias("route"))
+    letters = spark.read.parquet(f"{root}/dead-letters").select(F.col("payload").cast("string").alias("text"))
+    named = F.regexp_extract("text", '"merchant_id":"id ([0-9]+)"', 1).alias("transaction_id")
+    route = F.when(F.json_array_length(F.concat(F.lit("["), "text", F.lit("]"))).isNull(), "cut").otherwise("nameless")
+    return landed.unionByName(letters.select(named, route.alias("route")))
+
+
 @query("continuous_file_ingest", STAGED_SQL)
 def file_ingest(spark, sf_dir):
     config, root = _config(spark)
@@ -102,8 +187,9 @@ def file_ingest(spark, sf_dir):
 )
 def dedupe(spark, sf_dir):
     root = scratch_path(spark, "dedupe")
-    rows = transform(valid_rows(tag(stream_messages(spark, sf_dir))), KEY)
-    unique = dedupe_within_watermark(rows).select(
+    rows = transform(valid_rows(tag(split_messages(spark, sf_dir))), KEY)
+    # Copies come up to a day apart, so a delay of two days loses none.
+    unique = dedupe_within_watermark(rows, "2 days").select(
         "transaction_id", "account_id_token", "amount_cents", F.col("event_ts").cast("timestamp_ntz").alias("event_ts")
     )
     unique.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(**ONCE).start(

@@ -15,13 +15,12 @@ from txnflow.sinks.landing import (
     compact,
     create_landing_table,
     merge_into,
-    register_batches,
     write_days,
 )
 from txnflow.sinks.topic import publish, to_topic_records
 from txnflow.schema import PAYLOAD_NAMES
-from txnflow.session import cut_lineage, scratch_path, shared_dir, spread
-from txnflow.sources.files import read_landed_days, read_landing, read_staged_json
+from txnflow.session import cut_lineage, scratch_path, shared_dir
+from txnflow.sources.files import newest_day, read_landed_days, read_landing, read_staged_json
 from txnflow.sources.topic import TopicConfig
 
 STAGED = {
@@ -78,13 +77,17 @@ def test_repeat_of_a_batch_replaces_it(spark, tmp_path):
 
 def test_connector_takes_any_format(spark, tmp_path):
     target = str(tmp_path / "out")
-    ConnectorSink("json", {"path": target}).write_batch(spark.range(3).toDF("x"), "r", 7)
-    assert {(r.run_id, r.batch_id) for r in spark.read.json(target).collect()} == {("r", 7)}
+    sink = ConnectorSink("json", str(tmp_path / "ledger"), {"path": target})
+    for batch in (7, 7, 8, 7):
+        sink.write_batch(spark.range(3).toDF("x"), "r", batch)
+    rows = [(r.run_id, r.batch_id) for r in spark.read.json(target).collect()]
+    assert sorted(rows) == [("r", 7)] * 3 + [("r", 8)] * 3, "a batch tried again is not written again"
 
 
-def test_connector_failure_propagates(spark):
+def test_connector_failure_propagates(spark, tmp_path):
     with pytest.raises(Exception, match="no_such_format"):
-        ConnectorSink("no_such_format").write_batch(spark.range(1).toDF("x"), "r", 0)
+        ConnectorSink("no_such_format", str(tmp_path / "ledger")).write_batch(spark.range(1).toDF("x"), "r", 0)
+    assert not (tmp_path / "ledger").exists()
 
 
 def test_compaction_keeps_rows_and_other_days(spark, tmp_path):
@@ -92,16 +95,28 @@ def test_compaction_keeps_rows_and_other_days(spark, tmp_path):
     write_days(landing(spark, {"transaction_id": "kept", "event_ts": datetime(2024, 1, 1)}), table)
     for i in range(4):
         sink.write_batch(landing(spark, {"transaction_id": f"b{i}"}), "r", i)
-    compact(spark, sink.path, table, "2024-01-02", "2024-01-02")
-    rows = read_landing(spark, table)
-    assert sorted(r.transaction_id for r in rows.collect()) == ["b0", "b1", "b2", "b3", "kept"]
     sink.write_batch(landing(spark, {"transaction_id": "today", "event_ts": datetime(2024, 1, 3)}), "r", 9)
     sink.write_batch(landing(spark, {"transaction_id": "undated", "event_ts": None}), "r", 10)
-    both = read_landed_days(spark, table, sink.path, "2024-01-03")
-    assert sorted(r.transaction_id for r in both.collect()) == ["b0", "b1", "b2", "b3", "kept", "today", "undated"]
-    assert plan_of(both).count("PartitionFilters: [isnotnull(event_date") == 1
-    day = rows.where("event_date = date'2024-01-02'")
-    assert day.select(F.input_file_name()).distinct().count() == 1
+    compact(spark, sink.path, table, "2024-01-01", "2024-01-02", str(tmp_path / "s1"))
+    rows = read_landing(spark, table)
+    first = ["b0", "b1", "b2", "b3", "kept"]
+    assert sorted(r.transaction_id for r in rows.collect()) == first
+    assert rows.where("event_date = date'2024-01-02'").select(F.input_file_name()).distinct().count() == 1
+    assert sorted(p.name for p in (tmp_path / "l").iterdir() if p.name.startswith("event_date")) == [
+        "event_date=2024-01-03", "event_date=__HIVE_DEFAULT_PARTITION__",
+    ]
+    both = lambda: sorted(r.transaction_id for r in read_landed_days(spark, table, sink.path).collect())
+    assert both() == [*first, "today", "undated"]
+    # A late row of a closed day, and a batch written again with another content.
+    sink.write_batch(landing(spark, {"transaction_id": "late"}), "r", 11)
+    sink.write_batch(landing(spark, {"transaction_id": "b1 again"}), "r", 1)
+    late = sorted(["b0", "b1 again", "b2", "b3", "kept", "late", "today", "undated"])
+    assert both() == late
+    compact(spark, sink.path, table, "2024-01-01", "2024-01-02", str(tmp_path / "s2"))
+    assert both() == late
+    compact(spark, sink.path, table, "2024-01-01", "2024-01-02", str(tmp_path / "s3"))
+    assert both() == late
+    assert str(newest_day(spark, table)) == "2024-01-02" and newest_day(spark, str(tmp_path / "none")) is None
 
 
 def test_merge_rewrites_touched_days_only(spark, tmp_path):
@@ -134,6 +149,20 @@ def test_merge_rewrites_touched_days_only(spark, tmp_path):
     assert sorted(f.name for f in (tmp_path / "t" / "event_date=2024-01-01").iterdir()) == untouched
 
 
+def test_merge_of_rows_without_a_date(spark, tmp_path):
+    table, later = str(tmp_path / "t"), datetime(2024, 2, 1)
+    old = [("u1", None), ("u2", None), ("dated", datetime(2024, 1, 2)), ("loses", datetime(2024, 1, 3))]
+    write_days(landing(spark, *({"transaction_id": i, "event_ts": t} for i, t in old)), table)
+    new = [("u2", datetime(2024, 1, 5)), ("u3", None), ("loses", None)]
+    updates = landing(spark, *({"transaction_id": i, "event_ts": t, "ingested_at": later} for i, t in new))
+    for n in range(2):
+        merge_into(spark, table, updates, str(tmp_path / f"staging{n}"))
+        got = {(r.transaction_id, r.event_date and str(r.event_date)) for r in read_landing(spark, table).collect()}
+        assert got == {("u1", None), ("u2", "2024-01-05"), ("u3", None), ("dated", "2024-01-02"), ("loses", None)}
+        assert read_landing(spark, table).count() == 5
+    assert not (tmp_path / "t" / "event_date=2024-01-03").exists()
+
+
 def test_added_field_is_null_in_older_files(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = landing(spark, {"transaction_id": "old"})
@@ -165,20 +194,25 @@ def test_topic_records(spark):
 def test_publish_counts_produced_and_refused(spark, tmp_path):
     raw = envelopes(spark, [having(transaction_id="a"), having(transaction_id="b"), without("currency")])
     events = parse_and_validate(raw).valid.select(*PAYLOAD_NAMES)
-    counts = publish(events, {"path": str(tmp_path / "topic")}, fmt="parquet")
-    assert counts == {"produced": 2, "errors": 1}
+    counts = publish(events, {"path": str(tmp_path / "topic")}, str(tmp_path / "refused"), fmt="parquet")
+    assert counts == (2, 1)
     messages = spark.read.parquet(str(tmp_path / "topic")).collect()
     assert sorted(json.loads(bytes(m.value))["transaction_id"] for m in messages) == ["a", "b"]
+    assert spark.read.parquet(str(tmp_path / "refused")).first().currency is None
 
 
 def test_declared_table_shows_landed_batches(spark, tmp_path):
     path = str(tmp_path / "t")
     create_landing_table(spark, "landed_here", path)
     create_landing_table(spark, "landed_here", path)
-    FileSink(path).write_batch(landing(spark, {"transaction_id": "a"}), "r", 3)
-    register_batches(spark, "landed_here")
-    row = spark.table("landed_here").first()
-    assert (row.transaction_id, row.run_id, row.batch_id) == ("a", "r", 3)
+    sink = FileSink(path, table="landed_here")
+    sink.write_batch(with_row_number(landing(spark, {"transaction_id": "a"})), "r", 3)
+    sink.write_batch(with_row_number(landing(spark, {"transaction_id": "b", "event_ts": None})), "r", 4)
+    rows = spark.table("landed_here").orderBy("batch_id").collect()
+    assert [(r.transaction_id, r.run_id, r.batch_id) for r in rows] == [("a", "r", 3), ("b", "r", 4)]
+    assert all(r._file_row_number is not None for r in rows)
+    compact(spark, path, str(tmp_path / "days"), "2024-01-01", "2024-01-31", str(tmp_path / "s"), table="landed_here")
+    assert [r.transaction_id for r in spark.table("landed_here").collect()] == ["b"]
     spark.sql("DROP TABLE landed_here")
 
 
@@ -188,10 +222,26 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert named is None or folder == named
     assert scratch_path(spark, "a").startswith(folder.rstrip("/"))
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
-    assert "Scan ExistingRDD" in plan_of(cut_lineage(spark.range(3)))
+    assert "FileScan parquet" in plan_of(cut_lineage(spark.range(3)))
+
+
+def test_no_local_scratch_on_a_cluster(monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)  # noqa: N815
+        getConf = staticmethod(lambda: {})  # noqa: N815
+
+    class Session:
+        sparkContext = Context()  # noqa: N815
+        conf = {}  # noqa: RUF012
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+
 
+def test_the_library_uses_no_rdd():
+    from pathlib import Path
 
-def test_spread_adds_a_shuffle_only_where_splits_are_few(spark):
-    one = spark.range(100, numPartitions=1)
-    assert spread(one, 4).rdd.getNumPartitions() == 4
-    assert spread(spark.range(100, numPartitions=6), 4).rdd.getNumPartitions() == 6
+    for folder in ("txnflow", "catalog"):
+        for path in Path(folder).rglob("*.py"):
+            assert ".rdd" not in path.read_text(), path

@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
-from txnflow.operators.hotkeys import SLICE, find_hot_keys, find_hot_keys_of, lookup_join, slice_by_range
-from txnflow.operators.sequence import account_sequence, inter_txn_gap, velocity
+from txnflow.operators.hotkeys import SLICE, find_hot_keys, slice_by_range
+from txnflow.operators.sequence import account_order, account_sequence, inter_txn_gap, velocity
 
 START = datetime(2024, 1, 1)
 SCHEMA = "transaction_id string, account_id_token string, event_ts timestamp_ntz, amount_cents bigint"
@@ -58,10 +58,10 @@ def test_gap(spark, shape, limit):
 
 
 @pytest.mark.parametrize("shape", ["spread", "instants", "one"])
-@pytest.mark.parametrize(("limit", "steps"), [(40, 400), (40, 0), (10_000, 400), (10_000, 0)])
-def test_velocity(spark, shape, limit, steps):
+@pytest.mark.parametrize("limit", [40, 10_000])
+def test_velocity(spark, shape, limit):
     data = rows(shape)
-    got = velocity(spark.createDataFrame(data, SCHEMA), rows_per_task=limit, max_steps=steps).collect()
+    got = velocity(spark.createDataFrame(data, SCHEMA), rows_per_task=limit).collect()
     want = {}
     for group in by_account(data).values():
         for r in group:
@@ -77,19 +77,44 @@ def test_velocity_without_time_or_account_is_the_same_on_all_paths(spark):
         for i in range(240)
     ]
     frame = spark.createDataFrame(data, SCHEMA)
-    plain, running, sliced = (
-        {r.transaction_id: (r.txn_count, r.cents_total) for r in velocity(frame, rows_per_task=limit, max_steps=steps).collect()}
-        for limit, steps in ((10_000, 400), (10_000, 0), (30, 0))
+    plain, sliced = (
+        {r.transaction_id: (r.txn_count, r.cents_total) for r in velocity(frame, rows_per_task=limit).collect()}
+        for limit in (10_000, 30)
     )
-    assert plain == running == sliced and len(plain) == 240
+    assert plain == sliced and len(plain) == 240
     assert plain["t001"][0] == 1 and plain["t000"][0] == 20, "rows without a time form one group per account"
 
 
-def test_dense_accounts_avoid_the_sliding_frame(spark):
+@pytest.mark.parametrize("limit", [1, 10_000])
+def test_velocity_of_extreme_amounts(spark, limit):
+    big = 6 * 10**18
+    data = [(f"t{i}", "a", START + timedelta(hours=5 * i), big) for i in range(4)]
+    data += [("u0", "b", START, big), ("u1", "b", START + timedelta(minutes=1), big), ("u2", "b", START + timedelta(hours=9), 1)]
+    got = {r.transaction_id: (r.txn_count, r.cents_total) for r in velocity(spark.createDataFrame(data, SCHEMA), rows_per_task=limit).collect()}
+    assert got == {**{f"t{i}": (1, big) for i in range(4)}, "u0": (1, big), "u1": (2, None), "u2": (1, 1)}
+
+
+def test_velocity_reads_its_rows_in_one_shuffle(spark):
     frame = spark.createDataFrame(rows("one"), SCHEMA)
-    assert "RangeFrame, -3600000000" in plan_of(velocity(frame, max_steps=1000))
-    assert "RangeFrame, -3600000000" not in plan_of(velocity(frame, max_steps=100))
-    assert plan_of(velocity(frame, max_steps=100)).count("Exchange hashpartitioning") == 1
+    assert plan_of(velocity(frame)).count("Exchange hashpartitioning") == 1
+
+
+def test_many_hot_keys_are_all_found(spark):
+    frame = spark.range(90_000).selectExpr(
+        "cast(id as string) transaction_id", "concat('k', id % 30000) account_id_token", "cast(null as timestamp_ntz) event_ts", "id amount_cents"
+    )
+    hot = find_hot_keys(frame, "account_id_token", 2)
+    assert hot.keys.count() == 30_000 and hot.rows == 90_000
+    got = account_sequence(frame, rows_per_task=2)
+    assert {(r.sequence_no, r["count"]) for r in got.groupBy("sequence_no").count().collect()} == {(i, 30_000) for i in (1, 2, 3)}
+
+
+def test_ordered_accounts_spread_over_tasks(spark):
+    data = [(f"t{i:04d}", "hot", START + timedelta(seconds=i * 7 % 4001), i) for i in range(4000)]
+    parts = account_order(spark.createDataFrame(data, SCHEMA), 4).withColumn("p", F.spark_partition_id()).collect()
+    assert len({r.p for r in parts}) == 4
+    order = [(r.p, r.event_ts, r.transaction_id) for r in parts]
+    assert order == sorted(order) and [o[1:] for o in order] == sorted(o[1:] for o in order)
 
 
 def test_null_account_can_be_hot(spark):
@@ -106,29 +131,3 @@ def test_hot_rows_spread_over_slices(spark):
     sizes = [r["count"] for r in sliced.groupBy(SLICE).count().collect()]
     assert len(sizes) == 4 and max(sizes) < 200 and sum(sizes) == 400
     assert find_hot_keys(df, "account_id_token", 1000) is None
-
-
-@pytest.mark.parametrize("limit", [40, 10_000])
-def test_lookup_join_keeps_every_fact(spark, limit):
-    facts = spark.createDataFrame([*rows("spread"), ("none", None, START, 1)], SCHEMA)
-    names = ["hot", *(f"cold{i}" for i in range(0, 20, 2))]
-    dimension = spark.createDataFrame([(n, n.upper()) for n in names], "account_id_token string, label string")
-    got = lookup_join(facts, dimension, "account_id_token", rows_per_task=limit)
-    assert got.count() == 601
-    for r in got.collect():
-        known = r.account_id_token in names
-        assert r.label == (r.account_id_token.upper() if known else None)
-
-
-def test_hot_values_of_several_keys(spark):
-    data = [(f"a{i % 2}", None if i % 10 else i) for i in range(100)]
-    found = find_hot_keys_of(spark.createDataFrame(data, "a string, b int"), ["a", "b"], 40)
-    assert sorted((r.a, r.n) for r in found["a"].keys.collect()) == [("a0", 50), ("a1", 50)]
-    assert [(r.b, r.n) for r in found["b"].keys.collect()] == [(None, 90)] and found["b"].rows == 90
-
-
-def test_hot_join_side_is_a_broadcast(spark):
-    facts = spark.createDataFrame(rows("spread"), SCHEMA)
-    dimension = spark.range(10).select(F.concat(F.lit("cold"), "id").alias("account_id_token"), F.lit(1).alias("x"))
-    plan = lookup_join(facts, dimension, "account_id_token", rows_per_task=100)._jdf.queryExecution().executedPlan()
-    assert "BroadcastHashJoin" in plan.toString()

@@ -202,12 +202,8 @@ def test_latency_quantile(spark):
 def test_account_order(spark):
     rows = landing(spark, *({"transaction_id": str(i), "account_id_token": str(i % 3), "event_ts": datetime(2024, 1, 28 - i)} for i in range(20)))
     ordered = account_order(rows, 3).withColumn("p", F.spark_partition_id()).collect()
-    homes = {}
-    for r in ordered:
-        homes.setdefault(r.account_id_token, set()).add(r.p)
-    assert all(len(p) == 1 for p in homes.values())
-    times = [r.event_ts for r in ordered if r.account_id_token == "1"]
-    assert times == sorted(times)
+    assert [(r.p, r.account_id_token, r.event_ts) for r in ordered] == sorted((r.p, r.account_id_token, r.event_ts) for r in ordered)
+    assert [(r.account_id_token, r.event_ts) for r in ordered] == sorted((r.account_id_token, r.event_ts) for r in ordered)
 
 
 def test_schema_changes():
@@ -235,4 +231,16 @@ def test_retention_counts_back_from_the_newest_day(spark):
         {"transaction_id": "edge", "event_ts": datetime(2024, 1, 2)},
         {"transaction_id": "old", "event_ts": datetime(2024, 1, 1)},
     )
-    assert {r.transaction_id for r in models.retention_keep(rows, 90).collect()} == {"new", "edge"}
+    assert {r.transaction_id for r in models.retention_keep(rows, date(2024, 4, 1)).collect()} == {"new", "edge"}
+
+
+def test_categories_are_broadcast_without_a_shuffle_of_the_facts(spark):
+    rows = landing(spark, {"merchant_category_code": "5411"}, {"merchant_category_code": "0000"})
+    for join in (models.unknown_mcc, models.known_mcc):
+        plan = join(rows, models.mcc_dimension(spark))._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_rows_without_an_id_are_not_versions_of_each_other(spark):
+    rows = landing(spark, {"transaction_id": None, "amount_cents": 1}, {"transaction_id": None, "amount_cents": 2}, {"transaction_id": "a"})
+    assert models.stg_card_transactions(rows.unionByName(rows)).count() == 3

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
-from txnflow.operators.contract import contract_violations, passes_contract
+from txnflow.operators.contract import contract_violations
 from txnflow.operators.parse import invalid_rows, parse_and_validate, tag, valid_rows
 from txnflow.operators.transform import event_envelope, fill_defaults, landing_projection, transform
 from txnflow.functions import TokenKey
@@ -88,10 +88,35 @@ def test_strict_reasons(spark):
 
 
 def test_every_message_takes_exactly_one_route(spark):
-    raw = envelopes(spark, [c[0] for c in CASES])
+    nested = having(metadata={"a": "b", "c": {"d": [1, {"e": 2}]}})
+    first = '{"metadata":' + nested.split('"metadata":')[1][:-1] + "," + having()[1:]
+    texts = [c[0] for c in CASES] + [t[:i] for t in (nested, first) for i in range(len(t) + 1)]
+    texts += [having() + t for t in (" junk", ",", "}", having())]
+    raw = envelopes(spark, texts).cache()
     for strict in (False, True):
         tagged = tag(raw, strict)
-        assert valid_rows(tagged).count() + invalid_rows(tagged).count() == len(CASES)
+        routed = parse_and_validate(raw, strict)
+        for valid, invalid in ((valid_rows(tagged), invalid_rows(tagged)), routed):
+            offsets = [r.offset for r in valid.select("offset").collect()] + [r.offset for r in invalid.select("offset").collect()]
+            assert sorted(offsets) == list(range(len(texts)))
+    cut = set(range(len(CASES), len(CASES) + len(nested))) | set(range(len(CASES) + len(nested) + 1, len(CASES) + len(nested) + 1 + len(first)))
+    assert cut.isdisjoint(r.offset for r in parse_and_validate(raw).valid.collect())
+
+
+def test_strict_takes_one_object_and_nothing_else(spark):
+    texts = [having() + t for t in ("", " \n", " junk", ",", "}", having())]
+    got = {r.offset: r.dlq_reason for r in tag(envelopes(spark, texts), strict=True).collect()}
+    assert got == {0: None, 1: None, **{i: "CONTRACT_payload" for i in range(2, 6)}}
+
+
+def test_strict_refuses_what_the_landing_table_cannot_hold(spark):
+    texts = [
+        having(currency="EUROS"), having(currency=" usd "), having(event_timestamp="bad"), having(transaction_id="x" * 37),
+        having(merchant_category_code="54111"), having(amount_cents=2**62), having(event_type="F" * 31),
+    ]
+    got = [r.dlq_reason for r in tag(envelopes(spark, texts), strict=True).orderBy("offset").collect()]
+    names = ("currency", None, "event_timestamp", "transaction_id", "merchant_category_code", "amount_cents", "event_type")
+    assert got[:5] == [n and f"CONSTRAINT_{n}" for n in names[:5]] and got[6] == "CONSTRAINT_event_type"
 
 
 def test_lenient_keeps_the_other_fields(spark):
@@ -106,13 +131,13 @@ def test_last_of_duplicate_keys_wins(spark):
 
 def test_each_side_parses_once(spark):
     raw = envelopes(spark, [having()])
-    for side in (*parse_and_validate(raw), valid_rows(tag(raw, strict=True))):
-        assert plan_of(side).count("from_json") == 1
+    valid, invalid = parse_and_validate(raw)
+    assert plan_of(invalid).count("from_json") == 1
+    assert plan_of(valid).count("from_json") == 2, "one full parse, and one of the id alone"
 
 
 def test_gate(spark):
-    assert passes_contract(envelopes(spark, [having()]))
-    assert not passes_contract(envelopes(spark, [having(), without("currency", "event_type")]))
+    assert contract_violations(envelopes(spark, [having()])).isEmpty()
     row = contract_violations(envelopes(spark, [without("currency", "event_type")])).first()
     assert row.violations == ["currency", "event_type"]
 

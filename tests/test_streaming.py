@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -13,7 +14,8 @@ from txnflow.plans.models import stg_card_transactions
 from txnflow.schema import ENVELOPE_SCHEMA
 from txnflow.sinks.landing import ConnectorSink, FileSink
 from txnflow.sources.files import read_dead_letters, stream_envelopes, stream_staged_json
-from txnflow.streaming.pipeline import MicroBatchWriter, PipelineConfig, start_file_ingest, start_pipeline
+from txnflow.sinks.topic import TopicSink
+from txnflow.streaming.pipeline import HeldBatch, MicroBatchWriter, PipelineConfig, start_file_ingest, start_pipeline
 from txnflow.streaming.progress import consumer_lag
 from txnflow.streaming.views import dead_letter_spikes, dedupe_within_watermark
 
@@ -99,7 +101,8 @@ def test_batch_of_dead_letters_only(spark, tmp_path):
 
 def test_failed_write_fails_the_query(spark, tmp_path):
     drop_file(spark, tmp_path, [having()])
-    cfg = PipelineConfig(landing=ConnectorSink("no_such_format"), checkpoint=f"{tmp_path}/checkpoint", trigger=ONCE)
+    broken = ConnectorSink("no_such_format", f"{tmp_path}/ledger")
+    cfg = PipelineConfig(landing=broken, dead_letters=FileSink(f"{tmp_path}/dlq"), checkpoint=f"{tmp_path}/checkpoint", trigger=ONCE)
     query = start_pipeline(stream_envelopes(spark, f"{tmp_path}/in"), cfg, KEY)
     with pytest.raises(Exception, match="no_such_format"):
         query.awaitTermination()
@@ -115,6 +118,74 @@ def test_strict_pipeline_refuses_broken_fields(spark, tmp_path):
     assert read_dead_letters(spark, f"{tmp_path}/dlq").first().dlq_reason == "CONTRACT_amount_cents"
 
 
+def test_a_place_for_dead_letters_and_a_run_id_are_required(spark, tmp_path):
+    with pytest.raises(TypeError, match="dead_letters"):
+        PipelineConfig(landing=FileSink("l"), checkpoint="c")
+    with pytest.raises(ValueError, match="run_id"):
+        MicroBatchWriter(config(tmp_path), KEY).write(envelopes(spark, ["junk"]), 0)
+
+
+def test_dead_letters_to_a_topic_from_the_same_query(spark, tmp_path):
+    cfg = config(tmp_path)
+    cfg = replace(cfg, dead_letters=TopicSink({"path": f"{tmp_path}/topic"}, fmt="parquet"))
+    drop_file(spark, tmp_path, [having(transaction_id="a"), "junk"])
+    run(spark, tmp_path, cfg)
+    message = spark.read.parquet(f"{tmp_path}/topic").first()
+    assert bytes(message.key) == b"ACC-1" and '"dlq_reason":"PARSE_FAILURE"' in message.value
+    assert ids(spark.read.parquet(f"{tmp_path}/landing")) == ["a"]
+
+
+def test_every_prefix_of_a_payload_takes_one_route(spark, tmp_path):
+    text = having(metadata={"a": "b", "c": {"d": 1}})
+    texts = [text[:i] for i in range(len(text) + 1)]
+    drop_file(spark, tmp_path, texts)
+    run(spark, tmp_path, config(tmp_path))
+    assert [r.kafka_offset for r in spark.read.parquet(f"{tmp_path}/landing").collect()] == [len(text)]
+    letters = read_dead_letters(spark, f"{tmp_path}/dlq").collect()
+    assert sorted(r.offset for r in letters) == list(range(len(text)))
+
+
+def test_gate_holds_a_batch_back(spark, tmp_path):
+    cfg = config(tmp_path, gate=True, run_id="r")
+    writer = MicroBatchWriter(cfg, KEY)
+    for texts, reason in (
+        ([having(), "junk"], "contract payload: 1"),
+        ([having(transaction_id="a", event_type="GIFT")], "accepted_values event_type: 1"),
+        ([having(transaction_id="a", amount_cents="x")], "not_null amount_cents: 1"),
+    ):
+        with pytest.raises(HeldBatch, match=reason):
+            writer.write(envelopes(spark, texts), 0)
+        assert not (tmp_path / "landing").exists() and not (tmp_path / "dlq").exists()
+    writer.write(envelopes(spark, [having(transaction_id="a"), having(transaction_id="a")]), 0)
+    assert ids(spark.read.parquet(f"{tmp_path}/landing")) == ["a"]
+
+
+def test_held_batch_stops_the_stream_and_is_tried_again(spark, tmp_path):
+    drop_file(spark, tmp_path, [having(transaction_id="a"), "junk"])
+    query = start_pipeline(stream_envelopes(spark, f"{tmp_path}/in"), config(tmp_path, gate=True), KEY)
+    with pytest.raises(Exception, match="contract payload: 1"):
+        query.awaitTermination()
+    run(spark, tmp_path, config(tmp_path))
+    assert ids(spark.read.parquet(f"{tmp_path}/landing")) == ["a"]
+
+
+def test_broken_staged_records_become_dead_letters(spark, tmp_path):
+    import json
+
+    folder = tmp_path / "staged"
+    folder.mkdir()
+    good = json.dumps(STAGED)
+    nameless = json.dumps({k: v for k, v in STAGED.items() if k != "transaction_id"})
+    long = json.dumps(STAGED | {"transaction_id": "s9", "currency": "EUROS"})
+    (folder / "a.json").write_text("\n".join([good, good[:-5], nameless, nameless.replace("1", "2"), long]))
+    cfg = config(tmp_path, strict=True)
+    start_file_ingest(stream_staged_json(spark, str(folder)), cfg).awaitTermination()
+    assert ids(spark.read.parquet(f"{tmp_path}/landing")) == ["s1"]
+    letters = read_dead_letters(spark, f"{tmp_path}/dlq").collect()
+    assert sorted(r.dlq_reason for r in letters) == ["CONSTRAINT_currency"] + ["PARSE_FAILURE"] * 3
+    assert all(r.topic.endswith("a.json") for r in letters) and bytes(good[:-5], "utf-8") in [bytes(r.payload) for r in letters]
+
+
 def test_staged_files_load_once(spark, tmp_path):
     import json
 

@@ -30,7 +30,7 @@ class TokenKey:
             raise ValueError("the tokenization secret must not be empty")
 
     @classmethod
-    def from_env(cls, variable: str = "PII_TOKENIZATION_SECRET") -> TokenKey:
+    def from_env(cls, variable: str = "TXNFLOW_TOKEN_SECRET") -> TokenKey:
         value = os.environ.get(variable, "")
         if not value:
             raise OSError(f"set {variable} to the tokenization secret")
@@ -72,8 +72,9 @@ def tokenize_card_number(col: Column | str, key: TokenKey) -> Column:
 def rotating_token(col: Column | str, on_date: Column, keys: Sequence[RotatingKey]) -> Column:
     """`struct(key_id, token)` under the key in force on `on_date`.
 
-    Dates before the first key fall to the first key. The key id stays beside
-    the token, so tokens of different key periods are never compared by chance.
+    Dates before the first key fall to the first key; without a date the newest
+    key is used. The key id stays beside the token, so tokens of different key
+    periods are never compared by chance.
     """
     newest_first = sorted(keys, key=lambda k: k.valid_from, reverse=True)
     *newer, oldest = newest_first
@@ -86,5 +87,7 @@ def rotating_token(col: Column | str, on_date: Column, keys: Sequence[RotatingKe
     chain = None
     for k in newer:
         branch = on_date >= F.lit(k.valid_from)
+        if k is newer[0]:
+            branch = branch | on_date.isNull()
         chain = F.when(branch, stamped(k)) if chain is None else chain.when(branch, stamped(k))
     return chain.otherwise(stamped(oldest))

@@ -28,7 +28,7 @@ def enrich_with_mcc_category(code: Column | str) -> Column:
     """Category of a merchant code; unknown and null codes give OTHER.
 
     Ten codes fit a literal map that Catalyst folds once per query. For a large
-    dimension use `txnflow.plans.marts.int_enriched`, which joins a table.
+    dimension use `txnflow.plans.models.int_enriched`, which joins a table.
     """
     column = F.col(code) if isinstance(code, str) else code
     lookup = F.create_map(*(F.lit(text) for entry in MCC_CATEGORIES.items() for text in entry))

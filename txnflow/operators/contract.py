@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,11 +47,6 @@ def contract_gate(raw: DataFrame, batch: Column) -> DataFrame:
     )
 
 
-def passes_contract(raw: DataFrame) -> bool:
-    """Gate for one batch: stops at the first offending message."""
-    return contract_violations(raw).isEmpty()
-
-
 def data_tests(
     df: DataFrame,
     not_null: Sequence[str] = (),
@@ -63,46 +56,42 @@ def data_tests(
 ) -> DataFrame:
     """`(check_name, column_name, failures)` for every test, zero included.
 
-    Each of the three kinds is one pass over just the columns it tests. Keys are
-    counted per distinct value first, so a frequent key travels as one row per
-    task, and only these counts meet the parent keys.
+    One pass over `df`: each row gives one marked row for each key test and, if
+    it fails any, one for its row tests. Marked rows are counted by value first,
+    so a frequent key travels as one row per task; parent keys join the same
+    groups as rows with a count of zero, marked as known.
     """
-    parts = []
+    accepted, relationships = accepted or {}, relationships or {}
     row_tests = [("not_null", c, F.col(c).isNull()) for c in not_null]
-    row_tests += [("accepted_values", c, ~F.col(c).isin(*values)) for c, values in (accepted or {}).items()]
-    if row_tests:
-        parts.append(_results(df, [(check, c, F.count_if(failed)) for check, c, failed in row_tests]))
-    if unique:
-        counts = _key_counts(df, unique)
-        repeated = [("unique", c, F.count_if((F.col("test") == i) & (F.col("n") > 1))) for i, c in enumerate(unique)]
-        parts.append(_results(counts, repeated))
-    if relationships:
-        parents = [_tagged(frame, i, key).distinct() for i, (frame, key) in enumerate(relationships.values())]
-        orphans = _key_counts(df, list(relationships)).join(reduce(DataFrame.unionByName, parents), _KEY, "left_anti")
-        zero = F.lit(0).cast("bigint")
-        missing = [
-            ("relationships", c, F.coalesce(F.sum(F.when(F.col("test") == i, F.col("n"))), zero))
-            for i, c in enumerate(relationships)
-        ]
-        parts.append(_results(orphans, missing))
-    return reduce(DataFrame.unionByName, parts)
-
-
-_KEY = ["test", "value"]
-
-
-def _tagged_struct(i: int, column: str) -> Column:
-    return F.struct(F.lit(i).alias("test"), F.col(column).cast("string").alias("value"))
-
-
-def _tagged(df: DataFrame, i: int, column: str) -> DataFrame:
-    return df.select(_tagged_struct(i, column).alias("k")).select("k.*")
-
-
-def _key_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows per test number and key value, nulls left out."""
-    keys = df.select(F.inline(F.array(*(_tagged_struct(i, c) for i, c in enumerate(columns)))))
-    return keys.where(F.col("value").isNotNull()).groupBy(*_KEY).agg(F.count(F.lit(1)).alias("n"))
+    row_tests += [("accepted_values", c, ~F.col(c).isin(*values)) for c, values in accepted.items()]
+    tests = [(check, c) for check, c, _ in row_tests]
+    tests += [("unique", c) for c in unique] + [("relationships", c) for c in relationships]
+    if not tests:
+        return df.sparkSession.createDataFrame([], "check_name string, column_name string, failures bigint")
+    marks = [F.when(failed, _mark(i, F.lit(None))) for i, (_, _, failed) in enumerate(row_tests)]
+    key_tests = list(enumerate(tests))[len(row_tests) :]
+    marks += [F.when(F.col(c).isNotNull(), _mark(i, F.col(c))) for i, (_, c) in key_tests]
+    marked = df.select(F.inline(F.array_compact(F.array(*marks)))).withColumn("known", F.lit(False))
+    for i, (check, c) in key_tests:
+        if check == "relationships":
+            frame, key = relationships[c]
+            marked = marked.unionByName(frame.select(F.inline(F.array(_mark(i, F.col(key))))).withColumn("known", F.lit(True)))
+    rows = F.count_if(~F.col("known"))
+    groups = marked.groupBy("test", "value").agg(rows.alias("n"), F.max("known").alias("known"))
+    failures = []
+    for i, (check, c) in enumerate(tests):
+        mine = F.col("test") == i
+        if check == "unique":
+            failures.append((check, c, F.count_if(mine & (F.col("n") > 1))))
+        elif check == "relationships":
+            failures.append((check, c, F.coalesce(F.sum(F.when(mine & ~F.col("known"), F.col("n"))), F.lit(0).cast("bigint"))))
+        else:
+            failures.append((check, c, F.coalesce(F.sum(F.when(mine, F.col("n"))), F.lit(0).cast("bigint"))))
+    return _results(groups, failures)
+
+
+def _mark(i: int, value: Column) -> Column:
+    return F.struct(F.lit(i).alias("test"), value.cast("string").alias("value"))
 
 
 def _results(df: DataFrame, tests: list) -> DataFrame:

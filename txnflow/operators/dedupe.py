@@ -34,7 +34,8 @@ def latest_versions(df: DataFrame) -> DataFrame:
     """One row per transaction: the one ingested last.
 
     Rows with equal times are ordered by stream position, then by a hash of the
-    content for rows from files, which have no position.
+    content for rows from files, which have no position. Rows without an id are
+    versions of nothing: only equal ones are merged.
     """
     content = F.xxhash64(*(F.to_json("metadata") if name == "metadata" else F.col(name) for name in sorted(df.columns)))
     order = [
@@ -43,7 +44,9 @@ def latest_versions(df: DataFrame) -> DataFrame:
         F.col("kafka_partition").desc_nulls_last(),
         F.when(F.col("kafka_offset").isNull(), content).desc(),
     ]
-    return keep_first(df, ["transaction_id"], order)
+    nameless = "_nameless"
+    marked = df.withColumn(nameless, F.when(F.col("transaction_id").isNull(), content))
+    return keep_first(marked, ["transaction_id", nameless], order).drop(nameless)
 
 
 def late_merge(existing: DataFrame, updates: DataFrame) -> DataFrame:

@@ -5,9 +5,10 @@ keys are found first by a count that is combined on the map side. Other keys
 take the plain path. Rows of hot keys are sorted by range instead of by hash,
 so one key spreads over many tasks ("slices"), and per-slice totals carry over.
 
-The list of hot keys is short by construction: it holds at most `MAX_HOT_KEYS`
-of the largest keys, and any key left out has at most `1 / MAX_HOT_KEYS` of all
-rows and is handled by the plain path. No row is dropped on either path.
+Hot keys are a written table with at most one key for each `ROWS_PER_TASK` rows
+of the input. All of them are handled, however many there are; Spark broadcasts
+the table where its size allows, and joins it otherwise. No row is dropped on
+either path. Joins need none of this: Spark splits their busy keys itself.
 """
 
 from __future__ import annotations
@@ -18,12 +19,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from txnflow.session import cut_lineage
 
-MAX_HOT_KEYS = 10_000
 ROWS_PER_TASK = 5_000_000
 
 SLICE = "_slice"
@@ -31,7 +30,7 @@ SLICE = "_slice"
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Hot values of `key` with the number of their rows; bounded, see above."""
+    """Hot values of `key` with the number of their rows."""
 
     key: str
     keys: DataFrame
@@ -44,39 +43,19 @@ class HotKeys:
         return self._restrict(df, "left_semi")
 
     def _restrict(self, df: DataFrame, how: str) -> DataFrame:
-        wanted = F.broadcast(self.keys.select(F.col(self.key).alias("_hot")))
+        wanted = self.keys.select(F.col(self.key).alias("_hot"))
         return df.join(wanted, df[self.key].eqNullSafe(F.col("_hot")), how)
 
 
 def find_hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> HotKeys | None:
-    """The values of `key` with more than `rows_per_task` rows, or None."""
-    return find_hot_keys_of(df, [key], rows_per_task)[key]
+    """The values of `key` with more than `rows_per_task` rows, or None.
 
-
-def find_hot_keys_of(
-    df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
-) -> dict[str, HotKeys | None]:
-    """Hot values of several keys, counted in one job over the key columns.
-
-    At most MAX_HOT_KEYS rows per key reach the driver.
+    They are counted in one job and written; only their total reaches the driver.
     """
-    if len(keys) == 1:
-        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).withColumn("others", F.lit(0))
-        masks = {0: keys[0]}
-    else:
-        sets = [[k] for k in keys]
-        counted = df.groupingSets(sets, *keys).agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("others"))
-        # grouping_id sets the bit of each key that is not part of the group.
-        full = 2 ** len(keys) - 1
-        masks = {full ^ (1 << (len(keys) - 1 - i)): k for i, k in enumerate(keys)}
-    busy = counted.where(F.col("n") > rows_per_task).orderBy(F.col("n").desc())
-    found = busy.limit(MAX_HOT_KEYS * len(keys)).collect()
-    result: dict[str, HotKeys | None] = {}
-    for mask, key in masks.items():
-        mine = [(r[key], r["n"]) for r in found if r["others"] == mask]
-        schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("n", T.LongType())])
-        result[key] = HotKeys(key, df.sparkSession.createDataFrame(mine, schema), sum(n for _, n in mine)) if mine else None
-    return result
+    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    keys = cut_lineage(counted.where(F.col("n") > rows_per_task), "hot-keys")
+    rows = keys.agg(F.sum("n")).first()[0]
+    return HotKeys(key, keys, rows) if rows else None
 
 
 def slice_by_range(hot_rows: DataFrame, key: str, order: Sequence[str], slices: int) -> DataFrame:
@@ -101,9 +80,9 @@ def carry(sliced: DataFrame, key: str, totals: dict[str, Column], fold) -> DataF
 
 
 def attach_carry(sliced: DataFrame, carried: DataFrame, key: str) -> DataFrame:
-    """Join carried totals to the rows; their number is bounded, see `carry`."""
+    """Join carried totals to the rows of their slice."""
     totals = [c for c in carried.columns if c not in (key, SLICE)]
-    small = F.broadcast(carried.select(F.col(key).alias("_k"), F.col(SLICE).alias("_s"), *totals))
+    small = carried.select(F.col(key).alias("_k"), F.col(SLICE).alias("_s"), *totals)
     same = sliced[key].eqNullSafe(F.col("_k")) & (sliced[SLICE] == F.col("_s"))
     return sliced.join(small, same, "left").drop("_k", "_s")
 
@@ -114,39 +93,3 @@ def in_slice(key: str, order: Sequence[str]) -> Window:
 
 def slices_for(rows: int, rows_per_task: int) -> int:
     return math.ceil(rows / rows_per_task)
-
-
-def lookup_join(facts: DataFrame, dimension: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Left join of `facts` to a dimension with one row per `key`; see `lookup_joins`."""
-    return lookup_joins(facts, {key: dimension}, facts, rows_per_task)
-
-
-def lookup_joins(
-    facts: DataFrame,
-    dimensions: dict[str, DataFrame],
-    counted: DataFrame,
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
-    """Left joins of `facts` to dimensions, each with one row per its key.
-
-    Facts with hot keys meet only the dimension rows of those keys, which are
-    broadcast after their number is checked; all others take the plain join,
-    where Spark picks the strategy from the sizes it knows. The keys are counted
-    in `counted`: the facts, or a table below them that is cheaper to read.
-    """
-    hot_keys = find_hot_keys_of(counted, list(dimensions), rows_per_task)
-    for key, dimension in dimensions.items():
-        facts = _lookup(facts, dimension, key, hot_keys[key])
-    return facts
-
-
-def _lookup(facts: DataFrame, dimension: DataFrame, key: str, hot: HotKeys | None) -> DataFrame:
-    if hot is None:
-        return facts.join(dimension, key, "left")
-    wanted = hot.hot(dimension)
-    if wanted.limit(2 * MAX_HOT_KEYS).count() >= 2 * MAX_HOT_KEYS:
-        return facts.join(dimension, key, "left")
-    # Null keys join nothing; the hot path keeps them out of the shuffle as well.
-    return hot.hot(facts).join(F.broadcast(wanted), key, "left").unionByName(
-        hot.cold(facts).join(dimension, key, "left")
-    )

@@ -3,9 +3,11 @@
 Two routings exist and stay apart:
 
 * lenient - a row is valid when it parses and has a transaction id. Fields of
-  the wrong type become null and the row stays valid.
-* strict  - every required field must be present with its declared type, else
-  the row goes to the dead letters with the name of the first offending field.
+  the wrong type become null and the row stays valid. A payload that is cut
+  short is refused, wherever the cut lies.
+* strict  - the payload must be one object and nothing else, every required
+  field must be present with its declared type, and the row must fit the landing
+  table, else it goes to the dead letters with the first offending field.
 """
 
 from __future__ import annotations
@@ -16,11 +18,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txnflow.functions import cents_to_dollars, event_time, normalize_currency
 from txnflow.functions.json import CORRUPT, payload_struct
-from txnflow.schema import DEAD_LETTER_SCHEMA, PAYLOAD_NAMES, PAYLOAD_SCHEMA, REQUIRED_FIELDS
+from txnflow.schema import (
+    DEAD_LETTER_SCHEMA,
+    LANDING_COLUMNS,
+    MASKED_ACCOUNT,
+    PAYLOAD_NAMES,
+    PAYLOAD_SCHEMA,
+    REQUIRED_FIELDS,
+)
 
 PARSE_FAILURE = "PARSE_FAILURE"
 CONTRACT_PREFIX = "CONTRACT_"
+CONSTRAINT_PREFIX = "CONSTRAINT_"
 
 _ID_SCHEMA = T.StructType([PAYLOAD_SCHEMA["transaction_id"]])
 _POSITION = ("kafka_timestamp", "partition", "offset")
@@ -80,18 +91,60 @@ def violations() -> Column:
     )
 
 
-def dead_letter_reason(strict: bool = False) -> Column:
-    """Null for a valid row, else the reason it is refused."""
-    reason = F.when(F.col("transaction_id").isNull(), F.lit(PARSE_FAILURE))
+def unlandable(cents: Column | str = "amount_cents") -> Column:
+    """Names of the payload fields whose landing column would break NOT NULL or its length."""
+    landed = {
+        "account_id": F.lit(MASKED_ACCOUNT),
+        "currency": normalize_currency("currency"),
+        "event_timestamp": event_time("event_timestamp").cast("string"),
+        "amount_cents": cents_to_dollars(cents).cast("string"),
+    }
+    # Fixed value: the landing column that a payload field fills, where its name differs.
+    target = {"event_timestamp": "event_ts", "amount_cents": "amount_dollars"}
+    columns = {c.name: c for c in LANDING_COLUMNS}
+    broken = []
+    for name in REQUIRED_FIELDS:
+        column = columns[target.get(name, name)]
+        value = landed.get(name, F.col(name).cast("string"))
+        if column.not_null and column.default is None:
+            broken.append(F.when(value.isNull(), name))
+        if column.max_length is not None:
+            broken.append(F.when(F.length(value) > column.max_length, name))
+    return F.array_compact(F.array(*broken))
+
+
+def _one_object(text: Column) -> Column:
+    """Whether a text is one JSON value with nothing after it."""
+    return F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
+
+
+def dead_letter_reason(strict: bool = False, schema: T.StructType = PAYLOAD_SCHEMA) -> Column:
+    """Null for a valid row, else the reason it is refused.
+
+    A full parse keeps what stands before a cut inside a nested field; a parse
+    of just the id refuses such a text. So rows with nested fields are asked for
+    the id again, and both routes agree.
+    """
+    text = F.col("payload").cast("string")
+    failed = F.col("transaction_id").isNull()
+    if any(isinstance(f.dataType, (T.MapType, T.StructType, T.ArrayType)) for f in schema.fields):
+        failed = failed | F.from_json(text, _ID_SCHEMA)["transaction_id"].isNull()
+    reason = F.when(failed, F.lit(PARSE_FAILURE))
     if strict:
-        broken = violations()
-        reason = reason.when(F.size(broken) > 0, F.concat(F.lit(CONTRACT_PREFIX), F.get(broken, F.lit(0))))
+        broken, too_much = violations(), unlandable()
+        reason = (
+            reason.when(F.size(broken) > 0, F.concat(F.lit(CONTRACT_PREFIX), F.get(broken, F.lit(0))))
+            .when(~_one_object(text), F.lit(f"{CONTRACT_PREFIX}payload"))
+            .when(F.size(too_much) > 0, F.concat(F.lit(CONSTRAINT_PREFIX), F.get(too_much, F.lit(0))))
+        )
     return reason
 
 
 def tag(raw: DataFrame, strict: bool = False, schema: T.StructType = PAYLOAD_SCHEMA) -> DataFrame:
     """Parsed rows with `dlq_reason`; both routes are filters on that column."""
-    return parse_envelopes(raw, schema, keep_corrupt=strict).withColumn("dlq_reason", dead_letter_reason(strict))
+    return parse_envelopes(raw, schema, keep_corrupt=strict).withColumn(
+        "dlq_reason", dead_letter_reason(strict, schema)
+    )
 
 
 def valid_rows(tagged: DataFrame, names: tuple[str, ...] = PAYLOAD_NAMES) -> DataFrame:
@@ -106,8 +159,9 @@ def invalid_rows(tagged: DataFrame) -> DataFrame:
 def parse_and_validate(raw: DataFrame, strict: bool = False) -> Routed:
     """Split messages into valid payload rows and dead letters.
 
-    Each side is a plan of its own. The lenient dead letters parse just the id,
-    which takes less than half the time of a full parse. Where both sides are
+    Each side is a plan of its own, and each message is on exactly one. The
+    lenient dead letters parse just the id, which takes less than half the time
+    of a full parse. Where both sides are
     consumed together, persist `tag(raw)` and route from it, as the streaming
     pipeline does per micro-batch.
     """

@@ -17,14 +17,13 @@ from txnflow.operators.hotkeys import (
     carry,
     find_hot_keys,
     in_slice,
-    lookup_join,
     slice_by_range,
     slices_for,
 )
 
 HOUR_MICROS = 3_600_000_000
-# Steps per row from which two running totals are faster than a sliding frame.
-MAX_STEPS = 400
+# Holds the sum of any number of bigints that a table can have.
+WIDE = "decimal(38,0)"
 
 
 def _zero() -> Column:
@@ -32,8 +31,13 @@ def _zero() -> Column:
 
 
 def account_order(df: DataFrame, partitions: int, account: str = "account_id_token") -> DataFrame:
-    """Co-locate each account and sort it by time, as a keyed topic does."""
-    return df.repartition(partitions, account).sortWithinPartitions(account, "event_ts", "transaction_id")
+    """Each account's rows in order of time, as a keyed topic gives them.
+
+    Rows are dealt by range, so an account that is too large for one task goes
+    on, in order, in the next.
+    """
+    order = (account, "event_ts", "transaction_id")
+    return df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
 
 
 def account_sequence(
@@ -94,48 +98,25 @@ def velocity(
     amount: str = "amount_cents",
     span_micros: int = HOUR_MICROS,
     rows_per_task: int = ROWS_PER_TASK,
-    max_steps: int = MAX_STEPS,
 ) -> DataFrame:
     """Add `txn_count` and `cents_total` over the trailing span, both ends included.
 
-    A sliding frame is summed anew for each row, which takes as many steps as
-    rows fall into it. That is the fastest way for sparse accounts. Where it would
-    take more than `max_steps` per row, the difference of two running totals is
-    used, whose cost does not depend on how dense an account is.
+    The difference of two running totals, whose cost does not depend on how
+    dense an account is. Totals run in decimals, so that no account's history
+    overflows; a difference that does not fit a bigint is null. Rows without a
+    time form one group per account.
     """
     timed = df.withColumn("_t", F.unix_micros(F.col(time).cast("timestamp")))
     hot = find_hot_keys(df, account, rows_per_task)
-    cold = timed if hot is None else hot.cold(timed)
-    if _is_sparse(cold, account, span_micros, rows_per_task, max_steps):
-        totals = _sliding(cold, df.columns, account, amount, span_micros)
-    else:
-        totals = _running_difference(cold, df.columns, account, amount, span_micros)
+    totals = _running_difference(timed if hot is None else hot.cold(timed), df.columns, account, amount, span_micros)
     if hot is None:
         return totals
     rows = hot.hot(timed).withColumn("_at", F.struct(account, "_t"))
     at_instant = _trailing_totals(rows, account, amount, span_micros, slices_for(2 * hot.rows, rows_per_task))
-    joined = lookup_join(rows, at_instant, "_at", rows_per_task)
+    joined = rows.join(at_instant, "_at", "left")
     return totals.unionByName(joined.select(*df.columns, "txn_count", "cents_total"))
 
 
-def _is_sparse(rows: DataFrame, account: str, span_micros: int, rows_per_task: int, max_steps: int) -> bool:
-    """Whether sliding frames take at most `max_steps` steps per row, overall and
-    in the account with most work. Steps are estimated from counts per span."""
-    per_span = rows.groupBy(account, F.floor(F.col("_t") / span_micros)).agg(F.count(F.lit(1)).cast("double").alias("n"))
-    per_account = per_span.groupBy(account).agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("steps"))
-    n, steps, worst = per_account.agg(F.sum("n"), F.sum("steps"), F.max("steps")).first()
-    return n is None or (steps <= max_steps * n and worst <= max_steps * rows_per_task)
-
-
-def _sliding(rows: DataFrame, columns: list[str], account: str, amount: str, span_micros: int) -> DataFrame:
-    frame = Window.partitionBy(account).orderBy("_t").rangeBetween(-span_micros, 0)
-    return rows.select(
-        *columns,
-        F.count(F.lit(1)).over(frame).alias("txn_count"),
-        F.sum(amount).over(frame).alias("cents_total"),
-    )
-
-
 def _running_difference(
     rows: DataFrame, columns: list[str], account: str, amount: str, span_micros: int
 ) -> DataFrame:
@@ -160,18 +141,23 @@ def _running_difference(
         F.row_number().over(nth).alias("n"),
         F.sum("own").over(up_to).alias("rows"),
         F.count(cents).over(up_to).alias("priced"),
-        F.coalesce(F.sum(cents).over(up_to), _zero()).alias("cents"),
+        F.coalesce(F.sum(cents.cast("decimal(20,0)")).over(up_to).cast(WIDE), F.lit(0).cast(WIDE)).alias("cents"),
     )
     pair = Window.partitionBy("_account", "n")
-    sign = F.when(F.col("own") == 1, F.lit(1)).otherwise(F.lit(-1)).cast("bigint")
     totals = running.select(
         "own",
         "row",
-        *(F.sum(F.col(name) * sign).over(pair).alias(name) for name in ("rows", "priced", "cents")),
-    )
-    return totals.where(F.col("own") == 1).select(
-        "row.*", F.col("rows").alias("txn_count"), F.when(F.col("priced") > 0, F.col("cents")).alias("cents_total")
+        *(F.sum(_signed(F.col(name))).over(pair).alias(name) for name in ("rows", "priced", "cents")),
     )
+    return totals.where(F.col("own") == 1).select("row.*", F.col("rows").alias("txn_count"), _cents_total())
+
+
+def _signed(value: Column) -> Column:
+    return F.when(F.col("own") == 1, value).otherwise(-value)
+
+
+def _cents_total() -> Column:
+    return F.when(F.col("priced") > 0, F.col("cents").try_cast("bigint")).alias("cents_total")
 
 
 def _trailing_totals(rows: DataFrame, account: str, amount: str, span_micros: int, slices: int) -> DataFrame:
@@ -181,7 +167,9 @@ def _trailing_totals(rows: DataFrame, account: str, amount: str, span_micros: in
     unique and a slice never ends between marks that belong together.
     """
     instants = rows.groupBy(account, "_t").agg(
-        F.count(F.lit(1)).alias("n"), F.count(amount).alias("priced"), F.sum(amount).alias("cents")
+        F.count(F.lit(1)).alias("n"),
+        F.count(amount).alias("priced"),
+        F.sum(F.col(amount).cast("decimal(20,0)")).cast(WIDE).alias("cents"),
     )
     begin = F.struct((F.col("_t") - span_micros).alias("pos"), F.lit(0).alias("own"))
     end = F.struct(F.col("_t").alias("pos"), F.lit(1).alias("own"))
@@ -195,12 +183,11 @@ def _trailing_totals(rows: DataFrame, account: str, amount: str, span_micros: in
     }
     earlier = carry(sliced, account, {name: F.sum(value) for name, value in measures.items()}, F.sum)
     running = in_slice(account, order).rowsBetween(Window.unboundedPreceding, 0)
-    sign = F.when(F.col("own") == 1, F.lit(1)).otherwise(F.lit(-1)).cast("bigint")
     terms = attach_carry(sliced, earlier, account).select(
         account,
         "_t",
         *(
-            ((F.sum(value).over(running) + F.coalesce(F.col(name), _zero())) * sign).alias(f"t{name}")
+            _signed(F.sum(value).over(running) + F.coalesce(F.col(name), _zero())).alias(f"t{name}")
             for name, value in measures.items()
         ),
     )
@@ -210,6 +197,6 @@ def _trailing_totals(rows: DataFrame, account: str, amount: str, span_micros: in
         .select(
             F.struct(account, "_t").alias("_at"),
             "txn_count",
-            F.when(F.col("priced") > 0, F.col("cents")).alias("cents_total"),
+            _cents_total(),
         )
     )

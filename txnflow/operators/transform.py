@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnflow.functions import (
+    RotatingKey,
     TokenKey,
     cents_to_dollars,
     enrich_with_mcc_category,
@@ -15,10 +16,19 @@ from txnflow.functions import (
     event_time,
     flag_high_value_transactions,
     normalize_currency,
+    rotating_token,
     tokenize_account_id,
 )
 from txnflow.functions.json import metadata_map
-from txnflow.schema import LANDING_COLUMNS, LANDING_NAMES, MASKED_ACCOUNT, PAYLOAD_NAMES
+from txnflow.operators.parse import CONSTRAINT_PREFIX, PARSE_FAILURE, unlandable
+from txnflow.schema import (
+    CORRUPT_RECORD,
+    LANDING_COLUMNS,
+    MASKED_ACCOUNT,
+    PAYLOAD_NAMES,
+    ROW_NUMBER,
+    STAGED_SCHEMA,
+)
 
 # Defaults of a new event.
 EVENT_DEFAULTS = {
@@ -37,15 +47,27 @@ def mask_account(df: DataFrame) -> DataFrame:
 
 def transform(
     df: DataFrame,
-    key: TokenKey | None,
+    key: TokenKey | Sequence[RotatingKey] | None,
     ingested_at: Column | None = None,
+    extra: Sequence[str] = (),
 ) -> DataFrame:
     """Tokenize, type, enrich and flag payload rows in one projection.
 
     With `key=None` the rows must already carry `account_id_token`, as staged
-    files do. `ingested_at` defaults to the start time of the query or batch.
+    files do. With several rotating keys the one in force on the day of the
+    event is taken, and `token_key_id` names it. `extra` payload fields, added
+    to the contract later, are carried along. `ingested_at` defaults to the
+    start time of the query or batch.
     """
-    token = F.col("account_id_token") if key is None else tokenize_account_id("account_id", key)
+    more = [F.col(name) for name in extra]
+    if key is None:
+        token = F.col("account_id_token")
+    elif isinstance(key, TokenKey):
+        token = tokenize_account_id("account_id", key)
+    else:
+        stamped = rotating_token("account_id", event_date(event_time("event_timestamp")), key)
+        token = stamped["token"]
+        more.append(stamped["key_id"].alias("token_key_id"))
     return df.select(
         "transaction_id",
         F.lit(MASKED_ACCOUNT).alias("account_id"),
@@ -66,11 +88,12 @@ def transform(
         enrich_with_mcc_category("merchant_category_code").alias("mcc_category"),
         flag_high_value_transactions("amount_cents").alias("is_high_value"),
         (F.current_timestamp() if ingested_at is None else ingested_at).alias("ingested_at"),
+        *more,
     )
 
 
-def landing_projection(df: DataFrame) -> DataFrame:
-    """Landing names, order, types and column defaults, plus the `event_date` partition."""
+def landing_projection(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Landing names, order, types and column defaults, `extra` columns, and the `event_date` partition."""
     renamed = {"kafka_partition": "partition", "kafka_offset": "offset"}
 
     def typed(column):
@@ -79,7 +102,7 @@ def landing_projection(df: DataFrame) -> DataFrame:
             value = F.coalesce(value, F.lit(column.default))
         return value.alias(column.name)
 
-    return df.select(*(typed(c) for c in LANDING_COLUMNS), event_date("event_ts").alias("event_date"))
+    return df.select(*(typed(c) for c in LANDING_COLUMNS), *extra, event_date("event_ts").alias("event_date"))
 
 
 def fill_defaults(
@@ -115,6 +138,30 @@ def event_envelope(events: DataFrame, fields: Sequence[str] = PAYLOAD_NAMES) ->
     )
 
 
+def tag_staged(staged: DataFrame, strict: bool = False) -> DataFrame:
+    """Staged rows with `dlq_reason`: unreadable, without an id, or, if strict, not fit for the landing table."""
+    unreadable = F.col(CORRUPT_RECORD).isNotNull() | F.col("transaction_id").isNull()
+    reason = F.when(unreadable, F.lit(PARSE_FAILURE))
+    if strict:
+        broken = unlandable(F.col("amount_cents").try_cast("bigint"))
+        reason = reason.when(F.size(broken) > 0, F.concat(F.lit(CONSTRAINT_PREFIX), F.get(broken, F.lit(0))))
+    return staged.withColumn("dlq_reason", reason)
+
+
+def staged_dead_letters(tagged: DataFrame) -> DataFrame:
+    """Refused staged rows in the shape of dead letters: the file stands for the topic, the record is the payload."""
+    record = F.coalesce(CORRUPT_RECORD, F.to_json(F.struct(*STAGED_SCHEMA.names)))
+    return tagged.where(F.col("dlq_reason").isNotNull()).select(
+        F.lit(None).cast("string").alias("kafka_key"),
+        F.lit(None).cast("timestamp").alias("kafka_timestamp"),
+        "dlq_reason",
+        F.col("source_file").alias("topic"),
+        F.lit(None).cast("int").alias("partition"),
+        F.lit(None).cast("bigint").alias("offset"),
+        record.cast("binary").alias("payload"),
+    )
+
+
 def staged_projection(staged: DataFrame) -> DataFrame:
     """Cast staged text fields to payload types. A failed cast gives null.
 
@@ -140,4 +187,4 @@ def staged_projection(staged: DataFrame) -> DataFrame:
 
 def with_row_number(landing: DataFrame) -> DataFrame:
     """Add a unique, increasing `_file_row_number`; the numbers have gaps."""
-    return landing.select(*LANDING_NAMES, "event_date", F.monotonically_increasing_id().alias("_file_row_number"))
+    return landing.withColumn(ROW_NUMBER, F.monotonically_increasing_id())

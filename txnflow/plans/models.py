@@ -3,18 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnflow.functions import MCC_CATEGORIES, RotatingKey, rotating_token
 from txnflow.operators.dedupe import latest_versions
-from txnflow.operators.hotkeys import ROWS_PER_TASK, lookup_joins
+from txnflow.schema import RETENTION_DAYS
 
 
 def mcc_dimension(spark: SparkSession) -> DataFrame:
-    """The fixed category list as a table, the stand-in for a larger dimension."""
-    return spark.createDataFrame(list(MCC_CATEGORIES.items()), "merchant_category_code string, category string")
+    """The fixed category list as a table, the stand-in for a larger dimension.
+
+    A relation of literals: its size is known when a join is planned, so that
+    ten rows are broadcast and no fact is shuffled by its code.
+    """
+    rows = ", ".join(f"('{code}', '{name}')" for code, name in MCC_CATEGORIES.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(merchant_category_code, category)")
 
 
 def stg_card_transactions(landing: DataFrame) -> DataFrame:
@@ -53,22 +59,17 @@ def int_enriched(
     mcc: DataFrame,
     accounts: DataFrame,
     merchants: DataFrame,
-    rows_per_task: int = ROWS_PER_TASK,
-    landing: DataFrame | None = None,
 ) -> DataFrame:
     """Staging rows with category, account and merchant attributes and signals.
 
     Dimensions are unique by key: `mcc(merchant_category_code, category)`,
     `accounts(account_id_token, ...)`, `merchants(merchant_id, ...)`. Joins are
-    left joins, so no transaction is lost to a missing dimension row. The
-    category list is left to Spark's own size check for broadcasting. Pass the
-    `landing` table below the staging rows to find busy accounts and merchants
-    in its two key columns, without deduplicating first.
+    left joins, so no transaction is lost to a missing dimension row. Spark
+    picks each join by the sizes it knows; busy accounts and merchants are split
+    by its skew join.
     """
     codes = mcc.select(F.col("merchant_category_code").alias("mcc"), F.col("category").alias("_category"))
-    coded = staging.join(codes, "mcc", "left")
-    dimensions = {"account_id_token": accounts, "merchant_id": merchants}
-    joined = lookup_joins(coded, dimensions, staging if landing is None else landing, rows_per_task)
+    joined = staging.join(codes, "mcc", "left").join(accounts, "account_id_token", "left").join(merchants, "merchant_id", "left")
     return joined.withColumns(
         {
             "mcc_category": F.coalesce("_category", F.lit("OTHER")),
@@ -127,11 +128,11 @@ def token_remap(accounts: DataFrame, old: RotatingKey, new: RotatingKey, account
     return each.select(*(t["token"].alias(name) for name, t in tokens.items()))
 
 
-def retention_keep(rows: DataFrame, days: int = 90, date: str = "event_date") -> DataFrame:
-    """Rows of the last `days` days before the newest date.
+def retention_keep(rows: DataFrame, newest: date, days: int = RETENTION_DAYS, column: str = "event_date") -> DataFrame:
+    """Rows of the last `days` days before `newest`.
 
-    The newest date is a scalar subquery, so on a table partitioned by date the
-    older partitions are not read.
+    The bound is a literal, so on a table partitioned by date only the folders
+    of these days are listed and read. `txnflow.sources.files.newest_day` finds
+    the date in the folder names of such a table.
     """
-    newest = rows.agg(F.max(date)).scalar()
-    return rows.where(F.col(date) >= F.date_sub(newest, days))
+    return rows.where(F.col(column) >= F.lit(newest - timedelta(days=days)))

@@ -67,7 +67,9 @@ def rpt_executive_kpis(transactions: DataFrame) -> DataFrame:
     """Daily KPIs by category with subtotals per day and in total.
 
     Sums are formed per day and category first; the rollup then multiplies only
-    those few rows, not the transactions. Null keys mark subtotals.
+    those few rows, not the transactions. `grouping_level` tells subtotals from
+    rows whose date or category is null: 0 for a day and category, 1 for a day,
+    3 for the total.
     """
     base = transactions.groupBy(F.to_date("event_ts").alias("event_date"), "mcc_category").agg(
         F.count(F.lit(1)).alias("n"),
@@ -79,12 +81,15 @@ def rpt_executive_kpis(transactions: DataFrame) -> DataFrame:
     )
     names = ("n", "priced", "high_value", "international", "refunds")
     totals = base.rollup("event_date", "mcc_category").agg(
-        *(F.sum(name).alias(name) for name in names), F.sum("volume").cast("decimal(38,2)").alias("volume")
+        *(F.sum(name).alias(name) for name in names),
+        F.sum("volume").cast("decimal(38,2)").alias("volume"),
+        F.grouping_id().alias("grouping_level"),
     )
     n = F.col("n")
     return totals.select(
         "event_date",
         "mcc_category",
+        F.col("grouping_level").cast("bigint").alias("grouping_level"),
         n.alias("transactions"),
         F.col("volume").alias("volume_usd"),
         average_dollars(F.col("volume"), F.col("priced")).alias("average_ticket"),

@@ -57,6 +57,10 @@ STAGED_SCHEMA = T.StructType(
     [T.StructField(n, T.StringType()) for n in (*PAYLOAD_NAMES, "account_id_token")]
 )
 
+# A record that is cut short or no object keeps its text here.
+CORRUPT_RECORD = "_corrupt_record"
+STAGED_READ_SCHEMA = T.StructType([*STAGED_SCHEMA.fields, T.StructField(CORRUPT_RECORD, T.StringType())])
+
 DEAD_LETTER_SCHEMA = T.StructType(
     [
         T.StructField("kafka_key", T.StringType()),
@@ -105,6 +109,9 @@ LANDING_NAMES = tuple(c.name for c in LANDING_COLUMNS)
 # Landing rows as stored: nullable, since the lenient route may land nulls.
 LANDING_SCHEMA = T.StructType([T.StructField(c.name, c.dtype) for c in LANDING_COLUMNS])
 
+# Number of a row within the batch that landed it; with the batch it is unique, and it has gaps.
+ROW_NUMBER = "_file_row_number"
+
 # Fixed values.
 MASKED_ACCOUNT = "[TOKENIZED]"
 RETENTION_DAYS = 90

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -36,12 +37,16 @@ def build_session(app_name: str = "txnflow", **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by `spark.checkpoint.dir`.
 
-    Only where the setting is absent, as in local tests, a folder is made.
+    Only where the setting is absent and all runs in one process, as in tests,
+    a folder is made. On a cluster each machine would write its own disk, so
+    the setting is required there.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     folder = folder or context.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="txnflow-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
@@ -53,21 +58,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, tasks: int) -> DataFrame:
-    """Rows in at least `tasks` partitions, for input that comes in a few splits.
-
-    For scans: a frame with a shuffle of its own would run to count its
-    partitions. Costs one shuffle where the input has fewer partitions, nothing
-    where it has enough, as any large table does.
-    """
-    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared folder and go on from the written rows.
+def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
+    """Write `df` as Parquet to the shared folder and go on from the written rows.
 
     Values that depend on how rows were partitioned stay as they were written
     even when an executor is lost later.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

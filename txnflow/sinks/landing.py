@@ -5,19 +5,23 @@ Writing a batch again replaces exactly those partitions, so a retried batch
 leaves the table as it was. `run_id` changes with the checkpoint, because a new
 checkpoint counts its batches from zero again.
 
-Streams leave many small partitions. `compact` rewrites closed days into files
-of an even size.
+Streams leave many small partitions. `compact` moves the batches of closed days
+into a table of even files by day and retires their partitions, so the landing
+folder lists only what is still open. `read_landed_days` in
+`txnflow.sources.files` reads both as one.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnflow.operators.dedupe import late_merge
-from txnflow.schema import LANDING_COLUMNS
+from txnflow.schema import LANDING_COLUMNS, ROW_NUMBER
+from txnflow.session import cut_lineage
 
 BATCH_PARTITIONS = ("run_id", "batch_id")
 
@@ -35,6 +39,8 @@ class FileSink:
     fmt: str = "parquet"
     partition_by: tuple[str, ...] = ("event_date",)
     options: dict[str, str] = field(default_factory=dict)
+    # A declared table over `path`, to which each batch adds its partitions.
+    table: str | None = None
 
     def write_batch(self, df: DataFrame, run_id: str, batch_id: int) -> None:
         stamped = df.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")})
@@ -47,26 +53,75 @@ class FileSink:
             .partitionBy(*self.partition_by, *BATCH_PARTITIONS)
             .save(self.path)
         )
+        if self.table:
+            add_batch(df.sparkSession, self.table, _days_of(df.sparkSession, self.path, run_id, batch_id), run_id, batch_id)
 
 
 @dataclass(frozen=True)
 class ConnectorSink:
     """Any Spark data source that takes appends, such as a warehouse connector.
 
-    Rows carry (run_id, batch_id), by which the target can discard a repeat.
+    Batches that were written are noted in the folder `ledger`, and a batch that
+    is noted is not written again. Only a job that dies between the append and
+    the note repeats a batch; its rows carry (run_id, batch_id), by which the
+    target can discard them.
     """
 
     fmt: str
+    ledger: str
     options: dict[str, str] = field(default_factory=dict)
 
     def write_batch(self, df: DataFrame, run_id: str, batch_id: int) -> None:
+        note = _Folder(df.sparkSession, f"{self.ledger}/run_id={run_id}/batch_id={batch_id}")
+        if note.exists():
+            return
         stamped = df.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")})
         stamped.write.format(self.fmt).options(**self.options).mode("append").save()
+        note.create()
+
+
+class _Folder:
+    """A folder of any file system that Spark reaches."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        self._fs = self._path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def exists(self) -> bool:
+        return self._fs.exists(self._path)
+
+    def create(self) -> None:
+        self._fs.mkdirs(self._path)
+
+    def delete(self) -> None:
+        self._fs.delete(self._path, True)
+
+    def delete_if_empty(self) -> None:
+        if not self.children():
+            self._fs.delete(self._path, True)
+
+    def children(self) -> list[str]:
+        return [s.getPath().getName() for s in self._fs.listStatus(self._path)] if self.exists() else []
+
+
+# The folder name Spark gives to a null partition value.
+NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
+def days_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the days of a table by day, from its folders; one listing, no file is opened."""
+    prefix = "event_date="
+    return sorted(n[len(prefix) :] for n in _Folder(spark, path).children() if n.startswith(prefix))
+
+
+def _days_of(spark: SparkSession, path: str, run_id: str, batch_id: int) -> list[str]:
+    folder = f"run_id={run_id}/batch_id={batch_id}"
+    return [d for d in days_in(spark, path) if _Folder(spark, f"{path}/event_date={d}/{folder}").exists()]
 
 
 def create_landing_table(spark: SparkSession, name: str, path: str) -> None:
     """Declare the landing table over `path`, partitioned as `FileSink` writes it."""
-    columns = ", ".join(f"{c.name} {c.dtype.simpleString()}" for c in LANDING_COLUMNS)
+    columns = ", ".join(f"{c.name} {c.dtype.simpleString()}" for c in LANDING_COLUMNS) + f", {ROW_NUMBER} bigint"
     partitions = "event_date, run_id, batch_id"
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}, event_date date, run_id string, batch_id bigint) "
@@ -75,19 +130,83 @@ def create_landing_table(spark: SparkSession, name: str, path: str) -> None:
     )
 
 
-def register_batches(spark: SparkSession, name: str) -> None:
-    """Make partitions written since the last call visible in the table."""
-    spark.catalog.recoverPartitions(name)
+def add_batch(spark: SparkSession, name: str, days: list[str], run_id: str, batch_id: int) -> None:
+    """Make the partitions of one batch visible in the table; other partitions are not listed."""
+    parts = " ".join(
+        f"PARTITION (event_date={'null' if d == NULL_DAY else f"DATE'{d}'"}, run_id='{run_id}', batch_id={batch_id})" for d in days
+    )
+    if parts:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
 
 
-def compact(spark: SparkSession, landing_path: str, table_path: str, first_day: str, last_day: str) -> None:
-    """Rewrite closed days of the landing table into evenly sized files.
+def compact(
+    spark: SparkSession, landing_path: str, table_path: str, first_day: str, last_day: str, staging_path: str, table: str | None = None
+) -> None:
+    """Move the batches of closed days from the landing folder into evenly sized files by day.
 
-    Only the partitions of those days are read. The rebalance splits a day that
-    is far larger than others over several tasks and joins small ones.
+    A day that already has rows in the table keeps them, so a batch that lands
+    late is added. The table keeps `run_id` and `batch_id`: a batch that is
+    still in the landing folder counts from there, which makes every step safe
+    to repeat. At last the moved partitions are deleted, and dropped from the
+    declared `table` if one is given.
     """
-    days = spark.read.parquet(landing_path).where(F.col("event_date").between(first_day, last_day))
-    write_days(days.drop(*BATCH_PARTITIONS), table_path)
+    closed = [d for d in days_in(spark, landing_path) if d != NULL_DAY and first_day <= d <= last_day]
+    if not closed:
+        return
+    moved = {d: _batches(spark, f"{landing_path}/event_date={d}") for d in closed}
+    folders = [f"{landing_path}/event_date={d}/run_id={r}/batch_id={b}" for d, own in moved.items() for r, b in own]
+    if not folders:
+        return
+    fresh = spark.read.option("basePath", landing_path).parquet(*folders)
+    # Read again by the table's types: folder names alone may look like numbers.
+    fresh = fresh.withColumns({"run_id": F.col("run_id").cast("string"), "batch_id": F.col("batch_id").cast("bigint")})
+    if _Folder(spark, table_path).exists():
+        within = F.col("event_date").between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))
+        kept = read_days(spark, table_path).where(within & F.col("event_date").isin([date.fromisoformat(d) for d in closed]))
+        listed = spark.createDataFrame([(d, r, b) for d, own in moved.items() for r, b in own], "d string, run_id string, batch_id bigint")
+        listed = listed.select(F.col("d").cast("date").alias("event_date"), "run_id", "batch_id")
+        fresh = fresh.unionByName(without_batches(kept, listed), allowMissingColumns=True)
+    fresh.write.mode("overwrite").parquet(staging_path)
+    write_days(spark.read.schema(fresh.schema).parquet(staging_path), table_path)
+    for folder in folders:
+        _Folder(spark, folder).delete()
+    for d, own in moved.items():
+        for run in {r for r, _ in own}:
+            _Folder(spark, f"{landing_path}/event_date={d}/run_id={run}").delete_if_empty()
+        _Folder(spark, f"{landing_path}/event_date={d}").delete_if_empty()
+    if table:
+        for d, own in moved.items():
+            for r, b in own:
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (event_date=DATE'{d}', run_id='{r}', batch_id={b})")
+
+
+def read_days(spark: SparkSession, table_path: str) -> DataFrame:
+    """A table by day, with `run_id` and `batch_id` even where some of its days were written without."""
+    schema = spark.read.parquet(table_path).schema
+    for name, kind in (("run_id", "string"), ("batch_id", "long")):
+        schema = schema if name in schema.names else schema.add(name, kind)
+    return spark.read.schema(schema).parquet(table_path)
+
+
+def has_batches(spark: SparkSession, landing_path: str) -> bool:
+    """Whether any batch is in the landing folder."""
+    return any(_batches(spark, f"{landing_path}/event_date={d}") for d in days_in(spark, landing_path))
+
+
+def _batches(spark: SparkSession, day_path: str) -> list[tuple[str, int]]:
+    """(run_id, batch_id) of the batches in one day's folder."""
+    runs = [n.split("=", 1)[1] for n in _Folder(spark, day_path).children() if n.startswith("run_id=")]
+    found = [(r, n) for r in runs for n in _Folder(spark, f"{day_path}/run_id={r}").children() if n.startswith("batch_id=")]
+    return [(r, int(n.split("=", 1)[1])) for r, n in found]
+
+
+def without_batches(rows: DataFrame, batches: DataFrame) -> DataFrame:
+    """Rows of no batch in `batches`; rows that never had one stay. Days compare null-safe."""
+    listed = batches.select(*(F.col(c).alias(f"_{c}") for c in ("event_date", *BATCH_PARTITIONS)))
+    same = F.col("event_date").eqNullSafe(F.col("_event_date"))
+    for name in BATCH_PARTITIONS:
+        same = same & (F.col(name) == F.col(f"_{name}"))
+    return rows.join(listed, same, "left_anti")
 
 
 def write_days(df: DataFrame, table_path: str) -> None:
@@ -101,32 +220,37 @@ def write_days(df: DataFrame, table_path: str) -> None:
     )
 
 
-def merge_into(spark: SparkSession, table_path: str, updates: DataFrame, staging_path: str) -> None:
+def merge_into(
+    spark: SparkSession, table_path: str, updates: DataFrame, staging_path: str, earliest_day: date | None = None
+) -> None:
     """Upsert late rows, rewriting only the days they touch.
 
-    A day is touched when an update falls on it or replaces a row there. The
-    merged days are written to `staging_path` first, so a failed job leaves the
-    table whole and the step can be run again.
+    A day is touched when an update falls on it or replaces a row there; rows
+    without a date are a day of their own. The merged days are written to
+    `staging_path` first, so a failed job leaves the table whole and the step
+    can be run again. `earliest_day` bounds the days that are searched for
+    replaced rows, for tables in which late rows never go back further.
     """
     table = spark.read.parquet(table_path)
     ids = updates.select("transaction_id").distinct()
-    replaced = table.select("transaction_id", "event_date").join(ids, "transaction_id", "left_semi")
-    days = replaced.select("event_date").union(updates.select("event_date")).distinct()
+    recent = F.lit(True) if earliest_day is None else (F.col("event_date") >= F.lit(earliest_day)) | F.col("event_date").isNull()
+    searched = table.where(recent).select("transaction_id", "event_date")
+    replaced = searched.join(ids, "transaction_id", "left_semi")
+    days = cut_lineage(replaced.select("event_date").union(updates.select("event_date")).distinct(), "days")
     # At most one row per calendar day, whatever the size of the table.
-    touched = table.join(F.broadcast(days), "event_date", "left_semi")
+    touched = _of_days(table, days, "left_semi")
     merged = late_merge(touched, updates)
     merged.write.mode("overwrite").parquet(staging_path)
     staged = spark.read.schema(merged.schema).parquet(staging_path)
     # A touched day is left empty when its last row moved to another day. Looked
     # up before the table changes; at most one row per calendar day.
-    emptied = days.join(staged.select("event_date").distinct(), "event_date", "left_anti").collect()
+    emptied = _of_days(days, staged.select("event_date").distinct(), "left_anti").collect()
     write_days(staged, table_path)
-    _clear_days(spark, table_path, [r["event_date"] for r in emptied])
+    for row in emptied:
+        _Folder(spark, f"{table_path}/event_date={row['event_date'] or NULL_DAY}").delete()
 
 
-def _clear_days(spark: SparkSession, table_path: str, days: list) -> None:
-    context = spark.sparkContext
-    hadoop = context._jsc.hadoopConfiguration()
-    for day in days:
-        folder = context._jvm.org.apache.hadoop.fs.Path(f"{table_path}/event_date={day}")
-        folder.getFileSystem(hadoop).delete(folder, True)
+def _of_days(rows: DataFrame, days: DataFrame, how: str) -> DataFrame:
+    """Rows whose day is (not) among `days`, null being a day like others."""
+    wanted = days.select(F.col("event_date").alias("_day"))
+    return rows.join(F.broadcast(wanted), F.col("event_date").eqNullSafe(F.col("_day")), how)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -21,17 +24,38 @@ def _complete() -> Column:
     return present
 
 
-def publish(events: DataFrame, options: dict[str, str], fmt: str = "kafka") -> dict[str, int]:
-    """Write events as keyed messages; gives the numbers produced and refused.
+class Published(NamedTuple):
+    """Numbers of events written and refused."""
+
+    produced: int
+    errors: int
+
+
+def publish(events: DataFrame, options: dict[str, str], refused_path: str, fmt: str = "kafka") -> Published:
+    """Write complete events as keyed messages, and the others, whole, to `refused_path`.
+
+    An event without one of the required fields is refused. Both numbers are
+    gathered by the writes themselves; each write computes its own rows once.
+    """
+    complete, refused = Observation(), Observation()
+    good = events.where(_complete()).observe(complete, F.count(F.lit(1)).alias("n"))
+    event_envelope(good).write.format(fmt).options(**options).mode("append").save()
+    bad = events.where(~_complete()).observe(refused, F.count(F.lit(1)).alias("n"))
+    bad.write.mode("append").parquet(refused_path)
+    return Published(complete.get["n"], refused.get["n"])
+
+
+@dataclass(frozen=True)
+class TopicSink:
+    """Dead letters to a topic, from the query that lands the batch.
 
-    An event without one of the required fields is refused, the others are
-    written. Both numbers are gathered by the write itself.
+    A batch that is tried again is sent again; consumers tell repeats by topic,
+    partition and offset in the message.
     """
-    if events.isEmpty():
-        return {"produced": 0, "errors": 0}
-    counts = Observation()
-    seen = events.observe(
-        counts, F.count_if(_complete()).alias("produced"), F.count_if(~_complete()).alias("errors")
-    )
-    event_envelope(seen.where(_complete())).write.format(fmt).options(**options).mode("append").save()
-    return counts.get
+
+    options: dict[str, str]
+    key: str = "kafka_key"
+    fmt: str = "kafka"
+
+    def write_batch(self, df: DataFrame, run_id: str, batch_id: int) -> None:
+        to_topic_records(df, self.key).write.format(self.fmt).options(**self.options).mode("append").save()

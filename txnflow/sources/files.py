@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnflow.schema import DEAD_LETTER_SCHEMA, ENVELOPE_SCHEMA, STAGED_SCHEMA
+from txnflow.schema import CORRUPT_RECORD, DEAD_LETTER_SCHEMA, ENVELOPE_SCHEMA, STAGED_READ_SCHEMA, STAGED_SCHEMA
+from txnflow.sinks.landing import BATCH_PARTITIONS, NULL_DAY, days_in, has_batches, read_days, without_batches
 
 
 def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ENVELOPE_SCHEMA).parquet(path)
 
 
-def stream_envelopes(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """File twin of the topic reader; the file cap stands for the offset cap."""
+def stream_envelopes(spark: SparkSession, path: str, max_files_per_trigger: int | None = 1000) -> DataFrame:
+    """File twin of the topic reader. The bound on files of one batch stands for
+    that on offsets: a backlog becomes several batches, none is left out."""
     reader = spark.readStream.schema(ENVELOPE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -27,20 +31,25 @@ def read_staged_json(spark: SparkSession, path: str, whole_file_arrays: bool = F
     are split over tasks. `whole_file_arrays` reads files whose one array spans
     lines; Spark parses such a file in one task, so keep these files small.
     """
-    return spark.read.schema(STAGED_SCHEMA).option("multiLine", whole_file_arrays).json(path)
+    return _staged(spark.read.schema(STAGED_READ_SCHEMA).option("multiLine", whole_file_arrays).json(path))
+
+
+def _staged(rows: DataFrame) -> DataFrame:
+    """Staged fields, the raw text of unreadable records, and the file they came from."""
+    return rows.select(*STAGED_SCHEMA.names, F.col(CORRUPT_RECORD), F.col("_metadata.file_path").alias("source_file"))
 
 
 def stream_staged_json(
     spark: SparkSession,
     path: str,
     whole_file_arrays: bool = False,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = 1000,
 ) -> DataFrame:
     """Continuous form: the checkpoint records loaded files, so each loads once."""
-    reader = spark.readStream.schema(STAGED_SCHEMA).option("multiLine", whole_file_arrays)
+    reader = spark.readStream.schema(STAGED_READ_SCHEMA).option("multiLine", whole_file_arrays)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(path)
+    return _staged(reader.json(path))
 
 
 def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
@@ -52,13 +61,24 @@ def read_landing(spark: SparkSession, path: str, merge_schema: bool = False) ->
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
-def read_landed_days(spark: SparkSession, table_path: str, landing_path: str, first_open_day: str) -> DataFrame:
-    """Closed days from the compacted table, later days from the landing table.
+def read_landed_days(spark: SparkSession, table_path: str, landing_path: str) -> DataFrame:
+    """All landed rows: the compacted table and what is still in the landing folder.
 
-    Both filters are on the partition column, so neither side reads the other's
-    days; rows without a readable event time are taken from the landing table.
+    `compact` retires the batches it moved, so the landing folder has those that
+    came since, late rows of closed days among them. A batch that is in both,
+    because a compaction broke off or the batch was written again, counts from
+    the landing folder.
     """
-    day = F.col("event_date")
-    closed = spark.read.parquet(table_path).where(day < F.lit(first_open_day).cast("date"))
-    recent = spark.read.parquet(landing_path).where((day >= F.lit(first_open_day).cast("date")) | day.isNull())
-    return closed.unionByName(recent.drop("run_id", "batch_id"))
+    closed = read_days(spark, table_path)
+    if not has_batches(spark, landing_path):
+        return closed.drop(*BATCH_PARTITIONS)
+    recent = spark.read.parquet(landing_path)
+    recent = recent.withColumns({"run_id": F.col("run_id").cast("string"), "batch_id": F.col("batch_id").cast("bigint")})
+    batches = recent.select("event_date", "run_id", "batch_id").distinct()
+    return without_batches(closed, batches).unionByName(recent, allowMissingColumns=True).drop(*BATCH_PARTITIONS)
+
+
+def newest_day(spark: SparkSession, table_path: str) -> date | None:
+    """The last day of a table by day, from the names of its folders."""
+    dated = [d for d in days_in(spark, table_path) if d != NULL_DAY]
+    return date.fromisoformat(dated[-1]) if dated else None

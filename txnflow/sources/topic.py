@@ -47,11 +47,14 @@ def read_from_kafka(spark: SparkSession, config: TopicConfig) -> DataFrame:
 
 
 def read_topic_range(spark: SparkSession, config: TopicConfig, ending_offsets: str = "latest") -> DataFrame:
-    """The retained messages of one topic as a batch, for backfills."""
+    """The retained messages of one topic as a batch, for backfills.
+
+    A backfill fails where messages it was to read are gone.
+    """
     stream_only = ("maxOffsetsPerTrigger", "startingOffsets", "kafka.group.id")
     options = {k: v for k, v in config.options().items() if k not in stream_only}
     return (
         spark.read.format("kafka")
-        .options(**options, startingOffsets="earliest", endingOffsets=ending_offsets)
+        .options(**{**options, "failOnDataLoss": "true"}, startingOffsets="earliest", endingOffsets=ending_offsets)
         .load()
     )

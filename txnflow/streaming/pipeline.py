@@ -8,87 +8,136 @@ retry ends in the same tables.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from txnflow.functions import TokenKey
+from txnflow.functions import RotatingKey, TokenKey
+from txnflow.operators.contract import data_tests
 from txnflow.operators.dedupe import dedupe_in_batch
 from txnflow.operators.parse import invalid_rows, tag, valid_rows
-from txnflow.operators.transform import landing_projection, staged_projection, transform
-from txnflow.session import spread
+from txnflow.operators.transform import (
+    landing_projection,
+    staged_dead_letters,
+    staged_projection,
+    tag_staged,
+    transform,
+    with_row_number,
+)
+from txnflow.schema import EVENT_TYPES, PAYLOAD_NAMES, PAYLOAD_SCHEMA
 from txnflow.sinks.landing import ConnectorSink, FileSink
-from txnflow.sinks.topic import to_topic_records
+from txnflow.sinks.topic import TopicSink
 
 Sink = FileSink | ConnectorSink
+Key = TokenKey | Sequence[RotatingKey]
+
+
+class HeldBatch(RuntimeError):
+    """A batch that the gate keeps back. Nothing of it is written or committed."""
 
 
 @dataclass(frozen=True)
 class PipelineConfig:
     landing: Sink
+    # Refused messages are never discarded, so there is always a place for them.
+    dead_letters: Sink | TopicSink
     checkpoint: str
-    dead_letters: Sink | None = None
     metrics: FileSink | None = None
     # False routes only unparseable messages and those without an id to the
-    # dead letters; True also those that break the declared contract.
+    # dead letters; True also those that break the declared contract or the
+    # constraints of the landing table.
     strict: bool = False
+    # True holds a batch back, by failing the query, if any of its messages is
+    # refused or its landing rows fail the data tests.
+    gate: bool = False
+    # The contract with optional fields added later; these land as columns.
+    schema: T.StructType = PAYLOAD_SCHEMA
     trigger: dict = field(default_factory=lambda: {"processingTime": "10 seconds"})
-    # Spread each batch over this many tasks before parsing, for sources that
-    # deliver it in fewer splits. For topics prefer `min_partitions`.
-    min_tasks: int | None = None
     # Set to name runs yourself; by default the id kept in the checkpoint is used.
     run_id: str | None = None
 
+    @property
+    def added_fields(self) -> list[str]:
+        return [n for n in self.schema.names if n not in PAYLOAD_NAMES]
+
 
 class MicroBatchWriter:
     """`foreachBatch` callback. A failed write propagates and fails the query."""
 
-    def __init__(self, config: PipelineConfig, key: TokenKey | None):
+    def __init__(self, config: PipelineConfig, key: Key | None):
         self._config = config
         self._key = key
 
     def _run_id(self, batch: DataFrame) -> str:
-        stored = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        return self._config.run_id or stored or "batch"
+        run_id = self._config.run_id or batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not run_id:
+            raise ValueError("a batch outside of a streaming query needs a run_id, so that no other run overwrites it")
+        return run_id
 
     def write(self, raw: DataFrame, batch_id: int) -> None:
         """Envelopes in; landing rows, dead letters and metrics out."""
         run_id = self._run_id(raw)
-        if self._config.min_tasks:
-            raw = spread(raw, self._config.min_tasks)
-        tagged = tag(raw, self._config.strict).persist()
+        config = self._config
+        tagged = tag(raw, config.strict, config.schema).persist()
         try:
             # This job parses the batch into the cache; the writes read from there.
             # Counting rows, not tasks' reports, stays right when a task runs again.
             n_valid, n_written, n_invalid = _batch_counts(tagged)
-            if n_invalid and self._config.dead_letters:
+            rows = valid_rows(tagged, tuple(config.schema.names))
+            # As many ids as rows: there is no copy to look for.
+            landing = self._landing(rows if n_valid == n_written else dedupe_in_batch(rows), config.added_fields)
+            self._pass_gate(landing, n_invalid)
+            if n_invalid:
                 dated = invalid_rows(tagged).withColumn("event_date", F.to_date("kafka_timestamp"))
-                self._config.dead_letters.write_batch(dated, run_id, batch_id)
+                config.dead_letters.write_batch(dated, run_id, batch_id)
             if n_valid:
-                rows = valid_rows(tagged)
-                # As many ids as rows: there is no copy to look for.
-                self._land(rows if n_valid == n_written else dedupe_in_batch(rows), run_id, batch_id)
+                config.landing.write_batch(landing, run_id, batch_id)
             if n_valid or n_invalid:
                 self._write_metrics(raw, (n_valid, n_valid - n_written, n_written, n_invalid), run_id, batch_id)
         finally:
             tagged.unpersist()
 
     def write_staged(self, staged: DataFrame, batch_id: int) -> None:
-        """Rows of staged files in, landed as they are: they have no stream position."""
+        """Rows of staged files in, landed without a stream position; unreadable records to the dead letters."""
         run_id = self._run_id(staged)
-        rows = staged_projection(staged).persist()
+        tagged = tag_staged(staged, self._config.strict).persist()
         try:
-            n = rows.count()
+            good = F.col("dlq_reason").isNull()
+            n, n_invalid = tagged.agg(F.count_if(good), F.count_if(~good)).first()
+            landing = self._landing(staged_projection(tagged.where(good)))
+            self._pass_gate(landing, n_invalid)
+            if n_invalid:
+                letters = staged_dead_letters(tagged).withColumn("event_date", F.lit(None).cast("date"))
+                self._config.dead_letters.write_batch(letters, run_id, batch_id)
             if n:
-                self._land(rows, run_id, batch_id)
-                self._write_metrics(staged, (n, 0, n, 0), run_id, batch_id)
+                self._config.landing.write_batch(landing, run_id, batch_id)
+            if n or n_invalid:
+                self._write_metrics(staged, (n, 0, n, n_invalid), run_id, batch_id)
         finally:
-            rows.unpersist()
+            tagged.unpersist()
 
-    def _land(self, rows: DataFrame, run_id: str, batch_id: int) -> None:
-        self._config.landing.write_batch(landing_projection(transform(rows, self._key)), run_id, batch_id)
+    def _landing(self, rows: DataFrame, added: Sequence[str] = ()) -> DataFrame:
+        rotating = self._key is not None and not isinstance(self._key, TokenKey)
+        extra = [*added, *(["token_key_id"] if rotating else [])]
+        return with_row_number(landing_projection(transform(rows, self._key, extra=added), extra))
+
+    def _pass_gate(self, landing: DataFrame, n_invalid: int) -> None:
+        if not self._config.gate:
+            return
+        broken = [("contract", "payload", n_invalid)] if n_invalid else []
+        tests = data_tests(
+            landing,
+            not_null=("transaction_id", "account_id_token", "amount_cents", "event_ts"),
+            unique=("transaction_id",),
+            accepted={"event_type": EVENT_TYPES},
+        )
+        broken += [tuple(r) for r in tests.where("failures > 0").collect()]
+        if broken:
+            raise HeldBatch(", ".join(f"{check} {column}: {n}" for check, column, n in broken))
 
     def _write_metrics(self, batch: DataFrame, counts: tuple[int, ...], run_id: str, batch_id: int) -> None:
         if self._config.metrics:
@@ -112,7 +161,7 @@ def _batch_counts(tagged: DataFrame) -> tuple[int, int, int]:
     return tuple(rows.first())
 
 
-def start_pipeline(envelopes: DataFrame, config: PipelineConfig, key: TokenKey) -> StreamingQuery:
+def start_pipeline(envelopes: DataFrame, config: PipelineConfig, key: Key) -> StreamingQuery:
     """Start the query on any stream of envelopes; `config.trigger` sets its pace."""
     return _start(envelopes, MicroBatchWriter(config, key).write, config)
 
@@ -130,16 +179,3 @@ def _start(stream: DataFrame, write, config: PipelineConfig) -> StreamingQuery:
         .trigger(**config.trigger)
         .start()
     )
-
-
-def start_dead_letter_topic(envelopes: DataFrame, servers: str, topic: str, checkpoint: str) -> StreamingQuery:
-    """Dead letters to a topic, for consumers that want messages instead of a table."""
-    records = to_topic_records(invalid_rows(tag(envelopes)), "kafka_key")
-    return (
-        records.writeStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("topic", topic)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .start()
-    )

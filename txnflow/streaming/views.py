@@ -9,22 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def use_disk_state(spark) -> None:
-    """Keep state on disk; state of large streams does not fit the heap."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-
-
 def dedupe_within_watermark(
-    rows: DataFrame, delay: str = "10 minutes", time: str = "event_ts", lanes: int = 0
+    rows: DataFrame, delay: str = "10 minutes", time: str = "event_ts", lanes: int = 16
 ) -> DataFrame:
     """One row per transaction across micro-batches, state bounded by `delay`.
 
-    All copies of an id meet in one task. Where one id may fill much of a batch,
-    set `lanes`: a first step drops copies in that many tasks per id, by stream
-    position, so the second step sees at most one copy per lane.
+    All copies of an id meet in one task. A first step drops copies in `lanes`
+    tasks per id, by stream position, so the second step sees at most one copy
+    per lane; 0 leaves it out.
     """
     timed = rows.withWatermark(time, delay)
     if lanes:
