@@ -49,10 +49,13 @@ def run_pipeline(spark: SparkSession, sf_dir: str, key=KEY, **settings) -> str:
     return root
 
 
-def split_messages(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
-    """The messages in files of their day order, one file for each micro-batch."""
+def split_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages of each week in a file and micro-batch of their own; second deliveries come a week later."""
     path = scratch_path(spark, "messages")
-    envelopes(table(spark, sf_dir, "events")).repartitionByRange(files, "timestamp").write.parquet(path)
+    week = F.floor((F.dayofmonth("timestamp") - 1) / 8) + F.col("offset") % 2
+    messages = envelopes(table(spark, sf_dir, "events"))
+    for number in range(5):  # one after the other: a stream takes files in the order of their times
+        messages.where(week == number).coalesce(1).write.mode("append").parquet(path)
     return stream_envelopes(spark, path, max_files_per_trigger=1)
 
 
@@ -188,8 +191,8 @@ def file_ingest(spark, sf_dir):
 def dedupe(spark, sf_dir):
     root = scratch_path(spark, "dedupe")
     rows = transform(valid_rows(tag(split_messages(spark, sf_dir))), KEY)
-    # Copies come up to a day apart, so a delay of two days loses none.
-    unique = dedupe_within_watermark(rows, "2 days").select(
+    # Copies come up to a week apart, so a delay of a month loses none.
+    unique = dedupe_within_watermark(rows, "31 days").select(
         "transaction_id", "account_id_token", "amount_cents", F.col("event_ts").cast("timestamp_ntz").alias("event_ts")
     )
     unique.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(**ONCE).start(
