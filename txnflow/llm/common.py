@@ -283,8 +283,9 @@ def count_codes(docs: DataFrame, text: str, codes_of: Callable, bits: int) -> np
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << bits, np.uint32)
         for batch in batches:
-            for codes in codes_of(batch.column(0).to_pylist()):
-                np.add.at(table, counter_of(codes, bits), 1)
+            found = [np.zeros(0, np.uint64), *codes_of(batch.column(0).to_pylist())]
+            places, times = np.unique(counter_of(np.concatenate(found), bits), return_counts=True)
+            table[places] += times.astype(np.uint32)
         own = table.reshape(-1, size)
         for k in np.nonzero(own.any(1))[0]:
             small = own[k].max() < 256

@@ -54,6 +54,8 @@ COUNTERS = 24
 LEAST_DIVERGENCE, LEAST_GAIN = 0.02, 10.0
 #: Pseudo-counts that a context borrows from its suffix.
 BORROWED = 1.0
+#: Marks that tell most codes from those of kept contexts, as a power of two.
+MARKS = 20
 #: The code of the end; no word has it but by the chance that two words share one.
 END = np.uint64(1)
 
@@ -74,22 +76,17 @@ class Tokens:
     def of(cls, texts: list[str | None], frequent: tuple[np.ndarray, np.ndarray]) -> Tokens:
         spoken = [space_words(t) for t in texts]
         sizes = np.fromiter(map(len, spoken), np.int64, len(spoken)) + 1
-        found = pa.array([w for own in spoken for w in own], pa.binary()).dictionary_encode()
-        distinct = word_codes(found.dictionary.to_pylist())
         codes = np.full(sizes.sum(), END)
         ends = np.cumsum(sizes) - 1
         is_word = np.ones(len(codes), bool)
         is_word[ends] = False
-        codes[is_word] = distinct[found.indices.to_numpy(zero_copy_only=False)]
+        codes[is_word] = word_codes([w for own in spoken for w in own])
         times = np.zeros(len(codes), np.int64)
         names, counts = frequent
         if len(names):
-            def look_up(own):
-                at = np.minimum(np.searchsorted(names, own), len(names) - 1)
-                return np.where(names[at] == own, counts[at], 0)
-
-            times[is_word] = look_up(distinct)[found.indices.to_numpy(zero_copy_only=False)] if len(distinct) else 0
-            times[ends] = look_up(np.array([END]))[0]
+            distinct, index = np.unique(codes, return_inverse=True)
+            at = np.minimum(np.searchsorted(names, distinct), len(names) - 1)
+            times = np.where(names[at] == distinct, counts[at], 0)[index]
         first = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
         return cls(codes, times, first, np.repeat(np.arange(len(spoken)), sizes))
 
@@ -118,13 +115,25 @@ class SuffixTree:
     tokens: int
     unknown: float
 
+    def __post_init__(self):
+        self._marks: list[np.ndarray] = []
+
     @staticmethod
-    def _look_up(codes: np.ndarray, table: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    def _places(codes: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where codes stand in a sorted table, and whether they do."""
         if not len(table):
-            return [np.zeros(len(codes)) for _ in values]
+            return np.zeros(len(codes), np.int64), np.zeros(len(codes), bool)
         at = np.minimum(np.searchsorted(table, codes), len(table) - 1)
-        same = table[at] == codes
-        return [np.where(same, v[at], 0.0) for v in values]
+        return at, table[at] == codes
+
+    def _kept(self, size: int, codes: np.ndarray) -> np.ndarray:
+        """Indexes of codes that may be kept contexts: most are not, and one look at a small table tells."""
+        if not self._marks:
+            for names, _, _ in self.contexts:
+                marks = np.zeros(1 << MARKS, bool)
+                marks[counter_of(names, MARKS)] = True
+                self._marks.append(marks)
+        return np.nonzero(self._marks[size - 1][counter_of(codes, MARKS)] & (codes != 0))[0]
 
     def root(self, times: np.ndarray) -> np.ndarray:
         """Probability of tokens seen `times` times; the unknown word for 0."""
@@ -140,11 +149,14 @@ class SuffixTree:
         for size in range(1, DEPTH + 1):
             context = np.zeros(len(p), np.uint64)
             context[1:] = np.where(tokens.owner[1:] == tokens.owner[:-1], sequences[size - 1][:-1], np.uint64(0))
-            left, total = self._look_up(context, *self.contexts[size - 1])
-            (times,) = self._look_up(sequences[size], *self.listed[size - 1])
-            kept = total > 0
-            own = np.where(sequences[size] != 0, times, 0.0) / np.maximum(total, 1e-300)
-            p = np.where(kept, np.where(known, own, 0.0) + left * p, p)
+            names, lefts, totals = self.contexts[size - 1]
+            at = self._kept(size, context)
+            place, kept = self._places(context[at], names)
+            at, place = at[kept], place[kept]
+            listed, counts = self.listed[size - 1]
+            spot, found = self._places(sequences[size][at], listed)
+            times = np.where(found & known[at], counts[spot] if len(counts) else 0.0, 0.0)
+            p[at] = times / totals[place] + lefts[place] * p[at]
         return np.log10(p)
 
 
