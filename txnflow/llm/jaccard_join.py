@@ -10,8 +10,9 @@
 4. Blocks are expanded to their members, one for each distinct set, and members
    are verified on whole sets: from each member on, those not reached yet are
    compared, so that a block of n similar members costs some n comparisons, and
-   no list of all pairs is ever made. Large blocks are dealt out in chunks, each
-   chunk with each other.
+   no list of all pairs is ever made. Large blocks are dealt out in chunks, which
+   share some pivots; only members that are not in a block's largest component
+   after that meet the other chunks.
 5. Verified links give components, and these go back to all documents.
 
 Shingles are compared as 64-bit codes. The order only decides how much work is
@@ -38,9 +39,13 @@ SHINGLE, PERCENT = 5, 80
 COUNTERS = 23
 #: Shingles that one task verifies at once; larger blocks are dealt out in chunks of about half of it.
 BLOCK_SHINGLES = 2_000_000
+#: Members of a large block, about, that go to each of its chunks in the first round.
+PIVOTS = 64
 #: Members of blocks up to which their ids are broadcast to find their texts again; beyond, the texts are joined.
 BROADCAST_MEMBERS = 1_000_000
 
+SET_COLUMNS = ("block", "block_sets", "chunks", "n", "code", "shingles")
+
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -115,7 +120,7 @@ def _group_links(profiles: DataFrame) -> DataFrame:
 
 
 def _members(docs: DataFrame, profiles: DataFrame, blocks: DataFrame) -> DataFrame:
-    """(block, chunks, code, n, doc_id): one document for each distinct set of a block that has several."""
+    """(block, block_sets, chunks, code, n, doc_id): one document for each distinct set of a block that has several."""
     blocks = blocks.select(F.col("node").alias("group"), F.col("root").alias("block"))
     sets = profiles.where("n > 0").groupBy("group", "code").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc_id"))
     sets = sets.join(blocks, "group", "left").withColumn("block", F.coalesce("block", "group"))
@@ -123,28 +128,29 @@ def _members(docs: DataFrame, profiles: DataFrame, blocks: DataFrame) -> DataFra
     sizes = sets.groupBy("block").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles")).where("sets > 1")
     whole = F.col("shingles") <= BLOCK_SHINGLES
     chunks = F.when(whole, 1).otherwise(F.ceil(F.col("shingles") / (BLOCK_SHINGLES // 2)))
-    return written(sets.join(sizes.withColumn("chunks", chunks.cast("int")), "block").drop("sets", "shingles", "group"), "members")
+    sizes = sizes.select("block", F.col("sets").alias("block_sets"), chunks.cast("int").alias("chunks"))
+    return written(sets.join(sizes, "block").drop("group"), "members")
 
 
 def _member_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
     """Members with their shingles, from the texts they came from."""
-    named = members.select(F.col("doc_id").alias("member_id"), "block", "chunks", "code")
+    named = members.select(F.col("doc_id").alias("member_id"), "block", "block_sets", "chunks", "n", "code")
     if members.count() <= BROADCAST_MEMBERS:
         named = F.broadcast(named)
-    texts = docs.join(named, docs["doc_id"].eqNullSafe(named["member_id"])).select("block", "chunks", "code", "text")
+    texts = docs.join(named, docs["doc_id"].eqNullSafe(named["member_id"])).select(*SET_COLUMNS[:-1], "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, sets = [], []
-            for row, (code, text) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+            for row, (code, text) in enumerate(zip(batch.column("code").to_pylist(), batch.column("text").to_pylist())):
                 codes = shingles(text)
                 if _set_code(codes) == code:  # else another row with the same id
                     keep.append(row)
                     sets.append(codes.tobytes())
             kept = batch.take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*kept.columns[:3], pa.array(sets, pa.binary())], names=["block", "chunks", "code", "shingles"])
+            yield pa.RecordBatch.from_arrays([*kept.columns[:-1], pa.array(sets, pa.binary())], names=list(SET_COLUMNS))
 
-    return texts.mapInArrow(run, "block long, chunks int, code long, shingles binary")
+    return texts.mapInArrow(run, "block long, block_sets long, chunks int, n long, code long, shingles binary")
 
 
 def linked_pairs(sets: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -193,20 +199,56 @@ def linked_pairs(sets: list[np.ndarray]) -> list[tuple[int, int]]:
             waiting.append(int(other))
 
 
-def _verified(sets: DataFrame) -> DataFrame:
-    """Verified links (a, b) between set codes."""
-    own = F.when(F.col("chunks") > 1, F.pmod(F.xxhash64("code"), F.col("chunks"))).otherwise(0).cast("int")
-    others = F.sequence(F.lit(0), F.col("chunks") - 1)
-    dealt = sets.withColumn("own", own).withColumn("other", F.explode(others))
-    dealt = dealt.select("block", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "code", "shingles")
+def _linked(dealt: DataFrame) -> DataFrame:
+    """Links (many, a, b) within the rows of equal (block, i, j); `many` marks blocks of several chunks."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        many = bool(rows["many"].iloc[0])
         rows = rows.drop_duplicates("code")
         codes = rows["code"].to_numpy()
         links = linked_pairs([np.frombuffer(x, np.uint64) for x in rows["shingles"]]) if len(rows) > 1 else []
-        return pd.DataFrame({"a": [codes[i] for i, _ in links], "b": [codes[j] for _, j in links]}, dtype="int64")
+        found = pd.DataFrame({"a": [codes[i] for i, _ in links], "b": [codes[j] for _, j in links]}, dtype="int64")
+        return found.assign(many=many)[["many", "a", "b"]]
+
+    rows = dealt.select("block", "i", "j", (F.col("chunks") > 1).alias("many"), "code", "shingles")
+    return rows.groupBy("block", "i", "j").applyInPandas(run, "many boolean, a long, b long")
+
+
+def _chunk(code: str, chunks: str, seed: int):
+    return F.pmod(F.xxhash64(F.lit(seed), code), F.col(chunks)).cast("int")
 
-    return dealt.groupBy("block", "i", "j").applyInPandas(run, "a long, b long")
+
+def _verified(sets: DataFrame, members: DataFrame) -> DataFrame:
+    """Verified links (a, b) between set codes that join all sets linked by any way.
+
+    First each member is compared within its chunk, and with the pivots of its
+    block. Two members of a block's largest component then need no comparison
+    any more: only the others meet all chunks.
+    """
+    home = F.when(F.col("chunks") > 1, _chunk("code", "chunks", 1)).otherwise(0)
+    one_in = F.greatest(F.lit(1).cast("long"), F.floor(F.col("block_sets") / PIVOTS))
+    pivot = (F.col("chunks") > 1) & (F.pmod(F.xxhash64(F.lit(2), "code"), one_in) == 0)
+    everywhere = F.sequence(F.lit(0), F.col("chunks") - 1)
+    first = sets.withColumn("i", F.explode(F.when(pivot, everywhere).otherwise(F.array(home)))).withColumn("j", F.lit(0))
+    links = written(_linked(first), "links")
+    large = members.where("chunks > 1")
+    if large.isEmpty():
+        return links.select("a", "b")
+    classes = components(links.where("many").select("a", "b")).select(F.col("node").alias("code"), F.col("root").alias("class"))
+    classed = large.select("block", "code", "n").join(classes, "code", "left").withColumn("class", F.coalesce("class", "code"))
+    counts = classed.groupBy("block", "class").agg(F.count(F.lit(1)).alias("size"))
+    largest = counts.groupBy("block").agg(F.max(F.struct("size", "class"))["class"].alias("largest"))
+    rest = classed.join(largest, "block").where("class <> largest").select("block", "code", "n")
+    rest = written(rest, "rest")
+    parts = F.ceil(F.sum("n") / (BLOCK_SHINGLES // 2)).cast("int")
+    dealt = rest.groupBy("block").agg(parts.alias("parts"))
+    again = sets.where("chunks > 1").join(dealt, "block")
+    stay = again.withColumn("i", home).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    move = again.join(rest.select("code").distinct(), "code", "left_semi").withColumn("j", _chunk("code", "parts", 3))
+    move = move.withColumn("i", F.explode(everywhere))
+    columns = ("block", "i", "j", "chunks", "code", "shingles")
+    more = _linked(stay.select(*columns).unionByName(move.select(*columns)))
+    return links.unionByName(more).select("a", "b")
 
 
 def join_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -224,7 +266,7 @@ def join_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     profiles = written(_profiles(docs, scale), "profiles")
     blocks = components(_group_links(profiles))
     members = _members(docs, profiles, blocks)
-    links = _verified(_member_sets(docs, members))
+    links = _verified(_member_sets(docs, members), members)
     classes = components(links).select(F.col("node").alias("code"), F.col("root").alias("class"))
     # The smallest id of each set, then of each class: sets are few where documents are copies.
     sets = profiles.where("n > 0").groupBy("code").agg(F.min("doc_id").alias("first_id"))
