@@ -4,6 +4,7 @@ from txnflow.llm.license_rules import AFTER, BASE, BEFORE, anchored, signatures
 from txnflow.llm.license_scan import scan_licenses
 from txnflow.llm.queries import QUERIES
 
+RULES = signatures()
 PHRASES = {("cc", "by"): "cc-by", ("general", "public", "license"): "gpl", ("all", "rights", "reserved"): "reserved"}
 
 
@@ -24,7 +25,7 @@ def brute_finds(text):
     """Kept finds by comparing all with all."""
     words, found = words_of(text), set()
     for i, word in enumerate(words):
-        for s in signatures():
+        for s in RULES:
             if s.keyword == word:
                 context = " ".join([*words[max(0, i - BEFORE) : i], "@" + word, *words[i + 1 : i + 1 + AFTER]])
                 hit = re.search(anchored(s), context)
