@@ -1,6 +1,8 @@
 import re
 
-from txnflow.llm.license_rules import AFTER, BASE, BEFORE, anchored, signatures
+import pytest
+
+from txnflow.llm.license_rules import AFTER, BASE, BEFORE, Signature, anchored, reach, signatures
 from txnflow.llm.license_scan import scan_licenses
 from txnflow.llm.queries import QUERIES
 
@@ -78,3 +80,36 @@ def test_hundreds_of_rules_and_other_columns(spark):
     docs = spark.createDataFrame([(1, "cc by", 2, "x")], "doc_id long, text string, LICENSES int, found string")
     assert scan_licenses(docs).columns == ["doc_id", "text", "found", "licenses"]
     assert scan_licenses(docs.limit(0)).count() == 0
+
+
+def whole_text_finds(text):
+    """Kept finds by searching the whole text, without a window."""
+    words, found = words_of(text), set()
+    for i, word in enumerate(words):
+        context = " ".join([*words[:i], "@" + word, *words[i + 1 :]])
+        for s in RULES:
+            hit = re.search(anchored(s), context) if s.keyword == word else None
+            if hit:
+                start = i - hit[0].split("@")[0].count(" ")
+                found.add((start, start + len(hit[0].split(" ")), s.tier, s.label))
+    return {
+        (a, z, label) for a, z, tier, label in found
+        if not any((b, -y, t, other) < (a, -z, tier, label) and y >= z and t <= tier for b, y, t, other in found)
+    }
+
+
+def test_longest_matches_are_found_whole(spark):
+    terms = "licensed to you under the terms of the"
+    names = ["GNU General Public License", "GNU GPL v3", "GNU Lesser General Public License", "GNU AGPL", "SIL OFL 1.1", "3-Clause BSD",
+             "GNU Free Documentation License version 1.3"]
+    texts = [f"This work is {dual}{terms} {name} or not" for dual in ("", "dual ") for name in names]
+    docs = spark.createDataFrame(list(enumerate([*texts, *TEXTS])), "doc_id long, text string")
+    got = {r.doc_id: {(x.start, x.end, x.label) for x in r.licenses.finds} for r in scan_licenses(docs).collect()}
+    assert got == {i: whole_text_finds(t) for i, t in enumerate([*texts, *TEXTS])}
+    assert all(min(start for start, _, _ in got[i]) == 2 for i in range(len(texts)))
+    assert {label for _, _, label in got[names.index("3-Clause BSD")]} == {"bsd"}
+
+
+def test_rules_without_bound_are_refused():
+    with pytest.raises(ValueError):
+        reach([Signature("x", "x", "(?:very )*@x", 1, 0.5)])

@@ -5,9 +5,6 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-#: Most words before and after the keyword that a rule looks at.
-BEFORE, AFTER = 8, 12
-
 
 @dataclass(frozen=True)
 class Signature:
@@ -106,6 +103,25 @@ def signatures() -> list[Signature]:
     return [*BASE, *made]
 
 
+def reach(rules: list[Signature]) -> tuple[int, int]:
+    """Bounds on the words before and after the keyword in any match of `rules`.
+
+    No part of a pattern repeats, so each space in it stands for one word at
+    most. Patterns that could match without bound are refused.
+    """
+    before = after = 0
+    for signature in rules:
+        if re.search(r"[*+{.]|\\[^d]|\[\^", signature.pattern):
+            raise ValueError(f"no bound on the words of {signature.pattern!r}")
+        head, _, tail = signature.pattern.partition("@")
+        before, after = max(before, head.count(" ")), max(after, tail.count(" "))
+    return before, after
+
+
+#: Most words before and after the keyword that a match of the own rules can have.
+BEFORE, AFTER = reach(signatures())
+
+
 def anchored(signature: Signature) -> str:
     """The rule as a Java or Python expression over `words before @keyword words after`."""
     re.compile(signature.pattern)

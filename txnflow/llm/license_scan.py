@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnflow.llm.common import fresh
-from txnflow.llm.license_rules import AFTER, BASE, BEFORE, Signature, anchored, signatures
+from txnflow.llm.license_rules import BASE, Signature, anchored, reach, signatures
 from txnflow.llm.quality import let
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -32,15 +32,16 @@ def _rules(rules: list[Signature]) -> Column:
 def _finds(words: Column, rules: list[Signature]) -> Column:
     """All finds in a text's words, by start, longest first, lowest tier first."""
     keywords = sorted({s.keyword for s in rules})
+    most_before, most_after = reach(rules)
     places = F.filter(F.transform(words, lambda w, i: F.when(w.isin(keywords), i)), lambda i: i.isNotNull())
 
     def at(i):
-        first = F.greatest(i - BEFORE, F.lit(0))
+        first = F.greatest(i - most_before, F.lit(0))
         around = F.concat_ws(
             " ",
             F.slice(words, first + 1, i - first),
             F.concat(F.lit("@"), F.get(words, i)),
-            F.slice(words, i + 2, AFTER),
+            F.slice(words, i + 2, most_after),
         )
 
         def tried(context):
@@ -67,13 +68,13 @@ def _finds(words: Column, rules: list[Signature]) -> Column:
     return F.array_sort(F.array_distinct(F.flatten(F.transform(places, at))))
 
 
-def _kept(finds: Column, n_rules: int) -> Column:
+def _kept(finds: Column, rules: list[Signature]) -> Column:
     """Finds that lie in no other of the same or a lower tier.
 
-    A find has at most BEFORE + 1 + AFTER words, so whatever contains it
+    The reach of the rules bounds the words of a find, so whatever contains it
     started at most so many words before: as many finds back as there can be.
     """
-    back = (BEFORE + 1 + AFTER) * n_rules
+    back = (sum(reach(rules)) + 1) * len(rules)
 
     def alone(find, k):
         size = F.least(k, F.lit(back))
@@ -104,7 +105,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", rules: list[Signature] |
     def result(finds):
         return F.struct(
             F.transform(F.filter(finds, lambda x: x.base), span).alias("base"),
-            F.transform(_kept(finds, len(rules)), span).alias("finds"),
+            F.transform(_kept(finds, rules), span).alias("finds"),
         )
 
     gated = F.when(value.rlike(f"(?i)(?:{keywords})"), found)
