@@ -124,3 +124,13 @@ def test_no_training_rows_and_empty_table(spark):
     assert rows[1].train_tokens == 0 and rows[1].n_known == 0 and rows[1].n_tokens == 3
     assert rows[1].base_score == 0 and rows[1].score == 0
     assert st.score_texts(docs.limit(0), F.lit(True)).count() == 0
+
+
+def test_what_is_kept_does_not_shrink_with_the_corpus(spark):
+    filler = " ".join(f"w{i % 5000}x{i % 7}" for i in range(600_000))
+    rows = [(True, "the rare phrase stands here")] * 4 + [(True, filler)] * 2 + [(False, "the rare phrase stands here")]
+    docs = spark.createDataFrame([(i, t, k) for i, (k, t) in enumerate(rows)], "doc_id long, text string, kind boolean")
+    got = {r.doc_id: r for r in st.score_texts(docs, F.col("kind")).collect()}
+    # Four times in 1.2 million tokens, below 2**-18 of them: 'rare phrase stands here' is all but certain after 'the'.
+    assert 4 < got[6].train_tokens * 2.0**-18
+    assert got[6].score > -9 > got[6].base_score

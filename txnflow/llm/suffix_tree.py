@@ -2,18 +2,19 @@
 
 A text's tokens are its lower-cased words and an end. The tree's root is the
 distribution of single tokens. A context of up to `DEPTH` tokens is a candidate
-if it makes up a certain share of the training tokens, which bounds the tree
-whatever the size of the corpus; it is kept if its next-token distribution
-diverges enough from that of its longest kept suffix. Each distribution is
-smoothed with that of the suffix, and the root keeps the share of words seen
-once for unknown ones. A token is scored in the longest kept suffix of what
-stands before it.
-
-Counting takes three passes over the training texts: words; all short sequences
-of frequent words into a table of counters of fixed size; and, exactly, those
-sequences whose counter reaches the least count. No sequence that is frequent
-enough can be missed. Frequent words and sequences, a bounded number, are
-broadcast; the other words of each text meet their counts in a join.
+if it was seen `LEAST_TIMES` times, however large the corpus, so that the tree
+grows with it; it is kept if its next-token distribution diverges enough from
+that of its longest kept suffix. Each distribution is smoothed with that of the
+suffix, and the root keeps the share of words seen once for unknown ones. A
+token is scored in the longest kept suffix of what stands before it.
+
+Counting takes two passes over the training texts: words and pairs; and those
+longer sequences whose pairs may have been seen often enough. The tree is built
+level by level in joins and is a table of additive weights: a kept context adds
+the log of the share it leaves to its suffix, and a listed sequence what its
+last token gains over that. A text's score is the sum over the sequences in it.
+The most frequent codes, a bounded number, meet their weights in a broadcast
+table, the others in a join; this decides how a weight is found, never which.
 """
 
 from __future__ import annotations
@@ -28,52 +29,49 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnflow.llm.common import (
-    Counts,
-    count_codes,
-    counter_of,
-    mixed,
-    prepare,
-    scaled,
-    signed,
-    space_words,
-    word_codes,
-    written,
-)
+from txnflow.llm.common import mixed, prepare, signed, space_words, word_codes, written
 
 #: Tokens of the longest context.
 DEPTH = 3
-#: Share of the training tokens that makes a word frequent and a context a candidate, and one that lists a sequence:
-#: at most 1 / share of them, the latter for each length.
-WORD_SHARE, SEQUENCE_SHARE = 2.0**-18, 2.0**-20
-#: A sequence is listed if it occurs so often at least.
+#: Shares of the training tokens below which a word or context, or a sequence, would not count. Zero: least counts are
+#: fixed, and nothing is left out because the corpus is large.
+WORD_SHARE, SEQUENCE_SHARE = 0.0, 0.0
+#: A sequence is listed, and a context a candidate, if it occurs so often at least.
 LEAST_TIMES = 2
-#: Counters for sequences, as a power of two.
-COUNTERS = 24
 #: A context is kept if it gains so many nats over its suffix for each time it was seen, and in all.
 LEAST_DIVERGENCE, LEAST_GAIN = 0.02, 10.0
 #: Pseudo-counts that a context borrows from its suffix.
 BORROWED = 1.0
-#: Marks that tell most codes from those of kept contexts, as a power of two.
-MARKS = 20
+#: Codes that make up this share of the training tokens meet their weights in a broadcast table, the others in a join.
+BROADCAST_SHARE = 2.0**-20
+#: Bits that tell most codes from those of a table, as a power of two, and of one row on their way to the driver.
+MARKS, MARK_BLOCK = 27, 15
+#: Tokens, at most, whose sequences a task counts before it passes them on.
+COUNTED = 1 << 20
+#: Rows of one Arrow batch of counts.
+COUNT_ROWS = 1 << 16
 #: The code of the end; no word has it but by the chance that two words share one.
 END = np.uint64(1)
 
-NAMES = ["row", "doc_id", "training", "n_tokens", "known", "base", "score", "words", "times"]
+NAMES = ["row", "doc_id", "training", "n_tokens", "known", "base", "score", "codes", "times"]
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _joined(context: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """Codes of sequences from those without their last and without their first token."""
+    return mixed(context * _STEP + tail)
+
+
 @dataclass
 class Tokens:
-    """The tokens of some texts in one row: their codes, how often frequent ones occur, and where texts begin."""
+    """The tokens of some texts in one row: their codes, their places in their texts, and whose they are."""
 
     codes: np.ndarray
-    times: np.ndarray
-    first: np.ndarray
+    place: np.ndarray
     owner: np.ndarray
 
     @classmethod
-    def of(cls, texts: list[str | None], frequent: tuple[np.ndarray, np.ndarray]) -> Tokens:
+    def of(cls, texts: list[str | None]) -> Tokens:
         spoken = [space_words(t) for t in texts]
         sizes = np.fromiter(map(len, spoken), np.int64, len(spoken)) + 1
         codes = np.full(sizes.sum(), END)
@@ -81,182 +79,151 @@ class Tokens:
         is_word = np.ones(len(codes), bool)
         is_word[ends] = False
         codes[is_word] = word_codes([w for own in spoken for w in own])
-        times = np.zeros(len(codes), np.int64)
-        names, counts = frequent
-        if len(names):
-            distinct, index = np.unique(codes, return_inverse=True)
-            at = np.minimum(np.searchsorted(names, distinct), len(names) - 1)
-            times = np.where(names[at] == distinct, counts[at], 0)[index]
-        first = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
-        return cls(codes, times, first, np.repeat(np.arange(len(spoken)), sizes))
-
-    def sequences(self) -> list[np.ndarray]:
-        """For each length from 1 to DEPTH + 1 the code of the sequence that ends at each token, 0 where it would
-        reach back beyond its text or hold a token that is not frequent."""
-        n = len(self.codes)
-        known = self.times > 0
-        place = np.arange(n) - self.first[self.owner] if n else np.zeros(0, np.int64)
-        hashed = mixed(self.codes)
-        found = [np.where(known, hashed, np.uint64(0))]
+        place = np.arange(len(codes)) - np.repeat(ends + 1 - sizes, sizes)
+        return cls(mixed(codes), place, np.repeat(np.arange(len(spoken)), sizes))
+
+    def sequences(self, marks: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each length from 1 to DEPTH + 1 the codes of the sequences that end at each token, and which of them
+        stand within one text; with `marks` only those whose pairs are marked."""
+        found = [(self.codes, np.ones(len(self.codes), bool))]
         for size in range(2, DEPTH + 2):
-            longer = np.zeros(n, np.uint64)
-            before = found[-1][:-1]
-            longer[1:] = np.where((before != 0) & known[1:] & (place[1:] >= size - 1), mixed(before * _STEP + hashed[1:]), np.uint64(0))
-            found.append(longer)
+            before, real = found[-1]
+            longer, inside = np.zeros_like(before), np.zeros_like(real)
+            longer[1:] = _joined(before[:-1], before[1:])
+            inside[1:] = real[:-1] & real[1:] & (self.place[1:] >= size - 1)
+            if marks is not None and size == 2:
+                inside[inside] = _marked(marks, longer[inside])
+            found.append((longer, inside))
         return found
 
 
-@dataclass
-class SuffixTree:
-    """Kept contexts by length with the share left to their suffix and the count, listed sequences with their counts."""
-
-    contexts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
-    listed: list[tuple[np.ndarray, np.ndarray]]
-    tokens: int
-    unknown: float
-
-    def __post_init__(self):
-        self._marks: list[np.ndarray] = []
-
-    @staticmethod
-    def _places(codes: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where codes stand in a sorted table, and whether they do."""
-        if not len(table):
-            return np.zeros(len(codes), np.int64), np.zeros(len(codes), bool)
-        at = np.minimum(np.searchsorted(table, codes), len(table) - 1)
-        return at, table[at] == codes
-
-    def _kept(self, size: int, codes: np.ndarray) -> np.ndarray:
-        """Indexes of codes that may be kept contexts: most are not, and one look at a small table tells."""
-        if not self._marks:
-            for names, _, _ in self.contexts:
-                marks = np.zeros(1 << MARKS, bool)
-                marks[counter_of(names, MARKS)] = True
-                self._marks.append(marks)
-        return np.nonzero(self._marks[size - 1][counter_of(codes, MARKS)] & (codes != 0))[0]
-
-    def root(self, times: np.ndarray) -> np.ndarray:
-        """Probability of tokens seen `times` times; the unknown word for 0."""
-        if not self.tokens:
-            return np.ones(len(times))
-        return np.where(times > 0, (1 - self.unknown) * times / self.tokens, self.unknown)
-
-    def log_scores(self, tokens: Tokens) -> np.ndarray:
-        """log10 probability of each token, without the root's part where the token is not frequent."""
-        known = tokens.times > 0
-        p = np.where(known, self.root(tokens.times), 1.0)
-        sequences = tokens.sequences()
-        for size in range(1, DEPTH + 1):
-            context = np.zeros(len(p), np.uint64)
-            context[1:] = np.where(tokens.owner[1:] == tokens.owner[:-1], sequences[size - 1][:-1], np.uint64(0))
-            names, lefts, totals = self.contexts[size - 1]
-            at = self._kept(size, context)
-            place, kept = self._places(context[at], names)
-            at, place = at[kept], place[kept]
-            listed, counts = self.listed[size - 1]
-            spot, found = self._places(sequences[size][at], listed)
-            times = np.where(found & known[at], counts[spot] if len(counts) else 0.0, 0.0)
-            p[at] = times / totals[place] + lefts[place] * p[at]
-        return np.log10(p)
-
-
-def _corpus_words(docs: DataFrame) -> DataFrame:
-    """(key, n): each token's code and count; key 0 has the number of texts."""
+def _marked(marks: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Whether codes may be in the table that was marked."""
+    at = codes >> np.uint64(64 - MARKS)
+    return (marks[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, texts = Counts(), 0
-        none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
-        def rows(keys, n):
-            return pa.RecordBatch.from_arrays([pa.array(signed(keys)), pa.array(n)], names=["key", "n"])
+def _marks_of(keys: DataFrame) -> np.ndarray:
+    """One bit for each code in column `key`, at the place its first bits name. The table has a fixed size; codes
+    that are not in the column may have a bit, those in it always do."""
+    at = F.shiftrightunsigned("key", 64 - MARKS)
+    bits = keys.groupBy(F.shiftright(at, MARK_BLOCK).alias("block")).agg(
+        F.bitmap_construct_agg(at.bitwiseAND(F.lit((1 << MARK_BLOCK) - 1))).alias("bits")
+    )
+    table = np.zeros((1 << (MARKS - MARK_BLOCK), 1 << (MARK_BLOCK - 3)), np.uint8)
+    for block, own in bits.toLocalIterator():
+        table[block] = np.frombuffer(own, np.uint8)
+    return table.ravel()
+
+
+def _counted(docs: DataFrame, sizes: tuple[int, ...], marks: np.ndarray | None = None) -> DataFrame:
+    """(size, context, tail, n) of the sequences of some lengths; a word has context 0 and itself for tail."""
+    shared = None if marks is None else docs.sparkSession.sparkContext.broadcast(marks)
+
+    def batches_of(waiting):
+        for size in sizes:
+            context, tail = (np.concatenate([w[size][k] for w in waiting]) for k in (0, 1))
+            key = tail if size == 1 else _joined(context, tail)
+            order = np.argsort(key)
+            key = key[order]
+            first = np.nonzero(np.concatenate([[True], key[1:] != key[:-1]]))[0] if len(key) else order
+            n = np.diff(np.append(first, len(key)))
+            context, tail = (signed(x[order[first]]) for x in (context, tail))
+            for k in range(0, len(first), COUNT_ROWS):
+                part = slice(k, k + COUNT_ROWS)
+                columns = [pa.array(np.full(len(n[part]), size, np.int32)), *(pa.array(x[part]) for x in (context, tail, n))]
+                yield pa.RecordBatch.from_arrays(columns, names=["size", "context", "tail", "n"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, tokens = [], 0
         for batch in batches:
-            codes = Tokens.of(batch.column(0).to_pylist(), none).codes
-            texts += batch.num_rows
-            words.add(*np.unique(codes, return_counts=True))
-            if words.full():
-                yield rows(*words.take())
-        yield rows(*words.take())
-        yield rows(np.zeros(1, np.uint64), np.array([texts], np.int64))
-
-    counted = docs.select("text").mapInArrow(run, "key long, n long")
-    return counted.groupBy("key").agg(F.sum("n").alias("n"))
+            own = Tokens.of(batch.column(0).to_pylist())
+            found = own.sequences(None if shared is None else shared.value)
+            kept = {}
+            for size in sizes:
+                at = np.nonzero(found[size - 1][1])[0]
+                codes = found[max(0, size - 2)][0]
+                kept[size] = (np.zeros(len(at), np.uint64) if size == 1 else codes[at - 1], codes[at])
+            waiting.append(kept)
+            tokens += len(own.codes)
+            if tokens > COUNTED:
+                yield from batches_of(waiting)
+                waiting, tokens = [], 0
+        if waiting:
+            yield from batches_of(waiting)
+
+    rows = docs.select("text").mapInArrow(run, "size int, context long, tail long, n long")
+    return rows.groupBy("size", "context", "tail").agg(F.sum("n").alias("n")).where(F.col("size").isin(1) | (F.col("n") >= LEAST_TIMES))
+
+
+def _keyed(counted: DataFrame) -> DataFrame:
+    """Counts with the code of each sequence in `key`."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, context, tail = (batch.column(k).to_numpy() for k in range(3))
+            codes = _joined(context.view(np.uint64), tail.view(np.uint64))
+            key = np.where(size == 1, tail, signed(codes))
+            yield pa.RecordBatch.from_arrays([pa.array(key), *batch.columns], names=["key", *batch.schema.names])
 
-def _frequent_sequences(docs: DataFrame, frequent: tuple, least: int) -> dict[int, list[tuple[int, int, int, int]]]:
-    """By length, from 2 on: (sequence, its context, the sequence without its first token, count) of those seen
-    `least` times or more."""
-    context = docs.sparkSession.sparkContext
-    shared = context.broadcast(frequent)
+    return counted.mapInArrow(run, "key long, size int, context long, tail long, n long")
 
-    def codes_of(texts):
-        return [s[s != 0] for s in Tokens.of(texts, shared.value).sequences()[1:]]
 
-    table = context.broadcast(count_codes(docs, "text", codes_of, COUNTERS))
-    reach = max(0, int(scaled(least)) - 1)
+def _level(sequences: DataFrame, shorter: DataFrame, least: float) -> DataFrame:
+    """The listed sequences of one length: key, n, p (of the last token in the longest kept suffix of the context),
+    and where the context is kept also context, total, left and delta, the log of what the last token gains.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tokens = Tokens.of(batch.column(0).to_pylist(), shared.value)
-            found = tokens.sequences()
-            for size in range(2, DEPTH + 2):
-                own = found[size - 1]
-                at = np.nonzero((own != 0) & (table.value[counter_of(own, COUNTERS)] >= reach))[0]
-                if not len(at):
-                    continue
-                keys, where, n = np.unique(own[at], return_index=True, return_counts=True)
-                spot = at[where]
-                before = found[size - 2][spot - 1]
-                tail = found[size - 2][spot]
-                columns = [pa.array(np.full(len(keys), size, np.int32)), *(pa.array(signed(x)) for x in (keys, before, tail)), pa.array(n)]
-                yield pa.RecordBatch.from_arrays(columns, names=["size", "key", "context", "tail", "n"])
-
-    schema = "size int, key long, context long, tail long, n long"
-    counted = docs.select("text").mapInArrow(run, schema).groupBy("size", "key", "context", "tail").agg(F.sum("n").alias("n"))
-    kept = counted.where(F.col("n") >= least).toArrow()
-    columns = [kept.column(i).to_numpy() for i in range(5)]
-    return {size: [tuple(int(v) & (2**64 - 1) for v in r) for r in zip(*(c[columns[0] == size] for c in columns[1:]))] for size in range(2, DEPTH + 2)}
-
-
-def build_tree(counts: dict[int, int], sequences: dict[int, list[tuple[int, int, int, int]]], tokens: int, unknown: float, least: float) -> SuffixTree:
-    """The tree from frequent tokens (hashed code: count) and listed sequences.
-
-    `sequences[size]` has (sequence, context, the sequence without its first
-    token, count); a context needs a count of `least`.
+    `shorter` has key, n and p of those one token shorter; a context needs a count of `least`.
     """
-    tree = SuffixTree([], [], tokens, unknown)
-    seen = {0: {}, 1: counts, **{size: {key: n for key, _, _, n in own} for size, own in sequences.items()}}
-    # The probability of a listed sequence's last token in the longest kept suffix of its context.
-    chance = {1: {key: (1 - unknown) * n / max(1, tokens) for key, n in counts.items()}}
-    kept: dict[int, dict[int, float]] = {0: {}}
-    for size in range(2, DEPTH + 2):
-        after: dict[int, list[tuple[int, int, int]]] = {}
-        for key, context, tail, n in sequences.get(size, []):
-            after.setdefault(context, []).append((key, tail, n))
-        kept[size - 1], chance[size] = {}, {}
-        for context, own in after.items():
-            total = seen[size - 1].get(context, 0)
-            below = [chance[size - 1][tail] for _, tail, _ in own]
-            for (key, _, _), p in zip(own, below):
-                chance[size][key] = p
-            if total < least:
-                continue
-            left = (total - sum(n for _, _, n in own) + BORROWED) / (total + BORROWED)
-            mixed_up = [n / (total + BORROWED) + left * p for (_, _, n), p in zip(own, below)]
-            gain = sum(n * math.log(q / p) for (_, _, n), q, p in zip(own, mixed_up, below))
-            rest = total - sum(n for _, _, n in own)
-            gain += rest * math.log(left) if rest else 0.0
-            if gain >= LEAST_GAIN and gain >= LEAST_DIVERGENCE * total:
-                kept[size - 1][context] = left
-                for (key, _, _), q in zip(own, mixed_up):
-                    chance[size][key] = q
-        names = np.array(sorted(kept[size - 1]), np.uint64)
-        lefts = np.array([kept[size - 1][int(c)] for c in names])
-        totals = np.array([seen[size - 1][int(c)] + BORROWED for c in names], float)
-        tree.contexts.append((names, lefts, totals))
-        mine = sorted((key, n) for key, context, _, n in sequences.get(size, []) if context in kept[size - 1])
-        tree.listed.append((np.array([k for k, _ in mine], np.uint64), np.array([n for _, n in mine], float)))
-    return tree
+    below = shorter.select(F.col("key").alias("tail"), F.col("p").alias("below"))
+    own = written(sequences.join(below, "tail").select("key", "context", "n", "below"), "level")
+    totals = shorter.where(F.col("n") >= least).select(F.col("key").alias("context"), F.col("n").alias("total"))
+    sums = own.groupBy("context").agg(F.sum("n").alias("follow")).join(totals, "context")
+    sums = sums.withColumn("left", (F.col("total") - F.col("follow") + BORROWED) / (F.col("total") + BORROWED))
+    chance = F.col("n") / (F.col("total") + BORROWED) + F.col("left") * F.col("below")
+    rest = F.max(F.col("total") - F.col("follow"))
+    gains = own.join(sums, "context").groupBy("context").agg(
+        (F.sum(F.col("n") * F.log(chance / F.col("below"))) + rest * F.log(F.max("left"))).alias("gain"),
+        F.max("total").alias("total"),
+        F.max("left").alias("left"),
+    )
+    kept = gains.where((F.col("gain") >= LEAST_GAIN) & (F.col("gain") >= LEAST_DIVERGENCE * F.col("total"))).drop("gain")
+    found = own.join(kept, "context", "left")
+    return written(
+        found.select(
+            "key",
+            "n",
+            F.coalesce(chance, "below").alias("p"),
+            F.when(F.col("left").isNotNull(), F.col("context")).alias("context"),
+            "total",
+            "left",
+            F.log10(chance / (F.col("left") * F.col("below"))).alias("delta"),
+        ),
+        "tree",
+    )
+
+
+def _weights(words: DataFrame, levels: list[DataFrame], share: float) -> DataFrame:
+    """key, n, known, base, weight: what each time a code occurs adds to a text; a code may have two rows."""
+    none = F.lit(0.0)
+    tables = [words.select("key", "n", F.lit(1).alias("known"), F.log10(F.col("n") + 1.0).alias("base"), (F.log10("n") + share).alias("weight"))]
+    for level in levels:
+        kept = level.where("context IS NOT NULL")
+        tables.append(kept.select("key", "n", F.lit(0).alias("known"), none.alias("base"), F.col("delta").alias("weight")))
+        contexts = kept.groupBy("context").agg(F.max("total").alias("n"), F.max("left").alias("left"))
+        tables.append(contexts.select(F.col("context").alias("key"), "n", F.lit(0).alias("known"), none.alias("base"), F.log10("left").alias("weight")))
+    whole = tables[0]
+    for table in tables[1:]:
+        whole = whole.unionByName(table)
+    return written(whole, "weights")
+
+
+def _frequent(weights: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted codes, and for each one known, base and weight."""
+    few = weights.toArrow()
+    key = few.column("key").to_numpy().view(np.uint64)
+    names, index = np.unique(key, return_inverse=True)
+    return names, np.stack([np.bincount(index, few.column(c).to_numpy().astype(float), len(names)) for c in ("known", "base", "weight")])
 
 
 def score_texts(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -270,64 +237,73 @@ def score_texts(docs: DataFrame, training: Column, doc_id: str = "doc_id", text:
     rows are counted and scored each for itself. Words and sequences are
     compared as 64-bit codes.
     """
-    prepare(docs.sparkSession)
+    spark = prepare(docs.sparkSession)
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(training, F.lit(False)).alias("training"))
     learned = docs.where("training")
-    counts = written(_corpus_words(learned), "word-counts")
-    words = counts.where("key <> 0")
+    short = written(_keyed(_counted(learned, (1, 2))), "counts")
+    words = short.where("size = 1")
     total = words.agg(F.sum("n"), F.count(F.lit(1)), F.count(F.when(F.col("n") == 1, 1))).first()
     n_train, kinds, once = int(total[0] or 0), int(total[1]), int(total[2])
-    least_word = max(1.0, n_train * WORD_SHARE)
-    few = words.where(F.col("n") >= least_word).toArrow()
-    names, numbers = few.column("key").to_numpy().view(np.uint64), few.column("n").to_numpy()
-    order = np.argsort(names)
-    frequent = names[order], numbers[order]
     unknown = (once + 0.5) / (n_train + 1.0) if n_train else 1.0
     least = max(LEAST_TIMES, math.ceil(n_train * SEQUENCE_SHARE))
-    sequences = _frequent_sequences(learned, frequent, least) if len(names) else {}
-    hashed = dict(zip(mixed(frequent[0]).tolist(), frequent[1].tolist())) if len(names) else {}
-    tree = build_tree(hashed, sequences, n_train, unknown, max(LEAST_TIMES, n_train * WORD_SHARE))
-    shared = docs.sparkSession.sparkContext.broadcast((tree, frequent))
+    pairs = short.where((F.col("size") == 2) & (F.col("n") >= least))
+    long = written(_keyed(_counted(learned, tuple(range(3, DEPTH + 2)), _marks_of(pairs))), "counts")
+    root = (1 - unknown) / max(1, n_train)
+    known = words.where(F.col("n") >= max(1.0, n_train * WORD_SHARE)).withColumn("p", F.col("n") * F.lit(root))
+    levels = []
+    for size in range(2, DEPTH + 2):
+        own = pairs if size == 2 else long.where((F.col("size") == size) & (F.col("n") >= least))
+        levels.append(_level(own, levels[-1] if levels else known, max(LEAST_TIMES, n_train * WORD_SHARE)))
+    weights = _weights(words, levels, math.log10(root) if n_train else 0.0)
+    often = F.col("n") >= max(1.0, n_train * BROADCAST_SHARE)
+    shared = spark.sparkContext.broadcast((*_frequent(weights.where(often)), _marks_of(weights)))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, frequent = shared.value
+        names, values, marks = shared.value
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             texts = batch.num_rows
             if not texts:
                 continue
-            tokens = Tokens.of(batch.column(1).to_pylist(), frequent)
-            each = lambda values: np.bincount(tokens.owner, values, texts)  # noqa: B023, E731
-            rare = tokens.times == 0
-            distinct, index = np.unique(tokens.codes[rare], return_inverse=True)
-            pair, n = np.unique(tokens.owner[rare] * max(1, len(distinct)) + index, return_counts=True)
-            holder, word = np.divmod(pair, max(1, len(distinct)))
+            tokens = Tokens.of(batch.column(1).to_pylist())
+            codes, owner = [], []
+            for own, real in tokens.sequences():
+                at = np.nonzero(real)[0]
+                at = at[_marked(marks, own[at])]
+                codes.append(own[at])
+                owner.append(tokens.owner[at])
+            distinct, index = np.unique(np.concatenate(codes), return_inverse=True)
+            pair, n = np.unique(np.concatenate(owner) * max(1, len(distinct)) + index, return_counts=True)
+            holder, code = np.divmod(pair, max(1, len(distinct)))
+            spot = np.minimum(np.searchsorted(names, distinct), max(0, len(names) - 1))
+            often = (names[spot] == distinct if len(names) else np.zeros(len(distinct), bool))[code]
+            sums = [np.bincount(holder[often], n[often] * own[spot[code[often]]], texts) for own in values]
+            holder, code, n = holder[~often], code[~often], n[~often]
             cuts = pa.array(np.searchsorted(holder, np.arange(texts + 1)).astype(np.int32))
             columns = [
                 pa.array(row + np.arange(texts)),
                 batch.column(0),
                 batch.column(2),
-                pa.array(each(None).astype(np.int64)),
-                pa.array(each(~rare).astype(np.int64)),
-                pa.array(each(np.log10(tokens.times + 1.0))),
-                pa.array(each(tree.log_scores(tokens))),
-                pa.ListArray.from_arrays(cuts, pa.array(signed(distinct[word]))),
+                pa.array(np.bincount(tokens.owner, None, texts).astype(np.int64)),
+                pa.array(np.rint(sums[0]).astype(np.int64)),
+                pa.array(sums[1].astype(float)),
+                pa.array(sums[2].astype(float)),
+                pa.ListArray.from_arrays(cuts, pa.array(signed(distinct[code]))),
                 pa.ListArray.from_arrays(cuts, pa.array(n.astype(np.int32))),
             ]
             row += texts
             yield pa.RecordBatch.from_arrays(columns, names=NAMES)
 
-    schema = f"row long, doc_id {kind}, training boolean, n_tokens long, known long, base double, score double, words array<long>, times array<int>"
+    schema = f"row long, doc_id {kind}, training boolean, n_tokens long, known long, base double, score double, codes array<long>, times array<int>"
     scored = written(docs.select("doc_id", "text", "training").mapInArrow(run, schema), "scored")
-    rare = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("w"))
-    rare = rare.select("row", F.col("w.words").alias("key"), F.col("w.times").alias("times"))
-    seldom = words.where(F.col("n") < least_word)
-    share = math.log10((1 - unknown) / n_train) if n_train and unknown < 1 else 0.0
+    rare = scored.select("row", F.explode(F.arrays_zip("codes", "times")).alias("w"))
+    rare = rare.select("row", F.col("w.codes").alias("key"), F.col("w.times").alias("times"))
+    seldom = weights.where(~often).select("key", F.col("known").alias("is_word"), F.col("base").alias("own_base"), "weight")
     found = rare.join(seldom, "key").groupBy("row").agg(
-        F.sum("times").alias("more"),
-        F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more_base"),
-        F.sum(F.col("times") * (F.log10("n") + share)).alias("more_score"),
+        F.sum(F.col("times") * F.col("is_word")).alias("more"),
+        F.sum(F.col("times") * F.col("own_base")).alias("more_base"),
+        F.sum(F.col("times") * F.col("weight")).alias("more_score"),
     )
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     missing = F.col("n_tokens") - F.col("known") - zero("more")
