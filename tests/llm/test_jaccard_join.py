@@ -126,3 +126,16 @@ def test_components(spark):
     assert len({found[i] for i in range(301)}) == 1 and len({found[i] for i in [*range(900, 950), 999]}) == 1
     assert found[0] != found[900] and 5000 not in found
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("block", [2_000_000, 2_000])
+def test_links_of_each_document(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", block)
+    rows = small_rows()
+    sets = [set_of(t) for _, t in rows]
+    alike = lambda a, b: 100 * len(a & b) >= 80 * len(a | b) if a and b else False
+    want = [(*row, sum(alike(own, other) for k, other in enumerate(sets) if k != i)) for i, (row, own) in enumerate(zip(brute(rows), sets))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = join_similar(docs, count_links=True)
+    assert got.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
+    assert plain(got.collect()) == plain(want) and max(n for *_, n in want) > 10

@@ -251,7 +251,65 @@ def _verified(sets: DataFrame, members: DataFrame) -> DataFrame:
     return links.unionByName(more).select("a", "b")
 
 
-def join_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def _link_counts(sets: DataFrame, members: DataFrame, classes: DataFrame, copies: DataFrame) -> DataFrame:
+    """(code, others): for each distinct set how many documents of other sets are linked to it.
+
+    All members of a component are compared, chunk by chunk, and only counts
+    leave a task.
+    """
+    parts = F.ceil(F.sum("n") / (BLOCK_SHINGLES // 2)).cast("int")
+    own = written(members.select("code", "n").join(classes, "code").join(copies, "code"), "classed")
+    own = own.join(own.groupBy("class").agg(parts.alias("parts")), "class").drop("n")
+    rows = sets.select("code", "shingles").join(own, "code").withColumn("home", _chunk("code", "parts", 4))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.select("class", F.least("home", "with").alias("i"), F.greatest("home", "with").alias("j"), "home", "code", "copies", "shingles")
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.drop_duplicates("code")
+        here = (rows["home"] == rows["i"]).to_numpy()
+        found = linked_copies([np.frombuffer(x, np.uint64) for x in rows["shingles"]], rows["copies"].to_numpy(), here, bool((rows["i"] == rows["j"]).iloc[0]))
+        return pd.DataFrame({"code": rows["code"], "others": found}, dtype="int64")
+
+    counted = rows.groupBy("class", "i", "j").applyInPandas(run, "code long, others long")
+    return counted.groupBy("code").agg(F.sum("others").alias("others"))
+
+
+def linked_copies(sets: list[np.ndarray], copies: np.ndarray, here: np.ndarray, alone: bool) -> np.ndarray:
+    """For each set the copies of those linked to it: of all others if `alone`, else of those on the other side of `here`."""
+    found = np.zeros(len(sets), np.int64)
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    left, right = np.nonzero(here)[0], np.nonzero(here if alone else ~here)[0]
+    if not len(left) or not len(right):
+        return found
+    names, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    marked = np.zeros(len(names), bool)
+    across = np.concatenate([codes[starts[k] : starts[k] + sizes[k]] for k in right])
+    across_starts = np.cumsum(sizes[right]) - sizes[right]
+    for k in left:
+        own = codes[starts[k] : starts[k] + sizes[k]]
+        marked[own] = True
+        common = np.add.reduceat(marked[across].astype(np.int32), across_starts)
+        marked[own] = False
+        linked = right[(100 * common >= PERCENT * (sizes[right] + sizes[k] - common)) & (right != k)]
+        found[k] += copies[linked].sum()
+        if not alone:
+            found[linked] += copies[k]
+    return found
+
+
+def _compared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Profiles of all documents, members of blocks, their sets, and (code, class) of the linked ones."""
+    scale = count_codes(docs, "text", lambda texts: [shingles(t) for t in texts], COUNTERS)
+    profiles = written(_profiles(docs, scale), "profiles")
+    blocks = components(_group_links(profiles))
+    members = _members(docs, profiles, blocks)
+    sets = _member_sets(docs, members)
+    classes = components(_verified(sets, members)).select(F.col("node").alias("code"), F.col("root").alias("class"))
+    return profiles, members, sets, classes
+
+
+def join_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", count_links: bool = False) -> DataFrame:
     """One row for each row of `docs`: doc_id, n_shingles, component_id, the smallest doc_id that links reach.
 
     Two documents are linked if their shingle sets have a Jaccard similarity of
@@ -259,27 +317,32 @@ def join_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     and those without words have no shingles and are linked with nothing.
     Repeated rows are linked like any copies, unless they have no words. A null
     doc_id counts as larger than any other. An empty table gives an empty table.
+
+    Components need only so many links as join them. With `count_links` all
+    pairs of distinct sets in a component are compared, which takes the square
+    of its size, and a column n_links has how many other rows each row is linked to.
     """
     prepare(docs.sparkSession)
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    scale = count_codes(docs, "text", lambda texts: [shingles(t) for t in texts], COUNTERS)
-    profiles = written(_profiles(docs, scale), "profiles")
-    blocks = components(_group_links(profiles))
-    members = _members(docs, profiles, blocks)
-    links = _verified(_member_sets(docs, members), members)
-    classes = components(links).select(F.col("node").alias("code"), F.col("root").alias("class"))
+    profiles, members, member_sets, classes = _compared(docs)
     # The smallest id of each set, then of each class: sets are few where documents are copies.
-    sets = profiles.where("n > 0").groupBy("code").agg(F.min("doc_id").alias("first_id"))
+    sets = profiles.where("n > 0").groupBy("code").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
     sets = sets.join(classes, "code", "left").withColumn("class", F.coalesce("class", "code"))
     least = sets.groupBy("class").agg(F.min("first_id").alias("least_id"))
-    named = sets.join(least, "class").select("code", F.coalesce("least_id", "first_id").alias("component_id"))
+    named = sets.join(least, "class").select("code", F.coalesce("least_id", "first_id").alias("component_id"), "copies")
+    if count_links:
+        copies = named.select("code", "copies")
+        named = named.join(_link_counts(member_sets, members, classes, copies), "code", "left")
     found = profiles.select("doc_id", "n", "code").join(named, "code", "left")
     alone = F.col("n") == 0
-    return found.select(
-        "doc_id",
+    columns = [
+        F.col("doc_id"),
         F.col("n").alias("n_shingles"),
         F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-    )
+    ]
+    if count_links:
+        columns.append(F.when(alone, 0).otherwise(F.col("copies") - 1 + F.coalesce("others", F.lit(0))).cast("long").alias("n_links"))
+    return found.select(*columns)
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
