@@ -139,3 +139,13 @@ def test_links_of_each_document(spark, monkeypatch, block):
     got = join_similar(docs, count_links=True)
     assert got.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
     assert plain(got.collect()) == plain(want) and max(n for *_, n in want) > 10
+
+
+def test_keep_one_row_where_ids_repeat_or_lack(spark):
+    a, b, c = "a b c d e f", "g h i j k l", "m n o p q r"
+    rows = [(7, a), (7, b), (3, b), (8, a), (7, None), (7, a), (9, "x y"), (9, "x  y"), (None, c), (None, c), (None, ""), (1, "z"), (2, "z")]
+    docs = spark.createDataFrame([(d, t, {"k": 1}) for d, t in rows], "doc_id long, text string, set_code map<string,int>")
+    kept = keep_one(docs)
+    assert kept.schema == docs.schema
+    want = [(7, a), (3, b), (7, None), (9, "x  y"), (None, c), (None, ""), (1, "z")]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(want, key=repr)

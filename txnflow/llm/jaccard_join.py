@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from txnflow.llm.common import components, count_codes, counter_of, mixed, prepare, space_words, word_codes, written
+from txnflow.llm.common import components, count_codes, counter_of, fresh, map_texts, mixed, prepare, space_words, word_codes, written
 
 #: Words of a shingle, and the least similarity of a link in percent.
 SHINGLE, PERCENT = 5, 80
@@ -346,11 +346,43 @@ def join_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", co
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` with one document of each component, that of the smallest id, and its columns as they were.
+    """`docs` with one row of each component, one of the smallest id, and its columns as they were.
 
-    An id stands for a document: rows that repeat the kept id all stay. Rows
-    without an id cannot be named by others and stay, as do those without words.
+    Exactly one row of a component stays, also where rows repeat, where one id
+    stands with several texts, and where no row has an id (ids come before
+    null). Of rows with the kept id and the same shingles, that with the first
+    text stays. Rows without words stay, whatever their id.
     """
-    found = join_similar(docs, doc_id, text)
-    gone = found.where((F.col("n_shingles") > 0) & ~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(doc_id))
-    return docs.join(gone.distinct(), doc_id, "left_anti").select(*docs.columns)
+    prepare(docs.sparkSession)
+    profiles, _, _, classes = _compared(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
+    named = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id").alias("first")
+    sets = profiles.where("n > 0").select("code", named).groupBy("code").agg(F.min("first").alias("first"))
+    sets = sets.join(classes, "code", "left").withColumn("class", F.coalesce("class", "code"))
+    best = sets.groupBy("class").agg(F.min(F.struct("first", "code")).alias("best"))
+    best = written(best.select("best.code", F.col("best.first.doc_id").alias("first_id"), F.lit(True).alias("stays")), "kept")
+    marked = profiles.select("doc_id", "n", "code").join(best, "code", "left")
+    lost = (F.col("n") > 0) & ~(F.coalesce("stays", F.lit(False)) & F.col("doc_id").eqNullSafe(F.col("first_id")))
+    ids = written(marked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max(lost).alias("lost")), "ids")
+    # An id that stands once tells whether its row stays; rows of other ids, and without one, are told by their sets.
+    unsure = F.col("doc_id").isNull() | (F.col("rows") > 1)
+    away = ids.where(unsure | F.col("lost")).where("doc_id IS NOT NULL").select(F.col("doc_id").alias(doc_id))
+    sure = docs.where(F.col(doc_id).isNotNull()).join(away, doc_id, "left_anti").select(*docs.columns)
+    again = ids.where(unsure).select(F.col("doc_id").alias(fresh(docs.columns, "unsure_id")))
+    if again.isEmpty():
+        return sure
+    rows = docs.join(again, docs[doc_id].eqNullSafe(again[again.columns[0]]), "left_semi")
+    size, code, first, stays, rank = (fresh([*docs.columns, text], n) for n in ("set_size", "set_code", "first_id", "stays", "place"))
+
+    def build():
+        def work(texts):
+            own = [shingles(t) for t in texts]
+            return [len(x) for x in own], [_set_code(x) for x in own]
+
+        return work
+
+    coded = map_texts(rows, text, docs.columns, {size: "long", code: "long"}, build)
+    kept = best.select(F.col("code").alias(code), F.col("first_id").alias(first), F.col("stays").alias(stays))
+    chosen = coded.where(F.col(size) > 0).join(kept, code).where(F.col(doc_id).eqNullSafe(F.col(first)))
+    chosen = chosen.withColumn(rank, F.row_number().over(Window.partitionBy(code).orderBy(text))).where(F.col(rank) == 1)
+    wordless = coded.where(F.col(size) == 0)
+    return sure.unionByName(wordless.select(*docs.columns)).unionByName(chosen.select(*docs.columns))
