@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -74,6 +74,11 @@ def fresh(taken: Iterable[str], name: str) -> str:
     return name
 
 
+def column(name: str) -> Column:
+    """The column of that very name, whatever characters are in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def map_texts(df: DataFrame, text: str, keep: Sequence[str], outputs: dict[str, str], build: Callable) -> DataFrame:
     """Columns `keep`, then what a function gives for each text.
 

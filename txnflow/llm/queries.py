@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnflow.llm import bpe_count, decontaminate, jaccard_join, language_crf, license_scan, packing, quality, quote_threads, suffix_tree, url_filter
+from txnflow.llm import bpe_count, decontaminate, jaccard_join, language_crf, license_scan, packing, quality, quote_threads, source_mix, suffix_tree, url_filter
 from txnflow.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,6 +145,13 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (~F.col("training")).alias("held_out"), *measures)
 
 
+@query("op11_source_mix")
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed = source_mix.mix_sources(docs, keep=["doc_id"])
+    return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
+
+
 _MARKS = "'^[ \\t]*(?:>[ \\t]*)+'"
 OP9_SQL = f"""
 WITH RECURSIVE rows AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
