@@ -113,7 +113,7 @@ def test_weights_bounds_and_no_rows(spark):
         targets = plain_targets(sizes, weights, most)
         for s in sizes:
             own = [r for r in rows if r["source_size"] == sizes[s] and abs(r["target"] - targets[s]) < 1e-6]
-            assert abs(sum(r["taken"] for r in own) - targets[s]) < 0.501
+            assert abs(sum(r["taken"] for r in own) - targets[s]) < 1
     assert mix_sources(df.limit(0)).collect() == []
     empty = spark.createDataFrame([(1, None, "a"), (2, " ", None)], df.schema)
     assert [r["mix"]["taken"] for r in mix_sources(empty).collect()] == [0, 0]
