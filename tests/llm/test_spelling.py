@@ -1,0 +1,128 @@
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from txnflow.llm import spelling
+from txnflow.llm.queries import QUERIES
+
+
+def plain_words(docs, spoil=31):
+    counts = Counter()
+    for key, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            code = zlib.crc32(f"{'' if key is None else key}:{run}".encode())
+            if code % spoil == 0:
+                run = run[: code % len(run)] + run[code % len(run) + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 7 and n >= 2}
+
+
+def one_edit(a, b):
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
+
+
+def plain_forms(counts, ratio=10):
+    """Rows by words that share what is left when one code point goes."""
+    holes = defaultdict(set)
+    for w in counts:
+        holes[w].add(w)
+        for k in range(len(w)):
+            holes[w[:k] + w[k + 1 :]].add(w)
+    near = defaultdict(set)
+    for own in holes.values():
+        for w in own:
+            near[w] |= {v for v in own if v != w and v not in near[w] and one_edit(v, w)}
+    rows, forms = {}, {}
+    for w, n in counts.items():
+        best = min(near[w], key=lambda v: (-counts[v], v), default=None)
+        if best is not None and counts[best] >= ratio * n:
+            forms[w] = best
+        rows[w] = [w, forms.get(w), None, n, len(near[w]), counts[forms[w]] if w in forms else None]
+    for w, row in rows.items():
+        root = w
+        while root in forms:
+            root = forms[root]
+        row[2] = root
+    return sorted(map(tuple, rows.values()))
+
+
+def rows_of(df):
+    return sorted((r["word"], r["form"], r["root"], r["n"], r["n_near"], r["form_n"]) for r in df.collect())
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_against_plain_search(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text").collect()
+    want = plain_forms(plain_words(map(tuple, docs)))
+    got = QUERIES["op12_spelling_variants"](spark, f"/root/testdata/{sf}")
+    assert got.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    assert rows_of(got) == want
+    assert any(r[1] for r in want)
+
+
+word_lists = st.lists(st.text("abé", min_size=1, max_size=7), min_size=1, max_size=40, unique=True)
+
+
+@settings(max_examples=60, deadline=None)
+@given(word_lists, st.integers(2, 5))
+def test_groups_own_each_pair_once(words, tile):
+    """All groups of all words at once, without Spark, with tiles so small that groups are cut."""
+    rows = []
+    for w in words:
+        for longer in (len(w), len(w) + 1):
+            pieces = min(spelling.PIECES, -(-longer // spelling.STRETCH))
+            for piece in range(pieces):
+                a, b = piece * longer // pieces, (piece + 1) * longer // pieces
+                rows.append((longer, piece, w[:a], w[len(w) - (longer - b) :], w))
+    rows.sort()
+    keys = np.unique([repr(r[:4]) for r in rows], return_inverse=True)[1]
+    order = np.argsort(keys, kind="stable")
+    rows, keys = [rows[k] for k in order], keys[order]
+    own = [r[4] for r in rows]
+    n = np.array([1 + len(w) for w in own])
+    longer, piece = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    whole, spelling.TILE = spelling.TILE, tile
+    try:
+        times, _ = spelling.near_words(own, n, keys, longer, piece, np.zeros(len(own), int), np.zeros(len(own), bool))
+    finally:
+        spelling.TILE = whole
+    found = Counter()
+    for w, k in zip(own, times.tolist()):
+        found[w] += k
+    assert {w: found[w] for w in words} == {w: sum(one_edit(v, w) for v in words) for w in words}
+
+
+def test_large_groups_are_dealt_out(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    words = {"word" + "".join(rng.choice(list("abcd"), 3)) + "end" for _ in range(60)} | {"word" + x + "end" for x in ("aa", "bb", "abca", "ébc")}
+    counts = {w: int(rng.integers(1, 200)) for w in words}
+    df = spark.createDataFrame(list(counts.items()), "word string, n long")
+    for rows in (4096, 6):
+        monkeypatch.setattr(spelling, "TILE_ROWS", rows)
+        assert rows_of(spelling.group_spellings(df)) == plain_forms(counts)
+    monkeypatch.setattr(spelling, "GATHERED_ROWS", 3)  # borders of groups within a task
+    assert rows_of(spelling.group_spellings(df, ratio=2)) == plain_forms(counts, 2)
+
+
+def test_chains_long_words_and_odd_rows(spark):
+    long = "x" * 30_000 + "y" * 30_000
+    docs = [(1, "ABCDEFGH " * 1000), (2, "abcdefg " * 100), (3, "abcdexg " * 9), (3, "abcdexg"), (4, None), (5, ""), (None, "Étudiant étudiant " * 2)]
+    docs += [(6, f"{long} {long[:-1]} {long}"), (7, long[:-1]), (8, "short wor÷ds w×rdsxx w×rdsxx 1234567 12345678 un_derscore" * 2)]
+    df = spark.createDataFrame([(*d, {"a": 1}) for d in docs], "`d.id` long, `the text` string, n map<string,int>")
+    for spoil in (0, 3):
+        got = rows_of(spelling.group_spellings(spelling.count_words(df, "d.id", "the text", spoil=spoil)))
+        assert got == plain_forms(plain_words(docs, spoil or 1 << 40))
+    roots = {w: r for w, _, r, *_ in rows_of(spelling.group_spellings(spelling.count_words(df, "d.id", "the text")))}
+    assert roots["abcdexg"] == roots["abcdefg"] == "abcdefgh"
+    assert rows_of(spelling.group_spellings(spelling.count_words(df.limit(0), "d.id", "the text"))) == []

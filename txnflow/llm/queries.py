@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnflow.llm import bpe_count, decontaminate, jaccard_join, language_crf, license_scan, packing, quality, quote_threads, source_mix, suffix_tree, url_filter
+from txnflow.llm import bpe_count, decontaminate, jaccard_join, language_crf, license_scan, packing, quality, quote_threads, source_mix, spelling, suffix_tree, url_filter
 from txnflow.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,6 +152,12 @@ def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
 
 
+@query("op12_spelling_variants")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.group_spellings(spelling.count_words(docs, spoil=31))
+
+
 _MARKS = "'^[ \\t]*(?:>[ \\t]*)+'"
 OP9_SQL = f"""
 WITH RECURSIVE rows AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
