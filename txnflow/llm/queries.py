@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnflow.llm import bpe_count, decontaminate, jaccard_join, language_crf, license_scan, packing, quality, quote_threads, source_mix, spelling, suffix_tree, url_filter
+from txnflow.llm import bpe_count, conversation_repair, decontaminate, jaccard_join, language_crf, license_scan, packing, quality, quote_threads, source_mix, spelling, suffix_tree, url_filter
 from txnflow.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,6 +158,19 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_spellings(spelling.count_words(docs, spoil=31))
 
 
+@query("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = conversation_repair.audit(conversation_repair.damaged(messages))
+    ids = messages.select(F.col("conv_id").alias("id")).distinct()
+    rows = ids.join(found, F.col("id").eqNullSafe(F.col("conv_id")), "left")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return rows.select(
+        F.col("id").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256")
+    )
+
+
 _MARKS = "'^[ \\t]*(?:>[ \\t]*)+'"
 OP9_SQL = f"""
 WITH RECURSIVE rows AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
