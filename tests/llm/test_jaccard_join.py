@@ -3,7 +3,7 @@ import re
 import numpy as np
 import pytest
 
-from txnflow.llm import jaccard_join
+from txnflow.llm import common, jaccard_join
 from txnflow.llm.common import components
 from txnflow.llm.jaccard_join import join_similar, keep_one, linked_pairs, prefix_size
 from txnflow.llm.queries import QUERIES
@@ -78,7 +78,7 @@ def small_rows():
 @pytest.mark.parametrize("block", [2_000_000, 2_000])
 def test_small_cases_in_one_and_in_many_chunks(spark, monkeypatch, block):
     monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", block)
-    monkeypatch.setattr(jaccard_join, "BROADCAST_MEMBERS", 0 if block < 10_000 else 1_000_000)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0 if block < 10_000 else 1 << 26)
     rows = small_rows()
     docs = spark.createDataFrame([(d, t, "n") for d, t in rows], "doc_id long, text string, n string")
     assert plain(join_similar(docs).collect()) == plain(brute(rows))

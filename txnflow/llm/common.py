@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import weakref
 import zipfile
 import zlib
 from collections.abc import Callable, Iterable, Iterator, Sequence
@@ -13,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +27,12 @@ SHIPPED = "txnflow-sources.zip"
 #: Rows in one Arrow batch. Texts are long, so that a batch stays at a few MB.
 BATCH_ROWS = 1000
 
+#: Rows of a file that share one row of marks, as a power of two, and bytes of marks up to which they are broadcast.
+CHUNK_BITS, BROADCAST_BYTES = 15, 1 << 26
+
+#: The folders of written tables.
+_FOLDERS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
 ARROW = {
     "long": (pa.int64(), T.LongType()),
     "int": (pa.int32(), T.IntegerType()),
@@ -135,7 +143,59 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """`df` as Parquet in the shared folder, read back: lineage ends here and no row is computed twice."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _FOLDERS[table] = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what `written` wrote for these very tables; nothing may read them any more."""
+    for table in tables:
+        path = _FOLDERS.pop(table, None)
+        if path is not None:
+            jvm, conf = table.sparkSession._jvm, table.sparkSession._jsparkSession.sessionState().newHadoopConf()
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+
+
+def located(df: DataFrame, file: str, place: str) -> DataFrame:
+    """`df` with the file (as a 64-bit code of its path) and the place in it that each row was read from.
+
+    A table that does not come straight from Parquet files, one row for one of
+    theirs, is written first.
+    """
+
+    def named(rows: DataFrame) -> DataFrame:
+        hidden = rows.metadataColumn("_metadata")
+        return rows.select("*", F.xxhash64(hidden["file_path"]).alias(file), hidden["row_index"].alias(place))
+
+    try:
+        rows = named(df)
+        if rows.groupBy(file, place).count().where("count > 1").isEmpty():
+            return rows
+    except AnalysisException:
+        pass
+    return named(written(df, "rows"))
+
+
+def at_places(rows: DataFrame, places: DataFrame, file: str, place: str) -> DataFrame:
+    """The `rows` of `located` that stand at `places` (file, place), which are known by a bit for each row of a file.
+
+    The bits are broadcast where they take `BROADCAST_BYTES` at most, so that
+    rows stay where they are; with more bits Spark joins the rows to them.
+    """
+    chunk, bits = fresh(rows.columns, "chunk"), fresh(rows.columns, "bits")
+    within = F.col("place").bitwiseAND(F.lit((1 << CHUNK_BITS) - 1))
+    marks = places.groupBy("file", F.shiftright("place", CHUNK_BITS).alias(chunk)).agg(F.bitmap_construct_agg(within).alias(bits))
+    of = fresh([*rows.columns, chunk, bits], "of_file")
+    marks = written(marks.withColumnRenamed("file", of), "marks")
+    if marks.count() << (CHUNK_BITS - 3) <= BROADCAST_BYTES:
+        marks = F.broadcast(marks)
+    at = column(place).bitwiseAND(F.lit((1 << CHUNK_BITS) - 1))
+    byte = F.conv(F.hex(F.substr(column(bits), (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    same = (column(file) == column(of)) & (F.shiftright(column(place), CHUNK_BITS) == column(chunk))
+    found = rows.join(marks, same).where(F.getbit(byte, at.bitwiseAND(F.lit(7)).cast("int")) == 1)
+    return found.select(*map(column, rows.columns))
 
 
 def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str], rank: str, slices: int = 1024) -> DataFrame:
@@ -187,8 +247,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         parents.append(best)
         left = best.select(F.col("node").alias("a"), F.col("root").alias("ra"))
         right = best.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-        live = live.join(left, "a").join(right, "b").where("ra <> rb")
-        live = written(live.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "edges")
+        rest = live.join(left, "a").join(right, "b").where("ra <> rb")
+        rest = written(rest.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "edges")
+        discard(live)
+        live = rest
     else:
         raise RuntimeError("components did not settle")
     if not parents:

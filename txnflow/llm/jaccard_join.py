@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from txnflow.llm.common import components, count_codes, counter_of, fresh, map_texts, mixed, prepare, space_words, word_codes, written
+from txnflow.llm.common import at_places, column, components, count_codes, counter_of, fresh, located, mixed, prepare, space_words, word_codes, written
 
 #: Words of a shingle, and the least similarity of a link in percent.
 SHINGLE, PERCENT = 5, 80
@@ -41,9 +41,6 @@ COUNTERS = 23
 BLOCK_SHINGLES = 2_000_000
 #: Members of a large block, about, that go to each of its chunks in the first round.
 PIVOTS = 64
-#: Members of blocks up to which their ids are broadcast to find their texts again; beyond, the texts are joined.
-BROADCAST_MEMBERS = 1_000_000
-
 SET_COLUMNS = ("block", "block_sets", "chunks", "n", "code", "shingles")
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -98,11 +95,12 @@ def _profiles(docs: DataFrame, scale: np.ndarray) -> DataFrame:
                 sets.append(_set_code(codes))
                 prefixes.append(None if group in seen else prefix.view(np.int64))
                 seen.add(group)
-            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(groups, pa.int64()), pa.array(sets, pa.int64())]
+            columns = [batch.column(0), *batch.columns[2:], *(pa.array(x, pa.int64()) for x in (sizes, groups, sets))]
             columns.append(pa.array(prefixes, pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "group", "code", "prefix"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "file", "place", "n", "group", "code", "prefix"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, group long, code long, prefix array<long>")
+    schema = f"doc_id {kind}, file long, place long, n long, group long, code long, prefix array<long>"
+    return docs.select("doc_id", "text", "file", "place").mapInArrow(run, schema)
 
 
 def _group_links(profiles: DataFrame) -> DataFrame:
@@ -119,10 +117,11 @@ def _group_links(profiles: DataFrame) -> DataFrame:
     return linked.select(F.least("before", "group").alias("a"), F.greatest("before", "group").alias("b")).distinct()
 
 
-def _members(docs: DataFrame, profiles: DataFrame, blocks: DataFrame) -> DataFrame:
-    """(block, block_sets, chunks, code, n, doc_id): one document for each distinct set of a block that has several."""
+def _members(profiles: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(block, block_sets, chunks, code, n, file, place): one document for each distinct set of a block that has several."""
     blocks = blocks.select(F.col("node").alias("group"), F.col("root").alias("block"))
-    sets = profiles.where("n > 0").groupBy("group", "code").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc_id"))
+    sets = profiles.where("n > 0").groupBy("group", "code").agg(F.first("n").alias("n"), F.min(F.struct("file", "place")).alias("row"))
+    sets = sets.select("group", "code", "n", "row.file", "row.place")
     sets = sets.join(blocks, "group", "left").withColumn("block", F.coalesce("block", "group"))
     sets = written(sets, "sets")
     sizes = sets.groupBy("block").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles")).where("sets > 1")
@@ -134,21 +133,13 @@ def _members(docs: DataFrame, profiles: DataFrame, blocks: DataFrame) -> DataFra
 
 def _member_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
     """Members with their shingles, from the texts they came from."""
-    named = members.select(F.col("doc_id").alias("member_id"), "block", "block_sets", "chunks", "n", "code")
-    if members.count() <= BROADCAST_MEMBERS:
-        named = F.broadcast(named)
-    texts = docs.join(named, docs["doc_id"].eqNullSafe(named["member_id"])).select(*SET_COLUMNS[:-1], "text")
+    named = members.select("file", "place", *SET_COLUMNS[:-1])
+    texts = at_places(docs, members, "file", "place").join(named, ["file", "place"]).select(*SET_COLUMNS[:-1], "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, sets = [], []
-            for row, (code, text) in enumerate(zip(batch.column("code").to_pylist(), batch.column("text").to_pylist())):
-                codes = shingles(text)
-                if _set_code(codes) == code:  # else another row with the same id
-                    keep.append(row)
-                    sets.append(codes.tobytes())
-            kept = batch.take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*kept.columns[:-1], pa.array(sets, pa.binary())], names=list(SET_COLUMNS))
+            sets = [shingles(t).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sets, pa.binary())], names=list(SET_COLUMNS))
 
     return texts.mapInArrow(run, "block long, block_sets long, chunks int, n long, code long, shingles binary")
 
@@ -299,11 +290,11 @@ def linked_copies(sets: list[np.ndarray], copies: np.ndarray, here: np.ndarray,
 
 
 def _compared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Profiles of all documents, members of blocks, their sets, and (code, class) of the linked ones."""
+    """Of documents in their places: profiles of all, members of blocks, their sets, and (code, class) of the linked ones."""
     scale = count_codes(docs, "text", lambda texts: [shingles(t) for t in texts], COUNTERS)
     profiles = written(_profiles(docs, scale), "profiles")
     blocks = components(_group_links(profiles))
-    members = _members(docs, profiles, blocks)
+    members = _members(profiles, blocks)
     sets = _member_sets(docs, members)
     classes = components(_verified(sets, members)).select(F.col("node").alias("code"), F.col("root").alias("class"))
     return profiles, members, sets, classes
@@ -323,7 +314,7 @@ def join_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", co
     of its size, and a column n_links has how many other rows each row is linked to.
     """
     prepare(docs.sparkSession)
-    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    docs = located(docs.select(column(doc_id).alias("doc_id"), column(text).alias("text")), "file", "place")
     profiles, members, member_sets, classes = _compared(docs)
     # The smallest id of each set, then of each class: sets are few where documents are copies.
     sets = profiles.where("n > 0").groupBy("code").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
@@ -351,38 +342,27 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     Exactly one row of a component stays, also where rows repeat, where one id
     stands with several texts, and where no row has an id (ids come before
     null). Of rows with the kept id and the same shingles, that with the first
-    text stays. Rows without words stay, whatever their id.
+    text stays. Rows without words stay, whatever their id. Only places in files
+    are joined; texts are read again, and not shuffled.
     """
     prepare(docs.sparkSession)
-    profiles, _, _, classes = _compared(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
+    file, place = fresh(docs.columns, "file"), fresh(docs.columns, "place")
+    rows = located(docs, file, place)
+    own = [column(c).alias(n) for c, n in ((doc_id, "doc_id"), (text, "text"), (file, "file"), (place, "place"))]
+    profiles, _, _, classes = _compared(rows.select(*own))
     named = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id").alias("first")
     sets = profiles.where("n > 0").select("code", named).groupBy("code").agg(F.min("first").alias("first"))
     sets = sets.join(classes, "code", "left").withColumn("class", F.coalesce("class", "code"))
     best = sets.groupBy("class").agg(F.min(F.struct("first", "code")).alias("best"))
-    best = written(best.select("best.code", F.col("best.first.doc_id").alias("first_id"), F.lit(True).alias("stays")), "kept")
-    marked = profiles.select("doc_id", "n", "code").join(best, "code", "left")
-    lost = (F.col("n") > 0) & ~(F.coalesce("stays", F.lit(False)) & F.col("doc_id").eqNullSafe(F.col("first_id")))
-    ids = written(marked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max(lost).alias("lost")), "ids")
-    # An id that stands once tells whether its row stays; rows of other ids, and without one, are told by their sets.
-    unsure = F.col("doc_id").isNull() | (F.col("rows") > 1)
-    away = ids.where(unsure | F.col("lost")).where("doc_id IS NOT NULL").select(F.col("doc_id").alias(doc_id))
-    sure = docs.where(F.col(doc_id).isNotNull()).join(away, doc_id, "left_anti").select(*docs.columns)
-    again = ids.where(unsure).select(F.col("doc_id").alias(fresh(docs.columns, "unsure_id")))
-    if again.isEmpty():
-        return sure
-    rows = docs.join(again, docs[doc_id].eqNullSafe(again[again.columns[0]]), "left_semi")
-    size, code, first, stays, rank = (fresh([*docs.columns, text], n) for n in ("set_size", "set_code", "first_id", "stays", "place"))
-
-    def build():
-        def work(texts):
-            own = [shingles(t) for t in texts]
-            return [len(x) for x in own], [_set_code(x) for x in own]
-
-        return work
-
-    coded = map_texts(rows, text, docs.columns, {size: "long", code: "long"}, build)
-    kept = best.select(F.col("code").alias(code), F.col("first_id").alias(first), F.col("stays").alias(stays))
-    chosen = coded.where(F.col(size) > 0).join(kept, code).where(F.col(doc_id).eqNullSafe(F.col(first)))
-    chosen = chosen.withColumn(rank, F.row_number().over(Window.partitionBy(code).orderBy(text))).where(F.col(rank) == 1)
-    wordless = coded.where(F.col(size) == 0)
-    return sure.unionByName(wordless.select(*docs.columns)).unionByName(chosen.select(*docs.columns))
+    best = best.select("best.code", F.col("best.first.doc_id").alias("first_id"))
+    chosen = profiles.join(best, "code").where((F.col("n") > 0) & F.col("doc_id").eqNullSafe(F.col("first_id")))
+    chosen = written(chosen.select("code", "file", "place"), "chosen")
+    twice = written(chosen.groupBy("code").count().where("count > 1").select("code"), "twice")
+    stay = chosen
+    if not twice.isEmpty():  # the same id and shingles more than once: the first text stays
+        among = chosen.join(twice, "code", "left_semi")
+        texts = at_places(rows, among, file, place).select(*own[1:]).join(among, ["file", "place"])
+        first = texts.groupBy("code").agg(F.min(F.struct("text", "file", "place")).alias("row")).select("code", "row.file", "row.place")
+        stay = chosen.join(twice, "code", "left_anti").unionByName(first)
+    stay = stay.select("file", "place").unionByName(profiles.where("n = 0").select("file", "place"))
+    return at_places(rows, stay, file, place).select(*map(column, docs.columns))
