@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from txnflow.llm import decontaminate, jaccard_join, language_crf, packing, quality
-from txnflow.session import configure, scratch_path
+from txnflow.llm.common import discard, written
+from txnflow.session import configure
 
 # No SQL: the first stage is a trained model and the last packs by an optimisation. Tests hold each stage against
 # a brute-force version.
@@ -53,11 +54,10 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on `documents`; what each returns is written and read again as the next one's input."""
+    """All stages on `documents`; what each returns is written and read again as the next one's input, then deleted."""
     configure(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        path = scratch_path(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        before, docs = docs, written(stage(spark, docs, sf_dir), f"stage-{name}")
+        discard(before)
     return docs
