@@ -24,16 +24,12 @@ def brute(rows):
         if training:
             counts.update(tokens_of(text))
     total, kinds = sum(counts.values()), len(counts)
-    frequent = {w for w, n in counts.items() if n >= max(1.0, total * st.WORD_SHARE)}
     for training, text in rows:
         own = tokens_of(text) if training else []
         for size in range(2, st.DEPTH + 2):
             for i in range(size - 1, len(own)):
-                gram = tuple(own[i - size + 1 : i + 1])
-                if frequent.issuperset(gram):
-                    grams[size][gram] += 1
-    least = max(st.LEAST_TIMES, math.ceil(total * st.SEQUENCE_SHARE))
-    listed = {g: n for by in grams.values() for g, n in by.items() if n >= least}
+                grams[size][tuple(own[i - size + 1 : i + 1])] += 1
+    listed = {g: n for by in grams.values() for g, n in by.items() if n >= st.LEAST_TIMES}
     unknown = (sum(n == 1 for n in counts.values()) + 0.5) / (total + 1) if total else 1.0
     root = lambda w: (1 - unknown) * counts[w] / total if counts[w] else unknown
     kept, after = {}, defaultdict(dict)
@@ -50,7 +46,7 @@ def brute(rows):
 
     for context in sorted(after, key=len):
         of = counts[context[0]] if len(context) == 1 else listed.get(context, 0)
-        if of < max(st.LEAST_TIMES, total * st.WORD_SHARE):
+        if of < st.LEAST_TIMES:
             continue
         rest = of - sum(after[context].values())
         left = (rest + st.BORROWED) / (of + st.BORROWED)
@@ -69,16 +65,18 @@ def brute(rows):
     return out, kept, chance
 
 
-@pytest.mark.parametrize("shares", [(2.0**-18, 2.0**-20), (2.0**-12, 2.0**-14)])
-def test_query_equals_brute_force(spark, sf_dir, monkeypatch, shares):
-    monkeypatch.setattr(st, "WORD_SHARE", shares[0])
-    monkeypatch.setattr(st, "SEQUENCE_SHARE", shares[1])
+@pytest.mark.parametrize("least", [2, 4, 20])
+def test_query_equals_brute_force(spark, sf_dir, monkeypatch, least):
+    monkeypatch.setattr(st, "LEAST_TIMES", least)
+    monkeypatch.setattr(st, "COUNTED", 20_000)
+    if least == 4:  # most codes meet their weights in a join
+        monkeypatch.setattr(st, "BROADCAST_CODES", 50)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
     training = [zlib.crc32(str(d.doc_id).encode()) % 7 != 2 for d in docs]
     rows = {r.doc_id: r for r in QUERIES["op1_lm_scoring"](spark, sf_dir).collect()}
     assert len(rows) == len(docs)
     want, kept, _ = brute([(t, d.text) for d, t in zip(docs, training)])
-    assert {len(c) for c in kept} >= ({1, 2, 3} if shares[0] < 2.0**-13 else {1})
+    assert {len(c) for c in kept} >= ({1, 2, 3} if least < 20 else {1})
     for doc, train, (n, known, total, base, score) in zip(docs, training, want):
         r = rows[doc.doc_id]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (not train, n, known, total)
@@ -104,9 +102,9 @@ def test_held_out_texts_score_better_than_by_base_counts(spark):
 TEXTS = [None, "", "a b A c", "a a a", " \t\n", "é x\x0by", "b " * 20_000, "q" * 50_000, "a b c", "z", "a b a b c"]
 
 
-@pytest.mark.parametrize("share", [2.0**-18, 0.2])
-def test_small_cases(spark, monkeypatch, share):
-    monkeypatch.setattr(st, "WORD_SHARE", share)
+@pytest.mark.parametrize("least", [2, 4])
+def test_small_cases(spark, monkeypatch, least):
+    monkeypatch.setattr(st, "LEAST_TIMES", least)
     rows = [(i if i != 3 else None, t, i != 9) for i, t in enumerate(TEXTS)] * 4
     docs = spark.createDataFrame([(i, t, k, 0.5) for i, t, k in rows], "doc_id long, text string, kind boolean, score double")
     got = st.score_texts(docs, F.col("kind")).collect()

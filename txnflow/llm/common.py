@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import weakref
 import zipfile
 import zlib
@@ -24,8 +26,8 @@ from txnflow.session import scratch_path
 
 #: The package's sources, as the executors get them.
 SHIPPED = "txnflow-sources.zip"
-#: Rows in one Arrow batch. Texts are long, so that a batch stays at a few MB.
-BATCH_ROWS = 1000
+#: Rows and bytes in one Arrow batch, whichever is reached first; a single longer text is a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 1000, 1 << 20
 
 #: Rows of a file that share one row of marks, as a power of two, and bytes of marks up to which they are broadcast.
 CHUNK_BITS, BROADCAST_BYTES = 15, 1 << 26
@@ -61,8 +63,9 @@ def _driver_folder() -> tempfile.TemporaryDirectory:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings of the text passes, and this package for the executors' Python."""
+    """Session settings of the text passes, which stay as set since jobs run later, and this package for the executors' Python."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if SHIPPED not in context._python_includes:
         package = Path(__file__).resolve().parents[1]
@@ -158,6 +161,17 @@ def discard(*tables: DataFrame) -> None:
             folder.getFileSystem(conf).delete(folder, True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of tables that nothing refers to any more; it does so after a collection.
+
+    The driver's Python lets go of its tables in the background, so a second collection finds those.
+    """
+    gc.collect()
+    for _ in range(2):
+        spark._jvm.System.gc()
+        time.sleep(0.2)
+
+
 def located(df: DataFrame, file: str, place: str) -> DataFrame:
     """`df` with the file (as a 64-bit code of its path) and the place in it that each row was read from.
 
@@ -262,6 +276,24 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return found
 
 
+def unmixed(x: np.ndarray) -> np.ndarray:
+    """The codes that `mixed` spread."""
+    x = x ^ (x >> np.uint64(33))
+    x = x * np.uint64(pow(int(_M2), -1, 1 << 64))
+    x = x ^ (x >> np.uint64(27)) ^ (x >> np.uint64(54))
+    x = x * np.uint64(pow(int(_M1), -1, 1 << 64))
+    return x ^ (x >> np.uint64(31)) ^ (x >> np.uint64(62))
+
+
+def planes(x: np.ndarray) -> bytes:
+    """Numbers as their first bytes, then their second ones and so on, which compresses well where they are small."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+
+
+def from_planes(data: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
 def gram_keys(texts: Sequence[bytes], width: int, pad: int) -> np.ndarray:
     """For each byte of each text the `width` bytes that end with it, as a number; `pad` stands before a text."""
     before = bytes([pad]) * (width - 1)

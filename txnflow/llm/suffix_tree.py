@@ -8,13 +8,19 @@ that of its longest kept suffix. Each distribution is smoothed with that of the
 suffix, and the root keeps the share of words seen once for unknown ones. A
 token is scored in the longest kept suffix of what stands before it.
 
-Counting takes two passes over the training texts: words and pairs; and those
-longer sequences whose pairs may have been seen often enough. The tree is built
-level by level in joins and is a table of additive weights: a kept context adds
-the log of the share it leaves to its suffix, and a listed sequence what its
-last token gains over that. A text's score is the sum over the sequences in it.
-The most frequent codes, a bounded number, meet their weights in a broadcast
-table, the others in a join; this decides how a weight is found, never which.
+Counting takes three passes over the training texts: words and pairs; those
+longer sequences whose pairs are all listed; and, for listed sequences, which
+context they continue. A task sorts the codes of some million tokens and sends
+for each range of codes one row with the steps between them and their counts, so
+that a distinct code takes some seven bytes on its way; whoever gets a range adds
+up and drops what was seen too seldom.
+
+The tree is built level by level in joins and is a table of additive weights: a
+kept context adds the log of the share it leaves to its suffix, and a listed
+sequence what its last token gains over that. A text's score is the sum over the
+sequences in it. The most frequent codes, a bounded number, meet their weights in
+a broadcast table, the others in a join; this decides how a weight is found,
+never which.
 """
 
 from __future__ import annotations
@@ -29,25 +35,26 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnflow.llm.common import mixed, prepare, signed, space_words, word_codes, written
+from txnflow.llm.common import Counts, discard, from_planes, mixed, planes, prepare, release_shuffles, signed, space_words, unmixed, word_codes, written
 
 #: Tokens of the longest context.
 DEPTH = 3
-#: Shares of the training tokens below which a word or context, or a sequence, would not count. Zero: least counts are
-#: fixed, and nothing is left out because the corpus is large.
-WORD_SHARE, SEQUENCE_SHARE = 0.0, 0.0
-#: A sequence is listed, and a context a candidate, if it occurs so often at least.
-LEAST_TIMES = 2
+#: A sequence is listed, and a context a candidate, if it occurs so often at least, however large the corpus.
+LEAST_TIMES = 4
 #: A context is kept if it gains so many nats over its suffix for each time it was seen, and in all.
 LEAST_DIVERGENCE, LEAST_GAIN = 0.02, 10.0
 #: Pseudo-counts that a context borrows from its suffix.
 BORROWED = 1.0
-#: Codes that make up this share of the training tokens meet their weights in a broadcast table, the others in a join.
-BROADCAST_SHARE = 2.0**-20
-#: Bits that tell most codes from those of a table, as a power of two, and of one row on their way to the driver.
-MARKS, MARK_BLOCK = 27, 15
+#: Codes, at most, that meet their weights in a broadcast table of 24 bytes each, and how often they occur at least, to be
+#: worth a place there; the others meet them in a join.
+BROADCAST_CODES, BROADCAST_TIMES = 1 << 21, 16
+#: Bits of a table of marks for each code in it; the least and the greatest table and the bits of one row on their way to
+#: the driver, as powers of two. A table that has to hold more codes tells fewer others from them, which costs only time.
+MARK_BITS, LEAST_MARKS, MOST_MARKS, MARK_BLOCK = 24, 20, 30, 15
 #: Tokens, at most, whose sequences a task counts before it passes them on.
-COUNTED = 1 << 20
+COUNTED = 1 << 21
+#: Bytes of text, about, whose codes fall into one range; ranges at most, as a power of two.
+RANGE_BYTES, MOST_RANGES = 1 << 22, 18
 #: Rows of one Arrow batch of counts.
 COUNT_ROWS = 1 << 16
 #: The code of the end; no word has it but by the chance that two words share one.
@@ -97,87 +104,155 @@ class Tokens:
         return found
 
 
-def _marked(marks: np.ndarray, codes: np.ndarray) -> np.ndarray:
+Marks = tuple[int, np.ndarray]
+
+
+def _marked(marks: Marks, codes: np.ndarray) -> np.ndarray:
     """Whether codes may be in the table that was marked."""
-    at = codes >> np.uint64(64 - MARKS)
-    return (marks[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    at = codes >> np.uint64(64 - marks[0])
+    return (marks[1][(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _marks_of(keys: DataFrame) -> np.ndarray:
-    """One bit for each code in column `key`, at the place its first bits name. The table has a fixed size; codes
-    that are not in the column may have a bit, those in it always do."""
-    at = F.shiftrightunsigned("key", 64 - MARKS)
+def _marks_of(keys: DataFrame) -> Marks:
+    """One bit for each code in column `key`, at the place its first bits name. Codes that are not in the column may
+    have a bit, those in it always do. The table grows with their number."""
+    size = min(MOST_MARKS, max(LEAST_MARKS, math.ceil(math.log2(MARK_BITS * keys.count() + 1))))
+    at = F.shiftrightunsigned("key", 64 - size)
     bits = keys.groupBy(F.shiftright(at, MARK_BLOCK).alias("block")).agg(
         F.bitmap_construct_agg(at.bitwiseAND(F.lit((1 << MARK_BLOCK) - 1))).alias("bits")
     )
-    table = np.zeros((1 << (MARKS - MARK_BLOCK), 1 << (MARK_BLOCK - 3)), np.uint8)
+    table = np.zeros((1 << (size - MARK_BLOCK), 1 << (MARK_BLOCK - 3)), np.uint8)
     for block, own in bits.toLocalIterator():
         table[block] = np.frombuffer(own, np.uint8)
-    return table.ravel()
+    return size, table.ravel()
 
 
-def _counted(docs: DataFrame, sizes: tuple[int, ...], marks: np.ndarray | None = None) -> DataFrame:
-    """(size, context, tail, n) of the sequences of some lengths; a word has context 0 and itself for tail."""
-    shared = None if marks is None else docs.sparkSession.sparkContext.broadcast(marks)
+def _passed(docs: DataFrame, ranges: int, found, marks: Marks | None) -> DataFrame:
+    """(size, range, keys, extra): what tasks find in some million tokens each, dealt by ranges of keys.
 
-    def batches_of(waiting):
-        for size in sizes:
-            context, tail = (np.concatenate([w[size][k] for w in waiting]) for k in (0, 1))
-            key = tail if size == 1 else _joined(context, tail)
-            order = np.argsort(key)
-            key = key[order]
-            first = np.nonzero(np.concatenate([[True], key[1:] != key[:-1]]))[0] if len(key) else order
-            n = np.diff(np.append(first, len(key)))
-            context, tail = (signed(x[order[first]]) for x in (context, tail))
-            for k in range(0, len(first), COUNT_ROWS):
-                part = slice(k, k + COUNT_ROWS)
-                columns = [pa.array(np.full(len(n[part]), size, np.int32)), *(pa.array(x[part]) for x in (context, tail, n))]
-                yield pa.RecordBatch.from_arrays(columns, names=["size", "context", "tail", "n"])
+    `found(tokens, sequences)` gives for each size of sequence keys and numbers
+    that go with them; `packed` below says what becomes of them.
+    """
+    shared = None if marks is None else docs.sparkSession.sparkContext.broadcast(marks)
+    names = ["size", "range", "keys", "extra"]
+
+    def packed(waiting: list[dict]) -> Iterator[pa.RecordBatch]:
+        for size in [*waiting[0]]:
+            own = [w.pop(size) for w in waiting]
+            keys, extra = (np.concatenate([x[k] for x in own]) for k in (0, 1))
+            del own
+            order = np.argsort(keys, kind="stable")
+            keys = keys[order]
+            first = np.nonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))[0] if len(keys) else order
+            # Counts of single words are added up; contexts are the same wherever a key is the same.
+            extra = extra[order[first]] if extra.dtype == np.uint64 else np.diff(np.append(first, len(keys))).astype(np.uint32)
+            keys = keys[first]
+            of = (keys >> np.uint64(64 - ranges)).astype(np.int64)
+            cuts = np.nonzero(np.concatenate([[True], of[1:] != of[:-1]]))[0] if len(keys) else of
+            parts = [slice(a, b) for a, b in zip(cuts, [*cuts[1:], len(keys)])]
+            columns = [
+                pa.array(np.full(len(parts), size, np.int32)),
+                pa.array(of[cuts].astype(np.int32)),
+                pa.array([planes(np.diff(keys[p], prepend=np.uint64(0))) for p in parts], pa.binary()),
+                pa.array([planes(extra[p]) for p in parts], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, tokens = [], 0
         for batch in batches:
             own = Tokens.of(batch.column(0).to_pylist())
-            found = own.sequences(None if shared is None else shared.value)
-            kept = {}
-            for size in sizes:
-                at = np.nonzero(found[size - 1][1])[0]
-                codes = found[max(0, size - 2)][0]
-                kept[size] = (np.zeros(len(at), np.uint64) if size == 1 else codes[at - 1], codes[at])
-            waiting.append(kept)
+            waiting.append(found(own, None if shared is None else shared.value))
             tokens += len(own.codes)
             if tokens > COUNTED:
-                yield from batches_of(waiting)
+                yield from packed(waiting)
                 waiting, tokens = [], 0
         if waiting:
-            yield from batches_of(waiting)
+            yield from packed(waiting)
 
-    rows = docs.select("text").mapInArrow(run, "size int, context long, tail long, n long")
-    return rows.groupBy("size", "context", "tail").agg(F.sum("n").alias("n")).where(F.col("size").isin(1) | (F.col("n") >= LEAST_TIMES))
+    rows = docs.select("text").mapInArrow(run, "size int, range int, keys binary, extra binary")
+    return rows.repartition("size", "range").sortWithinPartitions("size", "range")
 
 
-def _keyed(counted: DataFrame) -> DataFrame:
-    """Counts with the code of each sequence in `key`."""
+def _merged(rows: DataFrame, schema: str, start, add, end) -> DataFrame:
+    """What `end` makes of all rows of each (size, range), which come one after the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, held, waiting, rows = None, None, [], 0
         for batch in batches:
-            size, context, tail = (batch.column(k).to_numpy() for k in range(3))
-            codes = _joined(context.view(np.uint64), tail.view(np.uint64))
-            key = np.where(size == 1, tail, signed(codes))
-            yield pa.RecordBatch.from_arrays([pa.array(key), *batch.columns], names=["key", *batch.schema.names])
+            for size, own, keys, extra in zip(*(c.to_pylist() for c in batch.columns)):
+                if (size, own) != here:
+                    if here is not None:
+                        waiting.append(end(here[0], held))
+                        rows += waiting[-1].num_rows
+                    here, held = (size, own), start()
+                add(held, np.cumsum(from_planes(keys, np.uint64), dtype=np.uint64), extra)
+            if rows > COUNT_ROWS:
+                yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
+                waiting, rows = [], 0
+        if here is not None:
+            waiting.append(end(here[0], held))
+        yield from waiting
+
+    return rows.mapInArrow(run, schema)
+
+
+def _counted(docs: DataFrame, sizes: tuple[int, ...], ranges: int, marks: Marks | None = None) -> DataFrame:
+    """(size, key, n) of the sequences of some lengths that occur often enough; words all do.
+
+    With `marks` only sequences are counted whose pairs are all marked.
+    """
+
+    def found(tokens: Tokens, marks: Marks | None) -> dict:
+        of = tokens.sequences(marks)
+        return {size: (codes[real], np.zeros(0, np.uint32)) for size in sizes for codes, real in [of[size - 1]]}
+
+    def end(size: int, held: Counts) -> pa.RecordBatch:
+        keys, n = held.take()
+        often = n >= (LEAST_TIMES if size > 1 else 1)
+        columns = [pa.array(np.full(int(often.sum()), size, np.int32)), pa.array(signed(keys[often])), pa.array(n[often])]
+        return pa.RecordBatch.from_arrays(columns, names=["size", "key", "n"])
 
-    return counted.mapInArrow(run, "key long, size int, context long, tail long, n long")
+    add = lambda held, keys, n: held.add(keys, from_planes(n, np.uint32).astype(np.int64))
+    return _merged(_passed(docs, ranges, found, marks), "size int, key long, n long", Counts, add, end)
 
 
-def _level(sequences: DataFrame, shorter: DataFrame, least: float) -> DataFrame:
+def _continued(docs: DataFrame, ranges: int, marks: Marks) -> DataFrame:
+    """(key, context, tail) of the sequences of two and more tokens that are marked: the codes without the last and
+    without the first token."""
+
+    def found(tokens: Tokens, marks: Marks | None) -> dict:
+        of, rows = tokens.sequences(), {}
+        for size in range(2, DEPTH + 2):
+            at = np.nonzero(of[size - 1][1])[0]
+            at = at[_marked(marks, of[size - 1][0][at])]
+            rows[size] = of[size - 1][0][at], of[size - 2][0][at - 1]
+        return rows
+
+    def end(size: int, held: list) -> pa.RecordBatch:
+        keys, first = np.unique(np.concatenate([k for k, _ in held]), return_index=True)
+        context = np.concatenate([c for _, c in held])[first]
+        columns = [pa.array(signed(x)) for x in (keys, context, unmixed(keys) - context * _STEP)]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "context", "tail"])
+
+    def add(held: list, keys: np.ndarray, contexts: bytes) -> None:
+        held.append((keys, from_planes(contexts, np.uint64)))
+        if len(held) >= 64:
+            keys, first = np.unique(np.concatenate([k for k, _ in held]), return_index=True)
+            held[:] = [(keys, np.concatenate([c for _, c in held])[first])]
+
+    return _merged(_passed(docs, ranges, found, marks), "key long, context long, tail long", list, add, end)
+
+
+def _level(sequences: DataFrame, shorter: DataFrame) -> DataFrame:
     """The listed sequences of one length: key, n, p (of the last token in the longest kept suffix of the context),
     and where the context is kept also context, total, left and delta, the log of what the last token gains.
 
-    `shorter` has key, n and p of those one token shorter; a context needs a count of `least`.
+    `shorter` has key, n and p of those one token shorter.
     """
     below = shorter.select(F.col("key").alias("tail"), F.col("p").alias("below"))
     own = written(sequences.join(below, "tail").select("key", "context", "n", "below"), "level")
-    totals = shorter.where(F.col("n") >= least).select(F.col("key").alias("context"), F.col("n").alias("total"))
+    totals = shorter.where(F.col("n") >= LEAST_TIMES).select(F.col("key").alias("context"), F.col("n").alias("total"))
     sums = own.groupBy("context").agg(F.sum("n").alias("follow")).join(totals, "context")
     sums = sums.withColumn("left", (F.col("total") - F.col("follow") + BORROWED) / (F.col("total") + BORROWED))
     chance = F.col("n") / (F.col("total") + BORROWED) + F.col("left") * F.col("below")
@@ -189,7 +264,7 @@ def _level(sequences: DataFrame, shorter: DataFrame, least: float) -> DataFrame:
     )
     kept = gains.where((F.col("gain") >= LEAST_GAIN) & (F.col("gain") >= LEAST_DIVERGENCE * F.col("total"))).drop("gain")
     found = own.join(kept, "context", "left")
-    return written(
+    level = written(
         found.select(
             "key",
             "n",
@@ -201,29 +276,42 @@ def _level(sequences: DataFrame, shorter: DataFrame, least: float) -> DataFrame:
         ),
         "tree",
     )
+    discard(own)
+    return level
 
 
 def _weights(words: DataFrame, levels: list[DataFrame], share: float) -> DataFrame:
-    """key, n, known, base, weight: what each time a code occurs adds to a text; a code may have two rows."""
+    """key, n, base, weight: what each time a code occurs adds to a text; a code may have two rows, and a word has a base."""
     none = F.lit(0.0)
-    tables = [words.select("key", "n", F.lit(1).alias("known"), F.log10(F.col("n") + 1.0).alias("base"), (F.log10("n") + share).alias("weight"))]
+    tables = [words.select("key", "n", F.log10(F.col("n") + 1.0).alias("base"), (F.log10("n") + share).alias("weight"))]
     for level in levels:
         kept = level.where("context IS NOT NULL")
-        tables.append(kept.select("key", "n", F.lit(0).alias("known"), none.alias("base"), F.col("delta").alias("weight")))
+        tables.append(kept.select("key", "n", none.alias("base"), F.col("delta").alias("weight")))
         contexts = kept.groupBy("context").agg(F.max("total").alias("n"), F.max("left").alias("left"))
-        tables.append(contexts.select(F.col("context").alias("key"), "n", F.lit(0).alias("known"), none.alias("base"), F.log10("left").alias("weight")))
+        tables.append(contexts.select(F.col("context").alias("key"), "n", none.alias("base"), F.log10("left").alias("weight")))
     whole = tables[0]
     for table in tables[1:]:
         whole = whole.unionByName(table)
     return written(whole, "weights")
 
 
+def _few(weights: DataFrame) -> int:
+    """The least n with which no more than `BROADCAST_CODES` rows are to be broadcast."""
+    steps = weights.groupBy(F.floor(8 * F.log2("n")).alias("step")).count().orderBy(F.desc("step")).collect()
+    rows, least = 0, 1 << 62
+    for step, more in steps:
+        rows += more
+        if rows > BROADCAST_CODES:
+            break
+        least = math.ceil(2 ** (step / 8) - 1e-9)
+    return max(least, BROADCAST_TIMES)
+
+
 def _frequent(weights: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted codes, and for each one known, base and weight."""
+    """Sorted codes, and for each one base and weight; those with a base are words."""
     few = weights.toArrow()
-    key = few.column("key").to_numpy().view(np.uint64)
-    names, index = np.unique(key, return_inverse=True)
-    return names, np.stack([np.bincount(index, few.column(c).to_numpy().astype(float), len(names)) for c in ("known", "base", "weight")])
+    names, index = np.unique(few.column("key").to_numpy().view(np.uint64), return_inverse=True)
+    return names, np.stack([np.bincount(index, few.column(c).to_numpy(), len(names)) for c in ("base", "weight")])
 
 
 def score_texts(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -240,22 +328,29 @@ def score_texts(docs: DataFrame, training: Column, doc_id: str = "doc_id", text:
     spark = prepare(docs.sparkSession)
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(training, F.lit(False)).alias("training"))
     learned = docs.where("training")
-    short = written(_keyed(_counted(learned, (1, 2))), "counts")
-    words = short.where("size = 1")
+    size = learned.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = min(MOST_RANGES, max(3, math.ceil(math.log2(size / RANGE_BYTES + 1))))
+    short = written(_counted(learned, (1, 2), ranges), "counts")
+    words, pairs = short.where("size = 1"), short.where("size = 2")
     total = words.agg(F.sum("n"), F.count(F.lit(1)), F.count(F.when(F.col("n") == 1, 1))).first()
     n_train, kinds, once = int(total[0] or 0), int(total[1]), int(total[2])
     unknown = (once + 0.5) / (n_train + 1.0) if n_train else 1.0
-    least = max(LEAST_TIMES, math.ceil(n_train * SEQUENCE_SHARE))
-    pairs = short.where((F.col("size") == 2) & (F.col("n") >= least))
-    long = written(_keyed(_counted(learned, tuple(range(3, DEPTH + 2)), _marks_of(pairs))), "counts")
+    release_shuffles(spark)
+    long = written(_counted(learned, tuple(range(3, DEPTH + 2)), ranges, _marks_of(pairs)), "counts")
+    release_shuffles(spark)
+    listed = pairs.unionByName(long)
+    continued = written(_continued(learned, ranges, _marks_of(listed)), "continued")
+    release_shuffles(spark)
     root = (1 - unknown) / max(1, n_train)
-    known = words.where(F.col("n") >= max(1.0, n_train * WORD_SHARE)).withColumn("p", F.col("n") * F.lit(root))
-    levels = []
+    shorter, levels = words.withColumn("p", F.col("n") * F.lit(root)), []
     for size in range(2, DEPTH + 2):
-        own = pairs if size == 2 else long.where((F.col("size") == size) & (F.col("n") >= least))
-        levels.append(_level(own, levels[-1] if levels else known, max(LEAST_TIMES, n_train * WORD_SHARE)))
+        own = pairs if size == 2 else long.where(F.col("size") == size)
+        levels.append(_level(own.join(continued, "key"), shorter))
+        shorter = levels[-1]
     weights = _weights(words, levels, math.log10(root) if n_train else 0.0)
-    often = F.col("n") >= max(1.0, n_train * BROADCAST_SHARE)
+    discard(continued, short, long, *levels)
+    release_shuffles(spark)
+    often = F.col("n") >= _few(weights)
     shared = spark.sparkContext.broadcast((*_frequent(weights.where(often)), _marks_of(weights)))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -278,7 +373,8 @@ def score_texts(docs: DataFrame, training: Column, doc_id: str = "doc_id", text:
             holder, code = np.divmod(pair, max(1, len(distinct)))
             spot = np.minimum(np.searchsorted(names, distinct), max(0, len(names) - 1))
             often = (names[spot] == distinct if len(names) else np.zeros(len(distinct), bool))[code]
-            sums = [np.bincount(holder[often], n[often] * own[spot[code[often]]], texts) for own in values]
+            values_of = [own[spot[code[often]]] for own in values]
+            sums = [np.bincount(holder[often], n[often] * own, texts) for own in (values_of[0] > 0, *values_of)]
             holder, code, n = holder[~often], code[~often], n[~often]
             cuts = pa.array(np.searchsorted(holder, np.arange(texts + 1)).astype(np.int32))
             columns = [
@@ -299,9 +395,9 @@ def score_texts(docs: DataFrame, training: Column, doc_id: str = "doc_id", text:
     scored = written(docs.select("doc_id", "text", "training").mapInArrow(run, schema), "scored")
     rare = scored.select("row", F.explode(F.arrays_zip("codes", "times")).alias("w"))
     rare = rare.select("row", F.col("w.codes").alias("key"), F.col("w.times").alias("times"))
-    seldom = weights.where(~often).select("key", F.col("known").alias("is_word"), F.col("base").alias("own_base"), "weight")
+    seldom = weights.where(~often).select("key", F.col("base").alias("own_base"), "weight")
     found = rare.join(seldom, "key").groupBy("row").agg(
-        F.sum(F.col("times") * F.col("is_word")).alias("more"),
+        F.sum(F.when(F.col("own_base") > 0, F.col("times"))).alias("more"),
         F.sum(F.col("times") * F.col("own_base")).alias("more_base"),
         F.sum(F.col("times") * F.col("weight")).alias("more_score"),
     )
