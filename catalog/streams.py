@@ -4,20 +4,22 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalog.adapters import KEY, envelopes, table, transactions
+from catalog.adapters import KEY, envelopes, settled, table, transactions
 from catalog.ingest import STAGED_NAMES, STAGED_SQL, staged_files
 from catalog.registry import query, token_sql
 from txnflow.functions import RotatingKey, TokenKey
 from txnflow.operators.parse import tag, valid_rows
+from txnflow.operators.sessions import account_sessions
 from txnflow.operators.transform import transform
 from txnflow.schema import PAYLOAD_SCHEMA
 from txnflow.session import scratch_path
 from txnflow.sinks.landing import FileSink
 from txnflow.sources.files import stream_envelopes, stream_staged_json
+from txnflow.streaming.accounts import account_signals, state_store, stream_sessions
 from txnflow.streaming.pipeline import MicroBatchWriter, PipelineConfig, start_file_ingest, start_pipeline
 from txnflow.streaming.views import dedupe_within_watermark
 
@@ -50,13 +52,19 @@ def run_pipeline(spark: SparkSession, sf_dir: str, key=KEY, **settings) -> str:
 
 
 def split_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The messages of each week in a file and micro-batch of their own; second deliveries come a week later."""
-    path = scratch_path(spark, "messages")
+    """The messages of a week in some micro-batches of their own; second deliveries come a week later."""
     week = F.floor((F.dayofmonth("timestamp") - 1) / 8) + F.col("offset") % 2
-    messages = envelopes(table(spark, sf_dir, "events"))
-    for number in range(5):  # one after the other: a stream takes files in the order of their times
-        messages.where(week == number).coalesce(1).write.mode("append").parquet(path)
-    return stream_envelopes(spark, path, max_files_per_trigger=1)
+    path, files = _in_slices(envelopes(table(spark, sf_dir, "events")), week)
+    return stream_envelopes(spark, path, max_files_per_trigger=files)
+
+
+def _in_slices(rows: DataFrame, number: Column, slices: int = 5) -> tuple[str, int]:
+    """A folder with the rows of one slice after the other, written by as many tasks as there are, and how many files
+    make a fifth. A stream takes files in the order of their times."""
+    path = scratch_path(rows.sparkSession, "slices")
+    for k in range(slices):
+        rows.where(number == k).write.mode("append").parquet(path)
+    return path, -(-len(rows.sparkSession.read.parquet(path).inputFiles()) // slices)
 
 
 _LANDED_SQL = """SELECT transaction_id, account_id_token, account_id, amount_cents, amount_dollars, currency,
@@ -199,3 +207,67 @@ def dedupe(spark, sf_dir):
         f"{root}/rows", format="parquet", outputMode="append"
     ).awaitTermination()
     return spark.read.parquet(f"{root}/rows")
+
+
+def disordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Settled transactions as a stream by weeks; one in ten comes a week late, and a heartbeat long after the last."""
+    names = ("transaction_id", "account_id_token", "event_ts", "amount_cents")
+    rows = settled(spark, sf_dir).select(*names)
+    week = F.floor((F.dayofmonth("event_ts") - 1) / 8) + (F.pmod(F.xxhash64("transaction_id"), F.lit(10)) == 0).cast("int")
+    path, files = _in_slices(rows, week)
+    after = rows.agg((F.max("event_ts") + F.expr("INTERVAL 60 DAYS")).alias("event_ts"))
+    empty = [F.lit(None).cast(rows.schema[n].dataType).alias(n) for n in names if n != "event_ts"]
+    after.select("event_ts", *empty).select(*names).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def _run(rows: DataFrame) -> DataFrame:
+    """What a stream gives until all its input is read."""
+    spark = rows.sparkSession
+    root = scratch_path(spark, "stream")
+    with state_store(spark):
+        rows.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(**ONCE).start(
+            f"{root}/rows", format="parquet", outputMode="append"
+        ).awaitTermination()
+    return spark.read.parquet(f"{root}/rows")
+
+
+@query(
+    "stream_velocity",
+    """SELECT transaction_id, event_ts, row_number() OVER o AS sequence_no,
+              epoch_us(event_ts) - epoch_us(lag(event_ts) OVER o) AS gap_micros,
+              count(*) OVER w AS txn_count, CAST(sum(amount_cents) OVER w AS BIGINT) AS cents_total
+       FROM settled WINDOW o AS (PARTITION BY account_id_token ORDER BY event_ts, transaction_id),
+                           w AS (PARTITION BY account_id_token ORDER BY event_ts
+                                 RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW)""",
+)
+def velocity(spark, sf_dir):
+    """Keyed state over several micro-batches with late rows, row by row as the batch forms."""
+    found = _run(account_signals(disordered(spark, sf_dir), "17 days"))
+    return found.select(
+        "transaction_id", F.col("event_ts").cast("timestamp_ntz").alias("event_ts"), "sequence_no", "gap_micros", "txn_count", "cents_total"
+    )
+
+
+SESSIONS_SQL = """
+    SELECT account_id_token, min(event_ts) AS session_start, max(event_ts) + INTERVAL 30 MINUTE AS session_end,
+           count(*) AS transactions, CAST(sum(amount_cents) AS BIGINT) AS cents_total
+    FROM (SELECT *, sum(fresh) OVER (PARTITION BY account_id_token ORDER BY event_ts) AS number
+          FROM (SELECT *, CASE WHEN event_ts - lag(event_ts) OVER (PARTITION BY account_id_token ORDER BY event_ts)
+                                    <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM settled))
+    GROUP BY account_id_token, number"""
+
+
+def _zoneless(sessions: DataFrame) -> DataFrame:
+    return sessions.withColumns({n: F.col(n).cast("timestamp_ntz") for n in ("session_start", "session_end")})
+
+
+@query("account_sessions", SESSIONS_SQL)
+def sessions(spark, sf_dir):
+    return _zoneless(account_sessions(settled(spark, sf_dir)))
+
+
+@query("stream_sessions", SESSIONS_SQL)
+def sessions_of_a_stream(spark, sf_dir):
+    """Sessions that grow and merge across micro-batches."""
+    return _zoneless(_run(stream_sessions(disordered(spark, sf_dir), "17 days")))
