@@ -8,6 +8,7 @@ the number `k` inside `props` (0 to 99) says what the producer does with it:
     k = 2, 3     no transaction id
     k = 4, 5     amount sent as text
     k = 6        currency code too long
+    k = 7        a second object after the payload
     90 <= k <= 94  delivered twice
 
 Faulty messages reach the topic in one flush at the end of their day.
@@ -109,6 +110,7 @@ def envelopes(events: DataFrame) -> DataFrame:
     cut_short = (F.col(_K) == 1) | ((F.col(_K) == 0) & (F.col("delivery") == 1))
     value = (
         F.when(cut_short, F.regexp_replace(text, r"\}$", ""))
+        .when(F.col(_K) == 7, F.concat(text, F.lit(' {"more":1}')))
         .when(F.col(_K).isin(4, 5), F.regexp_replace(text, r'"amount_cents":(\d+)', '"amount_cents":"$1"'))
         .otherwise(text)
     )

@@ -70,7 +70,8 @@ def envelope(spark, sf_dir):
 @query(
     "envelope_projection",
     f"""SELECT account_id AS kafka_key, kafka_timestamp, kafka_partition, kafka_offset,
-               CASE WHEN cut THEN left(value, length(value) - 1) ELSE value END AS payload_text
+               CASE WHEN cut THEN left(value, length(value) - 1) WHEN k = 7 THEN value || ' {{"more":1}}'
+                    ELSE value END AS payload_text
         FROM (SELECT *, {_payload_sql(_TEXT)} AS value
               FROM (SELECT *, CASE WHEN k IN (4, 5) THEN '"' || amount_cents || '"'
                                    ELSE CAST(amount_cents AS VARCHAR) END AS amount_text FROM delivered))""",
@@ -153,9 +154,10 @@ def dead_letters(spark, sf_dir):
 @query(
     "dlq_reason_counts",
     """SELECT CASE WHEN cut OR transaction_id IS NULL THEN 'PARSE_FAILURE'
-                   WHEN k = 6 THEN 'CONSTRAINT_currency' ELSE 'CONTRACT_amount_cents' END
+                   WHEN k = 6 THEN 'CONSTRAINT_currency' WHEN k = 7 THEN 'CONTRACT_payload'
+                   ELSE 'CONTRACT_amount_cents' END
                   AS dlq_reason, count(*) AS messages
-       FROM delivered WHERE cut OR transaction_id IS NULL OR k IN (4, 5, 6) GROUP BY 1""",
+       FROM delivered WHERE cut OR transaction_id IS NULL OR k IN (4, 5, 6, 7) GROUP BY 1""",
 )
 def reasons(spark, sf_dir):
     return reason_counts(parse_and_validate(_messages(spark, sf_dir), strict=True).invalid)
@@ -182,9 +184,9 @@ def rate(spark, sf_dir):
 @query(
     "contract_violations",
     """SELECT kafka_partition, kafka_offset,
-              CASE WHEN cut THEN 'payload' WHEN transaction_id IS NULL THEN 'transaction_id'
-                   ELSE 'amount_cents' END AS violations
-       FROM delivered WHERE cut OR transaction_id IS NULL OR k IN (4, 5)""",
+              CASE WHEN cut OR k = 7 THEN 'payload' WHEN transaction_id IS NULL THEN 'transaction_id'
+                   WHEN k = 6 THEN 'currency' ELSE 'amount_cents' END AS violations
+       FROM delivered WHERE cut OR transaction_id IS NULL OR k IN (4, 5, 6, 7)""",
 )
 def violations(spark, sf_dir):
     rows = contract_violations(_messages(spark, sf_dir))
@@ -194,8 +196,8 @@ def violations(spark, sf_dir):
 @query(
     "contract_gate",
     """SELECT CAST(kafka_timestamp AS DATE) AS batch, count(*) AS messages,
-              count(*) FILTER (cut OR transaction_id IS NULL OR k IN (4, 5)) AS violations,
-              count(*) FILTER (cut OR transaction_id IS NULL OR k IN (4, 5)) = 0 AS passed
+              count(*) FILTER (cut OR transaction_id IS NULL OR k IN (4, 5, 6, 7)) AS violations,
+              count(*) FILTER (cut OR transaction_id IS NULL OR k IN (4, 5, 6, 7)) = 0 AS passed
        FROM delivered GROUP BY 1""",
 )
 def gate(spark, sf_dir):
@@ -315,9 +317,11 @@ def merged_days(spark, sf_dir):
 
 
 def staged_files(spark, sf_dir, files=None):
-    """Write all events as staged JSON, arrays of at most 500 objects per line."""
+    """Write all events as staged JSON, arrays of at most 500 objects per line; some times have an offset."""
     path = scratch_path(spark, "staged")
     rows = transactions(table(spark, sf_dir, "events"), "event_id")
+    zone = F.when(F.col("event_id") % 9 == 0, "+05:00").otherwise("")
+    rows = rows.withColumn("event_timestamp", F.concat("event_timestamp", zone))
     objects = rows.select(
         F.floor(F.col("event_id") / 500).alias("chunk"),
         F.to_json(

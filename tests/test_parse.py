@@ -1,11 +1,12 @@
 import json
+import re
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
-from txnflow.operators.contract import contract_violations
+from txnflow.operators.contract import contract_gate, contract_violations
 from txnflow.operators.parse import invalid_rows, parse_and_validate, tag, valid_rows
 from txnflow.operators.transform import event_envelope, fill_defaults, landing_projection, transform
 from txnflow.functions import TokenKey
@@ -213,3 +214,27 @@ def test_replay_after_a_fix(spark):
 def test_dead_letters_have_position_and_payload(spark, strict):
     row = parse_and_validate(envelopes(spark, ["junk"]), strict).invalid.first()
     assert (row.kafka_key, row.topic, row.partition, row.offset, bytes(row.payload)) == ("ACC-1", "t", 0, 0, b"junk")
+
+
+def test_report_and_gate_agree_with_the_strict_route(spark):
+    odd = [
+        having() + " x", having() + having(), having(currency="EUROS"), having(event_timestamp="nonsense"), having(),
+        having(merchant_id="a}b"), having(metadata={"k": "}"}), having()[:-1], "junk", having(amount_cents="5"), having() + "  ", having() + "}",
+    ]
+    raw = envelopes(spark, odd)
+    strict = {r.offset: r.dlq_reason for r in tag(raw, strict=True).collect()}
+    refused = {k for k, reason in strict.items() if reason}
+    report = {r.offset: r.violations for r in contract_violations(raw).collect()}
+    assert refused == set(report) and {k for k in range(len(odd)) if k not in refused} == {4, 5, 6, 10}
+    assert report[0] == report[1] == report[11] == ["payload"] and report[2] == ["currency"] and report[3] == ["event_timestamp"]
+    for k, reason in strict.items():
+        assert reason is None or reason == "PARSE_FAILURE" or reason.split("_", 1)[1] == report[k][0]
+    gate = contract_gate(raw, F.lit(0)).first()
+    assert (gate.messages, gate.violations, gate.passed) == (len(odd), len(refused), False)
+
+
+def test_well_formed_messages_are_parsed_once(spark):
+    """The id is asked for again behind a condition that only rows meet which were not read cleanly."""
+    for strict in (False, True):
+        plan = tag(envelopes(spark, [having()]), strict)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 2 and re.search(r"CASE WHEN isnotnull\(_corrupt#\d+\) THEN isnull\(from_json\(", plan)

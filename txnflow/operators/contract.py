@@ -6,16 +6,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnflow.operators.parse import parse_envelopes, violations
-from txnflow.schema import LANDING_COLUMNS, PAYLOAD_SCHEMA
+from txnflow.operators.parse import refused_fields, tag
+from txnflow.schema import LANDING_COLUMNS
 
 
 def contract_violations(raw: DataFrame) -> DataFrame:
-    """Messages that break the strict contract, with the offending fields."""
+    """Messages that the strict route refuses, with the offending fields; `payload` where none can be named."""
     return (
-        parse_envelopes(raw, PAYLOAD_SCHEMA, keep_corrupt=True)
-        .withColumn("violations", violations())
-        .where(F.size("violations") > 0)
+        tag(raw, strict=True)
+        .where(F.col("dlq_reason").isNotNull())
+        .withColumn("violations", refused_fields())
         .select("topic", "partition", "offset", "kafka_timestamp", "transaction_id", "violations")
     )
 
@@ -36,10 +36,9 @@ def landing_constraint_violations(landing: DataFrame) -> DataFrame:
 
 
 def contract_gate(raw: DataFrame, batch: Column) -> DataFrame:
-    """One row per batch; a batch passes only when no message breaks the contract."""
-    checked = parse_envelopes(raw, PAYLOAD_SCHEMA, keep_corrupt=True).select(
-        batch.alias("batch"), (F.size(violations()) > 0).cast("bigint").alias("broken")
-    )
+    """One row per batch; a batch passes only when the strict route refuses none of its messages."""
+    broken = F.col("dlq_reason").isNotNull().cast("bigint").alias("broken")
+    checked = tag(raw, strict=True).select(batch.alias("batch"), broken)
     return (
         checked.groupBy("batch")
         .agg(F.count(F.lit(1)).alias("messages"), F.sum("broken").alias("violations"))

@@ -113,38 +113,68 @@ def unlandable(cents: Column | str = "amount_cents") -> Column:
     return F.array_compact(F.array(*broken))
 
 
-def _one_object(text: Column) -> Column:
-    """Whether a text is one JSON value with nothing after it."""
-    return F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
+def one_object(text: Column) -> Column:
+    """Whether a text that parsed, whole, as a payload is one JSON object with nothing after it.
+
+    A payload has one closing brace, or two with its metadata. Where a text that
+    ends with a brace has no more than that, nothing can follow the object;
+    only other texts are read once more.
+    """
+    braces = F.length(text) - F.length(F.replace(text, F.lit("}"), F.lit("")))
+    few = F.when(F.col("metadata").isNotNull(), 2).otherwise(1)
+    plain = F.rtrim(text).endswith("}") & (braces <= few)
+    again = F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
+    return F.when(plain, F.lit(True)).otherwise(again)
+
+
+def _strict_steps() -> list[tuple[Column, str, Column]]:
+    """What the strict route asks of a parsed row, in order: when a row fails, the reason's prefix, and the fields.
+
+    This is the one definition of a violation: routes, report and gate use it.
+    """
+    broken, too_much = violations(), unlandable()
+    return [
+        (F.size(broken) > 0, CONTRACT_PREFIX, broken),
+        (~one_object(F.col("payload").cast("string")), CONTRACT_PREFIX, F.array(F.lit("payload"))),
+        (F.size(too_much) > 0, CONSTRAINT_PREFIX, too_much),
+    ]
+
+
+def refused_fields() -> Column:
+    """The fields for which the strict route refuses a row; `payload` where none can be named."""
+    steps = _strict_steps()
+    names = F.when(steps[0][0], steps[0][2])
+    for failed, _, fields in steps[1:]:
+        names = names.when(failed, fields)
+    return names.otherwise(F.array(F.lit("payload")))
+
+
+def _nested(schema: T.StructType) -> bool:
+    return any(isinstance(f.dataType, (T.MapType, T.StructType, T.ArrayType)) for f in schema.fields)
 
 
 def dead_letter_reason(strict: bool = False, schema: T.StructType = PAYLOAD_SCHEMA) -> Column:
     """Null for a valid row, else the reason it is refused.
 
     A full parse keeps what stands before a cut inside a nested field; a parse
-    of just the id refuses such a text. So rows with nested fields are asked for
-    the id again, and both routes agree.
+    of just the id refuses such a text. So rows that were not read cleanly, by
+    a cut or by a field of the wrong type, are asked for the id again, and both
+    routes agree. A well-formed message is parsed once.
     """
-    text = F.col("payload").cast("string")
     failed = F.col("transaction_id").isNull()
-    if any(isinstance(f.dataType, (T.MapType, T.StructType, T.ArrayType)) for f in schema.fields):
-        failed = failed | F.from_json(text, _ID_SCHEMA)["transaction_id"].isNull()
+    if _nested(schema):
+        again = F.from_json(F.col("payload").cast("string"), _ID_SCHEMA)["transaction_id"].isNull()
+        failed = failed | F.when(F.col(CORRUPT).isNotNull(), again).otherwise(F.lit(False))
     reason = F.when(failed, F.lit(PARSE_FAILURE))
-    if strict:
-        broken, too_much = violations(), unlandable()
-        reason = (
-            reason.when(F.size(broken) > 0, F.concat(F.lit(CONTRACT_PREFIX), F.get(broken, F.lit(0))))
-            .when(~_one_object(text), F.lit(f"{CONTRACT_PREFIX}payload"))
-            .when(F.size(too_much) > 0, F.concat(F.lit(CONSTRAINT_PREFIX), F.get(too_much, F.lit(0))))
-        )
+    for broken, prefix, fields in _strict_steps() if strict else ():
+        reason = reason.when(broken, F.concat(F.lit(prefix), F.get(fields, F.lit(0))))
     return reason
 
 
 def tag(raw: DataFrame, strict: bool = False, schema: T.StructType = PAYLOAD_SCHEMA) -> DataFrame:
     """Parsed rows with `dlq_reason`; both routes are filters on that column."""
-    return parse_envelopes(raw, schema, keep_corrupt=strict).withColumn(
-        "dlq_reason", dead_letter_reason(strict, schema)
-    )
+    parsed = parse_envelopes(raw, schema, keep_corrupt=strict or _nested(schema))
+    return parsed.withColumn("dlq_reason", dead_letter_reason(strict, schema))
 
 
 def valid_rows(tagged: DataFrame, names: tuple[str, ...] = PAYLOAD_NAMES) -> DataFrame:

@@ -20,6 +20,7 @@ from txnflow.functions import (
     tokenize_account_id,
 )
 from txnflow.functions.json import metadata_map
+from txnflow.functions.times import event_time_ntz
 from txnflow.operators.parse import CONSTRAINT_PREFIX, PARSE_FAILURE, unlandable
 from txnflow.schema import (
     CORRUPT_RECORD,
@@ -165,7 +166,8 @@ def staged_dead_letters(tagged: DataFrame) -> DataFrame:
 def staged_projection(staged: DataFrame) -> DataFrame:
     """Cast staged text fields to payload types. A failed cast gives null.
 
-    Staged rows have no stream position, so those columns are null.
+    Event times keep the wall clock as written, an offset is ignored. Staged
+    rows have no stream position, so those columns are null.
     """
     return staged.select(
         "transaction_id",
@@ -175,7 +177,7 @@ def staged_projection(staged: DataFrame) -> DataFrame:
         "merchant_id",
         "merchant_category_code",
         "event_type",
-        "event_timestamp",
+        event_time_ntz("event_timestamp").cast("string").alias("event_timestamp"),
         "card_last_four",
         F.col("is_international").try_cast("boolean").alias("is_international"),
         metadata_map("metadata").alias("metadata"),
