@@ -1,10 +1,12 @@
+import math
 import re
 
-import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from txnflow.llm import url_filter
 from txnflow.llm.queries import QUERIES
-from txnflow.llm.url_filter import PAD, RULES, WIDTH, MarkovModel, filter_urls, gram_keys
+from txnflow.llm.url_filter import HELD_BACK, PAD, RULES, STEPS, WIDTH, _gram_counts, filter_urls, gains_of, gram_keys
 
 
 def brute(url):
@@ -55,8 +57,8 @@ def test_model_separates_what_rules_teach(spark):
     assert found[more[0]] == "allow" and found[more[1]] == "block"
 
 
-def test_probabilities_equal_a_plain_count_and_sum_to_one():
-    texts = [b"banana\x03", b"bandana\x03", b"\x03"]
+def plain_model(texts):
+    """The chance of a byte after a context, from plain counts of byte strings."""
     pairs, kinds = {}, {}
     for text in texts:
         padded = bytes(WIDTH - 1) + text
@@ -66,7 +68,7 @@ def test_probabilities_equal_a_plain_count_and_sum_to_one():
                 pairs[size, context, padded[i]] = pairs.get((size, context, padded[i]), 0) + 1
                 kinds.setdefault((size, context), set()).add(padded[i])
 
-    def plain(context, byte):
+    def chance(context, byte):
         p = 1 / 256
         for size in range(WIDTH):
             own = context[len(context) - size :]
@@ -76,18 +78,54 @@ def test_probabilities_equal_a_plain_count_and_sum_to_one():
                 p = (pairs.get((size, own, byte), 0) + k * p) / (n + k)
         return p
 
-    number = lambda raw: int.from_bytes(raw, "big")
-    model = MarkovModel(
-        [(s, number(c) << 8 | b, n) for (s, c, b), n in pairs.items()],
-        [(s, number(c), sum(pairs[s, c, b] for b in k), len(k)) for (s, c), k in kinds.items()],
-    )
-    keys = gram_keys(texts, WIDTH, PAD)
-    assert len(keys) == sum(map(len, texts))
-    want, at = [], 0
-    for text in texts:
-        padded = bytes(WIDTH - 1) + text
-        want += [plain(padded[i - WIDTH + 1 : i], padded[i]) for i in range(WIDTH - 1, len(padded))]
-    assert np.allclose(np.exp(model.log_probability(keys)), want)
-    every = np.array([number(b"\0\0bana") >> 8 << 8 | b for b in range(256)], np.uint64)
-    assert abs(np.exp(model.log_probability(every)).sum() - 1) < 1e-9
-    assert url_filter.LEAST_SHARE > 0
+    return chance
+
+
+def number(raw):
+    return int.from_bytes(raw, "big")
+
+
+def test_probabilities_equal_a_plain_count_and_sum_to_one(spark):
+    texts = {"allow": [b"banana\x03", b"bandana\x03", b"\x03"], "block": [b"bond\x03"]}
+    rows = [(label, t[:-1].decode()) for label, own in texts.items() for t in own]
+    grams = _gram_counts(spark.createDataFrame(rows, "label string, address string"), "label", "address")
+    wanted = [number(b"\0\0bana") >> 8 << 8 | b for b in range(256)]
+    wanted += [k for own in texts.values() for k in gram_keys(own, WIDTH, PAD).tolist()]
+    windows = spark.createDataFrame([(k, 1) for k in sorted(set(wanted))], "key long, n long")
+    found = {r["key"]: r for r in gains_of(grams, windows).collect()}
+    assert set(found) == set(wanted)
+    for label, own in texts.items():
+        chance = plain_model(own)
+        for key, r in found.items():
+            raw = key.to_bytes(WIDTH, "big")
+            assert abs(math.exp(r[label]) - chance(raw[:-1], raw[-1])) < 1e-12
+            assert abs(r["gain"] - (r["allow"] - r["block"])) < 1e-12
+        assert abs(sum(math.exp(found[k][label]) for k in wanted[:256]) - 1) < 1e-9
+
+
+@pytest.mark.parametrize("most", [1 << 19, 300])
+def test_verdicts_of_the_model_equal_those_of_plain_counts(spark, monkeypatch, most):
+    """The whole query, with windows all broadcast or mostly joined."""
+    monkeypatch.setattr(url_filter, "BROADCAST_WINDOWS", most)
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url")
+    rows = pages.select("*", (F.pmod(F.xxhash64(F.concat(url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url")))), F.lit(HELD_BACK)) == 0).alias("held")).collect()
+    facts = {r.page_id: (*brute(r.url), r.held) for r in rows}
+    address = {k: (host + path).encode() + b"\x03" for k, (host, path, *_) in facts.items()}
+    models = {x: plain_model([address[k] for k, f in facts.items() if f[3] == x and not f[4]]) for x in ("allow", "block")}
+
+    def ratio(raw):
+        padded = bytes(WIDTH - 1) + raw
+        parts = [(padded[i - WIDTH + 1 : i], padded[i]) for i in range(WIDTH - 1, len(padded))]
+        return sum(math.log(models["allow"](*p)) - math.log(models["block"](*p)) for p in parts) / len(raw)
+
+    ratios = {k: ratio(raw) for k, raw in address.items()}
+    held = {x: [round(ratios[k] * STEPS) for k, f in facts.items() if f[3] == x and f[4]] for x in ("allow", "block")}
+    right = lambda cut: sum(s >= cut for s in held["allow"]) / len(held["allow"]) + sum(s < cut for s in held["block"]) / len(held["block"])
+    cuts = {0, *held["allow"], *held["block"]}
+    best = max(cuts, key=lambda cut: (right(cut), -abs(cut), -cut))
+    got = {r.page_id: r for r in filter_urls(pages).select("page_id", "url_check.*").collect()}
+    assert len(got) == len(facts) and sum(f[3] is None for f in facts.values()) > 20
+    for k, (_, _, rule, verdict, _) in facts.items():
+        assert abs(got[k].ratio - ratios[k]) < 1e-9
+        if abs(ratios[k] * STEPS - math.floor(ratios[k] * STEPS) - 0.5) > 1e-6:
+            assert got[k].verdict == (verdict or ("allow" if round(ratios[k] * STEPS) >= best else "block"))

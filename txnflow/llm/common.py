@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import math
 import tempfile
 import time
 import weakref
@@ -161,6 +162,18 @@ def discard(*tables: DataFrame) -> None:
             folder.getFileSystem(conf).delete(folder, True)
 
 
+def least_of_most(counted: DataFrame, most: int) -> int:
+    """The least n such that no more than `most` rows of `counted` have that n or more; n goes by eighths of doublings."""
+    steps = counted.groupBy(F.floor(8 * F.log2("n")).alias("step")).count().orderBy(F.desc("step")).collect()
+    rows, least = 0, 1 << 62
+    for step, more in steps:
+        rows += more
+        if rows > most:
+            break
+        least = math.ceil(2 ** (step / 8) - 1e-9)
+    return least
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of tables that nothing refers to any more; it does so after a collection.
 

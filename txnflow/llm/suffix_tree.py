@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnflow.llm.common import Counts, discard, from_planes, mixed, planes, prepare, release_shuffles, signed, space_words, unmixed, word_codes, written
+from txnflow.llm.common import Counts, discard, from_planes, least_of_most, mixed, planes, prepare, release_shuffles, signed, space_words, unmixed, word_codes, written
 
 #: Tokens of the longest context.
 DEPTH = 3
@@ -295,18 +295,6 @@ def _weights(words: DataFrame, levels: list[DataFrame], share: float) -> DataFra
     return written(whole, "weights")
 
 
-def _few(weights: DataFrame) -> int:
-    """The least n with which no more than `BROADCAST_CODES` rows are to be broadcast."""
-    steps = weights.groupBy(F.floor(8 * F.log2("n")).alias("step")).count().orderBy(F.desc("step")).collect()
-    rows, least = 0, 1 << 62
-    for step, more in steps:
-        rows += more
-        if rows > BROADCAST_CODES:
-            break
-        least = math.ceil(2 ** (step / 8) - 1e-9)
-    return max(least, BROADCAST_TIMES)
-
-
 def _frequent(weights: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Sorted codes, and for each one base and weight; those with a base are words."""
     few = weights.toArrow()
@@ -350,7 +338,7 @@ def score_texts(docs: DataFrame, training: Column, doc_id: str = "doc_id", text:
     weights = _weights(words, levels, math.log10(root) if n_train else 0.0)
     discard(continued, short, long, *levels)
     release_shuffles(spark)
-    often = F.col("n") >= _few(weights)
+    often = F.col("n") >= max(BROADCAST_TIMES, least_of_most(weights, BROADCAST_CODES))
     shared = spark.sparkContext.broadcast((*_frequent(weights.where(often)), _marks_of(weights)))
     kind = docs.schema["doc_id"].dataType.simpleString()
 

@@ -1,10 +1,15 @@
 """URL filters: rules first, and a character language-model ratio where no rule fits.
 
 URLs that rules accept and reject train one Markov model each, of variable
-order: a context counts as far as it was seen often enough, and its
-distribution is interpolated with that of the shorter one (Witten-Bell). A URL
-passes if the difference of the two log-likelihoods, per byte, reaches a
-threshold calibrated on URLs that were held back from training.
+order: the distribution of a context that was seen is interpolated with that of
+the shorter one (Witten-Bell). A URL passes if the difference of the two
+log-likelihoods, per byte, reaches a threshold calibrated on URLs that were held
+back from training.
+
+The models are tables of all n-grams seen, however many. They are joined, one
+length of context after the other, to the distinct windows of bytes that the
+URLs hold, which gives what each window adds to the difference. The most frequent
+windows, a bounded number, are broadcast to the URLs, the others joined to them.
 """
 
 from __future__ import annotations
@@ -17,14 +22,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnflow.llm.common import Counts, fresh, gram_keys, map_texts, prepare, signed, written
+from txnflow.llm.common import Counts, fresh, gram_keys, least_of_most, map_texts, prepare, signed, written
 
 #: Bytes of a context and the byte after it.
 WIDTH = 6
 PAD, END = 0, b"\x03"
-#: A context or pair is kept for a model if it makes up this share of the training bytes: at most
-#: 1 / LEAST_SHARE of them at each length, however many URLs there are.
-LEAST_SHARE = 2.0**-16
+#: Windows, at most, whose gains are broadcast, at 16 bytes each.
+BROADCAST_WINDOWS = 1 << 19
 #: One in so many labelled URLs calibrates the threshold instead of training.
 HELD_BACK = 5
 #: Steps of the calibrated threshold, per natural-log unit.
@@ -77,51 +81,6 @@ def rule_of(host: Column, path: Column, rules: tuple[UrlRule, ...], value) -> Co
     return found
 
 
-class MarkovModel:
-    """Counts of contexts and of contexts with their next byte, by context length.
-
-    Bytes whose pair was not kept share what their context has left over, in
-    the proportions of the shorter context.
-    """
-
-    def __init__(self, pairs: list[tuple[int, int, int]], contexts: list[tuple[int, int, int, int]]):
-        """`pairs`: (size, context and byte, count); `contexts`: (size, context, count, kinds of next bytes)."""
-        self.pairs, self.contexts = [], []
-        for size in range(WIDTH):
-            own = sorted((p, n) for s, p, n in pairs if s == size)
-            keys = np.array([p for p, _ in own], np.uint64)
-            counts = np.array([n for _, n in own], float)
-            about = sorted((c, n, k) for s, c, n, k in contexts if s == size)
-            names = np.array([c for c, _, _ in about], np.uint64)
-            total = np.array([n for _, n, _ in about], float)
-            kinds = np.array([k for _, _, k in about], float)
-            known = np.zeros(len(names))
-            if len(keys) and len(names):
-                at = np.minimum(np.searchsorted(names, keys >> np.uint64(8)), len(names) - 1)
-                same = names[at] == keys >> np.uint64(8)
-                np.add.at(known, at[same], counts[same])
-            self.pairs.append((keys, counts))
-            self.contexts.append((names, total + kinds, total - known + kinds))
-
-    @staticmethod
-    def _look_up(keys: np.ndarray, table: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
-        if not len(table):
-            return [np.zeros(len(keys)) for _ in values]
-        at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-        same = table[at] == keys
-        return [np.where(same, v[at], 0.0) for v in values]
-
-    def log_probability(self, keys: np.ndarray) -> np.ndarray:
-        """Natural log-probability of the last byte of each key after the bytes before."""
-        p = np.full(len(keys), 1 / 256)
-        for size in range(WIDTH):
-            pair = keys & np.uint64((1 << 8 * (size + 1)) - 1)
-            (count,) = self._look_up(pair, *self.pairs[size])
-            whole, left = self._look_up(pair >> np.uint64(8), *self.contexts[size])
-            p = np.where(whole > 0, (count + left * p) / np.maximum(whole, 1), p)
-        return np.log(p)
-
-
 def _gram_counts(urls: DataFrame, label: str, address: str) -> DataFrame:
     """Counts (label, key, n) of all windows of `WIDTH` bytes, summed in each task before the shuffle."""
     prepare(urls.sparkSession)
@@ -147,47 +106,84 @@ def _gram_counts(urls: DataFrame, label: str, address: str) -> DataFrame:
     return grams.groupBy("label", "key").agg(F.sum("n").alias("n"))
 
 
-def train(labelled: DataFrame, label: str, address: str, labels: tuple[str, str]) -> dict[str, MarkovModel]:
-    """A model for each label, from all labelled rows."""
-    grams = written(_gram_counts(labelled, label, address), "url-grams")
-    totals = {r["label"]: r["n"] for r in grams.groupBy("label").agg(F.sum("n").alias("n")).collect()}
-    sizes = [F.struct(F.lit(s).alias("size"), F.lit((1 << 8 * (s + 1)) - 1).cast("long").alias("mask")) for s in range(WIDTH)]
-    sized = grams.select("label", "n", "key", F.inline(F.array(*sizes)))
-    pairs = sized.groupBy("label", "size", F.col("key").bitwiseAND(F.col("mask")).alias("pair")).agg(F.sum("n").alias("n"))
-    least = F.lit(0.0)
-    for name, n in totals.items():
-        least = F.when(F.col("label") == name, F.lit(n * LEAST_SHARE)).otherwise(least)
-    contexts = (
-        pairs.groupBy("label", "size", F.shiftright("pair", 8).alias("context"))
-        .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds"))
-        .where(F.col("n") >= least)
-        .collect()
-    )
-    kept = pairs.where(F.col("n") >= least).collect()
-    return {
-        name: MarkovModel(
-            [(r["size"], r["pair"], r["n"]) for r in kept if r["label"] == name],
-            [(r["size"], r["context"], r["n"], r["kinds"]) for r in contexts if r["label"] == name],
-        )
-        for name in labels
-    }
+def _mask(size: int) -> Column:
+    return F.lit((1 << 8 * (size + 1)) - 1).cast("long")
+
 
+def gains_of(grams: DataFrame, windows: DataFrame) -> DataFrame:
+    """(key, n, allow, block, gain) of `windows` (key, n): the natural log-probabilities of the last byte of each window
+    after the bytes before it, in the models of both labels, and their difference.
 
-def _ratios(models: dict[str, MarkovModel], texts: list[str | None]) -> list[float]:
-    """Log-likelihood difference, per byte, of each text."""
+    `grams` are the training counts (label, key, n). A context that a label has
+    not seen leaves the distribution of the shorter one; before all stands an
+    even one.
+    """
+    labels = ("allow", "block")
+    pairs = grams.groupBy(F.col("key").alias("pair")).agg(*(F.sum(F.when(F.col("label") == x, F.col("n")).otherwise(0)).alias(x) for x in labels))
+    seen = windows.select(F.col("key").alias("pair"))
+    tables = []  # counts of pairs, and the pairs asked for, from the longest context to none
+    for size in range(WIDTH - 1, -1, -1):
+        shorter = F.col("pair").bitwiseAND(_mask(size)).alias("pair")
+        pairs = written(pairs.groupBy(shorter).agg(*(F.sum(x).alias(x) for x in labels)), "pairs")
+        seen = written(seen.select(shorter).distinct(), "windows")
+        tables.append((pairs, seen))
+    known = None
+    for size, (pairs, seen) in enumerate(reversed(tables)):
+        context = F.shiftright("pair", 8).alias("context")
+        about = pairs.groupBy(context).agg(
+            *(F.sum(x).alias(f"{x}_total") for x in labels), *(F.count_if(F.col(x) > 0).alias(f"{x}_kinds") for x in labels)
+        )
+        own = seen.withColumn("context", F.shiftright("pair", 8)).join(pairs, "pair", "left").join(about, "context", "left")
+        if known is None:
+            own = own.withColumns({f"{x}_below": F.lit(1 / 256) for x in labels})
+        else:
+            below = known.select(F.col("pair").alias("rest"), *(F.col(f"p_{x}").alias(f"{x}_below") for x in labels))
+            own = own.withColumn("rest", F.col("pair").bitwiseAND(_mask(size - 1))).join(below, "rest")
+        chances = []
+        for x in labels:
+            total, kinds, low = (F.col(f"{x}_{c}") for c in ("total", "kinds", "below"))
+            chance = (F.coalesce(x, F.lit(0)) + kinds * low) / (total + kinds)
+            chances.append(F.when(total > 0, chance).otherwise(low).alias(f"p_{x}"))
+        known = written(own.select("pair", *chances), "chances")
+    found = windows.join(known.withColumnRenamed("pair", "key"), "key")
+    allow, block = F.log("p_allow"), F.log("p_block")
+    return written(found.select("key", "n", allow.alias("allow"), block.alias("block"), (allow - block).alias("gain")), "gains")
+
+
+def _sums(texts: list[str | None], names: np.ndarray, values: np.ndarray) -> tuple[list, list, list, list]:
+    """For each text the sum of the gains of its windows in `names`, its bytes, and its other windows with their counts."""
     if not texts:
-        return []
+        return [], [], [], []
     raw = [(t or "").encode() + END for t in texts]
     keys = gram_keys(raw, WIDTH, PAD)
-    gain = models["allow"].log_probability(keys) - models["block"].log_probability(keys)
     sizes = np.fromiter(map(len, raw), np.int64, len(raw))
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    return (np.add.reduceat(gain, starts) / sizes).tolist()
-
-
-def _scored(frame: DataFrame, text: str, keep: list[str], name: str, models: dict[str, MarkovModel]) -> DataFrame:
-    shared = frame.sparkSession.sparkContext.broadcast(models)
-    return map_texts(frame, text, keep, {name: "double"}, lambda: lambda texts: (_ratios(shared.value, texts),))
+    at = np.minimum(np.searchsorted(names, keys), max(0, len(names) - 1))
+    known = names[at] == keys if len(names) else np.zeros(len(keys), bool)
+    gain = np.where(known, values[at], 0.0) if len(names) else np.zeros(len(keys))
+    others = [np.unique(keys[a : a + n][~known[a : a + n]], return_counts=True) for a, n in zip(starts, sizes)]
+    return np.add.reduceat(gain, starts).tolist(), sizes.tolist(), [signed(k) for k, _ in others], [n for _, n in others]
+
+
+def _scored(frame: DataFrame, text: str, keep: list[str], name: str, gains: DataFrame) -> DataFrame:
+    """Columns `keep`, and in `name` the log-likelihood difference of the text, per byte."""
+    often = F.col("n") >= least_of_most(gains, BROADCAST_WINDOWS)
+    few = gains.where(often).select("key", "gain").toArrow()
+    keys = few.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    shared = frame.sparkSession.sparkContext.broadcast((keys[order], few.column("gain").to_numpy()[order]))
+    rest = gains.where(~often).select("key", "gain")
+    total, size, codes, times, row = (fresh([*keep, name], n) for n in ("total", "size", "codes", "times", "row"))
+    outputs = {total: "double", size: "long", codes: "longs", times: "ints"}
+    scored = map_texts(frame, text, keep, outputs, lambda: lambda texts: _sums(texts, *shared.value))
+    if rest.isEmpty():
+        return scored.select(*keep, (F.col(total) / F.col(size)).alias(name))
+    scored = written(scored.withColumn(row, F.monotonically_increasing_id()), "scored")
+    each = scored.select(F.col(row).alias("row"), F.explode(F.arrays_zip(F.col(codes).alias("key"), F.col(times).alias("times"))).alias("w"))
+    sums = each.select("row", "w.key", "w.times").join(rest, "key").groupBy("row").agg(F.sum(F.col("times") * F.col("gain")).alias("more"))
+    sums = sums.select(F.col("row").alias(f"{row}_"), F.col("more").alias(f"{total}_"))
+    whole = scored.join(sums, F.col(row) == F.col(f"{row}_"), "left")
+    return whole.select(*keep, ((F.col(total) + F.coalesce(f"{total}_", F.lit(0.0))) / F.col(size)).alias(name))
 
 
 def calibrate(scored: DataFrame, label: str, ratio: str) -> float:
@@ -208,7 +204,8 @@ def calibrate(scored: DataFrame, label: str, ratio: str) -> float:
 def filter_urls(pages: DataFrame, url: str = "url", rules: tuple[UrlRule, ...] = RULES) -> DataFrame:
     """`pages` and a struct `url_check` (in place of a column so named): host, path, rule, verdict, ratio.
 
-    No row is shuffled, only n-gram counts are. A null URL and one without
+    Rows are not shuffled unless the windows are too many to broadcast; counts
+    of n-grams are. A null URL and one without
     `://` have an empty host and path; the model then judges the empty text.
     Where the rules accept or reject no URL at all, the models know nothing
     and the threshold is 0, so every other URL passes. Repeated rows are judged
@@ -227,10 +224,12 @@ def filter_urls(pages: DataFrame, url: str = "url", rules: tuple[UrlRule, ...] =
     )
     labelled = ruled.where(F.col(rule).isNotNull()).select(F.col(verdict).alias("label"), F.col(address).alias("address"))
     held = F.pmod(F.xxhash64("address"), F.lit(HELD_BACK)) == 0
-    models = train(labelled.where(~held), "label", "address", ("allow", "block"))
-    threshold = calibrate(_scored(labelled.where(held), "address", ["label"], "ratio", models), "label", "ratio")
+    grams = written(_gram_counts(labelled.where(~held), "label", "address"), "url-grams")
+    every = _gram_counts(ruled.select(F.lit("any").alias("label"), F.col(address).alias("address")), "label", "address")
+    gains = gains_of(grams, written(every.select("key", "n"), "windows"))
+    threshold = calibrate(_scored(labelled.where(held), "address", ["label"], "ratio", gains), "label", "ratio")
     ratio = fresh([*ruled.columns], "ratio")
-    judged = _scored(ruled, address, [*keep, host, path, rule, verdict], ratio, models)
+    judged = _scored(ruled, address, [*keep, host, path, rule, verdict], ratio, gains)
     by_model = F.when(F.round(F.col(ratio) * STEPS) >= round(threshold * STEPS), F.lit("allow")).otherwise(F.lit("block"))
     check = F.struct(
         F.col(host).alias("host"),
