@@ -1,6 +1,8 @@
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from txnflow.llm.license_rules import AFTER, BASE, BEFORE, Signature, anchored, reach, signatures
 from txnflow.llm.license_scan import scan_licenses
@@ -113,3 +115,18 @@ def test_longest_matches_are_found_whole(spark):
 def test_rules_without_bound_are_refused():
     with pytest.raises(ValueError):
         reach([Signature("x", "x", "(?:very )*@x", 1, 0.5)])
+
+
+def test_time_grows_with_the_finds_only(spark):
+    """Tens of thousands of finds in one text, nested ones among them, beside a text of a tenth of that."""
+    unit = "licensed under the apache license version 2.0 cc by gnu gpl v3 cc by "
+    texts = [unit * n for n in (1_000, 10_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(1)
+    took, counts = [], []
+    for k in (0, 0, 1):  # the first run compiles
+        began = time.time()
+        r = scan_licenses(docs.where(F.col("doc_id") == k)).select("licenses.n_words", F.size("licenses.base"), F.size("licenses.finds")).first()
+        took.append(time.time() - began)
+        counts.append(tuple(r))
+    assert counts[2][0] == 10 * counts[1][0] and counts[2][1] == 20_000 and counts[2][1] + counts[2][2] >= 40_000
+    assert took[2] < 25 * took[1] and took[2] < 120

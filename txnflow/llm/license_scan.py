@@ -30,7 +30,7 @@ def _rules(rules: list[Signature]) -> Column:
 
 
 def _finds(words: Column, rules: list[Signature]) -> Column:
-    """All finds in a text's words, by start, longest first, lowest tier first."""
+    """The finds around each keyword in a text's words, keywords in their order."""
     keywords = sorted({s.keyword for s in rules})
     most_before, most_after = reach(rules)
     places = F.filter(F.transform(words, lambda w, i: F.when(w.isin(keywords), i)), lambda i: i.isNotNull())
@@ -65,23 +65,35 @@ def _finds(words: Column, rules: list[Signature]) -> Column:
 
         return let(around, tried)
 
-    return F.array_sort(F.array_distinct(F.flatten(F.transform(places, at))))
+    return F.transform(places, at)
+
+
+def _in_order(finds: Column) -> Column:
+    """Distinct finds by start, longest first, lowest tier first."""
+    return let(F.array_sort(F.flatten(finds)), lambda own: F.filter(own, lambda x, k: (k == 0) | (x != F.get(own, k - 1))))
 
 
 def _kept(finds: Column, rules: list[Signature]) -> Column:
     """Finds that lie in no other of the same or a lower tier.
 
-    The reach of the rules bounds the words of a find, so whatever contains it
-    started at most so many words before: as many finds back as there can be.
+    A find has its keyword inside it. Two finds that share a word have keywords
+    no further apart than the rules reach to both sides, so that many keywords
+    to either side are looked at, whatever the length of the text.
     """
-    back = (sum(reach(rules)) + 1) * len(rules)
+    wide = sum(reach(rules))
+
+    def alone(around, own):
+        def free(find):
+            holds = lambda e: (e < find) & (e.minus_end <= find.minus_end) & (e.tier <= find.tier)
+            return ~F.exists(around, lambda others: F.exists(others, holds))
+
+        return F.filter(own, free)
 
-    def alone(find, k):
-        size = F.least(k, F.lit(back))
-        before = F.slice(finds, k - size + 1, size)
-        return ~F.exists(before, lambda e: (e.minus_end <= find.minus_end) & (e.tier <= find.tier))
+    def place(own, k):
+        first = F.greatest(k - wide, F.lit(0))
+        return let(F.slice(finds, first + 1, F.lit(2 * wide + 1)), lambda around: alone(around, own))
 
-    return F.filter(finds, alone)
+    return F.transform(finds, place)
 
 
 def scan_licenses(docs: DataFrame, text: str = "text", rules: list[Signature] | None = None) -> DataFrame:
@@ -104,8 +116,8 @@ def scan_licenses(docs: DataFrame, text: str = "text", rules: list[Signature] |
 
     def result(finds):
         return F.struct(
-            F.transform(F.filter(finds, lambda x: x.base), span).alias("base"),
-            F.transform(_kept(finds, rules), span).alias("finds"),
+            F.transform(F.filter(_in_order(finds), lambda x: x.base), span).alias("base"),
+            F.transform(_in_order(_kept(finds, rules)), span).alias("finds"),
         )
 
     gated = F.when(value.rlike(f"(?i)(?:{keywords})"), found)
