@@ -14,7 +14,8 @@ from catalog.adapters import (
 )
 from catalog.registry import mean_sql, percent_sql, query
 from txnflow.operators.dedupe import batch_metrics, dedupe_in_batch, duplicate_count, late_merge, running_totals
-from txnflow.operators.sequence import account_sequence, inter_txn_gap, velocity
+from txnflow.operators.sequence import account_sequence, distinct_in_span, inter_txn_gap, velocity
+from txnflow.plans.buckets import bucketed_table
 from txnflow.plans.models import (
     fct_transactions,
     int_enriched,
@@ -24,6 +25,7 @@ from txnflow.plans.models import (
     token_join,
     unknown_mcc,
 )
+from txnflow.session import cut_lineage
 from txnflow.plans.reports import (
     cfpb_last_months,
     daily_counts,
@@ -243,6 +245,33 @@ def velocity_1h(spark, sf_dir):
     return velocity(rows).select("transaction_id", "txn_count", "cents_total")
 
 
+@query(
+    "distinct_merchants_1h",
+    """SELECT a.transaction_id, count(DISTINCT b.merchant_id) AS distinct_merchants
+       FROM settled a JOIN settled b ON b.account_id_token = a.account_id_token
+            AND b.event_ts BETWEEN a.event_ts - INTERVAL 1 HOUR AND a.event_ts
+       GROUP BY a.transaction_id""",
+)
+def merchants_1h(spark, sf_dir):
+    rows = settled(spark, sf_dir).select("transaction_id", "account_id_token", "event_ts", "merchant_id")
+    return distinct_in_span(rows).select("transaction_id", "distinct_merchants")
+
+
+@query(
+    "bucketed_accounts",
+    """SELECT transaction_id, segment, row_number() OVER (PARTITION BY s.account_id_token ORDER BY event_ts, transaction_id) AS sequence_no,
+              count(*) OVER w AS txn_count, CAST(sum(amount_cents) OVER w AS BIGINT) AS cents_total
+       FROM settled s LEFT JOIN account_dim d ON s.account_id_token = d.account_id_token
+       WINDOW w AS (PARTITION BY s.account_id_token ORDER BY event_ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW)""",
+)
+def bucketed(spark, sf_dir):
+    """Sequence, velocity and the account join on tables that are stored by buckets of accounts."""
+    names = ("transaction_id", "account_id_token", "event_ts", "amount_cents")
+    with bucketed_table(settled(spark, sf_dir).select(*names)) as rows, bucketed_table(account_dimension(spark, sf_dir)) as accounts:
+        found = velocity(account_sequence(rows)).join(accounts, "account_id_token", "left")
+        return cut_lineage(found.select("transaction_id", "segment", "sequence_no", "txn_count", "cents_total"))
+
+
 @query(
     "volume_zscore",
     """SELECT event_day, transactions,

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
 from txnflow.operators.hotkeys import SLICE, find_hot_keys, slice_by_range
-from txnflow.operators.sequence import account_order, account_sequence, inter_txn_gap, velocity
+from txnflow.operators.sequence import account_order, account_sequence, distinct_in_span, inter_txn_gap, velocity
+from txnflow.plans.buckets import bucketed_table
 
 START = datetime(2024, 1, 1)
 SCHEMA = "transaction_id string, account_id_token string, event_ts timestamp_ntz, amount_cents bigint"
@@ -128,3 +129,37 @@ def test_hot_rows_spread_over_slices(spark):
     sizes = [r["count"] for r in sliced.groupBy(SLICE).count().collect()]
     assert len(sizes) == 4 and max(sizes) < 200 and sum(sizes) == 400
     assert find_hot_keys(df, "account_id_token", 1000) is None
+
+
+@pytest.mark.parametrize("shape", ["spread", "instants", "one"])
+@pytest.mark.parametrize("limit", [40, 10_000])
+def test_distinct_in_span(spark, shape, limit):
+    data = [(*r, None if k % 19 == 0 else f"m{k * k % 7}") for k, r in enumerate(rows(shape))] + [("t", "hot", None, 1, "m1"), ("u", None, START, 1, "m1")]
+    df = spark.createDataFrame(data, SCHEMA + ", merchant_id string")
+    got = {r.transaction_id: r.distinct_merchants for r in distinct_in_span(df, rows_per_task=limit).collect()}
+    assert len(got) == len(data)
+    for name, account, at, _, _ in data:
+        near = {m for _, a, t, _, m in data if a == account and t is not None and at is not None and timedelta(0) <= at - t <= timedelta(hours=1) and m}
+        assert got[name] == (None if at is None else len(near)), name
+
+
+def test_distinct_in_span_needs_one_shuffle(spark):
+    df = spark.createDataFrame([("t1", "a", START, 1, "m")], SCHEMA + ", merchant_id string")
+    assert plan_of(distinct_in_span(df)).count("Exchange") == 1
+
+
+def test_bucketed_tables_need_no_exchange(spark):
+    data = rows("spread")
+    df = spark.createDataFrame(data, SCHEMA)
+    accounts = df.select("account_id_token").distinct().withColumn("segment", F.upper("account_id_token"))
+    want = sorted(map(tuple, velocity(account_sequence(df)).join(accounts, "account_id_token", "left").select("transaction_id", "sequence_no", "txn_count", "cents_total", "segment").collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with bucketed_table(df, 4) as stored, bucketed_table(accounts, 4) as segments:
+            found = velocity(account_sequence(stored)).join(segments, "account_id_token", "left")
+            assert "Exchange" not in plan_of(found) and "SortMergeJoin" in plan_of(found)
+            got = found.select("transaction_id", "sequence_no", "txn_count", "cents_total", "segment").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(map(tuple, got)) == want

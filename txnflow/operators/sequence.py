@@ -1,4 +1,4 @@
-"""Order-dependent values per account: sequence number, gap, trailing-hour velocity.
+"""Order-dependent values per account: sequence number, gap, trailing-hour velocity and distinct merchants.
 
 Each function runs a plain window per account and, where an account holds too
 many rows for one task, the sliced form of `txnflow.operators.hotkeys` for that
@@ -145,11 +145,17 @@ def _running_difference(
     )
     pair = Window.partitionBy("_account", "n")
     totals = running.select(
+        "_account",
         "own",
         "row",
         *(F.sum(_signed(F.col(name))).over(pair).alias(name) for name in ("rows", "priced", "cents")),
     )
-    return totals.where(F.col("own") == 1).select("row.*", F.col("rows").alias("txn_count"), _cents_total())
+    return totals.where(F.col("own") == 1).select(*_unpacked(columns, account), F.col("rows").alias("txn_count"), _cents_total())
+
+
+def _unpacked(columns: list[str], account: str) -> list[Column]:
+    """The columns of a carried row; the account is that of the windows, so Spark knows that rows still lie by it."""
+    return [F.col("_account").alias(c) if c == account else F.col("row")[c].alias(c) for c in columns]
 
 
 def _signed(value: Column) -> Column:
@@ -200,3 +206,69 @@ def _trailing_totals(rows: DataFrame, account: str, amount: str, span_micros: in
             _cents_total(),
         )
     )
+
+
+def distinct_in_span(
+    df: DataFrame,
+    item: str = "merchant_id",
+    name: str = "distinct_merchants",
+    account: str = "account_id_token",
+    time: str = "event_ts",
+    span_micros: int = HOUR_MICROS,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Add how many different values of `item` the account has in the trailing span, both ends included.
+
+    An occurrence counts until the next one of its item, or until the span is
+    over: two marks on the account's time line, whose running total is the
+    count. Rows without an item add nothing; rows without a time get null. One
+    shuffle by account serves all windows; accounts with too many rows go by
+    sliced totals.
+    """
+    timed = df.withColumn("_t", F.unix_micros(F.col(time).cast("timestamp")))
+    hot = find_hot_keys(timed, account, rows_per_task)
+    counted = _running_distinct(timed if hot is None else hot.cold(timed), df.columns, account, item, name, span_micros)
+    if hot is None:
+        return counted
+    rows = hot.hot(timed).withColumn("_at", F.struct(account, "_t"))
+    at_instant = _sliced_distinct(rows, account, item, name, span_micros, slices_for(3 * hot.rows, rows_per_task), rows_per_task)
+    joined = rows.join(at_instant, "_at", "left")
+    return counted.unionByName(joined.select(*df.columns, F.when(F.col("_t").isNotNull(), F.col(name)).alias(name)))
+
+
+def _running_distinct(rows: DataFrame, columns: list[str], account: str, item: str, name: str, span_micros: int) -> DataFrame:
+    """Distinct counts with one shuffle by account. Occurrences at one instant end at once, but for one of them."""
+    own = Window.partitionBy(account, item).orderBy("_t")
+    until = F.least(F.lead("_t").over(own), F.col("_t") + span_micros + 1)
+    counts = F.when(F.col(item).isNotNull() & F.col("_t").isNotNull(), 1).otherwise(0)
+    seen = rows.repartition(account).select(
+        F.col(account).alias("_account"), "_t", until.alias("_until"), counts.alias("_counts"), F.struct(*columns).alias("_row")
+    )
+    begin = F.struct(F.col("_t").alias("pos"), F.col("_counts").alias("delta"), F.col("_row").alias("row"))
+    end = F.struct(F.col("_until").alias("pos"), (-F.col("_counts")).alias("delta"), F.lit(None).alias("row"))
+    marks = seen.select("_account", F.inline(F.array(begin, end)))
+    up_to = Window.partitionBy("_account").orderBy("pos").rangeBetween(Window.unboundedPreceding, 0)
+    running = marks.select("_account", "pos", "row", F.sum("delta").over(up_to).alias("n"))
+    return running.where(F.col("row").isNotNull()).select(*_unpacked(columns, account), F.when(F.col("pos").isNotNull(), F.col("n")).alias(name))
+
+
+def _sliced_distinct(rows: DataFrame, account: str, item: str, name: str, span_micros: int, slices: int, rows_per_task: int) -> DataFrame:
+    """(_at, count) at each instant of hot accounts: marks where an item comes after more than a span, and where it goes."""
+    timed = rows.where(F.col("_t").isNotNull())
+    seen = timed.where(F.col(item).isNotNull()).select(account, item, "_t").distinct()
+    seen = seen.withColumn("_pair", F.struct(account, item)).withColumn("_time", F.timestamp_micros("_t"))
+    gaps = inter_txn_gap(seen, "_pair", "_time", "_t", rows_per_task)
+    comes = F.col("gap_micros").isNull() | (F.col("gap_micros") > span_micros)
+    left = F.col("_t") - F.col("gap_micros") + span_micros + 1
+    came = gaps.where(comes).select(
+        account, F.inline(F.array(F.struct(F.col("_t").alias("pos"), F.lit(1).alias("delta")), F.struct(left.alias("pos"), F.lit(-1).alias("delta"))))
+    )
+    last = seen.groupBy(account, item).agg((F.max("_t") + span_micros + 1).alias("pos")).select(account, "pos", F.lit(-1).alias("delta"))
+    instants = timed.select(account, F.col("_t").alias("pos"), F.lit(0).alias("delta"))
+    marks = came.where(F.col("pos").isNotNull()).unionByName(last).unionByName(instants)
+    net = marks.groupBy(account, "pos").agg(F.sum("delta").alias("delta"))
+    sliced = slice_by_range(net, account, ["pos"], slices)
+    earlier = carry(sliced, account, {"_before": F.sum("delta")}, F.sum)
+    running = F.sum("delta").over(in_slice(account, ["pos"]).rowsBetween(Window.unboundedPreceding, 0))
+    counted = attach_carry(sliced, earlier, account)
+    return counted.select(F.struct(F.col(account), F.col("pos").alias("_t")).alias("_at"), (running + F.coalesce("_before", _zero())).alias(name))
