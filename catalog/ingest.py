@@ -32,6 +32,7 @@ from txnflow.plans.operations import dlq_rate, reason_counts, replay, split_coun
 from txnflow.schema import DEAD_LETTER_SCHEMA, PAYLOAD_NAMES, PAYLOAD_SCHEMA
 from txnflow.session import scratch_path
 from txnflow.sinks.landing import FileSink, compact, merge_into, write_days
+from txnflow.sinks.skipping import write_sorted_days
 from txnflow.sinks.topic import to_topic_records
 from txnflow.sources.files import newest_day, read_landed_days, read_landing, read_staged_json
 
@@ -287,14 +288,24 @@ def late_days(spark, sf_dir):
     return read_landed_days(spark, table_path, landing.path).select("transaction_id", "amount_cents", "event_date")
 
 
-@query(
-    "merge_days",
-    """SELECT transaction_id, CASE WHEN k < 40 THEN amount_cents + 1 ELSE amount_cents END AS amount_cents,
+MERGED_SQL = """SELECT transaction_id, CASE WHEN k < 40 THEN amount_cents + 1 ELSE amount_cents END AS amount_cents,
               CASE WHEN k < 10 THEN event_date + 1 WHEN k >= 90 THEN NULL WHEN k BETWEEN 20 AND 29 THEN NULL
                    ELSE event_date END AS event_date
-       FROM (SELECT *, CAST(ts AS DATE) AS event_date FROM (SELECT * EXCLUDE (event_date) FROM settled))""",
-)
+       FROM (SELECT *, CAST(ts AS DATE) AS event_date FROM (SELECT * EXCLUDE (event_date) FROM settled))"""
+
+
+@query("merge_days", MERGED_SQL)
 def merged_days(spark, sf_dir):
+    return _merged(spark, sf_dir, write_days)
+
+
+@query("merge_indexed_days", MERGED_SQL)
+def merged_indexed_days(spark, sf_dir):
+    """As `merge_days`, on a table whose files are sorted and indexed, so that only some are searched."""
+    return _merged(spark, sf_dir, write_sorted_days)
+
+
+def _merged(spark, sf_dir, write):
     """Corrections that move rows to the next day (k < 10), give them a date (10 to 19), take it away (20 to 29),
     change them in place (30 to 39); rows from 90 on never have a date."""
     k = F.col("metadata")["k"].cast("int")
@@ -310,7 +321,7 @@ def merged_days(spark, sf_dir):
         }
     )
     path = scratch_path(spark, "by-day")
-    write_days(old, path)
+    write(old, path)
     for _ in range(2):  # a second run changes nothing
         merge_into(spark, path, new, scratch_path(spark, "staging"))
     return read_landing(spark, path).select("transaction_id", "amount_cents", F.col("event_date").cast("date").alias("event_date"))

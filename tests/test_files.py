@@ -1,5 +1,5 @@
 import json
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,8 +15,10 @@ from txnflow.sinks.landing import (
     compact,
     create_landing_table,
     merge_into,
+    searched_files,
     write_days,
 )
+from txnflow.sinks.skipping import files_that_may_hold, index_files, write_sorted_days
 from txnflow.sinks.topic import publish, to_topic_records
 from txnflow.schema import PAYLOAD_NAMES
 from txnflow.session import cut_lineage, scratch_path, shared_dir
@@ -245,3 +247,50 @@ def test_the_library_uses_no_rdd():
     for folder in ("txnflow", "catalog"):
         for path in Path(folder).rglob("*.py"):
             assert ".rdd" not in path.read_text(), path
+
+
+def indexed_table(spark, path, days=6, rows=40):
+    """Days of ids that rise with time, in several files each."""
+    at = datetime(2024, 1, 1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        own = [{"transaction_id": f"{d:02d}-{k:03d}", "event_ts": at + timedelta(days=d)} for d in range(days) for k in range(rows)]
+        write_sorted_days(landing(spark, *own, {"transaction_id": "00-undated", "event_ts": None}), path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_a_merge_searches_only_files_that_may_hold_an_id(spark, tmp_path):
+    table, later = str(tmp_path / "t"), datetime(2024, 2, 1)
+    indexed_table(spark, table)
+    every = spark.read.parquet(table).inputFiles()
+    assert len(every) >= 8
+
+    def named(*ids):
+        return spark.createDataFrame([(i,) for i in ids], "transaction_id string")
+
+    for ids in (["02-007"], ["00-000", "05-039"], ["03-010", "03-011", "zz"], ["99"], [None, "00-undated"]):
+        found = files_that_may_hold(spark, table, named(*ids))
+        holding = {r[0] for r in spark.read.parquet(table).where(F.col("transaction_id").isin([i for i in ids if i])).select("_metadata.file_path").distinct().collect()}
+        assert {p.removeprefix("file:") for p in holding} <= {p.removeprefix("file://") for p in found} and len(found) <= 2 * len(ids), ids
+    assert files_that_may_hold(spark, table, named("99")) == []
+    assert searched_files(spark, table, named("99")) is None
+    # Old rows are found whatever their day, undated ones too; a new file that the index lacks is searched.
+    changes = [("02-007", datetime(2024, 1, 6), 5), ("00-undated", datetime(2024, 1, 2), 6), ("new", None, 7)]
+    updates = landing(spark, *({"transaction_id": i, "event_ts": t, "amount_cents": c, "ingested_at": later} for i, t, c in changes))
+    for n in range(2):
+        merge_into(spark, table, updates, str(tmp_path / f"staging{n}"))
+        got = {r.transaction_id: (r.event_date and str(r.event_date), r.amount_cents) for r in read_landing(spark, table).collect()}
+        assert len(got) == read_landing(spark, table).count() == 242
+        assert (got["02-007"], got["00-undated"], got["new"]) == (("2024-01-06", 5), ("2024-01-02", 6), (None, 7))
+    landing(spark, {"transaction_id": "02-500", "event_ts": datetime(2024, 1, 9)}).write.mode("append").partitionBy("event_date").parquet(table)
+    assert len(files_that_may_hold(spark, table, named("02-500"))) == 1
+
+
+def test_a_table_without_index_is_searched_whole(spark, tmp_path):
+    table = str(tmp_path / "t")
+    write_days(landing(spark, {"transaction_id": "a"}, {"transaction_id": "b", "event_ts": datetime(2024, 3, 1)}), table)
+    ids = spark.createDataFrame([("none",)], "transaction_id string")
+    assert len(files_that_may_hold(spark, table, ids)) == len(spark.read.parquet(table).inputFiles()) == 2
+    index_files(spark, table)
+    assert files_that_may_hold(spark, table, ids) == []

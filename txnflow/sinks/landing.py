@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from txnflow.operators.dedupe import late_merge
 from txnflow.schema import LANDING_COLUMNS, ROW_NUMBER
 from txnflow.session import cut_lineage
+from txnflow.sinks.skipping import files_that_may_hold, index_path, write_sorted_days
 
 BATCH_PARTITIONS = ("run_id", "batch_id")
 
@@ -228,14 +229,18 @@ def merge_into(
     A day is touched when an update falls on it or replaces a row there; rows
     without a date are a day of their own. The merged days are written to
     `staging_path` first, so a failed job leaves the table whole and the step
-    can be run again. `earliest_day` bounds the days that are searched for
+    can be run again. Where `write_sorted_days` wrote the table, only files that
+    may hold an updated id are searched, and touched days are written so again.
+    `earliest_day` bounds the days that are searched for
     replaced rows, for tables in which late rows never go back further.
     """
     table = spark.read.parquet(table_path)
-    ids = updates.select("transaction_id").distinct()
-    recent = F.lit(True) if earliest_day is None else (F.col("event_date") >= F.lit(earliest_day)) | F.col("event_date").isNull()
-    searched = table.where(recent).select("transaction_id", "event_date")
-    replaced = searched.join(ids, "transaction_id", "left_semi")
+    ids = cut_lineage(updates.select("transaction_id").distinct(), "ids")
+    searched = searched_files(spark, table_path, ids)
+    replaced = table.limit(0).select("transaction_id", "event_date")
+    if searched is not None:
+        recent = F.lit(True) if earliest_day is None else (F.col("event_date") >= F.lit(earliest_day)) | F.col("event_date").isNull()
+        replaced = searched.where(recent).select("transaction_id", "event_date").join(ids, "transaction_id", "left_semi")
     days = cut_lineage(replaced.select("event_date").union(updates.select("event_date")).distinct(), "days")
     # At most one row per calendar day, whatever the size of the table.
     touched = _of_days(table, days, "left_semi")
@@ -245,11 +250,22 @@ def merge_into(
     # A touched day is left empty when its last row moved to another day. Looked
     # up before the table changes; at most one row per calendar day.
     emptied = _of_days(days, staged.select("event_date").distinct(), "left_anti").collect()
-    write_days(staged, table_path)
+    if _Folder(spark, index_path(table_path)).exists():
+        write_sorted_days(staged, table_path)
+    else:
+        write_days(staged, table_path)
     for row in emptied:
         _Folder(spark, f"{table_path}/event_date={row['event_date'] or NULL_DAY}").delete()
 
 
+def searched_files(spark: SparkSession, table_path: str, ids: DataFrame) -> DataFrame | None:
+    """The files of a table by day in which a merge looks for `ids`: those that may hold one, if the table has an index,
+    else all; None if there is no such file."""
+    schema = spark.read.parquet(table_path).schema
+    files = files_that_may_hold(spark, table_path, ids)
+    return spark.read.schema(schema).option("basePath", table_path).parquet(*files) if files else None
+
+
 def _of_days(rows: DataFrame, days: DataFrame, how: str) -> DataFrame:
     """Rows whose day is (not) among `days`, null being a day like others."""
     wanted = days.select(F.col("event_date").alias("_day"))
