@@ -34,6 +34,7 @@ from txnflow.session import scratch_path
 from txnflow.sinks.landing import FileSink, compact, merge_into, write_days
 from txnflow.sinks.skipping import write_sorted_days
 from txnflow.sinks.topic import to_topic_records
+from txnflow.sources.arrays import read_staged_arrays
 from txnflow.sources.files import newest_day, read_landed_days, read_landing, read_staged_json
 
 NTZ = "timestamp_ntz"
@@ -366,6 +367,19 @@ def bulk_load(spark, sf_dir):
     return rows.select(*STAGED_NAMES, F.to_json("metadata").alias("metadata"))
 
 
+@query("bulk_array_load", STAGED_SQL)
+def bulk_arrays(spark, sf_dir):
+    """All events as arrays over many lines, a file for each of 16 groups, each file read by several tasks."""
+    path = scratch_path(spark, "arrays")
+    rows = transactions(table(spark, sf_dir, "events"), "event_id")
+    token = tokenize_account_id("account_id", KEY).alias("account_id_token")
+    lines = rows.select("event_id", F.to_json(F.struct(*(c for c in PAYLOAD_NAMES if c != "account_id"), token)).alias("object"))
+    files = lines.groupBy(F.col("event_id") % 16).agg(F.concat_ws(",\n  ", F.collect_list("object")).alias("objects"))
+    files.select(F.concat(F.lit("[\n  "), "objects", F.lit("\n]")).alias("value")).repartition(16).write.text(path)
+    rows = landing_projection(transform(staged_projection(read_staged_arrays(spark, path)), key=None))
+    return rows.select(*STAGED_NAMES, F.to_json("metadata").alias("metadata"))
+
+
 @query(
     "dlq_replay",
     """SELECT transaction_id, amount_cents, kafka_partition, kafka_offset FROM

@@ -22,6 +22,8 @@ from txnflow.sinks.skipping import files_that_may_hold, index_files, write_sorte
 from txnflow.sinks.topic import publish, to_topic_records
 from txnflow.schema import PAYLOAD_NAMES
 from txnflow.session import cut_lineage, scratch_path, shared_dir
+from txnflow.sources import arrays
+from txnflow.sources.arrays import read_staged_arrays, split_arrays
 from txnflow.sources.files import newest_day, read_landed_days, read_landing, read_staged_json
 from txnflow.sources.topic import TopicConfig
 
@@ -284,7 +286,7 @@ def test_a_merge_searches_only_files_that_may_hold_an_id(spark, tmp_path):
         assert len(got) == read_landing(spark, table).count() == 242
         assert (got["02-007"], got["00-undated"], got["new"]) == (("2024-01-06", 5), ("2024-01-02", 6), (None, 7))
     landing(spark, {"transaction_id": "02-500", "event_ts": datetime(2024, 1, 9)}).write.mode("append").partitionBy("event_date").parquet(table)
-    assert len(files_that_may_hold(spark, table, named("02-500"))) == 1
+    assert any("event_date=2024-01-09" in path for path in files_that_may_hold(spark, table, named("02-500")))
 
 
 def test_a_table_without_index_is_searched_whole(spark, tmp_path):
@@ -294,3 +296,47 @@ def test_a_table_without_index_is_searched_whole(spark, tmp_path):
     assert len(files_that_may_hold(spark, table, ids)) == len(spark.read.parquet(table).inputFiles()) == 2
     index_files(spark, table)
     assert files_that_may_hold(spark, table, ids) == []
+
+
+ODD_STRINGS = ["}", "{", "},{", '"', "\\", '\\"}', "[]", "a\n}", "", "}}]", "é}", "\\\\", ',"x":{']
+
+
+def array_objects(n=300):
+    return [{"transaction_id": f"t{k}", "merchant_id": ODD_STRINGS[k % len(ODD_STRINGS)], "metadata": {"k": {"n": k, "s": ODD_STRINGS[-k % 5]}}, "amount_cents": k} for k in range(n)]
+
+
+@pytest.mark.parametrize("layout", [{"indent": 2}, {"indent": None}, {"separators": (",", ":")}])
+def test_one_array_is_read_by_many_tasks(spark, tmp_path, layout):
+    objects = array_objects()
+    for name, own in (("a", objects), ("b", objects[:1]), ("c", [])):
+        (tmp_path / f"{name}.json").write_text(json.dumps(own, ensure_ascii=False, **layout))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert spark.read.option("lineSep", "}").text(str(tmp_path)).select(F.spark_partition_id()).distinct().count() > 4
+        for slices in (2, 7):
+            records = sorted((r.source_file[-6:], r.place, r.record) for r in split_arrays(spark, str(tmp_path), slices).collect())
+            assert [json.loads(r) for f, _, r in records if f == "a.json"] == objects
+            assert [json.loads(r) for f, _, r in records if f != "a.json"] == objects[:1]
+        rows = read_staged_arrays(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(rows) == 301 and all(r._corrupt_record is None for r in rows)
+    assert sorted(r.merchant_id for r in rows) == sorted([o["merchant_id"] for o in objects] + ["}"])
+
+
+def test_cut_arrays_lose_nothing(spark, tmp_path, monkeypatch):
+    text = json.dumps(array_objects(20))
+    cut = text.index('"transaction_id": "t7"') + 20  # inside the name of the eighth
+    (tmp_path / "cut.json").write_text(text[:cut])
+    for most in (10_000, 0):
+        monkeypatch.setattr(arrays, "MOST_PIECES", most)
+        rows = read_staged_arrays(spark, str(tmp_path)).collect()
+        if most:
+            assert sorted(r.transaction_id for r in rows if r._corrupt_record is None) == [f"t{k}" for k in range(7)]
+            assert [r._corrupt_record for r in rows if r._corrupt_record is not None] == ['{"transaction_id": "t']
+        else:  # every piece by itself
+            kept = "".join(r._corrupt_record or "" for r in rows)
+            assert all(f"t{k}" in kept for k in range(7))
+    (tmp_path / "cut.json").write_text(" ")
+    assert read_staged_arrays(spark, str(tmp_path)).count() == 0
