@@ -99,13 +99,12 @@ def map_texts(df: DataFrame, text: str, keep: Sequence[str], outputs: dict[str,
     of `ARROW`; a name must not be in `keep`.
     """
     prepare(df.sparkSession)
-    spark_text = fresh(keep, "text")
-    kept = [df[c] for c in keep]
-    source = df.select(*kept, df[text].alias(spark_text))
-    schema = T.StructType(
-        [df.schema[c] for c in keep] + [T.StructField(n, ARROW[k][1]) for n, k in outputs.items()]
-    )
-    names, kinds, n_kept = [*keep, *outputs], [ARROW[k][0] for k in outputs.values()], len(keep)
+    # Numbers stand for names on the way: a function over batches takes no names with dots.
+    kept = [column(c).alias(f"c{k}") for k, c in enumerate(keep)]
+    source = df.select(*kept, column(text).alias("text"))
+    fields = [*source.schema.fields[:-1], *(T.StructField(f"made{k}", ARROW[kind][1]) for k, kind in enumerate(outputs.values()))]
+    kinds, n_kept = [ARROW[k][0] for k in outputs.values()], len(keep)
+    names = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = build()
@@ -116,7 +115,7 @@ def map_texts(df: DataFrame, text: str, keep: Sequence[str], outputs: dict[str,
             arrays = [pa.array(values, type=kind) for values, kind in zip(made, kinds)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:n_kept], *arrays], names=names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(run, T.StructType(fields)).toDF(*keep, *outputs)
 
 
 def space_words(text: str | None) -> list[bytes]:

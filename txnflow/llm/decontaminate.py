@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnflow.llm.common import alnum_words, fresh, map_texts, mixed, written
+from txnflow.llm.common import alnum_words, column, fresh, map_texts, mixed, written
 
 #: Windows in one broadcast block. A larger benchmark is scanned in several blocks.
 BLOCK_WINDOWS = 500_000
@@ -90,7 +90,7 @@ def _zeros() -> Iterator[int]:
 def _blocks(benchmark: DataFrame, item: str, text: str, size: int) -> Iterator[dict[tuple[bytes, ...], list[str]]]:
     """The benchmark's windows, a bounded block at a time."""
     block: dict[tuple[bytes, ...], list[str]] = {}
-    rows = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text"))
+    rows = benchmark.select(column(item).cast("string").alias("item"), column(text).alias("text"))
     for row in rows.toLocalIterator():
         for window in item_windows(row["text"], size):
             block.setdefault(window, []).append(row["item"] if row["item"] is not None else "")
@@ -148,11 +148,11 @@ def _scan_block(docs: DataFrame, text: str, block: dict, first: bool, made: set[
     outputs = dict(zip(names, ("long", "ints", "strings")))
     if first:
         return map_texts(docs, text, keep, outputs, build)
-    old = docs.select(*keep, F.struct("hits", "items").alias(fresh([*keep, *names], "earlier")))
+    old = docs.select(*map(column, keep), F.struct("hits", "items").alias(fresh([*keep, *names], "earlier")))
     earlier = old.columns[-1]
     new = map_texts(old, text, [*keep, earlier], outputs, build)
     merge = lambda name: F.array_sort(F.array_union(F.col(f"{earlier}.{name}"), F.col(name)))
-    return new.select(*keep, "n_words", merge("hits").alias("hits"), merge("items").alias("items"))
+    return new.select(*map(column, keep), "n_words", merge("hits").alias("hits"), merge("items").alias("items"))
 
 
 def items_digest(items: str = "items"):
@@ -163,7 +163,7 @@ def items_digest(items: str = "items"):
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **how) -> DataFrame:
     """The rows of `docs` whose text holds no window of `benchmark`, with their columns as they were."""
     name = fresh(docs.columns, "scanned_text")
-    marked = scan_benchmark(docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias(name)), benchmark, name, **how)
+    marked = scan_benchmark(docs.select(F.struct(*map(column, docs.columns)).alias("row"), column(text).alias(name)), benchmark, name, **how)
     return marked.where(F.size("hits") == 0).select("row.*")
 
 
@@ -176,7 +176,7 @@ def cut_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", size: i
 
     word = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     name = fresh(docs.columns, "scanned_text")
-    frame = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias(name))
+    frame = docs.select(F.struct(*map(column, docs.columns)).alias("row"), column(text).alias(name))
     marked = scan_benchmark(frame, benchmark, name, size=size)
     joined = marked.select("row", F.to_json(F.struct("hits", F.col(name).alias("value"))).alias(name))
     out = fresh(["row"], "cut")
@@ -202,6 +202,6 @@ def cut_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", size: i
         return lambda values: ([cut(v) for v in values],)
 
     cut_rows = map_texts(joined, name, ["row"], {out: "string"}, build)
-    return cut_rows.select(*(F.col(out).alias(text) if c == text else F.col(f"row.`{c}`") for c in docs.columns))
+    return cut_rows.select(*(F.col(out).alias(text) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from txnflow.llm.common import fresh, map_texts, mixed
+from txnflow.llm.common import column, fresh, map_texts, mixed
 
 #: Bounds of the training sample: documents of each language, spans of each, words of a span.
 SAMPLE_DOCS, SAMPLE_SPANS, SPAN_WORDS = 400, 3, 32
@@ -133,8 +133,8 @@ class LanguageModel:
 
 def _sample(docs: DataFrame, text: str, lang: str, seed_column: str) -> list[tuple[str, list[str]]]:
     """Spans of words from a bounded number of documents of each language, spread over their whole texts."""
-    rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    rows = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.lit(11), F.col(seed_column)).alias("draw"))
+    rows = docs.where(column(text).isNotNull() & column(lang).isNotNull())
+    rows = rows.select(column(lang).alias("lang"), column(text).alias("text"), F.xxhash64(F.lit(11), F.col(seed_column)).alias("draw"))
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return []
@@ -341,6 +341,6 @@ def label_documents(docs: DataFrame, model: LanguageModel | None, text: str = "t
 def keep_known(docs: DataFrame, model: LanguageModel | None, text: str = "text", least: float = 0.5) -> DataFrame:
     """The rows of `docs` with a language that has at least the share `least`, with their columns as they were."""
     value = fresh(["row"], "labelled_text")
-    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias(value))
+    packed = docs.select(F.struct(*map(column, docs.columns)).alias("row"), column(text).alias(value))
     known = (F.col("lang_pred") != UNKNOWN) & (F.col("lang_score") >= least)
     return label_documents(packed, model, value).where(known).select("row.*")

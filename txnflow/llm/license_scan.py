@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnflow.llm.common import fresh
+from txnflow.llm.common import column, fresh
 from txnflow.llm.license_rules import BASE, Signature, anchored, reach, signatures
 from txnflow.llm.quality import let
 
@@ -108,7 +108,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", rules: list[Signature] |
     rules = signatures() if rules is None else rules
     keep = [c for c in docs.columns if c.lower() != "licenses"]
     keywords = "|".join(sorted({s.keyword for s in rules}))
-    value = F.coalesce(F.col(text), F.lit(""))
+    value = F.coalesce(column(text), F.lit(""))
     words = F.array_remove(F.split(value, SEPARATORS), "")
     plain = F.array_remove(F.split(F.translate(value, UPPER, LOWER), SEPARATORS), "")
     found = let(plain, lambda w: _finds(w, rules))
@@ -128,7 +128,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", rules: list[Signature] |
         F.coalesce(F.col(f"{inner}.r.base"), F.array()).alias("base"),
         F.coalesce(F.col(f"{inner}.r.finds"), F.array()).alias("finds"),
     )
-    return counted.select(*keep, licenses.alias("licenses"))
+    return counted.select(*map(column, keep), licenses.alias("licenses"))
 
 
 def label_list(*arrays: str) -> Column:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnflow.llm.common import fresh
+from txnflow.llm.common import column, fresh
 
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
@@ -120,7 +120,7 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
     """
     keep = [c for c in docs.columns if c.lower() != "quality"]
     inner = fresh(docs.columns, "measures")
-    measured = docs.withColumn(inner, let(F.col(text), _measures))
+    measured = docs.withColumn(inner, let(column(text), _measures))
     measure = {
         "one": F.lit(1),
         **{n: F.col(f"{inner}.w.{n}") for n in ("n_words", "word_chars", "n_repeat_words", "n_stop_words", "n_equal_neighbours")},
@@ -137,11 +137,11 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
     names = F.array_compact(F.array(*(F.when(bad, F.lit(name)) for name, bad in broken.items())))
     fields = [c.cast("long").alias(n) for n, c in measure.items() if n != "one"]
     verdict = F.struct(*fields, base.alias("base_failed"), names.alias("broken"), (~any_broken).alias("kept"))
-    return measured.select(*keep, verdict.alias("quality"))
+    return measured.select(*map(column, keep), verdict.alias("quality"))
 
 
 def kept_rows(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of `docs` that break no rule, with their columns as they were."""
     row, value = "row", "judged_text"
-    judged = judge(docs.select(F.struct(*docs.columns).alias(row), F.col(text).alias(value)), value, rules)
+    judged = judge(docs.select(F.struct(*map(column, docs.columns)).alias(row), column(text).alias(value)), value, rules)
     return judged.where("quality.kept").select(f"{row}.*")

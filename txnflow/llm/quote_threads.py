@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from txnflow.llm.common import fresh, written
+from txnflow.llm.common import column, fresh, written
 
 MARKS = r"^[ \t]*(?:>[ \t]*)+"
 # The line that mail programs put before a quote, in four languages.
@@ -87,10 +87,12 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
     thread_turn and position puts every reply after what it replies to. Rows of
     one conversation and turn count as one message for links, and each has its
     own body; a row without conversation or turn links with nothing and is its
-    own thread; a null text has no lines. Built-in functions only.
+    own thread; a null text has no lines. Repeated rows count once; columns that
+    hold maps do not tell rows apart. Built-in functions only.
     """
     keep = [c for c in messages.columns if c.lower() != "thread"]
-    rows = messages.select(*keep).distinct()
+    comparable = [c for c in keep if "map<" not in messages.schema[c].dataType.simpleString()]
+    rows = messages.select(*map(column, keep)).dropDuplicates(comparable)
     parents = written(_parents(rows, conv, turn, text), "parents")
     roots = _roots(parents)
     names = {n: fresh(keep, n) for n in ("parent", "n_linked", "root", "depth", "slice", "own", "before")}
@@ -100,7 +102,7 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
     found = rows.join(links, same, "left").drop(*links.columns[:2])
     found = found.withColumn(names["root"], F.coalesce(names["root"], turn)).withColumn(names["slice"], F.floor(F.col(turn) / SLICE))
     thread = [conv, names["root"]]
-    others = [c for c in keep if c not in (conv, turn)]
+    others = [column(c) for c in comparable if c not in (conv, turn)]
     inside = Window.partitionBy(*thread, names["slice"]).orderBy(turn, *others)
     sizes = found.groupBy(*thread, names["slice"]).agg(F.count(F.lit(1)).alias(names["own"]))
     earlier = Window.partitionBy(*thread).orderBy(names["slice"]).rowsBetween(Window.unboundedPreceding, -1)
@@ -118,4 +120,4 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
         F.coalesce(names["n_linked"], F.lit(0)).cast("long").alias("n_linked"),
         body(F.col(text)).alias("body"),
     )
-    return placed.select(*keep, result.alias("thread"))
+    return placed.select(*map(column, keep), result.alias("thread"))

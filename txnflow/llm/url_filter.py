@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnflow.llm.common import Counts, fresh, gram_keys, least_of_most, map_texts, prepare, signed, written
+from txnflow.llm.common import Counts, column, fresh, gram_keys, least_of_most, map_texts, prepare, signed, written
 
 #: Bytes of a context and the byte after it.
 WIDTH = 6
@@ -177,13 +177,13 @@ def _scored(frame: DataFrame, text: str, keep: list[str], name: str, gains: Data
     outputs = {total: "double", size: "long", codes: "longs", times: "ints"}
     scored = map_texts(frame, text, keep, outputs, lambda: lambda texts: _sums(texts, *shared.value))
     if rest.isEmpty():
-        return scored.select(*keep, (F.col(total) / F.col(size)).alias(name))
+        return scored.select(*map(column, keep), (F.col(total) / F.col(size)).alias(name))
     scored = written(scored.withColumn(row, F.monotonically_increasing_id()), "scored")
     each = scored.select(F.col(row).alias("row"), F.explode(F.arrays_zip(F.col(codes).alias("key"), F.col(times).alias("times"))).alias("w"))
     sums = each.select("row", "w.key", "w.times").join(rest, "key").groupBy("row").agg(F.sum(F.col("times") * F.col("gain")).alias("more"))
     sums = sums.select(F.col("row").alias(f"{row}_"), F.col("more").alias(f"{total}_"))
     whole = scored.join(sums, F.col(row) == F.col(f"{row}_"), "left")
-    return whole.select(*keep, ((F.col(total) + F.coalesce(f"{total}_", F.lit(0.0))) / F.col(size)).alias(name))
+    return whole.select(*map(column, keep), ((F.col(total) + F.coalesce(f"{total}_", F.lit(0.0))) / F.col(size)).alias(name))
 
 
 def calibrate(scored: DataFrame, label: str, ratio: str) -> float:
@@ -213,9 +213,9 @@ def filter_urls(pages: DataFrame, url: str = "url", rules: tuple[UrlRule, ...] =
     """
     keep = [c for c in pages.columns if c.lower() != "url_check"]
     host, path, rule, verdict, address = (fresh(keep, n) for n in ("host", "path", "rule", "verdict", "address"))
-    parsed = pages.select(*keep, host_of(F.col(url)).alias(host), path_of(F.col(url)).alias(path))
+    parsed = pages.select(*map(column, keep), host_of(column(url)).alias(host), path_of(column(url)).alias(path))
     ruled = parsed.select(
-        *keep,
+        *map(column, keep),
         host,
         path,
         rule_of(F.col(host), F.col(path), rules, lambda r: r.text).alias(rule),
@@ -238,4 +238,4 @@ def filter_urls(pages: DataFrame, url: str = "url", rules: tuple[UrlRule, ...] =
         F.coalesce(F.col(verdict), by_model).alias("verdict"),
         F.col(ratio).alias("ratio"),
     )
-    return judged.select(*keep, check.alias("url_check"))
+    return judged.select(*map(column, keep), check.alias("url_check"))
