@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,8 +16,9 @@ from txnflow.functions import RotatingKey, TokenKey
 from txnflow.operators.parse import tag, valid_rows
 from txnflow.operators.sessions import account_sessions
 from txnflow.operators.transform import transform
-from txnflow.schema import PAYLOAD_SCHEMA
+from txnflow.schema import LANDING_SCHEMA, PAYLOAD_SCHEMA
 from txnflow.session import scratch_path
+from txnflow.sinks.committed import CommittedSink, read_committed
 from txnflow.sinks.landing import FileSink
 from txnflow.sources.files import stream_envelopes, stream_staged_json
 from txnflow.streaming.accounts import account_signals, state_store, stream_sessions
@@ -110,6 +112,18 @@ def append(spark, sf_dir):
     return _landed_view(spark.read.parquet(f"{root}/landing"))
 
 
+@query("landing_committed", _LANDED_SQL)
+def committed(spark, sf_dir):
+    """One batch written twice, as after a failure, into a table of committed batches, read over all its days."""
+    config, root = _config(spark, run_id="committed")
+    config = replace(config, landing=CommittedSink(f"{root}/landing"))
+    writer = MicroBatchWriter(config, KEY)
+    for _ in range(2):
+        writer.write(envelopes(table(spark, sf_dir, "events")), 0)
+    schema = T.StructType([*LANDING_SCHEMA.fields, T.StructField("event_date", T.DateType())])
+    return _landed_view(read_committed(spark, f"{root}/landing", schema))
+
+
 ROTATED = (
     RotatingKey("k1", KEY, date(2024, 1, 1)),
     RotatingKey("k2", TokenKey(b"second-test-key"), date(2024, 1, 16)),

@@ -65,7 +65,7 @@ class ConnectorSink:
     Batches that were written are noted in the folder `ledger`, and a batch that
     is noted is not written again. Only a job that dies between the append and
     the note repeats a batch; its rows carry (run_id, batch_id), by which the
-    target can discard them.
+    target can discard them. `txnflow.sinks.committed` has a target without that gap.
     """
 
     fmt: str

@@ -29,10 +29,11 @@ from txnflow.operators.transform import (
     with_row_number,
 )
 from txnflow.schema import EVENT_TYPES, PAYLOAD_NAMES, PAYLOAD_SCHEMA
+from txnflow.sinks.committed import CommittedSink
 from txnflow.sinks.landing import ConnectorSink, FileSink
 from txnflow.sinks.topic import TopicSink
 
-Sink = FileSink | ConnectorSink
+Sink = FileSink | ConnectorSink | CommittedSink
 Key = TokenKey | Sequence[RotatingKey]
 
 
