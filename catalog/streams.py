@@ -22,6 +22,7 @@ from txnflow.sinks.committed import CommittedSink, read_committed
 from txnflow.sinks.landing import FileSink
 from txnflow.sources.files import stream_envelopes, stream_staged_json
 from txnflow.streaming.accounts import account_signals, state_store, stream_sessions
+from txnflow.streaming.live import LiveMetrics, read_live
 from txnflow.streaming.pipeline import MicroBatchWriter, PipelineConfig, start_file_ingest, start_pipeline
 from txnflow.streaming.views import dedupe_within_watermark
 
@@ -124,6 +125,31 @@ def committed(spark, sf_dir):
     return _landed_view(read_committed(spark, f"{root}/landing", schema))
 
 
+@query(
+    "live_metrics",
+    """SELECT (SELECT count(*) FROM valid) AS rows_in, (SELECT count(*) FROM refused) AS rows_invalid,
+              (SELECT count(*) FROM valid) AS written_and_copies, TRUE AS in_batches""",
+)
+def live(spark, sf_dir):
+    """What the writes of several batches counted in passing, summed up."""
+    root = scratch_path(spark, "stream")
+    meter = LiveMetrics(f"{root}/live")
+    spark.streams.addListener(meter)
+    try:
+        config = replace(_config(spark)[0], metrics=None, live=meter)
+        start_pipeline(split_messages(spark, sf_dir), config, KEY).awaitTermination()
+        if not meter.wait(120):
+            raise TimeoutError("a batch was not reported")
+    finally:
+        spark.streams.removeListener(meter)
+    return read_live(spark, f"{root}/live").agg(
+        F.sum("rows_in").alias("rows_in"),
+        F.sum("rows_invalid").alias("rows_invalid"),
+        F.sum(F.col("rows_written") + F.col("duplicates")).alias("written_and_copies"),
+        (F.count(F.lit(1)) > 1).alias("in_batches"),
+    )
+
+
 ROTATED = (
     RotatingKey("k1", KEY, date(2024, 1, 1)),
     RotatingKey("k2", TokenKey(b"second-test-key"), date(2024, 1, 16)),

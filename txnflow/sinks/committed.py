@@ -33,7 +33,7 @@ FILE_BYTES, GROUP_BYTES = 128 << 20, 16 << 20
 COMMIT_SCHEMA = "file string, rows long, bytes long, first_day date, last_day date, run_id string, batch_id long"
 
 
-def _opened(path: str) -> tuple[fs.FileSystem, str]:
+def opened(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path and the path in it; any that Arrow knows: local, HDFS, S3, GCS, Azure."""
     if path.startswith("file:"):
         path = "/" + path[len("file:") :].lstrip("/")
@@ -41,6 +41,16 @@ def _opened(path: str) -> tuple[fs.FileSystem, str]:
     return system, inner.rstrip("/")
 
 
+def put_whole(system: fs.FileSystem, folder: str, name: str, text: str) -> None:
+    """Write a small file that gets its name only when it is whole; it replaces one of that name."""
+    system.create_dir(folder, recursive=True)
+    # Names that begin with "_" are not read by Spark.
+    draft = f"{folder}/_{uuid.uuid4().hex}"
+    with system.open_output_stream(draft) as out:
+        out.write(text.encode())
+    system.move(draft, f"{folder}/{name}")
+
+
 def _row_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -74,7 +84,7 @@ class _Files:
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> _Written:
         """Batches go to disk as they come; a task holds one row group. A task without rows writes no file."""
-        system, root = _opened(self._path)
+        system, root = opened(self._path)
         system.create_dir(f"{root}/files", recursive=True)
         done: list[dict] = []
         writer = sink = None
@@ -112,14 +122,13 @@ class _Files:
         sink.close()
 
     def publish(self, messages: list[_Written | None], batch_id: int) -> None:
-        """Name the batch's files in its commit. The commit file gets its name only when it is whole."""
-        system, root = _opened(self._path)
+        """Name the batch's files in its commit."""
+        system, root = opened(self._path)
         folder = f"{root}/commits/run_id={self._run_id}"
         commit = f"{folder}/batch_id={batch_id}.json"
         if system.get_file_info(commit).type != fs.FileType.NotFound:
             self.discard(messages)
             return
-        system.create_dir(folder, recursive=True)
         owner = {"run_id": self._run_id, "batch_id": batch_id}
         lines = []
         for message in filter(None, messages):
@@ -128,14 +137,10 @@ class _Files:
                 # A file with undated rows may belong to any question about days.
                 days = {"first_day": None, "last_day": None} if undated else {}
                 lines.append(json.dumps({**file, **days, **owner}) + "\n")
-        # Names that begin with "_" are not read by Spark.
-        draft = f"{folder}/_{uuid.uuid4().hex}"
-        with system.open_output_stream(draft) as out:
-            out.write("".join(lines).encode())
-        system.move(draft, commit)
+        put_whole(system, folder, f"batch_id={batch_id}.json", "".join(lines))
 
     def discard(self, messages: list[_Written | None]) -> None:
-        system, root = _opened(self._path)
+        system, root = opened(self._path)
         for message in filter(None, messages):
             for file in message.files:
                 _delete(system, f"{root}/files/{file['file']}")
@@ -247,7 +252,7 @@ def remove_unnamed(spark: SparkSession, path: str, before: datetime) -> int:
     lost = old.join(commits(spark, path).select("file"), "file", "left_anti")
 
     def delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, root = _opened(path)
+        system, root = opened(path)
         for batch in batches:
             gone = [_delete(system, f"{root}/files/{name}") for name in batch.column("file").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([sum(gone)], pa.int64())], names=["n"])

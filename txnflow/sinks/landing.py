@@ -72,13 +72,15 @@ class ConnectorSink:
     ledger: str
     options: dict[str, str] = field(default_factory=dict)
 
-    def write_batch(self, df: DataFrame, run_id: str, batch_id: int) -> None:
+    def write_batch(self, df: DataFrame, run_id: str, batch_id: int) -> bool:
+        """False if the batch was noted before; `df` is not computed then."""
         note = _Folder(df.sparkSession, f"{self.ledger}/run_id={run_id}/batch_id={batch_id}")
         if note.exists():
-            return
+            return False
         stamped = df.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")})
         stamped.write.format(self.fmt).options(**self.options).mode("append").save()
         note.create()
+        return True
 
 
 class _Folder:

@@ -11,7 +11,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -32,6 +33,7 @@ from txnflow.schema import EVENT_TYPES, PAYLOAD_NAMES, PAYLOAD_SCHEMA
 from txnflow.sinks.committed import CommittedSink
 from txnflow.sinks.landing import ConnectorSink, FileSink
 from txnflow.sinks.topic import TopicSink
+from txnflow.streaming.live import COUNTS, LiveMetrics
 
 Sink = FileSink | ConnectorSink | CommittedSink
 Key = TokenKey | Sequence[RotatingKey]
@@ -48,6 +50,8 @@ class PipelineConfig:
     dead_letters: Sink | TopicSink
     checkpoint: str
     metrics: FileSink | None = None
+    # Counts in passing instead of in a job before the writes, unless `metrics` or `gate` needs that job.
+    live: LiveMetrics | None = None
     # False routes only unparseable messages and those without an id to the
     # dead letters; True also those that break the declared contract or the
     # constraints of the landing table.
@@ -83,7 +87,11 @@ class MicroBatchWriter:
         """Envelopes in; landing rows, dead letters and metrics out."""
         run_id = self._run_id(raw)
         config = self._config
-        tagged = tag(raw, config.strict, config.schema).persist()
+        tagged = tag(raw, config.strict, config.schema)
+        if config.live and not config.metrics and not config.gate:
+            self._write_observed(tagged, run_id, batch_id)
+            return
+        tagged = tagged.persist()
         try:
             # This job parses the batch into the cache; the writes read from there.
             # Counting rows, not tasks' reports, stays right when a task runs again.
@@ -102,6 +110,33 @@ class MicroBatchWriter:
         finally:
             tagged.unpersist()
 
+    def _write_observed(self, tagged: DataFrame, run_id: str, batch_id: int) -> None:
+        """Both writes of a batch, which count its rows as they come by.
+
+        Whether there is anything to write, or any copy to look for, is not known
+        before, so both writes run and ids are always compared.
+        """
+        config = self._config
+        valid, refused, written = Observation(), Observation(), Observation()
+        tagged = tagged.persist()
+        try:
+            dated = _counted(invalid_rows(tagged), refused).withColumn("event_date", F.to_date("kafka_timestamp"))
+            rows = _counted(valid_rows(tagged, tuple(config.schema.names)), valid)
+            landing = _counted(self._landing(dedupe_in_batch(rows), config.added_fields), written)
+            sent = config.dead_letters.write_batch(dated, run_id, batch_id) is not False
+            landed = config.landing.write_batch(landing, run_id, batch_id) is not False
+        finally:
+            tagged.unpersist()
+        # A sink that had the batch already computes nothing, so what it would have counted is unknown.
+        n_valid, n_written = (_count_of(valid), _count_of(written)) if landed else (None, None)
+        copies = n_valid - n_written if landed else None
+        self._note((n_valid, copies, n_written, _count_of(refused) if sent else None), tagged, run_id, batch_id)
+
+    def _note(self, counts: tuple, batch: DataFrame, run_id: str, batch_id: int) -> None:
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if self._config.live and query_id:
+            self._config.live.note(query_id, run_id, batch_id, dict(zip(COUNTS, counts)))
+
     def write_staged(self, staged: DataFrame, batch_id: int) -> None:
         """Rows of staged files in, landed without a stream position; unreadable records to the dead letters."""
         run_id = self._run_id(staged)
@@ -141,6 +176,7 @@ class MicroBatchWriter:
             raise HeldBatch(", ".join(f"{check} {column}: {n}" for check, column, n in broken))
 
     def _write_metrics(self, batch: DataFrame, counts: tuple[int, ...], run_id: str, batch_id: int) -> None:
+        self._note(counts, batch, run_id, batch_id)
         if self._config.metrics:
             schema = "rows_in bigint, duplicates bigint, rows_written bigint, rows_invalid bigint"
             self._config.metrics.write_batch(batch.sparkSession.createDataFrame([counts], schema), run_id, batch_id)
@@ -162,6 +198,22 @@ def _batch_counts(tagged: DataFrame) -> tuple[int, int, int]:
     return tuple(rows.first())
 
 
+def _counted(rows: DataFrame, observation: Observation) -> DataFrame:
+    return rows.observe(observation, F.count(F.lit(1)).alias("n"))
+
+
+def _count_of(observation: Observation) -> int:
+    """Rows that came by. Where Spark finds while it runs that no row comes, it
+    drops that part of the plan, and the report has no fields to read: none came.
+    """
+    try:
+        return observation.get["n"]
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getName() != "java.lang.AssertionError":
+            raise
+        return 0
+
+
 def start_pipeline(envelopes: DataFrame, config: PipelineConfig, key: Key) -> StreamingQuery:
     """Start the query on any stream of envelopes; `config.trigger` sets its pace."""
     return _start(envelopes, MicroBatchWriter(config, key).write, config)

@@ -18,6 +18,8 @@ def consumer_lag(progress: dict) -> int:
     for source in progress.get("sources", []):
         latest, read = _offsets(source.get("latestOffset")), _offsets(source.get("endOffset"))
         for topic, partitions in latest.items():
+            if not isinstance(partitions, dict):  # a source other than a topic
+                continue
             done = read.get(topic, {})
             lag += sum(max(0, end - done.get(partition, 0)) for partition, end in partitions.items())
     return lag
