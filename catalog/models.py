@@ -15,6 +15,14 @@ from catalog.adapters import (
 from catalog.registry import mean_sql, percent_sql, query
 from txnflow.operators.dedupe import batch_metrics, dedupe_in_batch, duplicate_count, late_merge, running_totals
 from txnflow.operators.sequence import account_sequence, distinct_in_span, inter_txn_gap, velocity
+from txnflow.plans.baseline import (
+    LEVEL_RATES,
+    SEASON_RATES,
+    SPIKE_DEVIATIONS,
+    USED_CHANGES,
+    daily_volume,
+    volume_baseline,
+)
 from txnflow.plans.buckets import bucketed_table
 from txnflow.plans.models import (
     fct_transactions,
@@ -295,3 +303,56 @@ def zscore(spark, sf_dir):
 )
 def joined_by_token(spark, sf_dir):
     return token_join(settled(spark, sf_dir), account_dimension(spark, sf_dir), ["segment"])
+
+
+def _values_sql(values) -> str:
+    return "[" + ", ".join(f"CAST({v} AS DOUBLE)" for v in values) + "]"
+
+
+@query(
+    "volume_baseline",
+    f"""SELECT * FROM (
+        WITH RECURSIVE days AS (
+            SELECT CAST(unnest(generate_series(min(event_date), max(event_date), INTERVAL 1 DAY)) AS DATE) AS event_day
+            FROM ordered),
+        series AS MATERIALIZED (
+            SELECT mcc_category, event_day, row_number() OVER (PARTITION BY mcc_category ORDER BY event_day) - 1 AS t,
+                   coalesce(n, 0) AS n
+            FROM (SELECT DISTINCT mcc_category FROM ordered) CROSS JOIN days
+                 LEFT JOIN (SELECT mcc_category, event_date AS event_day, count(*) AS n FROM ordered GROUP BY ALL)
+                      USING (mcc_category, event_day)),
+        bounds AS (
+            SELECT a.mcc_category, CAST({USED_CHANGES} AS DOUBLE) * CAST(1.4826 AS DOUBLE)
+                   * greatest(CAST(quantile_disc(abs(b.n - a.n), 0.5) AS DOUBLE), 1) AS bound
+            FROM series a JOIN series b ON a.mcc_category = b.mcc_category AND b.t = a.t + 7 GROUP BY 1),
+        starts AS (
+            SELECT mcc_category, list(CAST(n AS DOUBLE) ORDER BY t) AS x, CAST(sum(n) AS DOUBLE) / 7 AS level
+            FROM series WHERE t < 7 GROUP BY 1),
+        walk AS (
+            SELECT mcc_category, a, g, bound, CAST(6 AS BIGINT) AS t, level, list_transform(x, lambda v: v - level) AS season,
+                   CAST(0 AS DOUBLE) AS lost, CAST(NULL AS DOUBLE) AS error
+            FROM starts JOIN bounds USING (mcc_category), unnest({_values_sql(LEVEL_RATES)}) AS l(a),
+                 unnest({_values_sql(SEASON_RATES)}) AS s(g)
+            UNION ALL
+            SELECT mcc_category, a, g, bound, t, level + a * used, list_append(season[2:], season[1] + g * used),
+                   lost + abs(used), error
+            FROM (SELECT *, greatest(least(error, bound), -bound) AS used
+                  FROM (SELECT w.mcc_category, a, g, bound, s.t, level, season, lost,
+                               CAST(s.n AS DOUBLE) - (level + season[1]) AS error
+                        FROM walk w JOIN series s ON s.mcc_category = w.mcc_category AND s.t = w.t + 1))),
+        best AS (
+            SELECT mcc_category, a, g FROM walk WHERE t = (SELECT max(t) FROM series)
+            QUALIFY row_number() OVER (PARTITION BY mcc_category ORDER BY lost, a, g) = 1),
+        errors AS (SELECT mcc_category, t, error FROM walk JOIN best USING (mcc_category, a, g) WHERE t > 6),
+        middles AS (SELECT mcc_category, quantile_disc(error, 0.5) AS middle FROM errors GROUP BY 1),
+        scales AS (
+            SELECT mcc_category, middle,
+                   greatest(CAST(1.4826 AS DOUBLE) * quantile_disc(abs(error - middle), 0.5), 1) AS scale
+            FROM errors JOIN middles USING (mcc_category) GROUP BY ALL)
+        SELECT mcc_category, event_day, n AS transactions, round(n - error, 6) AS forecast,
+               round((error - middle) / scale, 6) AS score,
+               coalesce(abs((error - middle) / scale) > {SPIKE_DEVIATIONS}, FALSE) AS is_spike
+        FROM series LEFT JOIN errors USING (mcc_category, t) LEFT JOIN scales USING (mcc_category))""",
+)
+def baseline(spark, sf_dir):
+    return volume_baseline(daily_volume(order_transactions(spark, sf_dir)))
