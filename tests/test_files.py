@@ -9,6 +9,7 @@ from tests.test_models import landing
 from tests.test_parse import envelopes, having, without
 from txnflow.operators.parse import parse_and_validate
 from txnflow.operators.transform import landing_projection, staged_projection, transform, with_row_number
+import txnflow.sinks.landing as landing_module
 from txnflow.sinks.landing import (
     ConnectorSink,
     FileSink,
@@ -220,6 +221,29 @@ def test_declared_table_shows_landed_batches(spark, tmp_path):
     spark.sql("DROP TABLE landed_here")
 
 
+def test_compaction_drops_many_partitions_with_each_statement(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    create_landing_table(spark, "landed_often", path)
+    sink = FileSink(path, table="landed_often")
+    for k in range(5):
+        sink.write_batch(with_row_number(landing(spark, {"transaction_id": f"t{k}"})), f"r{k % 2}", k)
+    monkeypatch.setattr(landing_module, "PARTITIONS_A_DROP", 2)
+    compact(spark, path, str(tmp_path / "days"), "2024-01-01", "2024-01-31", str(tmp_path / "s"), table="landed_often")
+    assert spark.table("landed_often").count() == 0
+    assert spark.sql("SHOW PARTITIONS landed_often").count() == 0
+    assert spark.read.parquet(str(tmp_path / "days")).count() == 5
+    assert not [p for p in (tmp_path / "t").iterdir() if p.name.startswith("event_date")]
+    spark.sql("DROP TABLE landed_often")
+
+
+def test_a_delete_that_fails_is_not_passed_over():
+    def call(name):
+        raise OSError(name)
+
+    with pytest.raises(OSError, match="folder"):
+        landing_module._at_once(call, ["folder"])
+
+
 def test_scratch_lies_in_the_shared_folder(spark):
     folder = shared_dir(spark)
     named = spark.conf.get("spark.checkpoint.dir", None)

@@ -13,6 +13,8 @@ folder lists only what is still open. `read_landed_days` in
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
 
@@ -25,6 +27,8 @@ from txnflow.session import cut_lineage
 from txnflow.sinks.skipping import files_that_may_hold, index_path, write_sorted_days
 
 BATCH_PARTITIONS = ("run_id", "batch_id")
+#: Folders deleted at a time, and partitions that one statement drops.
+DELETES_AT_ONCE, PARTITIONS_A_DROP = 16, 500
 
 
 @dataclass(frozen=True)
@@ -171,16 +175,26 @@ def compact(
         fresh = fresh.unionByName(without_batches(kept, listed), allowMissingColumns=True)
     fresh.write.mode("overwrite").parquet(staging_path)
     write_days(spark.read.schema(fresh.schema).parquet(staging_path), table_path)
-    for folder in folders:
-        _Folder(spark, folder).delete()
-    for d, own in moved.items():
-        for run in {r for r, _ in own}:
-            _Folder(spark, f"{landing_path}/event_date={d}/run_id={run}").delete_if_empty()
-        _Folder(spark, f"{landing_path}/event_date={d}").delete_if_empty()
+    _at_once(lambda folder: _Folder(spark, folder).delete(), folders)
+    runs = {f"{landing_path}/event_date={d}/run_id={r}" for d, own in moved.items() for r, _ in own}
+    _at_once(lambda folder: _Folder(spark, folder).delete_if_empty(), runs)
+    _at_once(lambda d: _Folder(spark, f"{landing_path}/event_date={d}").delete_if_empty(), moved)
     if table:
-        for d, own in moved.items():
-            for r, b in own:
-                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (event_date=DATE'{d}', run_id='{r}', batch_id={b})")
+        drop_batches(spark, table, [(d, r, b) for d, own in moved.items() for r, b in own])
+
+
+def _at_once(call: Callable[[str], None], names: Iterable[str]) -> None:
+    """File system calls, which mostly wait, some at a time; the first that fails raises its error."""
+    with ThreadPoolExecutor(DELETES_AT_ONCE) as pool:
+        for _ in pool.map(call, names):
+            pass
+
+
+def drop_batches(spark: SparkSession, table: str, batches: list[tuple[str, str, int]]) -> None:
+    """Drop the partitions (day, run_id, batch_id) from a declared table, many with each statement."""
+    parts = [f"PARTITION (event_date=DATE'{d}', run_id='{r}', batch_id={b})" for d, r, b in batches]
+    for start in range(0, len(parts), PARTITIONS_A_DROP):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(parts[start : start + PARTITIONS_A_DROP])}")
 
 
 def read_days(spark: SparkSession, table_path: str) -> DataFrame:
