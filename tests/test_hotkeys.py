@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
-from txnflow.operators.hotkeys import SLICE, find_hot_keys, slice_by_range
+from txnflow.operators import hotkeys
+from txnflow.operators.hotkeys import SLICE, count_hot_keys, find_hot_keys, read_hot_keys, slice_by_range
 from txnflow.operators.sequence import account_order, account_sequence, distinct_in_span, inter_txn_gap, velocity
 from txnflow.plans.buckets import bucketed_table
 
@@ -163,3 +164,26 @@ def test_bucketed_tables_need_no_exchange(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert sorted(map(tuple, got)) == want
+
+
+def test_known_hot_keys_take_the_place_of_a_count(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(*r, f"m{i % 7}") for i, r in enumerate(rows("spread"))], f"{SCHEMA}, merchant_id string")
+    signals = (account_sequence, inter_txn_gap, velocity, distinct_in_span)
+    want = [signal(df, rows_per_task=40).collect() for signal in signals]
+    hot = count_hot_keys(df, "account_id_token", 40)
+    hot.write(str(tmp_path / "hot"))
+    stored = read_hot_keys(spark, str(tmp_path / "hot"), "account_id_token")
+    assert hot.rows == stored.rows == 400
+    none = count_hot_keys(df, "account_id_token", 10_000)
+    assert none.rows == 0 and find_hot_keys(df, "account_id_token", 40, none) is None
+
+    counts = []
+    counted = hotkeys.count_hot_keys
+    monkeypatch.setattr(hotkeys, "count_hot_keys", lambda df, key, n: counts.append(key) or counted(df, key, n))
+    for known in (hot, stored, none):
+        got = [signal(df, rows_per_task=40, known=known).collect() for signal in signals]
+        assert [sorted(map(repr, g)) for g in got] == [sorted(map(repr, w)) for w in want]
+    # Only pairs of account and merchant, which are no accounts, are counted.
+    assert set(counts) <= {"_pair"}
+    with pytest.raises(ValueError, match="do not tell"):
+        velocity(df, account="merchant_id", known=hot)

@@ -17,7 +17,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -42,20 +42,43 @@ class HotKeys:
     def hot(self, df: DataFrame) -> DataFrame:
         return self._restrict(df, "left_semi")
 
+    def write(self, path: str) -> None:
+        self.keys.write.mode("overwrite").parquet(path)
+
     def _restrict(self, df: DataFrame, how: str) -> DataFrame:
         wanted = self.keys.select(F.col(self.key).alias("_hot"))
         return df.join(wanted, df[self.key].eqNullSafe(F.col("_hot")), how)
 
 
-def find_hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> HotKeys | None:
-    """The values of `key` with more than `rows_per_task` rows, or None.
+def count_hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> HotKeys:
+    """The values of `key` with more than `rows_per_task` rows; there may be none.
 
     They are counted in one job and written; only their total reaches the driver.
+    One count serves all signals over the same rows, and one that was stored
+    serves the next run: results are the same whichever keys are taken as hot. A
+    key that grew hot since then goes through one task, until they are counted again.
     """
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    keys = cut_lineage(counted.where(F.col("n") > rows_per_task), "hot-keys")
-    rows = keys.agg(F.sum("n")).first()[0]
-    return HotKeys(key, keys, rows) if rows else None
+    return _hot_keys(key, cut_lineage(counted.where(F.col("n") > rows_per_task), "hot-keys"))
+
+
+def read_hot_keys(spark: SparkSession, path: str, key: str) -> HotKeys:
+    """Hot keys that `HotKeys.write` has stored."""
+    return _hot_keys(key, spark.read.parquet(path))
+
+
+def _hot_keys(key: str, keys: DataFrame) -> HotKeys:
+    return HotKeys(key, keys, keys.agg(F.sum("n")).first()[0] or 0)
+
+
+def find_hot_keys(
+    df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, known: HotKeys | None = None
+) -> HotKeys | None:
+    """`known`, or the hot keys as counted now; None if no key is hot."""
+    if known is not None and known.key != key:
+        raise ValueError(f"hot keys of {known.key} do not tell those of {key}")
+    hot = known or count_hot_keys(df, key, rows_per_task)
+    return hot if hot.rows else None
 
 
 def slice_by_range(hot_rows: DataFrame, key: str, order: Sequence[str], slices: int) -> DataFrame:

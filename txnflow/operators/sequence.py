@@ -2,7 +2,9 @@
 
 Each function runs a plain window per account and, where an account holds too
 many rows for one task, the sliced form of `txnflow.operators.hotkeys` for that
-account. `rows_per_task` sets the limit; both forms give the same values.
+account. `rows_per_task` sets the limit; both forms give the same values. Accounts
+are counted in a job of its own unless `known` tells those with too many rows, as
+`count_hot_keys` found them for these rows or for those of an earlier run.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql.window import Window
 
 from txnflow.operators.hotkeys import (
     ROWS_PER_TASK,
+    HotKeys,
     attach_carry,
     carry,
     find_hot_keys,
@@ -46,6 +49,7 @@ def account_sequence(
     time: str = "event_ts",
     tie: str = "transaction_id",
     rows_per_task: int = ROWS_PER_TASK,
+    known: HotKeys | None = None,
 ) -> DataFrame:
     """Add `sequence_no`: 1, 2, ... per account by time, then by id."""
     order = [time, tie]
@@ -54,7 +58,7 @@ def account_sequence(
         number = F.row_number().over(Window.partitionBy(account).orderBy(*order))
         return rows.withColumn("sequence_no", number.cast("bigint"))
 
-    hot = find_hot_keys(df, account, rows_per_task)
+    hot = find_hot_keys(df, account, rows_per_task, known)
     if hot is None:
         return plain(df)
     sliced = slice_by_range(hot.hot(df), account, order, slices_for(hot.rows, rows_per_task))
@@ -70,6 +74,7 @@ def inter_txn_gap(
     time: str = "event_ts",
     tie: str = "transaction_id",
     rows_per_task: int = ROWS_PER_TASK,
+    known: HotKeys | None = None,
 ) -> DataFrame:
     """Add `gap_micros`: time since the account's previous transaction, null for the first."""
     order = [time, tie]
@@ -80,7 +85,7 @@ def inter_txn_gap(
     def plain(rows: DataFrame) -> DataFrame:
         return rows.withColumn("gap_micros", since(F.lag(time).over(Window.partitionBy(account).orderBy(*order))))
 
-    hot = find_hot_keys(df, account, rows_per_task)
+    hot = find_hot_keys(df, account, rows_per_task, known)
     if hot is None:
         return plain(df)
     sliced = slice_by_range(hot.hot(df), account, order, slices_for(hot.rows, rows_per_task))
@@ -98,6 +103,7 @@ def velocity(
     amount: str = "amount_cents",
     span_micros: int = HOUR_MICROS,
     rows_per_task: int = ROWS_PER_TASK,
+    known: HotKeys | None = None,
 ) -> DataFrame:
     """Add `txn_count` and `cents_total` over the trailing span, both ends included.
 
@@ -107,7 +113,7 @@ def velocity(
     time form one group per account.
     """
     timed = df.withColumn("_t", F.unix_micros(F.col(time).cast("timestamp")))
-    hot = find_hot_keys(df, account, rows_per_task)
+    hot = find_hot_keys(df, account, rows_per_task, known)
     totals = _running_difference(timed if hot is None else hot.cold(timed), df.columns, account, amount, span_micros)
     if hot is None:
         return totals
@@ -216,6 +222,7 @@ def distinct_in_span(
     time: str = "event_ts",
     span_micros: int = HOUR_MICROS,
     rows_per_task: int = ROWS_PER_TASK,
+    known: HotKeys | None = None,
 ) -> DataFrame:
     """Add how many different values of `item` the account has in the trailing span, both ends included.
 
@@ -226,7 +233,7 @@ def distinct_in_span(
     sliced totals.
     """
     timed = df.withColumn("_t", F.unix_micros(F.col(time).cast("timestamp")))
-    hot = find_hot_keys(timed, account, rows_per_task)
+    hot = find_hot_keys(timed, account, rows_per_task, known)
     counted = _running_distinct(timed if hot is None else hot.cold(timed), df.columns, account, item, name, span_micros)
     if hot is None:
         return counted
