@@ -76,10 +76,14 @@ def brute(rows):
     for row in out:
         before = [r for r in out if r[0] == row[0] and r[4] == row[4] and (none(r[1]), text(r[2]), text(r[6])) < (none(row[1]), text(row[2]), text(row[6]))]
         row.append(len(before))
-    return sorted(((*r[:6], r[10], *r[7:10]) for r in out), key=repr)
+        turns = [r[1] for r in out if r[0] == row[0] is not None and None not in (r[1], row[1]) and r[1] < row[1]]
+        row.append(row[3] if row[3] is not None else max(turns, default=None))
+        place = lambda r: (none(r[1]), text(r[2]), text(r[6]))
+        row.append(sum(r[0] == row[0] and place(r) < place(row) for r in out))
+    return sorted(((*r[:6], r[10], *r[7:10], *r[11:]) for r in out), key=repr)
 
 
-FIELDS = ("parent_turn", "thread_turn", "depth", "position", "n_quote_lines", "n_linked", "body")
+FIELDS = ("parent_turn", "thread_turn", "depth", "position", "n_quote_lines", "n_linked", "body", "follows_turn", "place")
 
 
 @pytest.mark.parametrize("size", [1024, 3])
@@ -91,6 +95,7 @@ def test_small_cases(spark, monkeypatch, size):
     assert sorted(((r.conv_id, r.turn, r.role, *(r.thread[f] for f in FIELDS)) for r in got), key=repr) == brute(rows)
     found = {(r.conv_id, r.turn): r.thread for r in got}
     assert [found[1, t].parent_turn for t in range(7)] == [None, 0, 1, 0, None, 2, 3]
+    assert [found[1, t].follows_turn for t in range(7)] == [None, 0, 1, 0, 3, 2, 3] and found[1, 6].place == 6
     assert found[1, 2].body == "Fine.\nSee you." and found[9, 39].depth == 39 and found[9, 39].position == 39
 
 
@@ -114,6 +119,27 @@ def test_sql_equals_small_cases(spark):
     compare(spark, connection, link_quotes(spark.createDataFrame(rows, SCHEMA)).select("conv_id", "turn", "role", "thread.*"))
 
 
+def test_a_conversation_without_quotes_runs_through(spark, monkeypatch):
+    monkeypatch.setattr(quote_threads, "SLICE", 4)
+    rows = [(1, 3 * t, "user", f"message {t}") for t in range(40)] + [(None, 1, "user", "alone"), (2, None, "user", "alone")]
+    found = {(r.conv_id, r.turn): r.thread for r in link_quotes(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [found[1, 3 * t].follows_turn for t in range(40)] == [None, *range(0, 117, 3)]
+    assert [found[1, 3 * t].place for t in range(40)] == list(range(40))
+    assert found[None, 1].follows_turn is None and found[2, None].follows_turn is None
+
+
+def test_query_orders_whole_conversations(spark, sf_dir):
+    found = QUERIES["op9_chat_formatting"](spark, sf_dir).collect()
+    by_conversation = {}
+    for r in sorted(found, key=lambda r: (r.conv_id, r.place)):
+        by_conversation.setdefault(r.conv_id, []).append(r)
+    assert len(found) > len(by_conversation) > 1
+    for rows in by_conversation.values():
+        assert [r.place for r in rows] == list(range(len(rows)))
+        turns = sorted({r.turn for r in rows})
+        assert all(r.follows_turn == max((t for t in turns if t < r.turn), default=None) for r in rows if r.parent_turn is None)
+
+
 def test_other_columns_and_empty_table(spark):
     frame = spark.createDataFrame([(1, 0, "user", "x", 5, "k")], SCHEMA + ", THREAD int, parent string")
     assert link_quotes(frame).columns == ["conv_id", "turn", "role", "text", "parent", "thread"]

@@ -204,7 +204,11 @@ SELECT r.conv_id, r.turn, r.role, p.parent AS parent_turn, w.root AS thread_turn
        regexp_replace(list_aggregate(list_concat([''], list_filter(string_split(coalesce(r.text, ''), chr(10)),
            lambda x: NOT regexp_matches(x, {_MARKS})
                      AND NOT regexp_matches(x, '{quote_threads.ATTRIBUTION}'))), 'string_agg', chr(10))[2:],
-           '^(?:[\\x20\\x09-\\x0D]*\\n)+|[\\x20\\x09-\\x0D]+$', '', 'g') AS body
+           '^(?:[\\x20\\x09-\\x0D]*\\n)+|[\\x20\\x09-\\x0D]+$', '', 'g') AS body,
+       CASE WHEN r.conv_id IS NOT NULL THEN coalesce(p.parent, max(r.turn) OVER (
+           PARTITION BY r.conv_id ORDER BY r.turn RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) END AS follows_turn,
+       CAST(row_number() OVER (PARTITION BY r.conv_id ORDER BY r.turn NULLS FIRST, r.role NULLS FIRST, r.text NULLS FIRST) - 1
+            AS BIGINT) AS place
 FROM rows r
 LEFT JOIN parents p ON r.conv_id = p.conv_id AND r.turn = p.turn
 JOIN walk w ON w.conv_id IS NOT DISTINCT FROM r.conv_id AND w.turn IS NOT DISTINCT FROM r.turn

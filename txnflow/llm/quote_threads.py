@@ -79,12 +79,35 @@ def _roots(parents: DataFrame) -> DataFrame:
             return path
 
 
+def _numbered(rows: DataFrame, group: list[str], part: str, turn: str, others: list[Column], kept: list[str], place: str, before: str) -> DataFrame:
+    """`rows` with `place`, a row's number in its group by turn and `others`, from 0, and `before`, the turn before its own.
+
+    A group of any length is ranked part by part; only one row for each part goes on to the next.
+    """
+    inside = Window.partitionBy(*group, part).orderBy(turn, *others)
+    lower = Window.partitionBy(*group, part).orderBy(turn).rangeBetween(Window.unboundedPreceding, -1)
+    ranked = rows.withColumn(place, F.row_number().over(inside) - 1).withColumn(before, F.max(turn).over(lower))
+    sizes = rows.groupBy(*group, part).agg(F.count(F.lit(1)).alias("own"), F.max(turn).alias("top"))
+    earlier = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    carried = [F.coalesce(F.sum("own").over(earlier), F.lit(0)), F.max("top").over(earlier)]
+    keys = [*group, part]
+    names = [fresh([*kept, *rows.columns, place, before], f"size_{i}") for i in range(len(keys) + 2)]
+    sizes = sizes.select(*(F.col(c).alias(n) for c, n in zip(keys, names)), *(c.alias(n) for c, n in zip(carried, names[len(keys) :])))
+    on = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(n)) for c, n in zip(keys, names)))
+    number, top = names[len(keys) :]
+    found = ranked.join(sizes, on, "left")
+    return found.withColumns({place: (F.col(place) + F.col(number)).cast("long"), before: F.coalesce(before, top)}).drop(*names)
+
+
 def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
     """`messages` without repeated rows, and a struct `thread` (in place of a column so named).
 
     Fields: parent_turn, thread_turn (where the thread began), depth, position
-    (from 0, by turn in the thread), n_quote_lines, n_linked, body. Reading by
-    thread_turn and position puts every reply after what it replies to. Rows of
+    (from 0, by turn in the thread), n_quote_lines, n_linked, body, follows_turn
+    and place. Reading by thread_turn and position puts every reply after what it
+    replies to. A message without a link follows the turn before it in its
+    conversation: follows_turn is parent_turn or else that turn, null for a
+    conversation's first, and place numbers the rows of a whole conversation. Rows of
     one conversation and turn count as one message for links, and each has its
     own body; a row without conversation or turn links with nothing and is its
     own thread; a null text has no lines. Repeated rows count once; columns that
@@ -95,29 +118,25 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
     rows = messages.select(*map(column, keep)).dropDuplicates(comparable)
     parents = written(_parents(rows, conv, turn, text), "parents")
     roots = _roots(parents)
-    names = {n: fresh(keep, n) for n in ("parent", "n_linked", "root", "depth", "slice", "own", "before")}
+    names = {n: fresh(keep, n) for n in ("parent", "n_linked", "root", "depth", "slice", "position", "lower", "place", "before")}
     links = parents.join(roots, ["conv", "turn"], "left")
     links = links.select(F.col("conv").alias(fresh(keep, "link_conv")), F.col("turn").alias(fresh(keep, "link_turn")), *(F.col(c).alias(names[c]) for c in ("parent", "n_linked", "root", "depth")))
     same = (F.col(conv) == F.col(links.columns[0])) & (F.col(turn) == F.col(links.columns[1]))
     found = rows.join(links, same, "left").drop(*links.columns[:2])
     found = found.withColumn(names["root"], F.coalesce(names["root"], turn)).withColumn(names["slice"], F.floor(F.col(turn) / SLICE))
-    thread = [conv, names["root"]]
     others = [column(c) for c in comparable if c not in (conv, turn)]
-    inside = Window.partitionBy(*thread, names["slice"]).orderBy(turn, *others)
-    sizes = found.groupBy(*thread, names["slice"]).agg(F.count(F.lit(1)).alias(names["own"]))
-    earlier = Window.partitionBy(*thread).orderBy(names["slice"]).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn(names["before"], F.coalesce(F.sum(names["own"]).over(earlier), F.lit(0))).drop(names["own"])
-    sized = sizes.select(*(F.col(c).alias(f"size_{i}") for i, c in enumerate(sizes.columns)))
-    on = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"size_{i}")) for i, c in enumerate(sizes.columns[:3])))
-    placed = found.withColumn(names["own"], F.row_number().over(inside) - 1).join(sized, on, "left")
+    placed = _numbered(found, [conv], names["slice"], turn, others, keep, names["place"], names["before"])
+    placed = _numbered(placed, [conv, names["root"]], names["slice"], turn, others, keep, names["position"], names["lower"])
     quoted = F.filter(F.split(text, "\n"), lambda x: (level(x) > 0) & (passage(x) != ""))
     result = F.struct(
         F.col(names["parent"]).alias("parent_turn"),
         F.col(names["root"]).alias("thread_turn"),
         F.coalesce(names["depth"], F.lit(0)).cast("long").alias("depth"),
-        (F.col(names["own"]) + F.col("size_3")).cast("long").alias("position"),
+        F.col(names["position"]).alias("position"),
         F.coalesce(F.size(quoted), F.lit(0)).cast("long").alias("n_quote_lines"),
         F.coalesce(names["n_linked"], F.lit(0)).cast("long").alias("n_linked"),
         body(F.col(text)).alias("body"),
+        F.when(F.col(conv).isNotNull(), F.coalesce(names["parent"], names["before"])).alias("follows_turn"),
+        F.col(names["place"]).alias("place"),
     )
     return placed.select(*map(column, keep), result.alias("thread"))
