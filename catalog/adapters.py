@@ -40,6 +40,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The same rows, dealt to all tasks alike: a file of few row groups is read by as few tasks, and what follows would be
+    computed by these alone."""
+    return rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def _pick(values: tuple[str, ...], index: Column) -> Column:
     return F.element_at(F.array(*(F.lit(v) for v in values)), (index % len(values) + 1).cast("int"))
 
@@ -62,7 +68,7 @@ def props_k() -> Column:
 def transactions(events: DataFrame, *extra: str) -> DataFrame:
     """Payload rows of the `events` table, one per event."""
     event = F.col("event_id")
-    k = props_k()
+    k = F.col(_K) if _K in events.columns else props_k()
     return events.select(
         event.cast("string").alias("transaction_id"),
         F.concat(F.lit("ACC-"), F.col("user_id")).alias("account_id"),
@@ -96,9 +102,10 @@ def partial_events(events: DataFrame) -> DataFrame:
 
 def envelopes(events: DataFrame) -> DataFrame:
     """Messages as a topic delivers them, faulty and repeated ones included."""
-    k = props_k()
+    # `props` is read once for each event.
+    events, k = events.withColumn(_K, props_k()), F.col(_K)
     copies = F.when((k == 0) | k.between(90, 94), 2).otherwise(1)
-    delivered = events.withColumn("delivery", F.explode(F.sequence(F.lit(1), copies))).withColumn(_K, k)
+    delivered = events.withColumn("delivery", F.explode(F.sequence(F.lit(1), copies)))
     extras = ("event_id", "user_id", "ts", "delivery", _K)
     rows = transactions(delivered, *extras)
     text = F.to_json(
@@ -156,9 +163,10 @@ def without_position(rows: DataFrame) -> DataFrame:
     )
 
 
-def settled(spark: SparkSession, sf_dir: str) -> DataFrame:
+def settled(spark: SparkSession, sf_dir: str, spread_rows: bool = False) -> DataFrame:
     """Landing rows with one clean row per event, for the models."""
-    rows = without_position(transactions(table(spark, sf_dir, "events")))
+    events = table(spark, sf_dir, "events")
+    rows = without_position(transactions(spread(events) if spread_rows else events))
     return landing_projection(transform(rows, KEY, ingested_at=F.col("event_timestamp").cast("timestamp")))
 
 

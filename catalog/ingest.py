@@ -30,7 +30,7 @@ from txnflow.plans.evolution import merged_schema, union_versions
 from txnflow.plans.models import retention_keep
 from txnflow.plans.operations import dlq_rate, reason_counts, replay, split_counts
 from txnflow.schema import DEAD_LETTER_SCHEMA, PAYLOAD_NAMES, PAYLOAD_SCHEMA
-from txnflow.session import scratch_path
+from txnflow.session import cut_lineage, scratch_path
 from txnflow.sinks.landing import FileSink, compact, merge_into, write_days
 from txnflow.sinks.skipping import write_sorted_days
 from txnflow.sinks.topic import to_topic_records
@@ -310,7 +310,8 @@ def _merged(spark, sf_dir, write):
     """Corrections that move rows to the next day (k < 10), give them a date (10 to 19), take it away (20 to 29),
     change them in place (30 to 39); rows from 90 on never have a date."""
     k = F.col("metadata")["k"].cast("int")
-    rows = settled(spark, sf_dir)
+    # Written once: the merges read the corrections again and again.
+    rows = cut_lineage(settled(spark, sf_dir, spread_rows=True), "settled")
     day = F.col("event_date")
     old = rows.withColumn("event_date", F.when(~(k.between(10, 19) | (k >= 90)), day))
     new_day = F.when(k < 10, F.date_add(day, 1)).when(~k.between(20, 29), day)

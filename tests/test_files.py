@@ -19,7 +19,7 @@ from txnflow.sinks.landing import (
     searched_files,
     write_days,
 )
-from txnflow.sinks.skipping import files_that_may_hold, index_files, write_sorted_days
+from txnflow.sinks.skipping import ends_of_files, files_that_may_hold, index_files, write_sorted_days
 from txnflow.sinks.topic import publish, to_topic_records
 from txnflow.schema import PAYLOAD_NAMES
 from txnflow.session import cut_lineage, scratch_path, shared_dir
@@ -322,6 +322,17 @@ def test_a_table_without_index_is_searched_whole(spark, tmp_path):
     assert files_that_may_hold(spark, table, ids) == []
 
 
+def test_names_of_files_are_cut_out_once_for_each_file(spark, tmp_path):
+    table = str(tmp_path / "t")
+    indexed_table(spark, table)
+    rows = spark.read.parquet(table)
+    ends = {r.file: (r.first_id, r.last_id, r.rows) for r in ends_of_files(rows).collect()}
+    assert set(ends) == {"/".join(path.rsplit("/", 2)[-2:]) for path in rows.inputFiles()}
+    assert sum(n for *_, n in ends.values()) == 241 and ("00-undated",) * 2 + (1,) in ends.values()
+    rows_read = plan_of(ends_of_files(rows)).lower().split("exchange", 1)[1]  # what is done to each row
+    assert "file_path" in rows_read and "substring" not in rows_read and "regexp" not in rows_read
+
+
 ODD_STRINGS = ["}", "{", "},{", '"', "\\", '\\"}', "[]", "a\n}", "", "}}]", "é}", "\\\\", ',"x":{']
 
 

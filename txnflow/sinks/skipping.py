@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from txnflow.operators.hotkeys import attach_carry, carry, in_slice, slice_by_range
 
 ID = "transaction_id"
-_FILE = r"([^/]+/[^/]+)$"
 
 
 def index_path(table_path: str) -> str:
@@ -48,12 +47,19 @@ def index_files(spark: SparkSession, table_path: str, days: DataFrame | None = N
     if days is not None:
         wanted = days.select(F.col("event_date").cast("date").alias("_day"))
         table = table.join(F.broadcast(wanted), F.col("event_date").cast("date").eqNullSafe(F.col("_day")), "left_semi")
-    file = F.regexp_extract("_metadata.file_path", _FILE, 1).alias("file")
-    files = table.select(F.col("event_date").cast("date").alias("event_date"), file, ID).groupBy("event_date", "file")
-    rows = files.agg(F.min(ID).alias("first_id"), F.max(ID).alias("last_id"), F.count(F.lit(1)).alias("rows"))
+    rows = ends_of_files(table)
     rows.coalesce(1).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("event_date").parquet(index_path(table_path))
 
 
+def ends_of_files(table: DataFrame) -> DataFrame:
+    """`event_date`, `file`, `first_id`, `last_id` and `rows` of each file that `table` is read from."""
+    path = F.col("_metadata.file_path").alias("file")
+    files = table.select(F.col("event_date").cast("date").alias("event_date"), path, ID).groupBy("event_date", "file")
+    ends = files.agg(F.min(ID).alias("first_id"), F.max(ID).alias("last_id"), F.count(F.lit(1)).alias("rows"))
+    # Names are cut out of the paths of files, not of each row: that would take longer than all else here.
+    return ends.withColumn("file", F.substring_index("file", "/", -2))
+
+
 def files_that_may_hold(spark: SparkSession, table_path: str, ids: DataFrame) -> list[str]:
     """Paths of the table's files that may hold one of `ids` (a column `transaction_id`, distinct).
 
