@@ -106,6 +106,18 @@ def test_signals_of_a_stream_equal_those_of_a_batch(spark, disordered):
     assert len(got) == len(rows) and sorted(got, key=repr) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("groups", [1, 3])
+def test_accounts_that_share_a_group_keep_apart(spark, tmp_path, groups):
+    """Some accounts rest while others of their group go on, and state is kept for each."""
+    rows = sorted(make(), key=lambda r: r[2])
+    drop_file(spark, tmp_path / "in", [r for r in rows[:200] if r[1] != "b"])
+    drop_file(spark, tmp_path / "in", [r for r in rows[200:] if r[1] != "a"])
+    drop_file(spark, tmp_path / "in", beat(900))
+    got = run(spark, lambda s: account_signals(s, "6 hours", groups=groups), tmp_path, "groups")
+    want = batch_signals(spark, tmp_path)
+    assert sorted(map(tuple, got.select(*NAMES).collect()), key=repr) == sorted(map(tuple, want.select(*NAMES).collect()), key=repr)
+
+
 def test_sessions_of_a_stream_equal_those_of_a_batch(spark, disordered):
     root, rows = disordered
     assert found(zoneless(run(spark, lambda s: stream_sessions(s, "400 days"), root, "sessions"))) == plain_sessions(rows)
