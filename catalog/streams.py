@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalog.adapters import KEY, envelopes, settled, table, transactions
+from catalog.adapters import KEY, envelopes, settled, spread, table, transactions
 from catalog.ingest import STAGED_NAMES, STAGED_SQL, staged_files
 from catalog.registry import query, token_sql
 from txnflow.functions import RotatingKey, TokenKey
@@ -57,17 +57,20 @@ def run_pipeline(spark: SparkSession, sf_dir: str, key=KEY, **settings) -> str:
 def split_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The messages of a week in some micro-batches of their own; second deliveries come a week later."""
     week = F.floor((F.dayofmonth("timestamp") - 1) / 8) + F.col("offset") % 2
-    path, files = _in_slices(envelopes(table(spark, sf_dir, "events")), week)
+    path, files = _in_slices(envelopes(spread(table(spark, sf_dir, "events"))), week)
     return stream_envelopes(spark, path, max_files_per_trigger=files)
 
 
 def _in_slices(rows: DataFrame, number: Column, slices: int = 5) -> tuple[str, int]:
-    """A folder with the rows of one slice after the other, written by as many tasks as there are, and how many files
-    make a fifth. A stream takes files in the order of their times."""
-    path = scratch_path(rows.sparkSession, "slices")
+    """A folder with the rows of one slice after the other, and how many files make a fifth. A stream takes files in the
+    order of their times. Rows are computed once, into folders by slice, which are then copied in order."""
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, "slices")
+    apart, kept = scratch_path(spark, "apart"), number.isin(*range(slices))
+    rows.withColumn("_slice", number.cast("int")).where(kept).write.partitionBy("_slice").parquet(apart)
+    parts = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("_slice", T.IntegerType())])).parquet(apart)
     for k in range(slices):
-        rows.where(number == k).write.mode("append").parquet(path)
-    return path, -(-len(rows.sparkSession.read.parquet(path).inputFiles()) // slices)
+        parts.where(F.col("_slice") == k).drop("_slice").write.mode("append").parquet(path)
+    return path, -(-len(spark.read.parquet(path).inputFiles()) // slices)
 
 
 _LANDED_SQL = """SELECT transaction_id, account_id_token, account_id, amount_cents, amount_dollars, currency,
@@ -252,10 +255,10 @@ def dedupe(spark, sf_dir):
 def disordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Settled transactions as a stream by weeks; one in ten comes a week late, and a heartbeat long after the last."""
     names = ("transaction_id", "account_id_token", "event_ts", "amount_cents")
-    rows = settled(spark, sf_dir).select(*names)
+    rows = settled(spark, sf_dir, spread_rows=True).select(*names)
     week = F.floor((F.dayofmonth("event_ts") - 1) / 8) + (F.pmod(F.xxhash64("transaction_id"), F.lit(10)) == 0).cast("int")
     path, files = _in_slices(rows, week)
-    after = rows.agg((F.max("event_ts") + F.expr("INTERVAL 60 DAYS")).alias("event_ts"))
+    after = spark.read.schema(rows.schema).parquet(path).agg((F.max("event_ts") + F.expr("INTERVAL 60 DAYS")).alias("event_ts"))
     empty = [F.lit(None).cast(rows.schema[n].dataType).alias(n) for n in names if n != "event_ts"]
     after.select("event_ts", *empty).select(*names).write.mode("append").parquet(path)
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)

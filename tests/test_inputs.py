@@ -1,0 +1,59 @@
+"""How the catalog makes its inputs: rows are computed once, and by all tasks."""
+
+from pyspark.sql import functions as F
+
+from catalog.adapters import envelopes, spread
+from catalog.streams import _in_slices
+from tests.conftest import plan_of
+
+
+def events(spark):
+    return spark.range(60).select(
+        F.col("id").alias("event_id"),
+        F.lit("2024-01-03 10:00:00").cast("timestamp_ntz").alias("ts"),
+        F.lit(1).cast("bigint").alias("user_id"),
+        F.lit("purchase").alias("event_type"),
+        F.lit(1.5).alias("value"),
+        F.concat(F.lit('{"k": '), F.col("id") % 10 + 88, F.lit("}")).alias("props"),
+    )
+
+
+def test_slices_come_in_order_from_rows_computed_once(spark, tmp_path):
+    log = tmp_path / "log"
+
+    def noted(batches, path=str(log)):
+        for batch in batches:
+            with open(path, "a") as out:
+                out.write(f"{batch.num_rows}\n")
+            yield batch
+
+    number = F.when(F.col("id") < 90, F.col("id") % 5).when(F.col("id") < 95, 7)  # from 95 on there is none
+    rows = spark.range(100).repartition(3).mapInArrow(noted, "id bigint")
+    path, files = _in_slices(rows, number)
+    assert sum(map(int, log.read_text().split())) == 100
+    written = spark.read.parquet(path)
+    assert sorted(r.id for r in written.collect()) == list(range(90)) and written.columns == ["id"]
+    times = written.select((F.col("id") % 5).alias("k"), F.col("_metadata.file_modification_time").alias("at"))
+    spans = {r.k: (r.a, r.b) for r in times.groupBy("k").agg(F.min("at").alias("a"), F.max("at").alias("b")).collect()}
+    assert all(spans[k][1] <= spans[k + 1][0] for k in range(4))
+    assert files == -(-len(written.inputFiles()) // 5)
+
+
+def test_a_slice_may_be_empty(spark):
+    path, files = _in_slices(spark.range(10), F.lit(3))
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(10)) and files >= 1
+
+
+def test_rows_of_one_task_are_dealt_to_all(spark):
+    one = events(spark).coalesce(1)
+    dealt = spread(one)
+    assert dealt.select(F.spark_partition_id()).distinct().count() >= spark.sparkContext.defaultParallelism
+    assert sorted(dealt.collect()) == sorted(one.collect())
+
+
+def test_messages_read_their_properties_once(spark, tmp_path):
+    path = str(tmp_path / "events")
+    events(spark).write.parquet(path)
+    sent = envelopes(spark.read.parquet(path))
+    assert plan_of(sent).lower().count("get_json_object(props") == 1
+    assert sent.count() == 60 + 5 * 6  # those of k = 90 to 94 come twice
