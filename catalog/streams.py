@@ -123,7 +123,7 @@ def committed(spark, sf_dir):
     config = replace(config, landing=CommittedSink(f"{root}/landing"))
     writer = MicroBatchWriter(config, KEY)
     for _ in range(2):
-        writer.write(envelopes(table(spark, sf_dir, "events")), 0)
+        writer.write(envelopes(spread(table(spark, sf_dir, "events"))), 0)
     schema = T.StructType([*LANDING_SCHEMA.fields, T.StructField("event_date", T.DateType())])
     return _landed_view(read_committed(spark, f"{root}/landing", schema))
 
