@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from txnflow.llm import common, jaccard_join
-from txnflow.llm.common import components
+from txnflow.llm.common import components, located
 from txnflow.llm.jaccard_join import join_similar, keep_one, linked_pairs, prefix_size
 from txnflow.llm.queries import QUERIES
 
@@ -149,3 +149,50 @@ def test_keep_one_row_where_ids_repeat_or_lack(spark):
     assert kept.schema == docs.schema
     want = [(7, a), (3, b), (7, None), (9, "x  y"), (None, c), (None, ""), (1, "z")]
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_candidates_are_few_whatever_the_corpus(spark, monkeypatch):
+    # So few counters imitate a corpus of many more shingles, in code that orders shingles by counters.
+    monkeypatch.setattr(jaccard_join, "COUNTERS", 6, raising=False)
+    random = np.random.default_rng(8)
+    phrases = [" ".join(f"p{k}_{i}" for i in range(12)) for k in range(30)]
+    texts = []
+    for doc in range(400):
+        own = [f"d{doc}_{i}" for i in range(150)]
+        texts.append(" ".join([*own[:75], *(phrases[k] for k in random.choice(30, 3)), *own[75:]]))
+    texts += [near(texts[0].split(" "), 4, 500), near(texts[1].split(" "), 60, 501)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    profiles, members, _, classes = jaccard_join._compared(located(docs, "file", "place"))
+    assert members.count() == 2 and members.select("block").distinct().count() == 1
+    assert classes.select("class").distinct().count() == 1 and profiles.count() == 402
+
+
+@pytest.mark.parametrize("size", [40, 1 << 20])
+def test_shared_marks_are_counted_and_given_back(monkeypatch, size):
+    monkeypatch.setattr(jaccard_join, "BUCKET_MARKS", size)
+    random = np.random.default_rng(9)
+    rows, want = [], []
+    for file in (-7, 3):
+        places = np.sort(random.integers(10, 10 + 2**33, 300))
+        found = random.integers(0, 200, 300).astype(np.uint64) << np.uint64(32)
+        rows += jaccard_join.packed(found, places, file, 5)
+        want += [(int(m), file, int(p)) for m, p in zip(found, places)]
+    times = {}
+    for m, *_ in want:
+        times[m] = times.get(m, 0) + 1
+    got = []
+    for bucket in range(5):
+        for file, places, found, n in jaccard_join.shared_marks([r for r in rows if r["bucket"] == bucket]):
+            got += [(int(m), file, int(p), int(t)) for m, p, t in zip(found, places, n)]
+    assert sorted(got) == sorted((*row, times[row[0]]) for row in want if times[row[0]] > 1)
+    assert list(jaccard_join.shared_marks([])) == []
+
+
+def test_prefixes_of_marks_are_enough():
+    random = np.random.default_rng(10)
+    for n in (1, 2, 5, 9, 60, 500):
+        codes = np.unique(random.integers(0, 1 << 62, n).astype(np.uint64))
+        found = jaccard_join.marks(codes)
+        assert len(found) >= prefix_size(n) and (np.diff(found.astype(np.int64)) >= 0).all()
+        low = common.mixed(codes) >> np.uint64(64 - jaccard_join.MARK_BITS)
+        assert (found < jaccard_join.COUNTED).sum() == (low < jaccard_join.COUNTED).sum()

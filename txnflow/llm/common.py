@@ -8,7 +8,6 @@ import tempfile
 import time
 import weakref
 import zipfile
-import zlib
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
 from pathlib import Path
@@ -16,7 +15,6 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -361,65 +359,3 @@ class Counts:
 
 def signed(keys: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(keys).view(np.int64)
-
-
-#: Counters of one row on their way to the sum.
-COUNTER_BLOCK = 1 << 16
-
-
-def counter_of(codes: np.ndarray, bits: int) -> np.ndarray:
-    return (codes >> np.uint64(64 - bits)).astype(np.int64)
-
-
-def scaled(count):
-    """A count on the scale of `count_codes`: eight steps for each doubling, 255 at most."""
-    return np.minimum(np.rint(8 * np.log2(np.asarray(count) + 1.0)), 255).astype(np.uint8)
-
-
-def count_codes(docs: DataFrame, text: str, codes_of: Callable, bits: int) -> np.ndarray:
-    """How often codes occur in all texts, in 2**bits counters, by `scaled`.
-
-    `codes_of` takes a list of texts and gives arrays of evenly spread 64-bit
-    codes. A code's counter holds at least its count, and other codes' as well.
-    The table has a fixed size, whatever the data.
-    """
-    schema = "block int, task int, width int, counts binary"
-    size = min(COUNTER_BLOCK, 1 << bits)
-
-    def row(block, task, counts):
-        columns = [pa.array([x], pa.int32()) for x in (int(block), task, counts.itemsize)]
-        columns.append(pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary()))
-        return pa.RecordBatch.from_arrays(columns, names=["block", "task", "width", "counts"])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(1 << bits, np.uint32)
-        for batch in batches:
-            found = [np.zeros(0, np.uint64), *codes_of(batch.column(0).to_pylist())]
-            places, times = np.unique(counter_of(np.concatenate(found), bits), return_counts=True)
-            table[places] += times.astype(np.uint32)
-        own = table.reshape(-1, size)
-        for k in np.nonzero(own.any(1))[0]:
-            small = own[k].max() < 256
-            yield row(k, TaskContext.get().partitionId(), own[k].astype(np.uint8) if small else own[k])
-
-    def add(last: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums: dict[int, np.ndarray] = {}
-            for batch in batches:
-                for got in batch.to_pylist():
-                    values = np.frombuffer(zlib.decompress(got["counts"]), np.uint8 if got["width"] == 1 else np.uint32)
-                    own = sums.setdefault(got["block"], np.zeros(size, np.uint32))
-                    own += np.minimum(values, np.uint32(0xFFFFFFFF) - own).astype(np.uint32)
-            for k, own in sums.items():
-                yield row(k, TaskContext.get().partitionId(), scaled(own) if last else own)
-
-        return run
-
-    rows = docs.select(text).mapInArrow(count, schema)
-    # Summed in two steps, so that no task gets a block from every task before.
-    part = rows.repartition("block", F.pmod(F.col("task"), F.lit(16))).mapInArrow(add(False), schema)
-    whole = part.repartition("block").mapInArrow(add(True), schema)
-    table = np.zeros((1 << bits) // size * size, np.uint8).reshape(-1, size)
-    for got in whole.toLocalIterator():
-        table[got["block"]] = np.frombuffer(zlib.decompress(got["counts"]), np.uint8)
-    return table.ravel()

@@ -1,26 +1,32 @@
-"""N-gram Jaccard join: grouped prefix join of documents by their word shingles.
-
-1. A table of counters, of fixed size, gets how often shingles occur (by hash).
-   It orders shingles, rare ones first.
-2. A document's prefix is as many of its first shingles in that order that any
-   document similar enough must share one. Documents of equal prefix and size
-   form one group, so that copies are one row from here on.
-3. Groups with a common prefix shingle, neighbours in size, are linked; linked
-   groups form blocks. Most groups have no link and end here.
-4. Blocks are expanded to their members, one for each distinct set, and members
-   are verified on whole sets: from each member on, those not reached yet are
-   compared, so that a block of n similar members costs some n comparisons, and
+"""N-gram Jaccard join: prefix join of distinct shingle sets, rare shingles first.
+
+1. Documents of the same shingles are one set from here on; one document stands
+   for it.
+2. A set is known by marks of its shingles, the lowest ones: all that are below a
+   fixed bound, and as many as its prefix at least. Marks are dealt out in sorted,
+   packed rows, and counted. Those that only one set has end there; a set gets the
+   others back, with how many sets have them.
+3. Marks below the bound are ordered by their exact counts, rare ones first, the
+   others come after them. A set's prefix is as many of its first marks in that
+   order that any set similar enough must share one. Marks of one set only fill
+   most prefixes, and such a set is done.
+4. Sets with a common prefix mark, neighbours in size, are linked; linked sets
+   form blocks.
+5. Blocks are verified on whole sets: from each member on, those not reached yet
+   are compared, so that a block of n similar members costs some n comparisons, and
    no list of all pairs is ever made. Large blocks are dealt out in chunks, which
    share some pivots; only members that are not in a block's largest component
    after that meet the other chunks.
-5. Verified links give components, and these go back to all documents.
+6. Verified links give components, and these go back to all documents.
 
-Shingles are compared as 64-bit codes. The order only decides how much work is
-done, never the result.
+Shingles are compared as 64-bit codes. Marks, which are shorter, only decide how
+much work is done, never the result: the order holds for all sets alike, and two
+shingles of one mark only make more candidates.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,12 +37,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from txnflow.llm.common import at_places, column, components, count_codes, counter_of, fresh, located, mixed, prepare, space_words, word_codes, written
+from txnflow.llm.common import (
+    Counts,
+    at_places,
+    column,
+    components,
+    fresh,
+    from_planes,
+    located,
+    mixed,
+    planes,
+    prepare,
+    release_shuffles,
+    space_words,
+    word_codes,
+    written,
+)
 
 #: Words of a shingle, and the least similarity of a link in percent.
 SHINGLE, PERCENT = 5, 80
-#: Counters for shingles, as a power of two; the table is 2**COUNTERS bytes when broadcast.
-COUNTERS = 23
+#: Bits of a shingle's mark, and the bound below which all marks are counted. With four in ten of them, a set of which
+#: over half of the shingles are its own fills its prefix with these.
+MARK_BITS, COUNTED = 40, (1 << 40) * 2 // 5
+#: Marks that one step counts at once, about, and marks of a task that are packed together.
+BUCKET_MARKS, PACKED_MARKS = 1 << 20, 1 << 20
 #: Shingles that one task verifies at once; larger blocks are dealt out in chunks of about half of it.
 BLOCK_SHINGLES = 2_000_000
 #: Members of a large block, about, that go to each of its chunks in the first round.
@@ -69,66 +93,150 @@ def _set_code(codes: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(codes.tobytes()) - (1 << 63)
 
 
-def _profiles(docs: DataFrame, scale: np.ndarray) -> DataFrame:
-    """For each document its size, the codes of its group and its set, and the group's prefix.
+def marks(codes: np.ndarray) -> np.ndarray:
+    """The marks by which a set is known where others are looked for, in order: the counted ones, and its prefix at least."""
+    found = np.sort(mixed(codes) >> np.uint64(64 - MARK_BITS))
+    return found[: max(prefix_size(len(codes)), int(np.searchsorted(found, np.uint64(COUNTED))))]
 
-    A task gives the prefix of a group only once.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(scale)
+
+def _profiles(docs: DataFrame) -> DataFrame:
+    """For each document its size, the code of its set, its marks and those of them beyond its prefix."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scale, seen = shared.value, set()
         for batch in batches:
-            sizes, groups, sets, prefixes = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                codes = shingles(text)
-                n = len(codes)
-                prefix = np.zeros(0, np.uint64)
-                if n:
-                    weight = scale[counter_of(codes, COUNTERS)].astype(np.uint64)
-                    low = mixed(codes) >> np.uint64(8)
-                    prefix = codes[np.argsort((weight << np.uint64(56)) | low, kind="stable")[: prefix_size(n)]]
-                group = xxhash.xxh3_64_intdigest(np.sort(prefix).tobytes(), seed=n) - (1 << 63)
-                sizes.append(n)
-                groups.append(group)
-                sets.append(_set_code(codes))
-                prefixes.append(None if group in seen else prefix.view(np.int64))
-                seen.add(group)
-            columns = [batch.column(0), *batch.columns[2:], *(pa.array(x, pa.int64()) for x in (sizes, groups, sets))]
-            columns.append(pa.array(prefixes, pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "file", "place", "n", "group", "code", "prefix"])
-
-    schema = f"doc_id {kind}, file long, place long, n long, group long, code long, prefix array<long>"
+            sets = [shingles(text) for text in batch.column(1).to_pylist()]
+            sizes = [len(codes) for codes in sets]
+            known = [len(marks(codes)) for codes in sets]
+            spare = [m - prefix_size(n) for m, n in zip(known, sizes)]
+            made = (sizes, map(_set_code, sets), known, spare)
+            columns = [batch.column(0), *batch.columns[2:], *(pa.array(list(x), pa.int64()) for x in made)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "file", "place", "n", "code", "marks", "spare"])
+
+    schema = f"doc_id {kind}, file long, place long, n long, code long, marks long, spare long"
     return docs.select("doc_id", "text", "file", "place").mapInArrow(run, schema)
 
 
-def _group_links(profiles: DataFrame) -> DataFrame:
-    """Links (a, b) between groups that share a prefix shingle and stand next to each other in size.
+def packed(found: np.ndarray, places: np.ndarray, file: int, buckets: int) -> Iterator[dict]:
+    """Marks and the places of their sets, all of one file, as a row for each bucket of marks."""
+    order = np.argsort(found, kind="stable")
+    found, places = found[order], places[order]
+    first = places.min()
+    bucket = (found * np.uint64(buckets)) >> np.uint64(MARK_BITS)
+    starts = np.nonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))[0]
+    for start, end in zip(starts, [*starts[1:], len(found)]):
+        steps = np.diff(found[start:end], prepend=np.uint64(0))
+        offsets = (places[start:end] - first).astype(np.uint64)
+        row = {"bucket": int(bucket[start]), "file": file, "first": int(first)}
+        yield row | {"marks": zlib.compress(planes(steps), 1), "offsets": zlib.compress(planes(offsets), 1)}
+
+
+def unpacked(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The marks of a row of `packed`, and the places of their sets."""
+    found = np.cumsum(from_planes(zlib.decompress(row["marks"]), np.uint64), dtype=np.uint64)
+    return found, from_planes(zlib.decompress(row["offsets"]), np.uint64).astype(np.int64) + row["first"]
+
+
+def shared_marks(rows: list[dict]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(file, places, marks, times) for each of a bucket's rows: its marks that the bucket has several times.
+
+    Rows stay packed, and are opened one by one, once to count and once to tell.
+    """
+    counts = Counts(BUCKET_MARKS)
+    for row in rows:
+        counts.add(*np.unique(unpacked(row)[0], return_counts=True))
+    names, times = counts.take()
+    names, times = names[times > 1], times[times > 1]
+    for row in rows if len(names) else ():
+        found, places = unpacked(row)
+        at = np.minimum(np.searchsorted(names, found), len(names) - 1)
+        several = names[at] == found
+        if several.any():
+            yield row["file"], places[several], found[several], times[at[several]]
+
+
+def _shared(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(file, place, times, mark): the marks of each set that other sets have as well, with how many sets have them."""
+    total = sets.agg(F.sum("marks")).first()[0] or 0
+    buckets = -(-total // BUCKET_MARKS) or 1
+
+    def batch_of(rows: list[dict]) -> pa.RecordBatch:
+        fields = [("bucket", pa.int32()), ("file", pa.int64()), ("first", pa.int64()), ("marks", pa.binary()), ("offsets", pa.binary())]
+        return pa.RecordBatch.from_pylist(rows, pa.schema(fields))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, waiting, places = None, [], []
+
+        def pack() -> Iterator[pa.RecordBatch]:
+            if waiting:
+                at = np.repeat(np.array(places, np.int64), [len(x) for x in waiting])
+                yield batch_of(list(packed(np.concatenate(waiting), at, here, buckets)))
+                waiting.clear()
+                places.clear()
+
+        size = 0
+        for batch in batches:
+            for text, file, place in zip(*(c.to_pylist() for c in batch.columns)):
+                if file != here or size > PACKED_MARKS:
+                    yield from pack()
+                    here, size = file, 0
+                waiting.append(marks(shingles(text)))
+                places.append(place)
+                size += len(waiting[-1])
+        yield from pack()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+            for file, places, found, times in shared_marks(rows):
+                columns = (np.full(len(found), file, np.int64), places, times.astype(np.int64), found.view(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["file", "place", "times", "mark"])
+
+        rows: list[dict] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if rows and rows[0]["bucket"] != row["bucket"]:
+                    yield from told(rows)
+                    rows = []
+                rows.append(row)
+        yield from told(rows)
+
+    texts = at_places(docs, sets, "file", "place").select("text", "file", "place")
+    dealt = texts.mapInArrow(deal, "bucket int, file long, first long, marks binary, offsets binary")
+    together = dealt.repartition("bucket").sortWithinPartitions("bucket")
+    return together.mapInArrow(count, "file long, place long, times long, mark long")
+
+
+def _prefixes(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(code, n, prefix): the marks in a set's prefix that other sets have as well; sets without any are left out."""
+    hits = _shared(docs, sets).groupBy("file", "place").agg(F.sort_array(F.collect_list(F.struct("times", "mark"))).alias("hits"))
+    # Marks that no other set has come before these.
+    room = F.size("hits") - F.col("spare")
+    found = hits.join(sets, ["file", "place"]).where(room > 0)
+    return found.select("code", "n", F.slice("hits.mark", F.lit(1), room.cast("int")).alias("prefix"))
+
+
+def _set_links(prefixes: DataFrame) -> DataFrame:
+    """Links (a, b) between sets that share a prefix mark and stand next to each other in size.
 
-    Any two groups that share a shingle and may be similar are joined by a
-    chain of such links, so that there are no more links than prefix shingles.
+    Any two sets that share a mark and may be similar are joined by a chain of
+    such links, so that there are no more links than prefix marks.
     """
-    prefixes = profiles.where(F.col("prefix").isNotNull() & (F.col("n") > 0))
-    shingle = prefixes.select(F.explode("prefix").alias("shingle"), "group", "n")
-    order = Window.partitionBy("shingle").orderBy("n", "group")
-    near = shingle.withColumn("before", F.lag("group").over(order)).withColumn("least", F.lag("n").over(order))
-    linked = near.where((F.col("before") != F.col("group")) & (F.col("least") * 100 >= F.col("n") * PERCENT))
-    return linked.select(F.least("before", "group").alias("a"), F.greatest("before", "group").alias("b")).distinct()
-
-
-def _members(profiles: DataFrame, blocks: DataFrame) -> DataFrame:
-    """(block, block_sets, chunks, code, n, file, place): one document for each distinct set of a block that has several."""
-    blocks = blocks.select(F.col("node").alias("group"), F.col("root").alias("block"))
-    sets = profiles.where("n > 0").groupBy("group", "code").agg(F.first("n").alias("n"), F.min(F.struct("file", "place")).alias("row"))
-    sets = sets.select("group", "code", "n", "row.file", "row.place")
-    sets = sets.join(blocks, "group", "left").withColumn("block", F.coalesce("block", "group"))
-    sets = written(sets, "sets")
-    sizes = sets.groupBy("block").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles")).where("sets > 1")
+    mark = prefixes.select(F.explode("prefix").alias("mark"), "code", "n")
+    order = Window.partitionBy("mark").orderBy("n", "code")
+    near = mark.withColumn("before", F.lag("code").over(order)).withColumn("least", F.lag("n").over(order))
+    linked = near.where((F.col("before") != F.col("code")) & (F.col("least") * 100 >= F.col("n") * PERCENT))
+    return linked.select(F.least("before", "code").alias("a"), F.greatest("before", "code").alias("b")).distinct()
+
+
+def _members(sets: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(block, block_sets, chunks, code, n, file, place): the sets of blocks."""
+    blocks = blocks.select(F.col("node").alias("code"), F.col("root").alias("block"))
+    blocked = written(sets.select("code", "n", "file", "place").join(blocks, "code"), "blocked")
+    sizes = blocked.groupBy("block").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
     whole = F.col("shingles") <= BLOCK_SHINGLES
     chunks = F.when(whole, 1).otherwise(F.ceil(F.col("shingles") / (BLOCK_SHINGLES // 2)))
     sizes = sizes.select("block", F.col("sets").alias("block_sets"), chunks.cast("int").alias("chunks"))
-    return written(sets.join(sizes, "block").drop("group"), "members")
+    return written(blocked.join(sizes, "block"), "members")
 
 
 def _member_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
@@ -291,13 +399,15 @@ def linked_copies(sets: list[np.ndarray], copies: np.ndarray, here: np.ndarray,
 
 def _compared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Of documents in their places: profiles of all, members of blocks, their sets, and (code, class) of the linked ones."""
-    scale = count_codes(docs, "text", lambda texts: [shingles(t) for t in texts], COUNTERS)
-    profiles = written(_profiles(docs, scale), "profiles")
-    blocks = components(_group_links(profiles))
-    members = _members(profiles, blocks)
-    sets = _member_sets(docs, members)
-    classes = components(_verified(sets, members)).select(F.col("node").alias("code"), F.col("root").alias("class"))
-    return profiles, members, sets, classes
+    profiles = written(_profiles(docs), "profiles")
+    sets = profiles.where("n > 0").groupBy("code").agg(F.min(F.struct("file", "place")).alias("row"), *(F.first(c).alias(c) for c in ("n", "marks", "spare")))
+    sets = written(sets.select("code", "row.file", "row.place", "n", "marks", "spare"), "sets")
+    prefixes = written(_prefixes(docs, sets), "prefixes")
+    release_shuffles(docs.sparkSession)
+    members = _members(sets, components(_set_links(prefixes)))
+    shown = _member_sets(docs, members)
+    classes = components(_verified(shown, members)).select(F.col("node").alias("code"), F.col("root").alias("class"))
+    return profiles, members, shown, classes
 
 
 def join_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", count_links: bool = False) -> DataFrame:
