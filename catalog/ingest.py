@@ -368,15 +368,32 @@ def bulk_load(spark, sf_dir):
     return rows.select(*STAGED_NAMES, F.to_json("metadata").alias("metadata"))
 
 
+def array_files(spark, sf_dir):
+    """Write all events as arrays over many lines, one object in each, a file for each of 16 groups.
+
+    Rows are written one by one: only the ends of a group, known by their places in the table, are looked up before.
+    """
+    path = scratch_path(spark, "arrays")
+    group = (F.col("event_id") % 16).alias("group")
+    at = (F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+    events = table(spark, sf_dir, "events").select("*", group, F.struct(*at).alias("at"))
+    ends = events.groupBy("group").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    ends = F.broadcast(ends.withColumnRenamed("group", "of"))
+    token = tokenize_account_id("account_id", KEY).alias("account_id_token")
+    rows = transactions(events, "group", "at")
+    lines = rows.select("group", "at", F.to_json(F.struct(*(c for c in PAYLOAD_NAMES if c != "account_id"), token)).alias("object"))
+    lines = lines.repartition("group").join(ends, F.col("group").eqNullSafe(F.col("of")))
+    opened = F.when(F.col("at") == F.col("first"), "[\n  ").otherwise("  ")
+    closed = F.when(F.col("at") == F.col("last"), "\n]").otherwise(",")
+    lines = lines.select("group", "at", F.concat(opened, "object", closed).alias("value"))
+    lines.sortWithinPartitions("group", "at").select("group", "value").write.partitionBy("group").text(path)
+    return path
+
+
 @query("bulk_array_load", STAGED_SQL)
 def bulk_arrays(spark, sf_dir):
     """All events as arrays over many lines, a file for each of 16 groups, each file read by several tasks."""
-    path = scratch_path(spark, "arrays")
-    rows = transactions(table(spark, sf_dir, "events"), "event_id")
-    token = tokenize_account_id("account_id", KEY).alias("account_id_token")
-    lines = rows.select("event_id", F.to_json(F.struct(*(c for c in PAYLOAD_NAMES if c != "account_id"), token)).alias("object"))
-    files = lines.groupBy(F.col("event_id") % 16).agg(F.concat_ws(",\n  ", F.collect_list("object")).alias("objects"))
-    files.select(F.concat(F.lit("[\n  "), "objects", F.lit("\n]")).alias("value")).repartition(16).write.text(path)
+    path = array_files(spark, sf_dir)
     rows = landing_projection(transform(staged_projection(read_staged_arrays(spark, path)), key=None))
     return rows.select(*STAGED_NAMES, F.to_json("metadata").alias("metadata"))
 

@@ -1,9 +1,14 @@
 import json
+from collections import Counter
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+from catalog.registry import QUERIES
+import catalog.ingest  # noqa: F401
 from tests.conftest import plan_of
 from tests.test_models import landing
 from tests.test_parse import envelopes, having, without
@@ -375,3 +380,25 @@ def test_cut_arrays_lose_nothing(spark, tmp_path, monkeypatch):
             assert all(f"t{k}" in kept for k in range(7))
     (tmp_path / "cut.json").write_text(" ")
     assert read_staged_arrays(spark, str(tmp_path)).count() == 0
+
+
+def test_arrays_are_written_object_by_object(spark, tmp_path, monkeypatch):
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    ids = [*range(200), *range(0, 200, 9), -3, None, None]
+    rows = [(i, datetime(2024, 1, 2), 7, "purchase", 1.5, '{"k": 50}') for i in ids]
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    paths, longest, write = [], [], DataFrameWriter.text
+
+    def written(self, path, **options):
+        paths.append(path)
+        longest.append(self._df.agg(F.max(F.length("value"))).first()[0])
+        return write(self, path, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "text", written)
+    got = QUERIES["bulk_array_load"](spark, str(tmp_path)).collect()
+    assert Counter(r.transaction_id for r in got) == Counter(i if i is None else str(i) for i in ids)
+    # No row holds more than one object: what a task has in memory does not grow with a group.
+    assert longest[0] < 600
+    arrays = [json.loads(f.read_text()) for f in Path(paths[0].removeprefix("file:")).rglob("part-*") if f.stat().st_size]
+    assert len(arrays) == 18 and sum(map(len, arrays)) == len(ids)  # 16 groups, one below zero, one without an id
+    assert all(len({int(x["transaction_id"]) % 16 for x in a if "transaction_id" in x}) <= 1 for a in arrays)
