@@ -151,9 +151,7 @@ def test_keep_one_row_where_ids_repeat_or_lack(spark):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(want, key=repr)
 
 
-def test_candidates_are_few_whatever_the_corpus(spark, monkeypatch):
-    # So few counters imitate a corpus of many more shingles, in code that orders shingles by counters.
-    monkeypatch.setattr(jaccard_join, "COUNTERS", 6, raising=False)
+def texts_with_common_phrases():
     random = np.random.default_rng(8)
     phrases = [" ".join(f"p{k}_{i}" for i in range(12)) for k in range(30)]
     texts = []
@@ -161,7 +159,13 @@ def test_candidates_are_few_whatever_the_corpus(spark, monkeypatch):
         own = [f"d{doc}_{i}" for i in range(150)]
         texts.append(" ".join([*own[:75], *(phrases[k] for k in random.choice(30, 3)), *own[75:]]))
     texts += [near(texts[0].split(" "), 4, 500), near(texts[1].split(" "), 60, 501)]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return list(enumerate(texts))
+
+
+def test_candidates_are_few_whatever_the_corpus(spark, monkeypatch):
+    # So few counters imitate a corpus of many more shingles, in code that orders shingles by counters.
+    monkeypatch.setattr(jaccard_join, "COUNTERS", 6, raising=False)
+    docs = spark.createDataFrame(texts_with_common_phrases(), "doc_id long, text string")
     profiles, members, _, classes = jaccard_join._compared(located(docs, "file", "place"))
     assert members.count() == 2 and members.select("block").distinct().count() == 1
     assert classes.select("class").distinct().count() == 1 and profiles.count() == 402
@@ -196,3 +200,18 @@ def test_prefixes_of_marks_are_enough():
         assert len(found) >= prefix_size(n) and (np.diff(found.astype(np.int64)) >= 0).all()
         low = common.mixed(codes) >> np.uint64(64 - jaccard_join.MARK_BITS)
         assert (found < jaccard_join.COUNTED).sum() == (low < jaccard_join.COUNTED).sum()
+
+
+def test_keep_one_expands_few_sets_whatever_the_corpus(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "COUNTERS", 6, raising=False)
+    expanded, verified = [], jaccard_join._verified
+
+    def seen(sets, members):
+        expanded.append(sets.count())
+        return verified(sets, members)
+
+    monkeypatch.setattr(jaccard_join, "_verified", seen)
+    rows = texts_with_common_phrases()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in keep_one(docs).collect()) == [d for d, _ in rows if d != 400]
+    assert expanded == [2]
